@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .chat_format import format_chats, read_back, turns_as_events
 from .common import load
 from .exact_dedup import exact_dedup
 from .license_scan import license_scan
+from .packing import pack
+from .quality_rules import quality_rules
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +20,15 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_chats(turns_as_events(turns.union(added))))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = quality_rules(load(spark, sf_dir, "documents"))
+    return rated.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op5_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(load(spark, sf_dir, "documents"), keep="max")
 
@@ -27,6 +39,8 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op4_quality_rules": op4_quality_rules,
+    "op5_harmonic_packing": op5_harmonic_packing,
     "op6_exact_dedup": op6_exact_dedup,
     "op10_license_scan": op10_license_scan,
 }
