@@ -9,6 +9,7 @@ from .chat_format import format_chats, read_back, turns_as_events
 from .common import load
 from .exact_dedup import exact_dedup
 from .license_scan import license_scan
+from .minhash_dedup import near_duplicates
 from .packing import pack
 from .quality_rules import quality_rules
 
@@ -33,6 +34,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(load(spark, sf_dir, "documents"), keep="max")
 
 
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(load(spark, sf_dir, "documents"), percent=85)
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(load(spark, sf_dir, "documents"))
 
@@ -42,6 +47,7 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op5_harmonic_packing": op5_harmonic_packing,
     "op6_exact_dedup": op6_exact_dedup,
+    "op9_minhash_dedup": op9_minhash_dedup,
     "op10_license_scan": op10_license_scan,
 }
 
