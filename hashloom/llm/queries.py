@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .chat_format import format_chats, read_back, turns_as_events
 from .common import load
@@ -12,6 +13,7 @@ from .license_scan import license_scan
 from .minhash_dedup import near_duplicates
 from .packing import pack
 from .quality_rules import quality_rules
+from .suffix_dedup import remove_repeats
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +36,17 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(load(spark, sf_dir, "documents"), keep="max")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(load(spark, sf_dir, "documents"), length=50)
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
+        (F.size("spans") / 2).cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(load(spark, sf_dir, "documents"), percent=85)
 
@@ -47,6 +60,7 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op5_harmonic_packing": op5_harmonic_packing,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_license_scan": op10_license_scan,
 }
