@@ -10,10 +10,14 @@ from .chat_format import format_chats, read_back, turns_as_events
 from .common import load
 from .exact_dedup import exact_dedup
 from .license_scan import license_scan
+from .line_dedup import line_dedup
+from .line_dedup import oracle as line_oracle
 from .minhash_dedup import near_duplicates
 from .packing import pack
 from .quality_rules import quality_rules
+from .sentencepiece_codec import decode, encode
 from .suffix_dedup import remove_repeats
+from .toxicity import score, train
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +27,16 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_chats(turns_as_events(turns.union(added))))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = line_dedup(load(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return score(docs, train(docs, load(spark, sf_dir, "labels")))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = quality_rules(load(spark, sf_dir, "documents"))
     return rated.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -47,6 +61,17 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    back = decode(encode(load(spark, sf_dir, "documents"), model), model)
+    return back.select(
+        "doc_id",
+        F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_ids"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(load(spark, sf_dir, "documents"), percent=85)
 
@@ -57,10 +82,13 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op2_line_dedup": op2_line_dedup,
+    "op3_toxicity": op3_toxicity,
     "op4_quality_rules": op4_quality_rules,
     "op5_harmonic_packing": op5_harmonic_packing,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_license_scan": op10_license_scan,
 }
@@ -80,6 +108,7 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(3 + length(role) + 2 + length(esc) + 5) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 """,
+    "op2_line_dedup": line_oracle(),
     "op6_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
   doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
