@@ -1,4 +1,6 @@
 """All registered queries and their SQL."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from .oracles import ORACLES
+from .queries import QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
