@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -66,6 +67,12 @@ class Scratch:
             return
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files that no plan refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def parts_for(n_bytes: int, each: int, least: int = 1) -> int:
     """Partitions so that one holds about ``each`` bytes; grows with the input."""
     return max(least, -(-int(n_bytes) // each))

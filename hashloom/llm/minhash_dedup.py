@@ -7,12 +7,23 @@ densification). Bands of bins give bucket keys. Texts with equal sets are one
 class first. In a bucket every member is linked to the bucket's centre, not
 to every other; candidate edges are confirmed on the full sets.
 
-A star can miss a link between two members neither of which is the centre.
-So rounds follow: wherever members that have not been centres still lie in
-different components, further centres are taken (one, then two, four, ... in a
-bucket) and compared with the members of other components, until in every
-bucket all such members are in one component. Then each pair of a bucket has
-been compared or lies in one component already, and no link is lost.
+Before that, texts are closed that can have no link: a shingle that no other
+text of any bucket has is in no intersection, so the shingles that are left
+(``bound``) bound every intersection of a text; closed texts go, and the
+counts are taken anew until none closes. Then shingles that at most RARE open
+texts have give pairs of their own, each with its count of common rare shingles;
+two texts without such a pair have at most the smaller ``core`` (shingles that
+more texts have) in common. Both bounds are exact, and keep the many copies of a frequent text that
+differ from it, and from one another, too much to be linked, from being compared.
+
+The centre of a bucket is its member in the largest buckets over all bands,
+which is the least changed copy of a family. A star can miss a link between
+two members neither of which is the centre. So rounds follow: where members
+that have not been centres lie in different components and their sizes and
+cores allow a link, more centres are taken, from the smallest components
+first, and compared with the members of other components. Rounds end when no
+bucket has such members: then each pair of a bucket has been compared, lies in
+one component, or is too far apart, and no link is lost.
 """
 
 from __future__ import annotations
@@ -24,10 +35,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, checkpointed, doc_chunks, text_views
+from .common import Scratch, checkpointed, doc_chunks, release, text_views
 from .components import connected_components
 from .word_kernels import GRAM_CODES, SPACE, U, gram_hashes, lower_ascii, mix, owner, runs, span_hashes
 
+#: A shingle that so many open texts have at most is rare.
+RARE = 8
 SIGNATURE = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"
 
 
@@ -149,22 +162,30 @@ def near_duplicates(
     named = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     same = ["n_shingles", "d1", "d2"]
     classes = scratch.write(named.groupBy(*same).agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")), "classes")
-    members = classes.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
-    # buckets of one class take part in nothing
-    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("_in")).where(F.col("_in") > 1).select("key")
-    buckets = scratch.write(members.join(shared, "key").withColumn("used", F.lit(False)), "buckets0")
-    links = scratch.write(_confirm(df, id_col, text_col, words, percent, _stars(buckets, None, 1, percent), scratch, 0), "links0")
+    members = scratch.write(_shared_buckets(classes.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))), "members")
+    pool = members.select(F.col("node").alias("_id")).distinct()
+    sets = scratch.write(full_sets(_chosen(df, id_col, text_col).join(pool, "_id", "left_semi"), words), "sets0")
+    release(spark)
+    sets = _open_sets(sets, scratch, percent)
+    cores, rare = _rare_pairs(sets, scratch, percent)
+    buckets = _shared_buckets(members.join(cores, "node"))
+    weight = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("_in"))
+    popular = buckets.join(weight, "key").groupBy("node").agg(F.sum("_in").alias("popular"))
+    buckets = scratch.write(buckets.join(popular, "node").withColumn("component", F.col("node")).withColumn("order", -F.col("popular")), "buckets0")
+    turn, centres = 0, 1
+    heads = scratch.write(_heads(buckets, centres), "heads0")
+    links = scratch.write(_confirm(sets, _stars(buckets, heads, percent).union(rare).distinct(), percent), "links0")
     component = checkpointed(connected_components(links, "a", "b"))
-    centres, turn = 1, 0
     while True:
         turn += 1
-        buckets = scratch.write(_open_buckets(buckets, component, centres), f"buckets{turn}")
+        buckets = scratch.write(_open_buckets(buckets, heads, component, percent), f"buckets{turn}")
         scratch.drop(f"buckets{turn - 1}")
+        release(spark)
         if buckets.isEmpty():
             break
-        centres = min(2 * centres, 64)
-        pairs = _stars(buckets, "component", centres, percent)
-        links = links.unionByName(scratch.write(_confirm(df, id_col, text_col, words, percent, pairs, scratch, turn), f"links{turn}"))
+        centres = min(4 * centres, 256)
+        heads = scratch.write(_heads(buckets, centres), f"heads{turn}")
+        links = links.unionByName(scratch.write(_confirm(sets, _stars(buckets, heads, percent), percent), f"links{turn}"))
         component = checkpointed(connected_components(links, "a", "b"))
     of_class = named.join(classes.select(*same, "node"), same).select("doc_id", "node")
     reached = of_class.join(component, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component"))
@@ -180,43 +201,89 @@ def near_duplicates(
     return final.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _stars(buckets: DataFrame, component: str | None, centres: int, percent: int) -> DataFrame:
-    """Candidate pairs (a, b), a < b: the first ``centres`` unused members of each bucket with all others that sizes and components allow."""
+def _shared_buckets(members: DataFrame) -> DataFrame:
+    """The rows of buckets with more than one member."""
+    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("_in")).where(F.col("_in") > 1).select("key")
+    return members.join(shared, "key")
+
+
+def _open_sets(sets: DataFrame, scratch: Scratch, percent: int, rounds: int = 4) -> DataFrame:
+    """(node, shingles, bound) of the texts that may have a link.
+
+    bound: how many of a text's shingles another open text has too. Any number of rounds is right; a
+    later one closes texts whose partners have been closed.
+    """
+    for k in range(1, rounds + 1):
+        single = sets.select("node", F.explode("shingles").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("_n"), F.min("node").alias("node")).where("_n = 1")
+        alone = single.groupBy("node").agg(F.count(F.lit(1)).alias("_alone"))
+        n = F.size("shingles")
+        marked = sets.join(alone, "node", "left").withColumn("bound", n - F.coalesce("_alone", F.lit(0))).drop("_alone")
+        left = scratch.write(marked.where(100 * F.col("bound") >= percent * n).select("node", "shingles", "bound"), f"sets{k}")
+        before, after = sets.count(), left.count()
+        sets = left
+        scratch.drop(f"sets{k - 1}")
+        release(sets.sparkSession)
+        if before == after:
+            break
+    return sets
+
+
+def _may(n, m, common, percent: int):
+    """Whether sets of n and m with so many in common at most can be linked."""
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * common >= percent * (n + m))
+
+
+def _rare_pairs(sets: DataFrame, scratch: Scratch, percent: int) -> tuple[DataFrame, DataFrame]:
+    """((node, core), pairs (a, b) that share a shingle of 2 to RARE texts and may be linked).
+
+    A text meets at most RARE - 1 others over one shingle.
+    """
+    single = sets.select("node", F.explode("shingles").alias("s"))
+    few = single.groupBy("s").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n").between(2, RARE)).select("s")
+    rows = scratch.write(single.join(few, "s"), "rare")
+    held = rows.groupBy("node").agg(F.count(F.lit(1)).alias("_rare"))
+    cores = scratch.write(sets.join(held, "node", "left").groupBy("node").agg(F.max(F.size("shingles")).alias("_n"), F.max(F.col("bound") - F.coalesce("_rare", F.lit(0))).alias("core")), "cores")
+    both = rows.select("s", F.col("node").alias("a")).join(rows.select("s", F.col("node").alias("b")), "s").where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("_shared"))
+    left = cores.select(F.col("node").alias("a"), F.col("_n").alias("_na"), F.col("core").alias("_ca"))
+    right = cores.select(F.col("node").alias("b"), F.col("_n").alias("_nb"), F.col("core").alias("_cb"))
+    known = both.join(left, "a").join(right, "b")
+    return cores.drop("_n"), known.where(_may(F.col("_na"), F.col("_nb"), F.least("_ca", "_cb") + F.col("_shared"), percent)).select("a", "b")
+
+
+def _heads(buckets: DataFrame, centres: int) -> DataFrame:
+    """At most ``centres`` members of each bucket, in ``order``; the limit is applied per task before the exchange too."""
     if centres == 1:
-        heads = buckets.where(~F.col("used")).groupBy("key").agg(F.min(F.struct("node", "n", *([component] if component else []))).alias("c")).select("key", "c.*")
-    else:
-        heads = _first_unused(buckets, centres).select("key", "node", "n", *([component] if component else []))
-    heads = heads.select("key", F.col("node").alias("c"), F.col("n").alias("cn"), *([F.col(component).alias("cc")] if component else []))
-    pairs = buckets.join(heads, "key").where(F.col("node") != F.col("c"))
-    if component:
-        pairs = pairs.where(F.col(component) != F.col("cc"))
-    fits = 100 * F.least("n", "cn") >= percent * F.greatest("n", "cn")
-    return pairs.where(fits).select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
-
-
-def _first_unused(buckets: DataFrame, centres: int) -> DataFrame:
-    """At most ``centres`` unused members of each bucket, smallest first; a limit per task comes before the exchange."""
-    return buckets.where(~F.col("used")).withColumn("_rank", F.row_number().over(Window.partitionBy("key").orderBy("node"))).where(F.col("_rank") <= centres)
-
-
-def _open_buckets(buckets: DataFrame, component: DataFrame, centres: int) -> DataFrame:
-    """The buckets, with the last centres used, whose unused members lie in more than one component."""
-    last = _first_unused(buckets, centres).select("key", "node", F.lit(True).alias("_last"))
-    now = buckets.select("key", "node", "n", "used").join(last, ["key", "node"], "left").select("key", "node", "n", (F.col("used") | F.coalesce("_last", F.lit(False))).alias("used"))
-    now = now.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = now.where(~F.col("used")).groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(F.col("lo") < F.col("hi")).select("key")
-    return now.join(mixed, "key")
-
-
-def _confirm(df, id_col, text_col, words, percent, pairs, scratch: Scratch, turn: int) -> DataFrame:
-    """The pairs that are links. Sets are made from the texts of the nodes in pairs only."""
-    pairs = scratch.write(pairs, f"pairs{turn}")
-    wanted = pairs.select(F.col("a").alias("_id")).union(pairs.select(F.col("b").alias("_id"))).distinct()
-    texts = _chosen(df, id_col, text_col).join(wanted, "_id", "left_semi")
-    sets = scratch.write(full_sets(texts, words), f"sets{turn}")
+        best = F.min(F.struct("order", "node", "n", "core", "component")).alias("c")
+        return buckets.groupBy("key").agg(best).select("key", "c.*").drop("order")
+    along = Window.partitionBy("key").orderBy("order", "node")
+    return buckets.withColumn("_rank", F.row_number().over(along)).where(F.col("_rank") <= centres).select("key", "node", "n", "core", "component")
+
+
+def _stars(buckets: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b), a < b: the centres of each bucket with all others that sizes, cores and components allow."""
+    named = heads.select("key", F.col("node").alias("c"), F.col("n").alias("cn"), F.col("core").alias("ccore"), F.col("component").alias("cc"))
+    pairs = buckets.join(named, "key").where(F.col("component") != F.col("cc"))
+    near = pairs.where(_may(F.col("n"), F.col("cn"), F.least("core", "ccore"), percent))
+    return near.select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
+
+
+def _open_buckets(buckets: DataFrame, heads: DataFrame, component: DataFrame, percent: int) -> DataFrame:
+    """The members that have not been centres and may still be linked to such a member of another component, by classes of (n, core) in a bucket."""
+    left = buckets.drop("component", "order").join(heads.select("key", "node"), ["key", "node"], "left_anti")
+    left = left.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    kinds = left.groupBy("key", "n", "core").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    other = kinds.select("key", *(F.col(c).alias(f"_{c}") for c in ("n", "core", "lo", "hi")))
+    apart = F.least("lo", "_lo") < F.greatest("hi", "_hi")
+    live = kinds.join(other, "key").where(apart & _may(F.col("n"), F.col("_n"), F.least("core", "_core"), percent)).select("key", "n", "core").distinct()
+    now = left.join(live, ["key", "n", "core"])
+    size = now.groupBy("key", "component").agg(F.count(F.lit(1)).alias("order"))
+    return now.join(size, ["key", "component"])
+
+
+def _confirm(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs that are links by their full sets."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    joined = pairs.join(left, "a").join(right, "b").withColumn("both", both)
+    joined = pairs.join(left, "a").join(right, "b").withColumn("both", F.size(F.array_intersect("sa", "sb")))
     ok = 100 * F.col("both") >= percent * (F.size("sa") + F.size("sb") - F.col("both"))
     return joined.where(ok).select("a", "b").distinct()
