@@ -1,0 +1,95 @@
+"""Unsigned values, digests, names and MurmurHash3 against plain Python."""
+
+import hashlib
+import urllib.parse
+
+import numpy as np
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from hashloom.functions import digests, names, uint64
+from hashloom.functions.murmur import murmur3_128
+
+EDGES = [0, 1, 2**31, 2**63 - 1, 2**63, 2**63 + 1, 2**64 - 1]
+
+
+def signed(v):
+    return v - 2**64 if v >= 2**63 else v
+
+
+@pytest.mark.parametrize("m", [521, 512, 64])
+def test_unsigned(spark, m):
+    df = spark.createDataFrame([(signed(v),) for v in EDGES], "h long")
+    got = df.select(uint64.mod(F.col("h"), m).alias("m"), uint64.to_string(F.col("h")).alias("s")).collect()
+    assert [(r.m, r.s) for r in got] == [(v % m, str(v)) for v in EDGES]
+
+
+def test_unsigned_order_and_codecs(spark):
+    df = spark.createDataFrame([(signed(v),) for v in reversed(EDGES)], "h long")
+    assert [r.h for r in df.orderBy(uint64.order_key(F.col("h"))).collect()] == [signed(v) for v in EDGES]
+    back = df.select(uint64.from_decimal(uint64.to_decimal(F.col("h"))).alias("h")).collect()
+    assert [r.h for r in back] == [signed(v) for v in reversed(EDGES)]
+
+
+def test_wrap(spark):
+    values = [-1, -(2**63), -(2**64) + 1, 2**64 + 5, 2**63, 0]
+    df = spark.createDataFrame([(str(v),) for v in values], "v string").select(uint64.wrap(F.col("v").cast("decimal(38,0)")).alias("h"))
+    assert [r.h for r in df.collect()] == [signed(v % 2**64) for v in values]
+
+
+@pytest.mark.parametrize(("kind", "n"), [("md5", 4096), ("md5", 521), ("sha1", 1024), ("sha256", 512), ("sha256", 2**31 - 1)])
+def test_shards(spark, kind, n):
+    texts = ["", "a/b.fa.gz", "é"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(digests.shard(F.col("t"), n, kind).alias("s")).collect()
+    assert [r.s for r in got] == [int(hashlib.new(kind, t.encode()).hexdigest(), 16) % n for t in texts]
+
+
+@pytest.mark.parametrize(
+    ("name", "sample"),
+    [("GCA_1.2_x_genomic.fna.gz.sig.zip", "GCA_1"), ("S.FASTA.sig.zip", "S"), ("plain.sig.zip", "plain"), ("/a/b/t.fa.SIG.ZIP", "t"), ("x", "x")],
+)
+def test_sample_id(spark, name, sample):
+    assert spark.createDataFrame([(name,)], "n string").select(names.sample_id(F.col("n"))).first()[0] == sample
+
+
+def test_listing_entries(spark):
+    links = ["../", "./", "/abs", "http://x", "a/b", "sub/", "f.fna.gz?x=1", " sub/ ", "", "?q", "deep//"]
+    got = spark.createDataFrame([(links,)], "l array<string>").select(names.listing_entries(F.col("l"))).first()[0]
+    assert got == ["sub/", "f.fna.gz", "sub/", "deep//"]
+
+
+def test_name_rules(spark):
+    one = spark.range(1)
+    assert one.select(names.is_target(F.lit("d/x.fna.gz"), r".*\.fna\.gz$", "y")).first()[0]
+    assert not one.select(names.is_target(F.lit("d/yx.fna.gz"), r".*\.fna\.gz$", "y")).first()[0]
+    assert one.select(names.first_label(F.lit("A.FNA"), [("p", r".*\.fa$"), ("q", r".*\.fna$"), ("r", ".*")])).first()[0] == "q"
+    assert one.select(names.is_suspicious(F.lit("/a/../b"))).first()[0] and not one.select(names.is_suspicious(F.lit("/a/b"))).first()[0]
+    assert [one.select(names.size_or_null(F.lit(x))).first()[0] for x in ("12", "abc", "")] == [12, None, None]
+    assert one.select(names.backoff_seconds(F.lit(3)), names.backoff_seconds(F.lit(90))).first()[:] == (8.0, 300.0)
+
+
+@pytest.mark.parametrize("path", ["a b/~c*d+é/x.fna", "/lead//twice/", "plain"])
+def test_quoting(spark, path):
+    got = spark.range(1).select(names.quoted_path(F.lit(path))).first()[0]
+    assert got == "/".join(urllib.parse.quote(p) for p in path.split("/"))
+
+
+def test_murmur_vectors():
+    """Published values of the x64 128 variant."""
+
+    def of(text, seed):
+        return tuple(int(x[0]) for x in murmur3_128(np.frombuffer(text, np.uint8).reshape(1, -1), seed))
+
+    assert of(b"hello", 0) == (0xCBD8A7B341BD9B02, 0x5B1E906A48AE1D19)
+    assert of(b"hello, world", 0) == (0x342FAC623A5EBC8E, 0x4CDCBC079642414D)
+    assert of(b"The quick brown fox jumps over the lazy dog.", 0) == (0xCD99481F9EE902C9, 0x695DA1A38987B6E7)
+    assert of(b"", 0) == (0, 0)
+
+
+@given(st.lists(st.binary(min_size=21, max_size=21), min_size=1, max_size=20))
+def test_murmur_rows_are_independent(keys):
+    rows = np.frombuffer(b"".join(keys), np.uint8).reshape(-1, 21)
+    together = murmur3_128(rows)[0]
+    assert [int(x) for x in together] == [int(murmur3_128(rows[i : i + 1])[0][0]) for i in range(len(keys))]
