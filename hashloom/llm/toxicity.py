@@ -1,9 +1,10 @@
 """Toxicity by cumulative-link (proportional odds) ordinal regression on sparse text features.
 
-A text's features are its distinct words with log-damped counts. Grades come
+A text's features are its distinct words and word beginnings (so that inflected
+forms share evidence), with log-damped counts. Grades come
 from the labels: 0 for rows labelled clean; rows labelled toxic get 1 to
 ``grades`` - 1 by equal parts of their lexical evidence, the damped count of
-words that the labels mark as toxic. P(grade > j) = sigmoid(w.x - t_j) with weights shared by all ordered
+features that the labels mark as toxic. P(grade > j) = sigmoid(w.x - t_j) with weights shared by all ordered
 thresholds t_1 < t_2 < ...; the score is the expected grade, the sum of these.
 
 The fit uses at most ``max_train`` labelled rows, those with the smallest hash
@@ -23,19 +24,31 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
 from .common import doc_chunks, text_views
-from .word_kernels import U, lower_ascii, owner, runs, span_hashes
+from .word_kernels import GRAM_CODES, U, lower_ascii, mix, owner, runs, span_hashes
 
 #: Bytes of words: ASCII letters and digits, and every byte of other characters.
 LETTER = np.zeros(256, bool)
 LETTER[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
-MAX_TRAIN = 20_000
+#: Lengths in bytes of the word beginnings that are features beside whole words.
+BEGINNINGS = (4, 5, 6, 7, 8)
+MAX_TRAIN = 6_000
 
 
-def word_counts(b: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, word hash, count) of each text's distinct lower-case words."""
+def occurrences(b: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, feature hash) of every word and word beginning, in lower case; a text's words come in order."""
     b = lower_ascii(b)
     s, e = runs(LETTER[b], starts)
-    doc, h = owner(s, starts), span_hashes(b, s, e)
+    doc = owner(s, starts)
+    docs, hashes = [doc], [span_hashes(b, s, e)]
+    for n in BEGINNINGS:
+        longer = np.flatnonzero(e - s > n)
+        docs.append(doc[longer])
+        hashes.append(span_hashes(b, s[longer], s[longer] + n) ^ U(n))
+    return np.concatenate(docs), np.concatenate(hashes)
+
+
+def counted(doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, feature, count) of the distinct pairs."""
     order = np.lexsort((h, doc))
     doc, h = doc[order], h[order]
     first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]))) if len(h) else np.zeros(0, np.int64)
@@ -44,25 +57,46 @@ def word_counts(b: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 @dataclass
 class Model:
-    """keys: sorted hashes of the words used; weights: theirs; thresholds: ascending."""
+    """keys: sorted hashes of the features used; weights: theirs; thresholds: ascending."""
 
     keys: np.ndarray
     weights: np.ndarray
     thresholds: np.ndarray
 
-    def severity(self, n: int, doc: np.ndarray, h: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(expected grade, P(grade > 0)) of n texts with these words."""
+    def severity(self, n: int, doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(expected grade, P(grade > 0)) of n texts with these occurrences of features."""
         score = np.zeros(n)
         if len(self.keys) and len(h):
             at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-            ok = self.keys[at] == h
-            score += np.bincount(doc[ok], self.weights[at[ok]] * np.log1p(count[ok]), n)
+            known = np.flatnonzero(self.keys[at] == h)
+            doc, at, count = counted(doc[known], at[known])
+            score += np.bincount(doc, self.weights[at] * np.log1p(count), n)
         over = 1 / (1 + np.exp(-np.clip(score[:, None] - self.thresholds[None, :], -500, 500)))
         return over.sum(axis=1), (over[:, 0] if over.shape[1] else np.zeros(n))
 
 
-def fit(docs: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, grades: int = 4, min_docs: int = 5, z: float = 6.0, rounds: int = 400, penalty: float = 1.0) -> Model:
-    """docs: (word hashes, counts) of each row. Words enter if at least min_docs rows have them and their rate among toxic rows is z standard errors off."""
+def copy_weights(docs: list[tuple[np.ndarray, np.ndarray]], bands: int = 4, rows: int = 3) -> np.ndarray:
+    """1 over the number of rows that a row looks a copy of: those that share all minima of a band of hashes of its words, for the band with most."""
+    most = np.ones(len(docs))
+    given = np.flatnonzero([len(d[0]) for d in docs])
+    if not len(given):
+        return most
+    h = np.concatenate([docs[i][0] for i in given])
+    at = np.concatenate([[0], np.cumsum([len(docs[i][0]) for i in given])[:-1]])
+    for band in range(bands):
+        key = np.zeros(len(given), U)
+        for r in range(rows):
+            key = mix(key + np.minimum.reduceat(mix(h ^ GRAM_CODES[band * rows + r]), at))
+        _, which, count = np.unique(key, return_inverse=True, return_counts=True)
+        most[given] = np.maximum(most[given], count[which])
+    return 1 / most
+
+
+def fit(docs: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, grades: int = 4, min_docs: int = 4, z: float = 5.0, rounds: int = 600, penalty: float = 0.3) -> Model:
+    """docs: (feature hashes, counts) of each row. Features enter if at least min_docs rows have them and their rate among toxic rows is z standard errors off.
+
+    Rows count for that by their copy_weights, for the words of a text that was copied often and mislabelled once say nothing.
+    """
     none = Model(np.zeros(0, U), np.zeros(0), np.zeros(0))
     n, bad = len(docs), int(toxic.sum())
     if not n or not bad or bad == n:
@@ -71,9 +105,10 @@ def fit(docs: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, grades: in
     row = np.repeat(np.arange(n), [len(d[0]) for d in docs])
     c = np.log1p(np.concatenate([d[1] for d in docs]).astype(float))
     keys, index = np.unique(h, return_inverse=True)
-    have = np.bincount(index, minlength=len(keys)).astype(float)
-    with_bad = np.bincount(index, toxic[row], len(keys))
-    rate = bad / n
+    weight = copy_weights(docs)
+    have = np.bincount(index, weight[row], len(keys))
+    with_bad = np.bincount(index, (toxic * weight)[row], len(keys))
+    rate = (toxic * weight).sum() / weight.sum()
     score = (with_bad - have * rate) / np.sqrt(have * rate * (1 - rate) + 1e-9)
     chosen = np.flatnonzero((have >= min_docs) & (np.abs(score) >= z))
     if not len(chosen):
@@ -129,7 +164,7 @@ def fit(docs: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, grades: in
 
 
 def training_rows(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, max_train: int) -> tuple[list, np.ndarray]:
-    """Word counts and labels of at most max_train labelled rows, those with the smallest hash of their ids."""
+    """Feature counts and labels of at most max_train labelled rows, those with the smallest hash of their ids."""
     ids = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
         .groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max("toxic").cast("int").alias("_toxic"))
@@ -143,7 +178,7 @@ def training_rows(df: DataFrame, labels: DataFrame, id_col: str, text_col: str,
         for batch in batches:
             raw, starts, _ = text_views(batch, "_text")
             for i, j in doc_chunks(starts, 1 << 18):
-                doc, h, count = word_counts(raw[starts[i] : starts[j]], starts[i : j + 1] - starts[i])
+                doc, h, count = counted(*occurrences(raw[starts[i] : starts[j]], starts[i : j + 1] - starts[i]))
                 at = np.searchsorted(doc, np.arange(j - i + 1))
                 blobs = [(h[a:b].astype("<u8").tobytes(), count[a:b].astype("<u4").tobytes()) for a, b in zip(at[:-1], at[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([x[0] for x in blobs], pa.binary()), pa.array([x[1] for x in blobs], pa.binary())], ["toxic", "words", "counts"])
@@ -171,7 +206,7 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, starts, _ = text_views(batch, "_text")
-            parts = [model.severity(j - i, *word_counts(raw[starts[i] : starts[j]], starts[i : j + 1] - starts[i])) for i, j in doc_chunks(starts, 1 << 18)]
+            parts = [model.severity(j - i, *occurrences(raw[starts[i] : starts[j]], starts[i : j + 1] - starts[i])) for i, j in doc_chunks(starts, 1 << 18)]
             severity, p = (np.concatenate([x[k] for x in parts]) if parts else np.zeros(0) for k in (0, 1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(severity), pa.array(p), pa.array(p >= 0.5), *batch.columns[2:]], names)
 
