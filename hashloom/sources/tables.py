@@ -149,5 +149,7 @@ def lookup(df: DataFrame, value: int, mod: int, ksize: int | None = None) -> Dat
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
-    """A sorted tab-separated file of the columns subtree and url, with a header row."""
-    df.select(F.col("subtree").alias("#subtree"), "url").orderBy("#subtree").coalesce(1).write.option("sep", "\t").option("header", True).mode("overwrite").csv(path)
+    """One tab-separated file of the columns subtree and url, sorted, after the line ``#subtree<tab>url``: a short report."""
+    lines = df.orderBy("subtree").select(F.concat_ws("\t", "subtree", "url").alias("value"))
+    head = df.sparkSession.createDataFrame([("#subtree\turl",)], "value string")
+    head.coalesce(1).unionByName(lines.coalesce(1)).coalesce(1).write.mode("overwrite").text(path)
