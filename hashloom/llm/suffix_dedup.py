@@ -25,34 +25,52 @@ sizes, which stay the same as the input grows.
 
 from __future__ import annotations
 
-import gc
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from .common import Scratch, doc_chunks, parts_for, text_views
+from .common import Scratch, doc_chunks, parts_for, release, text_views
 from .word_kernels import BYTE_CODES, GRAM_CODES, U, mix, powers
 
 POSITION = U((1 << 28) - 1)
 LOW48 = U((1 << 48) - 1)
 #: Texts longer than this are worked in overlapping segments.
-SEGMENT = 1 << 22
-PART_BYTES = 16 << 20
+SEGMENT = 1 << 19
+CHUNK = 1 << 18
+PART_BYTES = 8 << 20
+HELD_ANCHORS = 500_000
 BUCKET_ANCHORS = 1 << 20
 RANGE_SUFFIXES = 150_000
 MOST_RANGES = 1 << 15
 SAMPLE = 20_000
 
 
+def spark_xxhash64(values: np.ndarray) -> np.ndarray:
+    """What Spark's xxhash64 gives for longs (the public XXH64 of eight bytes, seed 42)."""
+    p1, p2, p3, p4, p5 = (U(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+    def turned(x, n):
+        return (x << U(n)) | (x >> U(64 - n))
+
+    h = (U(42) + p5 + U(8)) ^ (turned(np.ascontiguousarray(values, np.int64).view(U) * p2, 31) * p1)
+    h = turned(h, 27) * p1 + p4
+    h = (h ^ (h >> U(33))) * p2
+    h = (h ^ (h >> U(29))) * p3
+    return (h ^ (h >> U(32))).view(np.int64)
+
+
 def doc_parts(ids: np.ndarray, parts: int) -> np.ndarray:
-    return (mix(ids.astype(np.int64).view(U) + U(7)) % U(parts)).astype(np.int32)
+    """pmod(xxhash64(id), parts), as the plans have it."""
+    return (spark_xxhash64(ids) % parts).astype(np.int32)
 
 
 def window_anchors(b: np.ndarray, starts: np.ndarray, length: int, lead: int):
-    """(anchor, first window, last window, hash of the leading tokens) of every anchor in texts of b."""
+    """(anchor, first window, last window, hash of the leading tokens) of every anchor in texts of b.
+
+    The hash is mixed anew, for the one that anchors are chosen by is small for them all.
+    """
     none = np.zeros(0, np.int64)
     n = len(b)
     if n < length:
@@ -79,12 +97,12 @@ def window_anchors(b: np.ndarray, starts: np.ndarray, length: int, lead: int):
     first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
     last = np.append(first[1:], len(at)) - 1
     anchor = at[first]
-    return anchor, valid[first], valid[last], g[anchor]
+    return anchor, valid[first], valid[last], mix(g[anchor] ^ GRAM_CODES[5])
 
 
 def segments(raw: np.ndarray, starts: np.ndarray, length: int):
     """(bytes, starts in them, text of each, offset in the text of each) over all texts, about a megabyte at a time."""
-    for i, j in doc_chunks(starts):
+    for i, j in doc_chunks(starts, CHUNK):
         lo, hi = int(starts[i]), int(starts[j])
         if hi - lo <= SEGMENT:
             yield raw[lo:hi], starts[i : j + 1] - lo, np.arange(i, j), np.zeros(j - i, np.int64)
@@ -128,9 +146,9 @@ def multikey_order(rows: np.ndarray) -> np.ndarray:
 def common_prefixes(rows: np.ndarray, order: np.ndarray) -> np.ndarray:
     """Longest common prefix of each sorted row with the one before; 0 for the first."""
     out = np.zeros(len(order), np.int64)
-    for at in range(1, len(order), 50_000):
-        a, b = rows[order[at - 1 : at + 49_999]][:-1], rows[order[at : at + 49_999]]
-        differ = a[: len(b)] != b
+    for at in range(1, len(order), 20_000):
+        b = rows[order[at : at + 20_000]]
+        differ = rows[order[at - 1 : at - 1 + len(b)]] != b
         out[at : at + len(b)] = np.where(differ.any(axis=1), differ.argmax(axis=1), rows.shape[1])
     return out
 
@@ -138,12 +156,16 @@ def common_prefixes(rows: np.ndarray, order: np.ndarray) -> np.ndarray:
 def window_digests(windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit hashes of each row of bytes."""
     p, _ = powers(windows.shape[1])
-    codes = BYTE_CODES[windows]
-    return mix((codes * p).sum(axis=1)), mix((mix(codes) * (p * GRAM_CODES[3] + U(1))).sum(axis=1))
+    out = np.empty((2, len(windows)), U)
+    for at in range(0, len(windows), 10_000):
+        codes = BYTE_CODES[windows[at : at + 10_000]]
+        out[0, at : at + 10_000] = mix((codes * p).sum(axis=1))
+        out[1, at : at + 10_000] = mix((mix(codes) * (p * GRAM_CODES[3] + U(1))).sum(axis=1))
+    return out[0], out[1]
 
 
 class Suffixes:
-    """Packed suffix records: document, anchor position, offsets of its windows, bytes around it."""
+    """Packed suffix records, column by column: document, anchor position, offsets of its windows, bytes around it."""
 
     def __init__(self, left: int, right: int):
         self.left, self.right, self.width = left, right, left + right
@@ -216,12 +238,6 @@ def merged(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begin[first], end[np.append(first[1:], len(end)) - 1]
 
 
-def _free(spark) -> None:
-    """Lets Spark remove the shuffle files that no plan refers to."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def remove_repeats(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50, lead: int = 20, whole_characters: bool = False, carry: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -243,7 +259,8 @@ def remove_repeats(
     size = docs.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0))).first()[0]
     parts = parts_for(size, PART_BYTES)
     buckets = min(parts_for(size * 2 // (length - lead + 2), BUCKET_ANCHORS), 65_535)
-    dealt = docs.withColumn("_part", F.lit(0)).mapInArrow(_add_part(parts), StructType([*docs.schema.fields, StructField("_part", LongType())]))
+    # rows without an id are dealt by their texts
+    dealt = docs.withColumn("_part", F.pmod(F.xxhash64(F.coalesce("_id", F.xxhash64("_text"))), F.lit(parts)))
 
     # copies of an earlier document: only their ids and digests move
     whole = docs.where(F.col("_id").isNotNull() & (F.octet_length("_text") >= length)).select("_id", F.sha2("_text", 256).alias("_sha"))
@@ -254,7 +271,7 @@ def remove_repeats(
     found = docs.where("_id IS NOT NULL").select("_id", "_text").mapInArrow(_anchor_rows(length, lead, parts, buckets), "bucket long, blob binary")
     again = found.groupBy("bucket").applyInArrow(_shared_rows(parts), "part long, kind long, blob binary")
     told = scratch.write(again, "shared").unionByName(copies)
-    _free(spark)
+    release(spark)
 
     # 2. sampled splitters
     kind = Suffixes(length - lead, length)
@@ -279,7 +296,7 @@ def remove_repeats(
         .applyInArrow(_suffix_rows(length, lead, buckets, kind, splitters), "range long, blob binary")
     )
     sorted_rows = scratch.write(suffixes.groupBy("range").applyInArrow(_range_rows(length, lead, parts, kind, splitters), "part long, kind long, blob binary, h1 long, h2 long, doc long, begin long"), "sorted")
-    _free(spark)
+    release(spark)
 
     # 4. across boundaries
     edges = sorted_rows.where("kind = 3").select("h1", "h2", "doc", "begin")
@@ -294,17 +311,6 @@ def remove_repeats(
     return named.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(_cut_rows(length, whole_characters, carry), out)
 
 
-def _add_part(parts):
-    def run(batches):
-        for batch in batches:
-            ids = batch.column(0)
-            # rows without an id are dealt by their order in the batch
-            filled = ids.fill_null(0).to_numpy(zero_copy_only=False) if not ids.null_count else np.where(np.asarray(ids.is_null()), np.arange(len(ids)), ids.fill_null(0).to_numpy(zero_copy_only=False))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(doc_parts(filled, parts).astype(np.int64))], batch.schema.names)
-
-    return run
-
-
 def _copy_rows(parts):
     def run(batches):
         for batch in batches:
@@ -352,7 +358,7 @@ def _anchor_rows(length, lead, parts, buckets):
                     hashes.append(g)
                     docs.append(part[text[np.searchsorted(s[:-1], anchor, "right") - 1]])
                     held += len(g)
-                if held > 2_000_000:
+                if held > HELD_ANCHORS:
                     yield emit(hashes, docs)
                     hashes, docs, held = [], [], 0
         if held:
@@ -452,7 +458,7 @@ def _suffix_rows(length, lead, buckets, kind: Suffixes, splitters):
                     continue
                 held.append((doc, anchor - s[which] + base[which], anchor - last, anchor - first, around, salted))
                 n += len(anchor)
-                if n > 100_000:
+                if n > 50_000:
                     emit(held)
                     held, n = [], 0
         if held:
