@@ -165,18 +165,20 @@ def window_digests(windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Suffixes:
-    """Packed suffix records, column by column: document, anchor position, offsets of its windows, bytes around it."""
+    """Packed suffix records, column by column: document, anchor position, offsets of its windows, bytes around it. In the order of their bytes they compress well."""
 
     def __init__(self, left: int, right: int):
         self.left, self.right, self.width = left, right, left + right
         self.record = 18 + self.width
 
     def pack(self, doc, pos, near, far, around) -> bytes:
-        return b"".join((doc.astype("<i8").tobytes(), pos.astype("<i8").tobytes(), near.astype(np.uint8).tobytes(), far.astype(np.uint8).tobytes(), around.tobytes()))
+        plain = b"".join((doc.astype("<i8").tobytes(), pos.astype("<i8").tobytes(), near.astype(np.uint8).tobytes(), far.astype(np.uint8).tobytes(), around.tobytes()))
+        return len(plain).to_bytes(8, "little") + pa.compress(plain, "zstd", asbytes=True)
 
     def unpack(self, blobs):
         parts = [], [], [], [], []
-        for blob in blobs:
+        for packed in blobs:
+            blob = pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), "zstd", asbytes=True)
             n = len(blob) // self.record
             for k, (kind, at) in enumerate((("<i8", 0), ("<i8", 8 * n), (np.uint8, 16 * n), (np.uint8, 17 * n))):
                 parts[k].append(np.frombuffer(blob, kind, n, at))
@@ -417,9 +419,8 @@ def _suffix_rows(length, lead, buckets, kind: Suffixes, splitters):
 
         def emit(held):
             doc, pos, near, far, around, key = (np.concatenate(x) for x in zip(*held, strict=True))
-            to = np.searchsorted(splitters, key, "right")
-            order = np.argsort(to, kind="stable")
-            to = to[order]
+            order = np.argsort(key)
+            to = np.searchsorted(splitters, key[order], "right")
             first = np.flatnonzero(np.append(True, to[1:] != to[:-1]))
             for i, j in zip(first, np.append(first[1:], len(to)), strict=True):
                 x = order[i:j]
@@ -477,7 +478,7 @@ def _range_rows(length, lead, parts, kind: Suffixes, splitters):
     leads = np.unique(splitters.astype(f"S{lead}")) if len(splitters) else np.zeros(0, f"S{lead}")
 
     def run(table: pa.Table) -> pa.Table:
-        doc, pos, near, far, around = kind.unpack([b.as_buffer() for b in table.column("blob")])
+        doc, pos, near, far, around = kind.unpack([b.as_py() for b in table.column("blob")])
         heads = np.ascontiguousarray(around[:, left : left + lead]).view(f"S{lead}").reshape(-1)
         straddles = np.isin(heads, leads)
         (d, begin, end), open_rows = repeated_windows(doc, pos, near.astype(np.int64), far.astype(np.int64), around, length, left, straddles)
