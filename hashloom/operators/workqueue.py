@@ -8,6 +8,8 @@ repeatable.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -116,3 +118,36 @@ def is_drained(state: DataFrame, now: float, cooldown: float = 3600, cap: int =
 def not_done(files: DataFrame, done: DataFrame, key: list[str]) -> DataFrame:
     """Files without an output yet."""
     return files.join(done.select(*key), key, "left_anti")
+
+
+def pending(state: DataFrame, limit: int = 1000, after: int = -1) -> DataFrame:
+    """PENDING rows by id, a page at a time by the last id of the page before."""
+    return state.where((F.col("status") == "PENDING") & (F.col("id") > after)).orderBy("id").limit(limit).select("id", "subdir", "filename", "url")
+
+
+def run_batch(state: DataFrame, n: int, now: float, work: Callable[[DataFrame], DataFrame], done: DataFrame | None = None, cooldown: float = 3600, cap: int = 20) -> tuple[DataFrame, DataFrame]:
+    """One round of the worker loop over all executors: (the new state, counts by outcome).
+
+    Claims n rows; those whose output is in ``done`` (subdir, filename, out_path) are DONE without work; ``work``
+    takes the others (id, subdir, filename, url) and gives (id, out_path, error), where a
+    null error is success. Failures become ERROR with one try more, so the cap
+    holds for every attempt; a row that ``work`` doesn't return is a failure too.
+    counts: outcome (done, skipped, error), n, and the error of the first failed row in ``example``.
+    """
+    chosen, claimed = claim(state, n, now, cooldown, cap)
+    key = ["subdir", "filename"]
+    if done is None:
+        todo, had = chosen, None
+    else:
+        todo = chosen.join(done.select(*key), key, "left_anti").select(*chosen.columns)
+        had = chosen.join(done.select(*key, "out_path"), key).select("id", "out_path", F.lit(None).cast("string").alias("error"), F.lit("skipped").alias("outcome"))
+    got = work(todo).select("id", "out_path", "error", F.lit(True).alias("_back"))
+    failed = F.col("error").isNotNull() | F.col("_back").isNull()
+    tried = todo.select("id").join(got, "id", "left").select(
+        "id", F.when(~failed, F.col("out_path")).alias("out_path"), F.when(failed, F.coalesce("error", F.lit("no result"))).alias("error"), F.when(failed, "error").otherwise("done").alias("outcome")
+    )
+    outcomes = tried if had is None else tried.unionByName(had)
+    bad = F.col("outcome") == "error"
+    changes = outcomes.select("id", F.when(bad, "ERROR").otherwise("DONE").alias("status"), "out_path", F.col("error").alias("last_error"), bad.alias("inc_tries"))
+    counts = outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"), F.min_by("error", "id").alias("example"))
+    return mark(claimed, changes, now), counts

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from ..functions import uint64
@@ -47,3 +47,24 @@ def queue_stream(events: DataFrame, state_path: str, checkpoint: str, key=("subd
     query = events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
+
+
+class Progress(StreamingQueryListener):
+    """Keeps the newest figures of every running query: rows in, rows a second, rows of state. Register with ``spark.streams.addListener``."""
+
+    def __init__(self):
+        self.latest: dict[str, dict] = {}
+
+    def onQueryStarted(self, event):
+        self.latest[str(event.id)] = {"batch": -1, "rows": 0, "rows_per_second": 0.0, "state_rows": 0, "running": True}
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        mine = self.latest.setdefault(str(p.id), {"rows": 0, "running": True})
+        mine.update(batch=p.batchId, rows=mine["rows"] + p.numInputRows, rows_per_second=p.processedRowsPerSecond, state_rows=sum(s.numRowsTotal for s in p.stateOperators))
+
+    def onQueryIdle(self, event):
+        return
+
+    def onQueryTerminated(self, event):
+        self.latest.setdefault(str(event.id), {})["running"] = False

@@ -145,3 +145,35 @@ def test_queue_stream(spark, state, tmp_path):
     incremental.queue_stream(spark.readStream.schema(schema.QUEUE).parquet(source), path, str(tmp_path / "mark"))
     last = spark.read.parquet(f"{path}/v1")
     assert last.count() == 9 and by_id(last, "status")[1] == ("DONE",)
+
+
+def test_worker_round(spark, state):
+    def work(todo):
+        fine = todo.where("id <> 9").select("id", F.concat(F.lit("/o/"), "filename").alias("out_path"), F.when(F.col("id") == 5, "broken").alias("error"))
+        return fine
+
+    done = spark.createDataFrame([("d", "f2", "/old")], "subdir string, filename string, out_path string")
+    after, counts = workqueue.run_batch(state, 4, NOW, work, done)
+    got = by_id(after, "status", "tries", "out_path", "last_error")
+    assert got[1] == ("DONE", 0, "/o/f1", None) and got[2] == ("DONE", 3, "/old", None)
+    assert got[5] == ("ERROR", 2, None, "broken") and got[9] == ("ERROR", 1, None, "no result")
+    assert got[3][0] == "ERROR" and got[6][0] == "DOWNLOADING"
+    assert {(r.outcome, r.n, r.example) for r in counts.collect()} == {("done", 1, None), ("skipped", 1, None), ("error", 2, "broken")}
+    assert [r.id for r in workqueue.pending(state, 5, after=1).collect()] == [9]
+
+
+def test_progress_listener(spark, tmp_path):
+    import time
+
+    source = str(tmp_path / "in")
+    spark.createDataFrame([("a", 31, h, h) for h in (1, 2, 2)], schema.OCCURRENCES).write.parquet(source)
+    seen = incremental.Progress()
+    spark.streams.addListener(seen)
+    stream = incremental.dedup_stream(incremental.occurrence_stream(spark, source, schema.OCCURRENCES))
+    query = incremental.run_available(stream, str(tmp_path / "out"), str(tmp_path / "mark"))
+    for _ in range(50):
+        if not seen.latest.get(str(query.id), {"running": True})["running"]:
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(seen)
+    assert seen.latest[str(query.id)]["rows"] == 3 and not seen.latest[str(query.id)]["running"]
