@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import gc
 import tempfile
+import time
 import uuid
 
 import numpy as np
@@ -69,8 +70,10 @@ class Scratch:
 
 def release(spark: SparkSession) -> None:
     """Lets Spark remove the shuffle files that no plan refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the second pass finds what the first one's finalizers let go
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def parts_for(n_bytes: int, each: int, least: int = 1) -> int:

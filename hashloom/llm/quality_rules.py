@@ -42,10 +42,12 @@ def text_statistics(b: np.ndarray, starts: np.ndarray, window: int = 8) -> np.nd
         return out
     inside = ~SPACE[b]
 
+    given = np.flatnonzero(np.diff(starts))
+
     def per_text(flags):
-        total = np.zeros(len(b) + 1, np.int64)
-        np.cumsum(flags, out=total[1:])
-        return total[starts[1:]] - total[starts[:-1]]
+        out = np.zeros(n, np.int64)
+        out[given] = np.add.reduceat(flags.view(np.uint8), starts[given], dtype=np.int64)
+        return out
 
     s, e = runs(inside, starts)
     doc = owner(s, starts)
@@ -53,9 +55,7 @@ def text_statistics(b: np.ndarray, starts: np.ndarray, window: int = 8) -> np.nd
     out[:, 1] = per_text(inside & ((b & 0xC0) != 0x80))
     out[:, 2] = per_text(SYMBOL[b])
     ls, le = runs(b != 0x0A, starts)
-    words_before = np.zeros(len(b) + 1, np.int64)
-    np.cumsum(inside, out=words_before[1:])
-    worded = words_before[le] > words_before[ls]
+    worded = np.searchsorted(s, le) > np.searchsorted(s, ls)
     ls, le = ls[worded], le[worded]
     line_doc = owner(ls, starts)
     out[:, 5] = np.bincount(line_doc, minlength=n)

@@ -17,6 +17,8 @@ BYTE_CODES = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | U(1)
 GRAM_CODES = _rng.integers(1, 1 << 63, 64, dtype=np.uint64) | U(1)
 BASE = U(0x9E3779B97F4A7C15)
 BASE_INVERSE = U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: Bytes whose prefix sums are in memory at once.
+BLOCK = 1 << 20
 _powers: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
 
 
@@ -60,11 +62,26 @@ def owner(at: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(b: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte spans [s, e); equal bytes give equal hashes wherever they lie."""
-    p, inverse = powers(len(b) + 1)
-    total = np.zeros(len(b) + 1, U)
-    np.cumsum(BYTE_CODES[b] * p[:-1], out=total[1:])
-    return mix((total[e] - total[s]) * inverse[s])
+    """64-bit hashes of the byte spans [s, e), both ascending; equal bytes give equal hashes wherever they lie.
+
+    Sums over prefixes are taken a block of bytes at a time, so a very long text needs eight bytes a span, not a byte.
+    """
+    p, inverse = powers(BLOCK)
+    at_s, at_e = np.empty(len(s), U), np.empty(len(e), U)
+    carry, scale = U(0), U(1)
+    with np.errstate(over="ignore"):
+        for x in range(0, max(len(b), 1), BLOCK):
+            y = min(len(b), x + BLOCK)
+            total = np.empty(y - x + 1, U)
+            total[0] = 0
+            np.cumsum(BYTE_CODES[b[x:y]] * p[: y - x], out=total[1:])
+            total = total * scale + carry
+            for at, out in ((s, at_s), (e, at_e)):
+                i, j = np.searchsorted(at, x, "left"), np.searchsorted(at, y, "left" if y < len(b) else "right")
+                out[i:j] = total[at[i:j] - x]
+            carry, scale = total[-1], scale * p[-1] * BASE
+        blocks = np.multiply.accumulate(np.concatenate([[U(1)], np.full(len(b) // BLOCK + 1, inverse[-1] * BASE_INVERSE, U)]))
+        return mix((at_e - at_s) * inverse[s % BLOCK] * blocks[s // BLOCK])
 
 
 def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
