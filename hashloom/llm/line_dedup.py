@@ -27,20 +27,18 @@ def line_windows(df: DataFrame, id_col: str, text_col: str, run_lines: int, min_
     """(_id, s, f, g1, g2): every window of run_lines lines, with its fingerprint's hash and its own digests."""
     norm = F.transform(F.split(F.col("_text"), "\n", -1), lambda x: F.btrim(x, F.lit(BLANK)))
     lines = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where("_id IS NOT NULL AND _text IS NOT NULL")
-    hashed = lines.select("_id", norm.alias("_norm")).select("_id", F.transform("_norm", lambda x: F.xxhash64(x)).alias("h"), F.transform("_norm", lambda x: F.char_length(x)).alias("c"))
-    hashed = hashed.where(F.size("h") >= run_lines)
-    windows = F.transform(
-        F.sequence(F.lit(0), F.size("h") - run_lines),
-        lambda s: F.struct(
-            s.alias("s"),
-            F.array_min(F.slice("h", s + 1, run_lines)).alias("f"),
-            F.xxhash64(F.slice("h", s + 1, run_lines)).alias("g1"),
-            F.xxhash64(F.slice("h", s + 1, run_lines), F.lit(run_lines)).alias("g2"),
-            F.aggregate(F.slice("c", s + 1, run_lines), F.lit(0), lambda a, x: a + x).alias("chars"),
-            (s + F.array_position(F.slice("h", s + 1, run_lines), F.array_min(F.slice("h", s + 1, run_lines))) - 1).alias("p"),
-        ),
-    )
-    return hashed.select("_id", F.explode(windows).alias("w")).select("_id", "w.*").where(F.col("chars") >= min_chars).drop("chars")
+    hashed = lines.select("_id", F.transform(norm, lambda x: F.struct(F.xxhash64(x).alias("h"), F.char_length(x).alias("c"))).alias("l"))
+    # the lines of a window as columns of one row: k-th column, the lines moved up by k
+    places = range(run_lines)
+    moved = [F.slice("l", k + 1, F.greatest(F.size("l") - (run_lines - 1), F.lit(0))).alias(f"l{k}") for k in places]
+    rows = hashed.select("_id", F.posexplode(F.arrays_zip(*moved)).alias("s", "w")).select("_id", "s", *(F.col(f"w.l{k}.h").alias(f"h{k}") for k in places), *(F.col(f"w.l{k}.c").alias(f"c{k}") for k in places))
+    hashes = [F.col(f"h{k}") for k in places]
+    least = F.least(*hashes) if run_lines > 1 else hashes[0]
+    first = F.lit(run_lines - 1)
+    for k in reversed(places):
+        first = F.when(F.col(f"h{k}") == F.col("f"), k).otherwise(first)
+    kept = rows.where(sum(F.col(f"c{k}") for k in places) >= min_chars).withColumn("f", least)
+    return kept.select("_id", "s", "f", F.xxhash64(*hashes).alias("g1"), F.xxhash64(*hashes, F.lit(run_lines)).alias("g2"), (F.col("s") + first).alias("p"))
 
 
 def repeated_windows(windows: DataFrame) -> DataFrame:
@@ -74,21 +72,16 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ru
     found = rows.join(gone, "_id", "left").withColumn("_lines", F.split("_text", "\n", -1))
     n = F.size("_lines")
     # keep flags in runs: what stands before the first window, then each window and the gap after it
-    flags = F.concat(
-        F.array_repeat(F.lit(True), F.get("d", F.lit(0))),
-        F.flatten(
-            F.transform(
-                "d",
-                lambda s, i: F.concat(
-                    F.array_repeat(F.lit(False), F.least(F.lit(run_lines), F.coalesce(F.get("d", i + 1), s + run_lines) - s)),
-                    F.array_repeat(F.lit(True), F.greatest(F.lit(0), F.coalesce(F.get("d", i + 1), n) - s - run_lines)),
-                ),
-            )
-        ),
-    )
-    flagged = found.withColumn("_keep", F.when(F.col("d").isNotNull(), flags))
-    left = F.filter("_lines", lambda x, i: F.coalesce(F.get("_keep", i), F.lit(True)))
-    done = flagged.withColumn("_left", F.when(F.col("d").isNotNull(), left).otherwise(F.col("_lines")))
+    following = F.concat(F.slice("d", F.lit(2), F.size("d")), F.array(n))
+
+    def flags_from(s, t):
+        return F.concat(F.array_repeat(F.lit(False), F.least(F.lit(run_lines), t - s)), F.array_repeat(F.lit(True), F.greatest(F.lit(0), t - s - run_lines)))
+
+    flags = F.concat(F.array_repeat(F.lit(True), F.get("d", F.lit(0))), F.flatten(F.zip_with("d", following, flags_from)))
+    # what stands in a lambda is computed for every element, so arrays meet as arguments only
+    flagged = F.zip_with("_lines", flags, lambda x, k: F.struct(x.alias("x"), k.alias("k")))
+    left = F.transform(F.filter(flagged, lambda p: F.coalesce(p["k"], F.lit(True)) & p["x"].isNotNull()), lambda p: p["x"])
+    done = found.withColumn("_left", F.when(F.col("d").isNotNull(), left).otherwise(F.col("_lines")))
     return done.select(
         F.col("_id").alias("doc_id"),
         F.when(F.col("d").isNotNull(), F.array_join("_left", "\n")).otherwise(F.col("_text")).alias("text"),
