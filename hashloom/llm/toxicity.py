@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
-from .common import doc_chunks, text_views
+from .common import Scratch, doc_chunks, text_views
 from .word_kernels import GRAM_CODES, U, lower_ascii, mix, owner, runs, span_hashes
 
 #: Bytes of words: ASCII letters and digits, and every byte of other characters.
@@ -31,6 +31,8 @@ LETTER = np.zeros(256, bool)
 LETTER[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 #: Lengths in bytes of the word beginnings that are features beside whole words.
 BEGINNINGS = (4, 5, 6, 7, 8)
+#: Bands of minima, and the minima of a band, by which copies are told.
+BANDS, BAND_ROWS = 4, 3
 MAX_TRAIN = 6_000
 
 
@@ -75,70 +77,32 @@ class Model:
         return over.sum(axis=1), (over[:, 0] if over.shape[1] else np.zeros(n))
 
 
-def copy_weights(docs: list[tuple[np.ndarray, np.ndarray]], bands: int = 4, rows: int = 3) -> np.ndarray:
-    """1 over the number of rows that a row looks a copy of: those that share all minima of a band of hashes of its words, for the band with most."""
-    most = np.ones(len(docs))
-    given = np.flatnonzero([len(d[0]) for d in docs])
-    if not len(given):
-        return most
-    h = np.concatenate([docs[i][0] for i in given])
-    at = np.concatenate([[0], np.cumsum([len(docs[i][0]) for i in given])[:-1]])
-    for band in range(bands):
-        key = np.zeros(len(given), U)
-        for r in range(rows):
-            key = mix(key + np.minimum.reduceat(mix(h ^ GRAM_CODES[band * rows + r]), at))
-        _, which, count = np.unique(key, return_inverse=True, return_counts=True)
-        most[given] = np.maximum(most[given], count[which])
-    return 1 / most
+def fit(n: int, row: np.ndarray, feature: np.ndarray, count: np.ndarray, toxic: np.ndarray, keys: np.ndarray, toxic_sign: np.ndarray, grades: int = 4, rounds: int = 600, penalty: float = 0.3) -> Model:
+    """A model from n rows, given by (row, place of the feature in the sorted keys, count), with toxic 0 or 1 per row.
 
-
-def fit(docs: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, grades: int = 4, min_docs: int = 4, z: float = 5.0, rounds: int = 600, penalty: float = 0.3) -> Model:
-    """docs: (feature hashes, counts) of each row. Features enter if at least min_docs rows have them and their rate among toxic rows is z standard errors off.
-
-    Rows count for that by their copy_weights, for the words of a text that was copied often and mislabelled once say nothing.
+    toxic_sign: whether a feature speaks for toxic; those make up the evidence that toxic rows are graded by.
     """
     none = Model(np.zeros(0, U), np.zeros(0), np.zeros(0))
-    n, bad = len(docs), int(toxic.sum())
-    if not n or not bad or bad == n:
-        return none
-    h = np.concatenate([d[0] for d in docs])
-    row = np.repeat(np.arange(n), [len(d[0]) for d in docs])
-    c = np.log1p(np.concatenate([d[1] for d in docs]).astype(float))
-    keys, index = np.unique(h, return_inverse=True)
-    weight = copy_weights(docs)
-    have = np.bincount(index, weight[row], len(keys))
-    with_bad = np.bincount(index, (toxic * weight)[row], len(keys))
-    rate = (toxic * weight).sum() / weight.sum()
-    score = (with_bad - have * rate) / np.sqrt(have * rate * (1 - rate) + 1e-9)
-    chosen = np.flatnonzero((have >= min_docs) & (np.abs(score) >= z))
-    if not len(chosen):
+    if not len(keys) or not toxic.any() or toxic.all():
         return none
-    place = np.full(len(keys), -1)
-    place[chosen] = np.arange(len(chosen))
-    used = place[index] >= 0
-    r, f, v = row[used], place[index[used]], c[used]
+    r, f, v = row, feature, np.log1p(count.astype(float))
     # grades of toxic rows by their evidence; ties fall on one side
-    toxic_word = score[chosen] > 0
-    evidence = np.bincount(r, v * toxic_word[f], n)
+    evidence = np.bincount(r, v * toxic_sign[f], n)
     grade = np.zeros(n, int)
     cuts = np.quantile(evidence[toxic > 0], np.arange(1, grades - 1) / (grades - 1))
     grade[toxic > 0] = 1 + np.searchsorted(cuts, evidence[toxic > 0], "left")
-    levels = grades - 1
-    share = np.array([(grade > j).mean() for j in range(levels)])
-    share = np.clip(share, 1e-4, 1 - 1e-4)
+    levels, k, at = grades - 1, len(keys), np.arange(n)
+    share = np.clip([(grade > j).mean() for j in range(levels)], 1e-4, 1 - 1e-4)
     t0 = -np.log(share / (1 - share))
-    params = np.concatenate([np.zeros(len(chosen)), [t0[0]], np.log(np.maximum(np.diff(t0), 1e-2))])
-    k = len(chosen)
+    params = np.concatenate([np.zeros(k), [t0[0]], np.log(np.maximum(np.diff(t0), 1e-2))])
 
     def thresholds(p):
         return p[k] + np.concatenate([[0.0], np.cumsum(np.exp(p[k + 1 :]))])
 
     def loss(p):
-        t = thresholds(p)
         x = np.bincount(r, v * p[f], n)
-        over = 1 / (1 + np.exp(-np.clip(x[:, None] - t[None, :], -500, 500)))
+        over = 1 / (1 + np.exp(-np.clip(x[:, None] - thresholds(p)[None, :], -500, 500)))
         full = np.concatenate([np.ones((n, 1)), over, np.zeros((n, 1))], axis=1)
-        at = np.arange(n)
         like = np.maximum(full[at, grade] - full[at, grade + 1], 1e-12)
         d = full * (1 - full)
         dx = -(d[at, grade] - d[at, grade + 1]) / like / n
@@ -148,8 +112,7 @@ def fit(docs: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, grades: in
         g = np.empty_like(p)
         g[:k] = np.bincount(f, v * dx[r], k) + penalty * p[:k] / n
         g[k] = gt.sum()
-        steps = np.exp(p[k + 1 :])
-        g[k + 1 :] = steps * np.cumsum(gt[::-1])[::-1][1:]
+        g[k + 1 :] = np.exp(p[k + 1 :]) * np.cumsum(gt[::-1])[::-1][1:]
         return -np.log(like).mean() + 0.5 * penalty * (p[:k] ** 2).sum() / n, g
 
     m, s = np.zeros_like(params), np.zeros_like(params)
@@ -160,11 +123,14 @@ def fit(docs: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, grades: in
             best, kept = value, params.copy()
         m, s = 0.9 * m + 0.1 * g, 0.999 * s + 0.001 * g * g
         params = params - 0.05 * (m / (1 - 0.9**i)) / (np.sqrt(s / (1 - 0.999**i)) + 1e-10)
-    return Model(keys[chosen], kept[:k], thresholds(kept))
+    return Model(keys, kept[:k], thresholds(kept))
 
 
-def training_rows(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, max_train: int) -> tuple[list, np.ndarray]:
-    """Feature counts and labels of at most max_train labelled rows, those with the smallest hash of their ids."""
+def labelled_rows(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, max_train: int) -> DataFrame:
+    """(id, toxic, bands, features, counts) of at most max_train labelled rows, those with the smallest hash of their ids.
+
+    bands: for each of BANDS, a hash of several minima over hashes of the features; copies of a text share some.
+    """
     ids = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
         .groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max("toxic").cast("int").alias("_toxic"))
@@ -172,7 +138,7 @@ def training_rows(df: DataFrame, labels: DataFrame, id_col: str, text_col: str,
     )
     rows = df.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
     # at most max_train ids of 12 bytes
-    labelled = rows.join(F.broadcast(ids), "_id").select("_toxic", "_text")
+    labelled = rows.join(F.broadcast(ids), "_id").select("_id", "_toxic", "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,18 +146,66 @@ def training_rows(df: DataFrame, labels: DataFrame, id_col: str, text_col: str,
             for i, j in doc_chunks(starts, 1 << 18):
                 doc, h, count = counted(*occurrences(raw[starts[i] : starts[j]], starts[i : j + 1] - starts[i]))
                 at = np.searchsorted(doc, np.arange(j - i + 1))
-                blobs = [(h[a:b].astype("<u8").tobytes(), count[a:b].astype("<u4").tobytes()) for a, b in zip(at[:-1], at[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([x[0] for x in blobs], pa.binary()), pa.array([x[1] for x in blobs], pa.binary())], ["toxic", "words", "counts"])
-
-    found = labelled.mapInArrow(run, "toxic int, words binary, counts binary").collect()
-    found.sort(key=lambda x: (bytes(x["words"]), bytes(x["counts"]), x["toxic"]))  # the fit doesn't depend on the order of arrival
-    return [(np.frombuffer(bytes(x["words"]), "<u8"), np.frombuffer(bytes(x["counts"]), "<u4")) for x in found], np.array([float(x["toxic"] > 0) for x in found])
-
-
-def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train: int = MAX_TRAIN, grades: int = 4) -> Model:
-    """A model from the rows of ``df`` that ``labels`` (doc_id, toxic 0 or 1) covers."""
-    docs, toxic = training_rows(df, labels, id_col, text_col, max_train)
-    return fit(docs, toxic, grades)
+                some = np.flatnonzero(np.diff(at))
+                bands = np.zeros((j - i, BANDS), U)
+                for band in range(BANDS if len(some) else 0):
+                    for r in range(BAND_ROWS):
+                        bands[some, band] = mix(bands[some, band] + np.minimum.reduceat(mix(h ^ GRAM_CODES[band * BAND_ROWS + r]), at[some]))
+                offsets = pa.array(at.astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(c.slice(i, j - i) for c in batch.columns[:2]),
+                        pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1, dtype=np.int32) * BANDS), pa.array(bands.view(np.int64).reshape(-1))),
+                        pa.ListArray.from_arrays(offsets, pa.array(h.view(np.int64))),
+                        pa.ListArray.from_arrays(offsets, pa.array(count.astype(np.int32))),
+                    ],
+                    ["id", "toxic", "bands", "features", "counts"],
+                )
+
+    return labelled.mapInArrow(run, "id long, toxic int, bands array<long>, features array<long>, counts array<int>")
+
+
+def telling_features(rows: DataFrame, min_docs: int, z: float) -> DataFrame:
+    """(feature, positive): features of at least min_docs rows whose rate among toxic rows is z standard errors off.
+
+    A row counts as 1 over the rows that it looks a copy of (those that share a band, for the band with most), for the
+    words of a text that was copied often and mislabelled once say nothing.
+    """
+    bands = rows.select("id", F.posexplode("bands").alias("band", "key"))
+    alike = bands.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"))
+    # whole millionths, so that sums don't depend on their order
+    weight = bands.join(alike, ["band", "key"]).groupBy("id").agg((F.lit(1_000_000) / F.max("n")).cast("long").alias("w"))
+    weighed = rows.join(weight, "id")
+    total = weighed.agg(F.coalesce(F.sum("w"), F.lit(0)).alias("w"), F.coalesce(F.sum(F.col("w") * F.col("toxic")), F.lit(0)).alias("b")).first()
+    rate = total["b"] / total["w"] if total["w"] else 0.0
+    if not 0 < rate < 1:
+        return rows.sparkSession.createDataFrame([], "feature long, positive boolean")
+    counts = weighed.select("toxic", "w", F.explode("features").alias("feature")).groupBy("feature").agg((F.sum("w") / 1e6).alias("have"), (F.sum(F.col("w") * F.col("toxic")) / 1e6).alias("bad"))
+    off = (F.col("bad") - F.col("have") * rate) / F.sqrt(F.col("have") * (rate * (1 - rate)))
+    return counts.where((F.col("have") >= min_docs) & (F.abs(off) >= z)).select("feature", (off > 0).alias("positive"))
+
+
+def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train: int = MAX_TRAIN, grades: int = 4, min_docs: int = 4, z: float = 5.0) -> Model:
+    """A model from the rows of ``df`` that ``labels`` (doc_id, toxic 0 or 1) covers.
+
+    Features are counted and chosen by Spark; the driver gets the counts of the
+    chosen ones in at most ``max_train`` rows.
+    """
+    scratch = Scratch(df.sparkSession, "toxicity")
+    rows = scratch.write(labelled_rows(df, labels, id_col, text_col, max_train), "rows")
+    chosen = telling_features(rows, min_docs, z).collect()
+    chosen.sort(key=lambda x: np.uint64(x["feature"] & 0xFFFFFFFFFFFFFFFF))
+    keys = np.array([x["feature"] for x in chosen], np.int64).view(U)
+    wanted = df.sparkSession.createDataFrame([(x["feature"],) for x in chosen], "feature long")
+    held = rows.select("id", F.explode(F.arrays_zip("features", "counts")).alias("p")).select("id", F.col("p.features").alias("feature"), F.col("p.counts").alias("n"))
+    found = held.join(F.broadcast(wanted), "feature").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("feature", "n"))).alias("f"))
+    sample = rows.select("id", "toxic").distinct().join(found, "id", "left").orderBy("id").collect()
+    scratch.drop("rows")
+    size = [len(x["f"] or ()) for x in sample]
+    flat = [p for x in sample for p in x["f"] or ()]
+    feature = np.searchsorted(keys, np.array([p["feature"] for p in flat], np.int64).view(U))
+    toxic = np.array([float(x["toxic"] > 0) for x in sample])
+    return fit(len(sample), np.repeat(np.arange(len(sample)), size), feature, np.array([p["n"] for p in flat], float), toxic, keys, np.array([x["positive"] for x in chosen], bool), grades)
 
 
 def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
