@@ -143,13 +143,11 @@ def test_toxicity_held_out(spark):
 
 def test_severity_grows_with_evidence():
     rng = np.random.default_rng(1)
-    docs, toxic = [], []
-    for i in range(400):
-        n = int(rng.integers(0, 4)) if i % 2 else 0
-        words = np.array(sorted({5, *range(100, 100 + n), 1000 + i}), np.uint64)
-        docs.append((words, np.ones(len(words), np.uint32)))
-        toxic.append(float(n > 0))
-    model = toxicity.fit(docs, np.array(toxic), z=3.0)
+    n, keys = 400, np.array([100, 101, 102], np.uint64)
+    bad = np.where(np.arange(n) % 2, rng.integers(0, 4, n), 0)
+    row = np.repeat(np.arange(n), bad)
+    feature = np.concatenate([np.arange(x) for x in bad])
+    model = toxicity.fit(n, row, feature, np.ones(len(row)), (bad > 0).astype(float), keys, np.ones(3, bool))
     of = lambda *w: model.severity(1, np.zeros(len(w), int), np.array(w, np.uint64))[0][0]
     assert of(5) < of(5, 100) < of(5, 100, 101) <= of(5, 100, 101, 102)
     assert of(5, 100) < of(5, 100, 100, 100)
