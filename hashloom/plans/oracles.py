@@ -38,7 +38,7 @@ _SHA1 = "('0x' || right(sha1(url), 8))::UBIGINT % 4096"
 
 ORACLES = {
     "sketch_documents": f"SELECT ksize, hash, CAST(hash % 521 AS INTEGER) AS bucket, count(DISTINCT sample_id) AS n_samples FROM ({_sketch('documents', 'source', 31, 1000)}) GROUP BY ksize, hash",
-    "sketch_ksizes": "SELECT ksize, count(*) AS n_hashes, CAST(sum(hash) AS BIGINT) AS sum_hashes FROM (SELECT DISTINCT ksize, hash FROM ("
+    "sketch_ksizes": "SELECT ksize, count(*) AS n_hashes, CAST(sum(hash % 1000003) AS BIGINT) AS sum_hashes FROM (SELECT DISTINCT ksize, hash FROM ("
     + " UNION ALL ".join(_sketch("documents", "source", k, 1000) for k in (15, 31, 33))
     + ")) GROUP BY ksize",
     "dedup_ksize_hash": f"WITH {_OCC} SELECT DISTINCT ksize, hash, bucket FROM occ",
@@ -54,7 +54,7 @@ ORACLES = {
 SELECT bucket, count(*) AS n_rows, count(n) AS n_counted, CAST(coalesce(sum(n), 0) AS BIGINT) AS sum_samples FROM u GROUP BY bucket""",
     "bucket_tables": f"WITH {_OCC} SELECT ksize, hash, bucket, count(DISTINCT sample_id) AS n_samples FROM occ GROUP BY ALL",
     "list_buckets": f"WITH {_OCC} SELECT DISTINCT bucket FROM occ WHERE hash % 5 = 1",
-    "wgs_shards": f"""WITH {_OCC} SELECT CAST(31 AS SMALLINT) AS ksize, lpad(CAST(hash % 11 AS VARCHAR), 3, '0') || CASE WHEN hash % 3 = 0 THEN 'b' ELSE '' END AS part, count(*) AS n_rows, CAST(sum(hash) AS BIGINT) AS sum_hashes
+    "wgs_shards": f"""WITH {_OCC} SELECT CAST(31 AS SMALLINT) AS ksize, lpad(CAST(hash % 11 AS VARCHAR), 3, '0') || CASE WHEN hash % 3 = 0 THEN 'b' ELSE '' END AS part, count(*) AS n_rows, CAST(sum(hash % 1000003) AS BIGINT) AS sum_hashes
 FROM (SELECT DISTINCT hash FROM occ) GROUP BY ALL""",
     "append_loads": f"WITH {_OCC} SELECT ksize, 2 * count(*) AS n_rows, count(DISTINCT hash) AS n_hashes FROM (SELECT DISTINCT ksize, hash FROM occ) GROUP BY ksize",
     "archive_rows": f"WITH {_OCC} SELECT ksize, hash, bucket, count(DISTINCT sample_id) AS n_samples FROM occ GROUP BY ALL",

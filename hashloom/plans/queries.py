@@ -56,7 +56,7 @@ def sketch_documents(spark, sf_dir):
 
 def sketch_ksizes(spark, sf_dir):
     rows = sketch.sketch(load(spark, sf_dir, "documents"), "text", "source", (15, 31, 33), 1000, "md5_60", mod=MOD)
-    return dedup.unique_hashes(rows, by_ksize=True).groupBy("ksize").agg(F.count(F.lit(1)).alias("n_hashes"), F.sum("hash").cast("bigint").alias("sum_hashes"))
+    return dedup.unique_hashes(rows, by_ksize=True).groupBy("ksize").agg(F.count(F.lit(1)).alias("n_hashes"), F.sum(F.col("hash") % 1_000_003).cast("bigint").alias("sum_hashes"))
 
 
 def sketch_murmur(spark, sf_dir):
@@ -130,7 +130,7 @@ def wgs_shards(spark, sf_dir):
     root = scratch_path(spark, "shards")
     part = F.concat(F.lpad(F.pmod("hash", F.lit(11)).cast("string"), 3, "0"), F.when(F.col("hash") % 3 == 0, "b").otherwise(""))
     dedup.unique_hashes(occurrences(spark, sf_dir), False).select("hash", F.lit(31).alias("ksize"), part.alias("part")).write.partitionBy("ksize", "part").parquet(root)
-    return tables.read_shards(spark, root, with_part=True).groupBy("ksize", "part").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("hash").cast("bigint").alias("sum_hashes"))
+    return tables.read_shards(spark, root, with_part=True).groupBy("ksize", "part").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("hash") % 1_000_003).cast("bigint").alias("sum_hashes"))
 
 
 def append_loads(spark, sf_dir):
