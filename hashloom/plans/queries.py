@@ -160,7 +160,7 @@ def archive_rows(spark, sf_dir):
                         signature = {"ksize": str(k) if k % 2 else k, ("mins" if k % 3 else "hashes"): hashes}
                         layout = [signature, {"signatures": [signature]}, [signature], [{"class": "x", "signatures": [signature]}]][k % 4]
                         z.writestr(f"signatures/{k}.sig", json.dumps(layout))
-                    z.writestr("SOURMASH-MANIFEST.csv", "ignored")
+                    z.writestr("MANIFEST.csv", "ignored")
                 out.append((f"/data/{sample}.1_x.fna.gz.sig.zip", buffer.getvalue()))
             yield pd.DataFrame(out, columns=["path", "content"])
 

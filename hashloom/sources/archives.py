@@ -23,16 +23,15 @@ from ..functions import names, uint64
 
 LOG = logging.getLogger(__name__)
 ENTRY_ENDS = (".sig", ".sig.gz", ".json", ".json.gz")
-MANIFEST = "sourmash-manifest.csv"
 RUN = 50_000
 
 
 def archive_entries(content: bytes) -> Iterator[bytes]:
-    """Payloads of the signature entries; an entry that can't be unpacked is skipped."""
+    """Payloads of the signature entries (manifests and other files have other endings); an entry that can't be unpacked is skipped."""
     with zipfile.ZipFile(io.BytesIO(content)) as archive:
         for info in archive.infolist():
             name = info.filename.lower()
-            if info.is_dir() or name.endswith(MANIFEST) or not name.endswith(ENTRY_ENDS):
+            if info.is_dir() or not name.endswith(ENTRY_ENDS):
                 continue
             try:
                 data = archive.read(info)

@@ -35,7 +35,7 @@ def test_layouts_and_faults(spark, tmp_path):
             "d.JSON": json.dumps([{"signatures": [{"ksize": "x", "mins": [-1]}, {"ksize": 31, "mins": "no"}]}]),
             "e.sig.gz": b"not gzip",
             "f.json": b"{broken",
-            "SOURMASH-MANIFEST.csv": "x",
+            "MANIFEST.csv": "x",
             "g.txt": json.dumps({"ksize": 1, "mins": [9]}),
         },
     )
