@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hashloom.llm.common import Scratch, load
-from hashloom.llm.line_dedup import line_dedup
+from hashloom.llm.line_dedup import LONG_CHARS, LONG_WORDS, line_dedup
 from hashloom.llm.minhash_dedup import near_duplicates
 from hashloom.llm.packing import pack
 from hashloom.llm.suffix_dedup import remove_repeats
@@ -34,7 +34,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the runs of lines that stand earlier."""
-    return _documents(line_dedup(docs, carry=OTHERS))
+    return _documents(line_dedup(docs, carry=OTHERS, long_words=LONG_WORDS, long_chars=LONG_CHARS))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,6 +8,9 @@ dropped; the rest are extended to both sides to the windows they stand for, whos
 meet at the first position of each. Every later window is deleted, so a
 longer repeated run goes as a whole.
 
+Where long lines count by themselves, windows of fewer lines are made in the same
+way, of what holds enough text and of whole short texts.
+
 Fingerprints and windows meet in aggregations with map-side combining, and go
 back by joins with one row per key on the other side: the rows grow with the
 lines, never with the square of a line's count.
@@ -21,42 +24,69 @@ from pyspark.sql import functions as F
 from .common import Scratch
 
 BLANK = " \t\r"
+#: What one or two lines must hold to be a run by themselves.
+LONG_WORDS, LONG_CHARS = 50, 300
 
 
-def line_windows(df: DataFrame, id_col: str, text_col: str, run_lines: int, min_chars: int) -> DataFrame:
-    """(_id, s, f, g1, g2): every window of run_lines lines, with its fingerprint's hash and its own digests."""
+def line_windows(df: DataFrame, id_col: str, text_col: str, run_lines: int, min_chars: int, long_words: int | None = None, long_chars: int | None = None) -> DataFrame:
+    """(_id, s, k, f, g1, g2, p): every window of k lines that counts as a run, with its fingerprint's hash and place and its own digests."""
+    short = long_words is not None or long_chars is not None
     norm = F.transform(F.split(F.col("_text"), "\n", -1), lambda x: F.btrim(x, F.lit(BLANK)))
     lines = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where("_id IS NOT NULL AND _text IS NOT NULL")
-    hashed = lines.select("_id", F.transform(norm, lambda x: F.struct(F.xxhash64(x).alias("h"), F.char_length(x).alias("c"))).alias("l"))
-    # the lines of a window as columns of one row: k-th column, the lines moved up by k
+
+    def facts(x):
+        words = [] if long_words is None else [F.regexp_count(x, F.lit(r"\S+")).alias("w")]
+        return F.struct(F.xxhash64(x).alias("h"), F.char_length(x).alias("c"), *words)
+
+    hashed = lines.select("_id", F.transform(norm, facts).alias("l"))
+    # the lines of a window as columns of one row: k-th column, the lines moved up by k; null behind the last line
     places = range(run_lines)
-    moved = [F.slice("l", k + 1, F.greatest(F.size("l") - (run_lines - 1), F.lit(0))).alias(f"l{k}") for k in places]
-    rows = hashed.select("_id", F.posexplode(F.arrays_zip(*moved)).alias("s", "w")).select("_id", "s", *(F.col(f"w.l{k}.h").alias(f"h{k}") for k in places), *(F.col(f"w.l{k}.c").alias(f"c{k}") for k in places))
-    hashes = [F.col(f"h{k}") for k in places]
-    least = F.least(*hashes) if run_lines > 1 else hashes[0]
-    first = F.lit(run_lines - 1)
-    for k in reversed(places):
-        first = F.when(F.col(f"h{k}") == F.col("f"), k).otherwise(first)
-    kept = rows.where(sum(F.col(f"c{k}") for k in places) >= min_chars).withColumn("f", least)
-    return kept.select("_id", "s", "f", F.xxhash64(*hashes).alias("g1"), F.xxhash64(*hashes, F.lit(run_lines)).alias("g2"), (F.col("s") + first).alias("p"))
+    n = F.size("l") if short else F.greatest(F.size("l") - (run_lines - 1), F.lit(0))
+    moved = [F.slice("l", k + 1, F.greatest(n - k if short else n, F.lit(0))).alias(f"l{k}") for k in places]
+    kinds = ["h", "c", *([] if long_words is None else ["w"])]
+    rows = hashed.select("_id", F.size("l").alias("_n"), F.posexplode(F.arrays_zip(*moved)).alias("s", "w")).select("_id", "_n", "s", *(F.col(f"w.l{k}.{x}").alias(f"{x}{k}") for x in kinds for k in places))
+
+    def window(size):
+        hashes = [F.col(f"h{k}") for k in range(size)]
+        chars = sum(F.col(f"c{k}") for k in range(size))
+        counts = chars >= min_chars
+        if size < run_lines:
+            counts &= F.col("_n") == size
+            if long_words is not None:
+                counts |= sum(F.col(f"w{k}") for k in range(size)) >= long_words
+            if long_chars is not None:
+                counts |= chars >= long_chars
+        least = F.least(*hashes) if size > 1 else hashes[0]
+        first = F.lit(size - 1)
+        for k in reversed(range(size)):
+            first = F.when(hashes[k] == least, k).otherwise(first)
+        made = F.struct(F.lit(size).alias("k"), least.alias("f"), F.xxhash64(*hashes).alias("g1"), F.xxhash64(*hashes, F.lit(size)).alias("g2"), (F.col("s") + first).alias("p"))
+        return F.when(chars.isNotNull() & counts, made)
+
+    sizes = range(1 if short else run_lines, run_lines + 1)
+    made = rows.select("_id", "s", F.explode(F.array(*map(window, sizes))).alias("_w")).where("_w IS NOT NULL")
+    return made.select("_id", "s", "_w.*")
 
 
 def repeated_windows(windows: DataFrame) -> DataFrame:
-    """(_id, s) of the windows that stand earlier, in the order of (id, line)."""
+    """(_id, s, k) of the windows that stand earlier, in the order of (id, line)."""
     at = F.struct("_id", "p")
     shared = windows.groupBy("f").agg(F.min(at).alias("lo"), F.max(at).alias("hi")).where(F.col("lo") < F.col("hi")).select("f")
-    extended = windows.join(shared, "f").select("_id", "s", "g1", "g2")
+    extended = windows.join(shared, "f").select("_id", "s", "k", "g1", "g2")
     at = F.struct("_id", "s")
     first = extended.groupBy("g1", "g2").agg(F.min(at).alias("first"), F.max(at).alias("_last")).where(F.col("first") < F.col("_last")).select("g1", "g2", "first")
-    return extended.join(first, ["g1", "g2"]).where(F.struct("_id", "s") > F.col("first")).select("_id", "s").distinct()
+    return extended.join(first, ["g1", "g2"]).where(F.struct("_id", "s") > F.col("first")).groupBy("_id", "s").agg(F.max("k").alias("k"))
 
 
-def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_lines: int = 3, min_chars: int = 40, carry: tuple[str, ...] = ()) -> DataFrame:
+def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_lines: int = 3, min_chars: int = 40, carry: tuple[str, ...] = (), long_words: int | None = None, long_chars: int | None = None) -> DataFrame:
     """Per input row: doc_id, text (without the deleted lines), n_lines, n_removed, and the ``carry`` columns.
 
     A line goes if it lies in a run of ``run_lines`` lines, of ``min_chars``
     characters at least, that stands earlier: in a smaller id, or before in the
     same text. Outer spaces, tabs and carriage returns don't count in comparing.
+    With ``long_words`` or ``long_chars`` fewer lines are a run too, where they
+    hold so many words or characters, or are a whole text of ``min_chars`` characters
+    (which then goes as a copy of another whole text, or of such a run).
 
     Null text: null, no lines. Empty text: one line, kept. Null id: nothing
     deleted, and no source. Repeated rows: they share their positions, so they
@@ -65,17 +95,18 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ru
     not read unless carried.
     """
     scratch = Scratch(df.sparkSession, "lines")
-    windows = scratch.write(line_windows(df, id_col, text_col, run_lines, min_chars), "windows")
-    gone = scratch.write(repeated_windows(windows).groupBy("_id").agg(F.array_sort(F.collect_list("s")).alias("d")), "gone")
+    windows = scratch.write(line_windows(df, id_col, text_col, run_lines, min_chars, long_words, long_chars), "windows")
+    covered = F.flatten(F.collect_list(F.sequence("s", F.col("s") + F.col("k") - 1)))
+    gone = scratch.write(repeated_windows(windows).groupBy("_id").agg(F.array_sort(F.array_distinct(covered)).alias("d")), "gone")
     scratch.drop("windows")
     rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *(F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)))
     found = rows.join(gone, "_id", "left").withColumn("_lines", F.split("_text", "\n", -1))
     n = F.size("_lines")
-    # keep flags in runs: what stands before the first window, then each window and the gap after it
+    # keep flags in runs: what stands before the first deleted line, then each deleted line and the gap after it
     following = F.concat(F.slice("d", F.lit(2), F.size("d")), F.array(n))
 
     def flags_from(s, t):
-        return F.concat(F.array_repeat(F.lit(False), F.least(F.lit(run_lines), t - s)), F.array_repeat(F.lit(True), F.greatest(F.lit(0), t - s - run_lines)))
+        return F.concat(F.array_repeat(F.lit(False), F.least(F.lit(1), t - s)), F.array_repeat(F.lit(True), F.greatest(F.lit(0), t - s - 1)))
 
     flags = F.concat(F.array_repeat(F.lit(True), F.get("d", F.lit(0))), F.flatten(F.zip_with("d", following, flags_from)))
     # what stands in a lambda is computed for every element, so arrays meet as arguments only

@@ -10,7 +10,7 @@ from .chat_format import format_chats, read_back, turns_as_events
 from .common import load
 from .exact_dedup import exact_dedup
 from .license_scan import license_scan
-from .line_dedup import line_dedup
+from .line_dedup import LONG_CHARS, LONG_WORDS, line_dedup
 from .line_dedup import oracle as line_oracle
 from .minhash_dedup import near_duplicates
 from .packing import pack
@@ -28,7 +28,7 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left = line_dedup(load(spark, sf_dir, "documents"))
+    left = line_dedup(load(spark, sf_dir, "documents"), long_words=LONG_WORDS, long_chars=LONG_CHARS)
     return left.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 

@@ -227,3 +227,45 @@ def test_lines_of_one_id(spark):
     text = "\n".join("the same line over and over again" for _ in range(6))
     got = line_dedup.line_dedup(table(spark, [(1, text), (1, text)])).collect()
     assert {hashlib.sha256(r.text.encode()).hexdigest() for r in got} == {hashlib.sha256(b"the same line over and over again").hexdigest()}
+
+
+def long_lines_removed(texts, words, chars):
+    """{id: set of line numbers}: runs of three lines, and of fewer where they are long or a whole text."""
+    first, out = {}, {}
+    for i in sorted(texts):
+        norm = [x.strip(" \t\r") for x in texts[i].split("\n")]
+        out[i] = set()
+        for k in (1, 2, 3):
+            for s in range(len(norm) - k + 1):
+                g = tuple(norm[s : s + k])
+                n = sum(map(len, g))
+                counts = n >= 40 and k in (3, len(norm)) or k < 3 and (n >= chars or len(" ".join(g).split()) >= words)
+                if counts and first.setdefault(g, (i, s)) < (i, s):
+                    out[i].update(range(s, s + k))
+    return out
+
+
+def test_long_lines(spark):
+    rng = random.Random(5)
+    passage, pair, glued = (" ".join(f"{x}{k}" for k in range(n)) for x, n in (("w", 50), ("v", 26), ("u", 49)))
+    glued = glued + "x" * 300
+    short = "one line of a text that stands twice"
+    rows = [(1, f"a\n{passage}\nb"), (2, f"c\n {passage}\t\nd"), (3, f"{pair}\n{pair} end"), (4, f"e\n{pair}\n{pair} end\nf"), (5, f"{glued}\ng"), (6, f"h\n{glued}")]
+    rows += [(7, short + " there"), (8, short + " there"), (9, f"i\n{short} there\nj"), (10, f"{short}\nand more"), (11, f"{short}\nand more"), (12, f"{short}\nand less"), (13, f"k\n{pair}\nl"), (14, "tiny"), (15, "tiny")]
+    pool = [f"line number {k} with some words" for k in range(6)] + ["", passage, pair, glued, "}"]
+    rows += [(100 + i, "\n".join(rng.choice(pool) for _ in range(rng.randrange(7)))) for i in range(60)]
+    gone = long_lines_removed(dict(rows), 50, 300)
+    assert [gone[i] for i in (2, 4, 6, 8, 9, 11, 12, 13, 15)] == [{1}, {1, 2}, {1}, {0}, set(), {0, 1}, set(), set(), set()]
+    for r in line_dedup.line_dedup(table(spark, rows), long_words=50, long_chars=300).collect():
+        lines = dict(rows)[r.doc_id].split("\n")
+        assert r.text == "\n".join(x for k, x in enumerate(lines) if k not in gone[r.doc_id])
+        assert (r.n_lines, r.n_removed) == (len(lines), len(gone[r.doc_id]))
+
+
+def test_long_lines_of_documents(spark):
+    from hashloom.llm.queries import QUERIES
+
+    texts = {r.doc_id: r.text for r in load(spark, "/root/testdata/sf0.01", "documents").collect()}
+    want = {i: len(x) for i, x in long_lines_removed(texts, 50, 300).items()}
+    assert sum(want.values()) > sum(map(len, brute.lines_removed(texts, 3, 40).values()))
+    assert {r.doc_id: r.n_removed for r in QUERIES["op2_line_dedup"](spark, "/root/testdata/sf0.01").collect()} == want
