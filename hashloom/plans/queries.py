@@ -256,7 +256,7 @@ def queue_latest_state(spark, sf_dir):
 
 
 def queue_claim(spark, sf_dir):
-    return workqueue.claim(queue(spark, sf_dir).where("status <> 'PENDING' OR id % 50 = 0"), 400, NOW)[0].select("id", "subdir", "filename")
+    return workqueue.claim(queue(spark, sf_dir), 400, NOW)[0].select("id", "subdir", "filename")
 
 
 def queue_requeue(spark, sf_dir):

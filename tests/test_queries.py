@@ -41,3 +41,20 @@ def test_plans_prune_and_combine(spark):
     assert plan.count("Exchange hashpartitioning") <= 2
     pushed = QUERIES["filter_ksizes"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "l_linenumber" in pushed.split("PushedFilters", 1)[1]
+
+
+def test_claim_takes_the_next_of_the_whole_queue(spark, tmp_path):
+    from hashloom.operators import workqueue
+    from hashloom.plans import queries
+
+    pending = queries.queue(spark, SF).where("status = 'PENDING'").orderBy("id").limit(400).collect()
+    claimed = [r.id for r in QUERIES["queue_claim"](spark, SF).collect()]
+    assert claimed[: len(pending)] == [r.id for r in pending]
+    # more PENDING rows than are claimed at once: only they are claimed, and a later claim goes on to the ERROR rows
+    kinds = [(i, "error" if i % 10 == 0 else "signup") for i in range(1, 701)]
+    spark.createDataFrame(kinds, "event_id long, event_type string").selectExpr("event_id", "event_id AS user_id", "event_type").write.parquet(f"{tmp_path}/events.parquet")
+    waiting = [i for i, kind in kinds if kind == "signup"]
+    assert [r.id for r in QUERIES["queue_claim"](spark, str(tmp_path)).collect()] == waiting[:400]
+    _, state = workqueue.claim(queries.queue(spark, str(tmp_path)), 400, queries.NOW)
+    second = [r.id for r in workqueue.claim(state, 400, queries.NOW)[0].collect()]
+    assert second[:230] == waiting[400:] and len(second) > 230 and all(i % 10 == 0 for i in second[230:])
