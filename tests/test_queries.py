@@ -58,3 +58,10 @@ def test_claim_takes_the_next_of_the_whole_queue(spark, tmp_path):
     _, state = workqueue.claim(queries.queue(spark, str(tmp_path)), 400, queries.NOW)
     second = [r.id for r in workqueue.claim(state, 400, queries.NOW)[0].collect()]
     assert second[:230] == waiting[400:] and len(second) > 230 and all(i % 10 == 0 for i in second[230:])
+
+
+def test_all_buckets_are_listed(spark, tmp_path):
+    hashes = [0, 1, 2, 5, 520, 521 + 7, 5 * 521 + 300]  # buckets with gaps, and of hashes of every remainder
+    lineitem = spark.createDataFrame([(h, 1, 1) for h in hashes], "l_partkey long, l_suppkey long, l_linenumber int")
+    lineitem.write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert [r.bucket for r in QUERIES["list_buckets"](spark, str(tmp_path)).collect()] == [0, 1, 2, 5, 7, 300, 520]
