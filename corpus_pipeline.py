@@ -21,9 +21,10 @@ from hashloom.llm.toxicity import score, train
 OTHERS = ("lang", "source")
 
 
-def _documents(rows: DataFrame) -> DataFrame:
-    """The columns of documents, with n_chars of the text as it is now; texts of which nothing is left go."""
-    return rows.where(F.length(F.trim("text")) > 0).select("doc_id", "text", "lang", "source", F.char_length("text").cast("long").alias("n_chars"))
+def _documents(rows: DataFrame, cut) -> DataFrame:
+    """The columns of documents, with n_chars of the text as it is now; texts that were ``cut`` and of which nothing is left go."""
+    left = F.length(F.trim(F.coalesce("text", F.lit("")))) > 0
+    return rows.where(left | ~cut).select("doc_id", "text", "lang", "source", F.char_length("text").cast("long").alias("n_chars"))
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +35,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the runs of lines that stand earlier."""
-    return _documents(line_dedup(docs, carry=OTHERS, long_words=LONG_WORDS, long_chars=LONG_CHARS))
+    return _documents(line_dedup(docs, carry=OTHERS, long_words=LONG_WORDS, long_chars=LONG_CHARS), F.col("n_removed") > 0)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +46,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the characters of passages that stand in an earlier document."""
-    cut = remove_repeats(docs, whole_characters=True, carry=OTHERS)
-    return _documents(cut.withColumn("text", F.col("kept").cast("string")))
+    cut = remove_repeats(docs.withColumn("_null", F.col("text").isNull()), whole_characters=True, carry=(*OTHERS, "_null"))
+    return _documents(cut.withColumn("text", F.when(~F.col("_null"), F.col("kept").cast("string"))), F.size("spans") > 0)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -97,3 +97,12 @@ def test_oracles(spark, oracle, name):
 def test_native_plans_have_no_python(spark, name):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct"))
+
+
+def test_only_emptied_documents_go(spark):
+    block = "\n".join(f"this is line {k} of a block that stands twice" for k in range(3))
+    rows = [(1, None), (2, ""), (3, " \n "), (4, block), (5, block), (6, "a text of its own")]
+    docs = spark.createDataFrame([(i, t, "en", "web", None if t is None else len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for stage in (pipeline.lines, pipeline.repeats):
+        got = stage(spark, docs, SF).select(*docs.columns).collect()
+        assert sorted(map(tuple, got)) == sorted((i, t, "en", "web", None if t is None else len(t)) for i, t in rows if i != 5)
