@@ -3,10 +3,10 @@
 A text's lines are hashed with their outer blanks off. Of every window of
 ``run_lines`` lines the line with the least hash (the first of equals) is its
 fingerprint, so a run of that length that stands twice has a common
-fingerprint, at one offset. Fingerprints that stand at one position only are
-dropped; the rest are extended to both sides to the windows they stand for, whose digests
-meet at the first position of each. Every later window is deleted, so a
-longer repeated run goes as a whole.
+fingerprint, at one offset. Windows whose fingerprint stands at one position only are
+dropped. Nothing is extended from fingerprint to fingerprint: every window has a digest of
+its lines, which stands in for that, and the digests meet at the first position
+of each. Every later window is deleted, so a longer repeated run goes as a whole.
 
 Where long lines count by themselves, windows of fewer lines are made in the same
 way, of what holds enough text and of whole short texts.
