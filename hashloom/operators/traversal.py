@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import names
+from ..scratch import Scratch
 
 #: Names of sequence files, tried in this order.
 SEQUENCE_PATTERNS = (
@@ -34,32 +35,24 @@ SKIP_PREFIXES = (
 def reachable(edges: DataFrame, roots: DataFrame, parent: str = "parent", child: str = "child", max_depth: int | None = None) -> DataFrame:
     """(node, depth) of every node at its least depth: a frontier moves on by joins, less what has been seen.
 
-    Each level is cut from its lineage by a checkpoint, so the plan doesn't grow with depth.
+    Each level is written to the shared folder, so a level's plan doesn't grow with depth.
     """
-    spark = edges.sparkSession
+    scratch = Scratch(edges.sparkSession, "reachable")
     steps = edges.select(F.col(parent).alias("_p"), F.col(child).alias("node"))
     frontier = roots.select(F.col(roots.columns[0]).alias("node")).distinct()
-    seen = _cut(spark, frontier.withColumn("depth", F.lit(0)))
+    seen = scratch.write(frontier.withColumn("depth", F.lit(0)), "level0")
     depth = 0
     while max_depth is None or depth < max_depth:
         depth += 1
         front = seen.where(F.col("depth") == depth - 1).select(F.col("node").alias("_p"))
         found = front.join(steps, "_p").select("node").distinct().join(seen.select("node"), "node", "left_anti")
-        level = _cut(spark, found.withColumn("depth", F.lit(depth)))
+        level = scratch.write(found.withColumn("depth", F.lit(depth)), f"level{depth}")
         if level.isEmpty():
             break
         seen = seen.unionByName(level)
     return seen
 
 
-def _cut(spark, df: DataFrame) -> DataFrame:
-    if not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="hashloom-"))
-    return df.checkpoint(eager=True)
-
-
 def crawl(pages: DataFrame, base: str, include: str, exclude: str | None = None, max_depth: int | None = None) -> DataFrame:
     """(subdir, filename, url, size, mtime) of target files in the listings of ``pages`` (dir relative to base with a final slash, empty for base itself; name; is_dir)."""
     inner = F.concat("dir", F.col("name"))

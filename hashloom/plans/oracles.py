@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from ..operators import traversal
+
 _OCC = "occ AS (SELECT CAST(l_suppkey AS VARCHAR) AS sample_id, CAST(l_linenumber AS SMALLINT) AS ksize, l_partkey AS hash, CAST(l_partkey % 521 AS INTEGER) AS bucket FROM lineitem)"
 _QUEUE = """q AS (
   SELECT event_id AS id, 'u' || user_id AS subdir, 'f' || event_id || '.fa.gz' AS filename, 'https://host/' || event_id AS url,
@@ -19,15 +21,8 @@ def _sketch(table: str, sample: str, k: int, scaled: int) -> str:
 
 
 _SIDES = f"l AS (SELECT DISTINCT ksize, hash FROM ({_sketch('benchmark', 'item_id', 31, 20)})), r AS ({_sketch('documents', 'source', 31, 20)})"
-_LABELS = [
-    r".*\.fna(\.(gz|bz2|xz|Z))?$",
-    r".*\.fa(\.(gz|bz2|xz|Z))?$",
-    r".*\.fasta(\.(gz|bz2|xz|Z))?$",
-    r".*\.mfa(\.(gz|bz2|xz|Z))?$",
-    r".*\.fsa_nt\.gz$",
-]
-_LABEL_CASES = " ".join(f"WHEN regexp_matches(name, '^(?:{p})', 'i') THEN '{p}'" for p in _LABELS)
-_SKIPPED = " OR ".join(f"starts_with(path, '{p}')" for p in ("/genomes/", "/genbank/wgs/", "/genbank/tsa/", "/genbank/tls/", "/sra/", "/geo", "/blast/windowmasker_files/"))
+_LABEL_CASES = " ".join(f"WHEN regexp_matches(name, '^(?:{p})', 'i') THEN '{p}'" for p in traversal.SEQUENCE_PATTERNS)
+_SKIPPED = " OR ".join(f"starts_with(path, '{p}')" for p in traversal.SKIP_PREFIXES)
 
 
 def _shard(n: int, value: str, label: str) -> str:
@@ -53,7 +48,7 @@ ORACLES = {
   SELECT DISTINCT ksize, hash, bucket, CAST(NULL AS BIGINT) AS n FROM occ WHERE ksize <= 3 UNION ALL SELECT ksize, hash, bucket, count(DISTINCT sample_id) FROM occ WHERE ksize > 3 GROUP BY ksize, hash, bucket)
 SELECT bucket, count(*) AS n_rows, count(n) AS n_counted, CAST(coalesce(sum(n), 0) AS BIGINT) AS sum_samples FROM u GROUP BY bucket""",
     "bucket_tables": f"WITH {_OCC} SELECT ksize, hash, bucket, count(DISTINCT sample_id) AS n_samples FROM occ GROUP BY ALL",
-    "list_buckets": f"WITH {_OCC} SELECT DISTINCT bucket FROM occ WHERE hash % 5 = 1",
+    "list_buckets": f"WITH {_OCC} SELECT DISTINCT bucket FROM occ",
     "wgs_shards": f"""WITH {_OCC} SELECT CAST(31 AS SMALLINT) AS ksize, lpad(CAST(hash % 11 AS VARCHAR), 3, '0') || CASE WHEN hash % 3 = 0 THEN 'b' ELSE '' END AS part, count(*) AS n_rows, CAST(sum(hash % 1000003) AS BIGINT) AS sum_hashes
 FROM (SELECT DISTINCT hash FROM occ) GROUP BY ALL""",
     "append_loads": f"WITH {_OCC} SELECT ksize, 2 * count(*) AS n_rows, count(DISTINCT hash) AS n_hashes FROM (SELECT DISTINCT ksize, hash FROM occ) GROUP BY ksize",
@@ -91,7 +86,7 @@ SELECT depth, count(*) AS n_nodes FROM (SELECT node, CAST(min(depth) AS INTEGER)
     "queue_latest_state": "SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
     "queue_claim": f"""WITH {_QUEUE}, c AS (
   SELECT *, CASE WHEN status = 'PENDING' THEN 0 ELSE 1 END AS class FROM q
-  WHERE status = 'PENDING' AND id % 50 = 0 OR status = 'ERROR' AND tries < 20 AND (updated_at IS NULL OR updated_at <= 1750000000 - 3600))
+  WHERE status = 'PENDING' OR status = 'ERROR' AND tries < 20 AND (updated_at IS NULL OR updated_at <= 1750000000 - 3600))
 SELECT id, subdir, filename FROM c ORDER BY class, CASE WHEN class = 0 THEN NULL ELSE updated_at END NULLS FIRST, id LIMIT 400""",
     "queue_requeue": f"""WITH {_QUEUE}, s AS (SELECT *, status IN ('DOWNLOADING', 'SKETCHING') AND (updated_at IS NULL OR updated_at < 1750000000 - 3600) AS stuck FROM q)
 SELECT id, CASE WHEN stuck THEN 'PENDING' ELSE status END AS status, tries, CASE WHEN stuck THEN CAST(1750000000 AS DOUBLE) ELSE updated_at END AS updated_at FROM s""",
