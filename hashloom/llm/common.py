@@ -1,73 +1,25 @@
-"""Shared plumbing of the corpus operators: scratch tables, input reading, Arrow views."""
+"""Shared plumbing of the corpus operators: input reading, Arrow views, letting go of shuffle files."""
 
 from __future__ import annotations
 
-import atexit
 import gc
-import tempfile
 import time
-import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import Scratch
+
+__all__ = ["Scratch", "ascii_lower", "doc_chunks", "load", "parts_for", "release", "text_views"]
+
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """The whole table ``<sf_dir>/<table>.parquet``, by any path that Spark can open."""
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where that is unset (tests), one of our own."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="hashloom-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` cut from its lineage, its rows in the shared checkpoint folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-class Scratch:
-    """Written Parquet tables in the shared folder, for intermediates that are read more than once.
-
-    ``drop(name)`` removes a table as soon as nothing reads it again; what is
-    left at the end of the process goes then.
-    """
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
-        self.root = f"{shared_dir(spark)}/hashloom-{name}-{uuid.uuid4().hex}"
-        atexit.register(self._remove, self.root)
-
-    def write(self, df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-        path = f"{self.root}/{name}"
-        schema = df.schema
-        df.write.option("compression", codec).parquet(path)
-        return self.spark.read.schema(schema).parquet(path)
-
-    def drop(self, name: str) -> None:
-        self._remove(f"{self.root}/{name}")
-
-    def _remove(self, path: str) -> None:
-        sc = self.spark.sparkContext
-        if sc._jsc is None:
-            return
-        try:
-            p = sc._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # the JVM may have ended before this process
-            return
-
-
 def release(spark: SparkSession) -> None:
     """Lets Spark remove the shuffle files that no plan refers to any more."""
     for _ in range(2):  # the second pass finds what the first one's finalizers let go

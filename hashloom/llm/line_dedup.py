@@ -29,22 +29,22 @@ LONG_WORDS, LONG_CHARS = 50, 300
 
 
 def line_windows(df: DataFrame, id_col: str, text_col: str, run_lines: int, min_chars: int, long_words: int | None = None, long_chars: int | None = None) -> DataFrame:
-    """(_id, s, k, f, g1, g2, p): every window of k lines that counts as a run, with its fingerprint's hash and place and its own digests."""
+    """(_id, _xx, s, k, f, g1, g2, p): every window of k lines that counts as a run, with its fingerprint's hash and place and its own digests."""
     short = long_words is not None or long_chars is not None
     norm = F.transform(F.split(F.col("_text"), "\n", -1), lambda x: F.btrim(x, F.lit(BLANK)))
-    lines = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where("_id IS NOT NULL AND _text IS NOT NULL")
+    lines = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where("_id IS NOT NULL AND _text IS NOT NULL").withColumn("_xx", F.xxhash64("_text"))
 
     def facts(x):
         words = [] if long_words is None else [F.regexp_count(x, F.lit(r"\S+")).alias("w")]
         return F.struct(F.xxhash64(x).alias("h"), F.char_length(x).alias("c"), *words)
 
-    hashed = lines.select("_id", F.transform(norm, facts).alias("l"))
+    hashed = lines.select("_id", "_xx", F.transform(norm, facts).alias("l"))
     # the lines of a window as columns of one row: k-th column, the lines moved up by k; null behind the last line
     places = range(run_lines)
     n = F.size("l") if short else F.greatest(F.size("l") - (run_lines - 1), F.lit(0))
     moved = [F.slice("l", k + 1, F.greatest(n - k if short else n, F.lit(0))).alias(f"l{k}") for k in places]
     kinds = ["h", "c", *([] if long_words is None else ["w"])]
-    rows = hashed.select("_id", F.size("l").alias("_n"), F.posexplode(F.arrays_zip(*moved)).alias("s", "w")).select("_id", "_n", "s", *(F.col(f"w.l{k}.{x}").alias(f"{x}{k}") for x in kinds for k in places))
+    rows = hashed.select("_id", "_xx", F.size("l").alias("_n"), F.posexplode(F.arrays_zip(*moved)).alias("s", "w")).select("_id", "_xx", "_n", "s", *(F.col(f"w.l{k}.{x}").alias(f"{x}{k}") for x in kinds for k in places))
 
     def window(size):
         hashes = [F.col(f"h{k}") for k in range(size)]
@@ -64,18 +64,18 @@ def line_windows(df: DataFrame, id_col: str, text_col: str, run_lines: int, min_
         return F.when(chars.isNotNull() & counts, made)
 
     sizes = range(1 if short else run_lines, run_lines + 1)
-    made = rows.select("_id", "s", F.explode(F.array(*map(window, sizes))).alias("_w")).where("_w IS NOT NULL")
-    return made.select("_id", "s", "_w.*")
+    made = rows.select("_id", "_xx", "s", F.explode(F.array(*map(window, sizes))).alias("_w")).where("_w IS NOT NULL")
+    return made.select("_id", "_xx", "s", "_w.*")
 
 
 def repeated_windows(windows: DataFrame) -> DataFrame:
-    """(_id, s, k) of the windows that stand earlier, in the order of (id, line)."""
-    at = F.struct("_id", "p")
+    """(_id, _xx, s, k) of the windows that stand earlier, in the order of (id, text digest, line)."""
+    at = F.struct("_id", "_xx", "p")
     shared = windows.groupBy("f").agg(F.min(at).alias("lo"), F.max(at).alias("hi")).where(F.col("lo") < F.col("hi")).select("f")
-    extended = windows.join(shared, "f").select("_id", "s", "k", "g1", "g2")
-    at = F.struct("_id", "s")
+    extended = windows.join(shared, "f").select("_id", "_xx", "s", "k", "g1", "g2")
+    at = F.struct("_id", "_xx", "s")
     first = extended.groupBy("g1", "g2").agg(F.min(at).alias("first"), F.max(at).alias("_last")).where(F.col("first") < F.col("_last")).select("g1", "g2", "first")
-    return extended.join(first, ["g1", "g2"]).where(F.struct("_id", "s") > F.col("first")).groupBy("_id", "s").agg(F.max("k").alias("k"))
+    return extended.join(first, ["g1", "g2"]).where(at > F.col("first")).groupBy("_id", "_xx", "s").agg(F.max("k").alias("k"))
 
 
 def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_lines: int = 3, min_chars: int = 40, carry: tuple[str, ...] = (), long_words: int | None = None, long_chars: int | None = None) -> DataFrame:
@@ -89,18 +89,18 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ru
     (which then goes as a copy of another whole text, or of such a run).
 
     Null text: null, no lines. Empty text: one line, kept. Null id: nothing
-    deleted, and no source. Repeated rows: they share their positions, so they
-    don't delete from one another; rows of one id with different texts have one
-    set of deleted line numbers. Very long texts: arrays in proportion to their lines. Empty table: no rows. Extra columns are
+    deleted, and no source. Repeated rows (same id and text): they share their positions, so they
+    don't delete from one another. Rows of one id with different texts: documents of their own, in the order of
+    a digest of their texts. Very long texts: arrays in proportion to their lines. Empty table: no rows. Extra columns are
     not read unless carried.
     """
     scratch = Scratch(df.sparkSession, "lines")
     windows = scratch.write(line_windows(df, id_col, text_col, run_lines, min_chars, long_words, long_chars), "windows")
     covered = F.flatten(F.collect_list(F.sequence("s", F.col("s") + F.col("k") - 1)))
-    gone = scratch.write(repeated_windows(windows).groupBy("_id").agg(F.array_sort(F.array_distinct(covered)).alias("d")), "gone")
+    gone = scratch.write(repeated_windows(windows).groupBy("_id", "_xx").agg(F.array_sort(F.array_distinct(covered)).alias("d")), "gone")
     scratch.drop("windows")
-    rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *(F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)))
-    found = rows.join(gone, "_id", "left").withColumn("_lines", F.split("_text", "\n", -1))
+    rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.xxhash64(text_col).alias("_xx"), *(F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)))
+    found = rows.join(gone, ["_id", "_xx"], "left").withColumn("_lines", F.split("_text", "\n", -1))
     n = F.size("_lines")
     # keep flags in runs: what stands before the first deleted line, then each deleted line and the gap after it
     following = F.concat(F.slice("d", F.lit(2), F.size("d")), F.array(n))
@@ -122,22 +122,35 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ru
     )
 
 
-def oracle(run_lines: int = 3, min_chars: int = 40) -> str:
+def oracle(run_lines: int = 3, min_chars: int = 40, long_words: int | None = None, long_chars: int | None = None) -> str:
     """DuckDB SQL for doc_id, n_lines, n_removed and the digest of the remaining text over ``documents`` with unique ids."""
-    grams = " || chr(10) || ".join(["norm", *(f"lead(norm, {k}) OVER w" for k in range(1, run_lines))])
+
+    def window(size):
+        def over(name, glue):
+            return glue.join([name, *(f"lead({name}, {k}) OVER w" for k in range(1, size))])
+
+        chars = over("length(norm)", " + ")
+        counts = f"{chars} >= {min_chars}"
+        if size < run_lines:
+            more = [f"{over('words', ' + ')} >= {long_words}"] * (long_words is not None) + [f"{chars} >= {long_chars}"] * (long_chars is not None)
+            counts = " OR ".join([f"({counts} AND cnt = {size})", *more])
+        return f"SELECT doc_id, n, {size} AS k, {over('norm', ' || chr(10) || ')} AS gram, {counts} AS counts FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY n)"
+
+    sizes = range(run_lines if long_words is None and long_chars is None else 1, run_lines + 1)
     return f"""
 WITH split AS (
   SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL
-), lines AS (
-  SELECT doc_id, i - 1 AS n, ls[i] AS line, trim(ls[i], ' ' || chr(9) || chr(13)) AS norm
+), cut AS (
+  SELECT doc_id, len(ls) AS cnt, i - 1 AS n, ls[i] AS line, trim(ls[i], ' ' || chr(9) || chr(13)) AS norm
   FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM split)
+), lines AS (
+  SELECT *, len(regexp_extract_all(norm, '[^\\x20\\x09-\\x0D]+')) AS words FROM cut
 ), grams AS (
-  SELECT doc_id, n, {grams} AS gram FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY n)
+  {" UNION ALL ".join(map(window, sizes))}
 ), dated AS (
-  SELECT doc_id, n, row_number() OVER (PARTITION BY gram ORDER BY doc_id, n) AS k
-  FROM grams WHERE gram IS NOT NULL AND length(gram) - {run_lines - 1} >= {min_chars}
+  SELECT doc_id, n, k, row_number() OVER (PARTITION BY k, gram ORDER BY doc_id, n) AS place FROM grams WHERE gram IS NOT NULL AND counts
 ), gone AS (
-  SELECT DISTINCT doc_id, n + d AS n FROM dated, range({run_lines}) r(d) WHERE k > 1
+  SELECT DISTINCT doc_id, n + d AS n FROM dated, range({run_lines}) r(d) WHERE place > 1 AND d < k
 ), flagged AS (
   SELECT l.doc_id, l.n, l.line, g.n IS NOT NULL AS gone FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.n = g.n
 )

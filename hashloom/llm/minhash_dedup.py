@@ -35,13 +35,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, checkpointed, doc_chunks, release, text_views
+from .common import Scratch, doc_chunks, release, text_views
 from .components import connected_components
 from .word_kernels import GRAM_CODES, SPACE, U, gram_hashes, lower_ascii, mix, owner, runs, span_hashes
 
 #: A shingle that so many open texts have at most is rare.
 RARE = 8
-SIGNATURE = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"
+SIGNATURE = "doc_id long, _xx long, n_shingles long, d1 long, d2 long, bands array<long>"
 
 
 def shingle_sets(b: np.ndarray, starts: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -115,15 +115,15 @@ def signatures(df: DataFrame, id_col: str, text_col: str, words: int, bands: int
                 np.cumsum((size > 0) * bands, out=offsets[1:])
                 listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1).view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array(size), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), listed],
-                    ["doc_id", "n_shingles", "d1", "d2", "bands"],
+                    [batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(size), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), listed],
+                    ["doc_id", "_xx", "n_shingles", "d1", "d2", "bands"],
                 )
 
     return _chosen(df, id_col, text_col).mapInArrow(run, SIGNATURE)
 
 
 def full_sets(df: DataFrame, words: int) -> DataFrame:
-    """(node, shingles) of rows (_id, _text)."""
+    """(node, shingles) of rows (node, _text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,13 +137,14 @@ def full_sets(df: DataFrame, words: int) -> DataFrame:
 
 
 def _chosen(df, id_col, text_col):
-    return df.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return df.select(F.col(id_col).cast("long").alias("_id"), text.alias("_text"), F.xxhash64(text).alias("_xx"))
 
 
 def near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 85, bands: int = 32, rows: int = 5
 ) -> DataFrame:
-    """Per input row: doc_id, n_shingles, component_id, kept.
+    """Per input row: doc_id, n_shingles, component_id, kept, text_xxhash64 (Spark's hash of the row's text, null as empty).
 
     Texts are linked when 100 * |A & B| >= percent * |A | B| over their sets of
     distinct ``words``-word shingles (ASCII lower case; a shorter text's whole
@@ -152,19 +153,25 @@ def near_duplicates(
     in any bucket with probability 7e-9.
 
     Null or empty text, or no words: n_shingles 0, linked with nothing. Null
-    id: not linked, component_id null, kept. Rows of one id: one node; their links
-    count together, and all are kept if the id is its component's smallest.
-    Repeated rows: as equal texts. Empty table: no rows. Extra columns are not read.
+    id: not linked, component_id null, kept. Rows of one id with different texts: each is a
+    node of its own, and all that have their component's smallest id are kept.
+    Repeated rows: as equal texts. Very long texts: worked whole, memory in proportion to the
+    longest. Empty table: no rows. Extra columns are not read.
     """
     spark = df.sparkSession
     scratch = Scratch(spark, "minhash")
     signed = scratch.write(signatures(df, id_col, text_col, words, bands, rows), "signatures")
     named = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     same = ["n_shingles", "d1", "d2"]
-    classes = scratch.write(named.groupBy(*same).agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")), "classes")
+    # a class of equal sets is a node, under a number that the written table fixes; its text is that of one of its rows
+    one = F.min(F.struct("doc_id", "_xx")).alias("_one")
+    grouped = named.groupBy(*same).agg(one, F.first("bands").alias("bands")).select(F.monotonically_increasing_id().alias("node"), *same, F.col("_one.doc_id").alias("first"), F.col("_one._xx").alias("_xx"), "bands")
+    classes = scratch.write(grouped, "classes")
     members = scratch.write(_shared_buckets(classes.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))), "members")
-    pool = members.select(F.col("node").alias("_id")).distinct()
-    sets = scratch.write(full_sets(_chosen(df, id_col, text_col).join(pool, "_id", "left_semi"), words), "sets0")
+    pool = classes.join(members.select("node").distinct(), "node", "left_semi").select(F.col("first").alias("_id"), "_xx", "node")
+    # repeated rows give one text
+    chosen = _chosen(df, id_col, text_col).join(pool, ["_id", "_xx"]).groupBy("_id", "_xx").agg(F.first("node").alias("node"), F.first("_text").alias("_text"))
+    sets = scratch.write(full_sets(chosen.select("node", "_text"), words), "sets0")
     release(spark)
     sets = _open_sets(sets, scratch, percent)
     cores, rare = _rare_pairs(sets, scratch, percent)
@@ -175,7 +182,7 @@ def near_duplicates(
     turn, centres = 0, 1
     heads = scratch.write(_heads(buckets, centres), "heads0")
     links = scratch.write(_confirm(sets, _stars(buckets, heads, percent).union(rare).distinct(), percent), "links0")
-    component = checkpointed(connected_components(links, "a", "b"))
+    component = connected_components(links, "a", "b")
     while True:
         turn += 1
         buckets = scratch.write(_open_buckets(buckets, heads, component, percent), f"buckets{turn}")
@@ -185,20 +192,25 @@ def near_duplicates(
             break
         centres = min(4 * centres, 256)
         heads = scratch.write(_heads(buckets, centres), f"heads{turn}")
-        links = links.unionByName(scratch.write(_confirm(sets, _stars(buckets, heads, percent), percent), f"links{turn}"))
-        component = checkpointed(connected_components(links, "a", "b"))
-    of_class = named.join(classes.select(*same, "node"), same).select("doc_id", "node")
-    reached = of_class.join(component, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component"))
-    # an id with several texts joins their components
-    several = reached.groupBy("doc_id").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(F.col("lo") < F.col("hi"))
-    if not several.isEmpty():
-        own = reached.select(F.col("doc_id").alias("a"), F.col("component").alias("b"))
-        merged = connected_components(own, "a", "b")
-        reached = reached.select("doc_id").distinct().join(merged, F.col("doc_id") == F.col("node"), "left").select("doc_id", F.coalesce("component", "doc_id").alias("component"))
-    else:
-        reached = reached.distinct()
-    final = signed.select("doc_id", "n_shingles").join(reached, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-    return final.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        links = scratch.write(_confirm(sets, _stars(buckets, heads, percent), percent), f"links{turn}")
+        component = scratch.write(_joined(component, links), f"component{turn}")
+    reached = classes.select(*same, "first", "node").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = reached.groupBy("component").agg(F.min("first").alias("component_id"))
+    of_class = reached.join(least, "component").select(*same, "component_id")
+    alone = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
+    final = signed.select("doc_id", *same, F.col("_xx").alias("text_xxhash64")).join(of_class, same, "left").withColumn("component_id", alone)
+    return final.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_xxhash64")
+
+
+def _joined(component: DataFrame, links: DataFrame) -> DataFrame:
+    """``component`` (node, component) after new links (a, b): only the components that they join are followed."""
+    known = component.select(F.col("node").alias("a"), F.col("component").alias("_a"))
+    ends = links.join(known, "a", "left").join(known.select(F.col("a").alias("b"), F.col("_a").alias("_b")), "b", "left")
+    ends = ends.select("a", "b", F.coalesce("_a", "a").alias("_a"), F.coalesce("_b", "b").alias("_b"))
+    # a component's name is its smallest node, so a name is a node too
+    moved = connected_components(ends, "_a", "_b").select(F.col("node").alias("_was"), F.col("component").alias("_now"))
+    every = component.unionByName(ends.select(F.col("a").alias("node"), F.col("_a").alias("component"))).unionByName(ends.select(F.col("b").alias("node"), F.col("_b").alias("component"))).distinct()
+    return every.join(moved, F.col("component") == F.col("_was"), "left").select("node", F.coalesce("_now", "component").alias("component"))
 
 
 def _shared_buckets(members: DataFrame) -> DataFrame:
@@ -208,7 +220,7 @@ def _shared_buckets(members: DataFrame) -> DataFrame:
 
 
 def _open_sets(sets: DataFrame, scratch: Scratch, percent: int, rounds: int = 4) -> DataFrame:
-    """(node, shingles, bound) of the texts that may have a link.
+    """(node, shingles, bound) of the texts that may have a link; one row a node, as all counts here are a node's.
 
     bound: how many of a text's shingles another open text has too. Any number of rounds is right; a
     later one closes texts whose partners have been closed.

@@ -73,7 +73,7 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(load(spark, sf_dir, "documents"), percent=85)
+    return near_duplicates(load(spark, sf_dir, "documents"), percent=85).drop("text_xxhash64")
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +108,7 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(3 + length(role) + 2 + length(esc) + 5) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 """,
-    "op2_line_dedup": line_oracle(),
+    "op2_line_dedup": line_oracle(long_words=LONG_WORDS, long_chars=LONG_CHARS),
     "op6_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
   doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256

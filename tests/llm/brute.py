@@ -28,10 +28,10 @@ def shingles(text, k=5):
     return {tuple(w)} if w else set()
 
 
-def components(texts, percent):
-    """{id: (set size, component)} of {id: text}."""
-    sets = {i: shingles(t or "") for i, t in texts.items()}
-    parent = {i: i for i in sets}
+def row_components(rows, percent):
+    """(set size, smallest id reachable) of each row (id, text), in their order; every row is a node."""
+    sets = [shingles(t or "") for _, t in rows]
+    parent = list(range(len(rows)))
 
     def find(x):
         while parent[x] != x:
@@ -40,39 +40,64 @@ def components(texts, percent):
         return x
 
     places: dict = {}
-    for i in sorted(sets):
-        for j, n in Counter(j for g in sets[i] for j in places.get(g, ())).items():
-            if 100 * n >= percent * (len(sets[i]) + len(sets[j]) - n):
-                a, b = find(i), find(j)
-                parent[max(a, b)] = min(a, b)
-        for g in sets[i]:
+    for i, mine in enumerate(sets):
+        for j, n in Counter(j for g in mine for j in places.get(g, ())).items():
+            if 100 * n >= percent * (len(mine) + len(sets[j]) - n):
+                parent[find(i)] = find(j)
+        for g in mine:
             places.setdefault(g, []).append(i)
-    return {i: (len(sets[i]), find(i)) for i in sets}
+    least: dict = {}
+    for i, (doc, _) in enumerate(rows):
+        least[find(i)] = min(doc, least.get(find(i), doc))
+    return [(len(sets[i]), least[find(i)]) for i in range(len(rows))]
 
 
-def repeats(texts, length):
-    """{id: (bytes, removed flags)} of {id: text}."""
-    first, out = {}, {}
-    for i in sorted(texts):
-        b = (texts[i] or "").encode()
+def components(texts, percent):
+    """{id: (set size, component)} of {id: text}."""
+    rows = sorted(texts.items())
+    return {i: found for (i, _), found in zip(rows, row_components(rows, percent), strict=True)}
+
+
+def row_repeats(rows, length):
+    """(bytes, removed flags) of each row (id, text), in their order; a byte goes for a smaller id alone."""
+    first: dict = {}
+    data = [(t or "").encode() for _, t in rows]
+    for (i, _), b in zip(rows, data, strict=True):
+        for p in range(len(b) - length + 1):
+            key = b[p : p + length]
+            first[key] = min(i, first.get(key, i))
+    out = []
+    for (i, _), b in zip(rows, data, strict=True):
         gone = bytearray(len(b))
         for p in range(len(b) - length + 1):
-            if first.setdefault(b[p : p + length], i) < i:
+            if first[b[p : p + length]] < i:
                 gone[p : p + length] = b"\1" * length
-        out[i] = b, bytes(gone)
+        out.append((b, bytes(gone)))
     return out
 
 
-def lines_removed(texts, run, chars):
-    """{id: set of line numbers} of {id: text}."""
+def repeats(texts, length):
+    """{id: (bytes, removed flags)} of {id: text}."""
+    rows = sorted(texts.items())
+    return {i: found for (i, _), found in zip(rows, row_repeats(rows, length), strict=True)}
+
+
+def lines_removed(texts, run, chars, words=None, long_chars=None):
+    """{id: set of line numbers} of {id: text}; with words or long_chars shorter runs that are long, or a whole text, count too."""
     first, out = {}, {}
     for i in sorted(texts):
         norm = [x.strip(" \t\r") for x in texts[i].split("\n")]
         gone = set()
-        for s in range(len(norm) - run + 1):
-            g = tuple(norm[s : s + run])
-            if sum(map(len, g)) >= chars and first.setdefault(g, (i, s)) < (i, s):
-                gone.update(range(s, s + run))
+        for k in range(run if words is None and long_chars is None else 1, run + 1):
+            for s in range(len(norm) - k + 1):
+                g = tuple(norm[s : s + k])
+                n = sum(map(len, g))
+                counts = n >= chars and k in (run, len(norm))
+                if k < run:
+                    counts |= words is not None and len(" ".join(g).split()) >= words
+                    counts |= long_chars is not None and n >= long_chars
+                if counts and first.setdefault(g, (i, s)) < (i, s):
+                    gone.update(range(s, s + k))
         out[i] = gone
     return out
 

@@ -65,15 +65,26 @@ def test_near_duplicates_hard(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "One two"), (5, "one TWO"), (None, "one two"), (6, long), (7, long + "x"), (8, "solo words of its own stand here"), (8, "solo words of its own stand here"), (9, "one two"), (9, long)]
     got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash_dedup.near_duplicates(table(spark, rows)).collect()), key=str)
     n6 = len(brute.shingles(long))
-    # id 9 has both texts, so it joins the two groups; its own shingle counts are its texts'
-    joined = 4 if 100 * n6 >= 85 * len(brute.shingles(long + "x")) else None
     assert (1, 0, 1, True) in got and (2, 0, 2, True) in got and (3, 0, 3, True) in got
     assert (5, 1, 4, False) in got and (None, 1, None, True) in got
     assert got.count((8, 2, 8, True)) == 0 and sum(r[0] == 8 and r[3] for r in got) == 2
-    assert (6, n6, 4, False) in got and joined in (4, None)
+    # id 9 has two texts, each in its own group
+    assert (6, n6, 6, True) in got and (9, 1, 4, False) in got and (9, n6, 6, False) in got
     assert minhash_dedup.near_duplicates(table(spark, [])).count() == 0
 
 
+def test_near_duplicates_of_shared_ids(spark):
+    """A second text under an id takes no link away: 100 and 101 shingles are linked, whatever else id 1 has."""
+    rng = random.Random(8)
+    a = [f"w{k}" for k in range(104)]
+    other = [f"v{rng.randrange(10**6)}" for _ in range(200)]
+    rows = [(1, " ".join(a)), (2, " ".join([*a, "more"])), (1, " ".join(other)), (4, " ".join([*other, "tail"])), (4, " ".join(a))]
+    rows += [(i % 7, t) for i, t in mutated(3, copies=12)]
+    want = sorted((i, n, c, i == c) for (i, _), (n, c) in zip(rows, brute.row_components(rows, 85), strict=True))
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash_dedup.near_duplicates(table(spark, rows)).collect())
+    assert got == want and (2, 101, 1, False) in got
+
+
 def test_densified_signatures_agree_with_similarity():
     rng = np.random.default_rng(4)
     a = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
@@ -138,7 +149,7 @@ def check_repeats(df, texts, length):
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_repeats(spark, monkeypatch, seed, small):
     if small:  # many parts, ranges and segments, so that classes lie on boundaries
-        for name, value in {"PART_BYTES": 700, "RANGE_SUFFIXES": 40, "BUCKET_ANCHORS": 50, "SEGMENT": 120, "CHUNK": 100, "HELD_ANCHORS": 10}.items():
+        for name, value in {"PART_BYTES": 700, "RANGE_SUFFIXES": 40, "BUCKET_ANCHORS": 50, "SEGMENT": 120, "CHUNK": 100, "HELD_ANCHORS": 10, "HELD_SUFFIXES": 30, "SAMPLE_EACH": 2}.items():
             monkeypatch.setattr(suffix_dedup, name, value)
     rows = repeats_rows(seed)
     check_repeats(table(spark, rows), dict(rows), 50)
@@ -164,6 +175,38 @@ def test_repeats_hard(spark):
     assert suffix_dedup.remove_repeats(table(spark, [])).count() == 0
 
 
+def check_row_repeats(spark, rows):
+    want = {}
+    for (i, _), (b, gone) in zip(rows, brute.row_repeats(rows, 50), strict=True):
+        want.setdefault(i, []).append((len(b), bytes(x for x, g in zip(b, gone, strict=True) if not g)))
+    got = {}
+    for r in suffix_dedup.remove_repeats(table(spark, rows)).collect():
+        got.setdefault(r.doc_id, []).append((r.n_bytes, bytes(r.kept)))
+    assert {i: sorted(x) for i, x in got.items()} == {i: sorted(x) for i, x in want.items()}
+    return got
+
+
+def test_repeats_of_shared_ids(spark, monkeypatch):
+    rng = random.Random(4)
+    a, b = ("".join(rng.choice("abcdefghij ") for _ in range(209)) for _ in range(2))
+    got = check_row_repeats(spark, [(3, a), (5, a), (5, b), (9, "x" + b)])
+    assert sorted(n for n, _ in got[5]) == [209, 209] and (209, b.encode()) in got[5] and got[9] == [(210, b"x")]
+    for name, value in {"PART_BYTES": 700, "RANGE_SUFFIXES": 40, "BUCKET_ANCHORS": 50, "SEGMENT": 120, "CHUNK": 100, "HELD_ANCHORS": 10, "HELD_SUFFIXES": 30, "SAMPLE_EACH": 2}.items():
+        monkeypatch.setattr(suffix_dedup, name, value)
+    check_row_repeats(spark, [(i % 9, t) for i, t in repeats_rows(7)])
+
+
+def test_repeats_of_a_common_passage(spark, monkeypatch):
+    """One passage in most documents: all but the first lose it, however few suffixes a range takes."""
+    rng = random.Random(6)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(180))
+    rows = [(i, "".join(rng.choice("xyz") for _ in range(60)) + passage * (1 + i % 3) + str(i)) for i in range(300)]
+    check_row_repeats(spark, rows)
+    for name, value in {"PART_BYTES": 5000, "RANGE_SUFFIXES": 60, "BUCKET_ANCHORS": 50, "MOST_RANGES": 5, "SAMPLE_EACH": 2}.items():
+        monkeypatch.setattr(suffix_dedup, name, value)
+    check_row_repeats(spark, rows)
+
+
 def test_repeats_whole_characters(spark):
     rows = [(1, "aé" + "b" * 60), (2, "x" + "é" + "b" * 60)]
     one = "€" * 30
@@ -187,9 +230,9 @@ def test_multikey_order():
 
 
 def test_part_numbers(spark):
-    ids = [0, 1, -5, 2**62, -(2**63)]
-    got = spark.createDataFrame([(i,) for i in ids], "i long").select(F.pmod(F.xxhash64("i"), F.lit(7)).alias("p")).collect()
-    assert [r.p for r in got] == suffix_dedup.doc_parts(np.array(ids), 7).tolist()
+    rows = [(0, 5), (1, -1), (-5, 0), (2**62, 7), (-(2**63), 2**63 - 1)]
+    got = spark.createDataFrame(rows, "i long, h long").select(F.pmod(F.xxhash64("i", "h"), F.lit(7)).alias("p")).collect()
+    assert [r.p for r in got] == suffix_dedup.row_parts(*np.array(rows).T, 7).tolist()
 
 
 def lines_rows(seed):
@@ -223,28 +266,20 @@ def test_lines_hard(spark):
     assert line_dedup.line_dedup(table(spark, [])).count() == 0
 
 
+def test_lines_of_shared_ids(spark):
+    """A text under an id loses no line for what another text of the id holds."""
+    block = "\n".join(f"this is line {k} of a block" for k in range(3))
+    others = "\n".join(f"a line that stands once, number {k}" for k in range(6))
+    got = sorted((r.doc_id, r.text) for r in line_dedup.line_dedup(table(spark, [(3, block), (5, block), (5, others), (5, others)])).collect())
+    assert got == sorted([(3, block), (5, ""), (5, others), (5, others)])
+
+
 def test_lines_of_one_id(spark):
     text = "\n".join("the same line over and over again" for _ in range(6))
     got = line_dedup.line_dedup(table(spark, [(1, text), (1, text)])).collect()
     assert {hashlib.sha256(r.text.encode()).hexdigest() for r in got} == {hashlib.sha256(b"the same line over and over again").hexdigest()}
 
 
-def long_lines_removed(texts, words, chars):
-    """{id: set of line numbers}: runs of three lines, and of fewer where they are long or a whole text."""
-    first, out = {}, {}
-    for i in sorted(texts):
-        norm = [x.strip(" \t\r") for x in texts[i].split("\n")]
-        out[i] = set()
-        for k in (1, 2, 3):
-            for s in range(len(norm) - k + 1):
-                g = tuple(norm[s : s + k])
-                n = sum(map(len, g))
-                counts = n >= 40 and k in (3, len(norm)) or k < 3 and (n >= chars or len(" ".join(g).split()) >= words)
-                if counts and first.setdefault(g, (i, s)) < (i, s):
-                    out[i].update(range(s, s + k))
-    return out
-
-
 def test_long_lines(spark):
     rng = random.Random(5)
     passage, pair, glued = (" ".join(f"{x}{k}" for k in range(n)) for x, n in (("w", 50), ("v", 26), ("u", 49)))
@@ -254,7 +289,7 @@ def test_long_lines(spark):
     rows += [(7, short + " there"), (8, short + " there"), (9, f"i\n{short} there\nj"), (10, f"{short}\nand more"), (11, f"{short}\nand more"), (12, f"{short}\nand less"), (13, f"k\n{pair}\nl"), (14, "tiny"), (15, "tiny")]
     pool = [f"line number {k} with some words" for k in range(6)] + ["", passage, pair, glued, "}"]
     rows += [(100 + i, "\n".join(rng.choice(pool) for _ in range(rng.randrange(7)))) for i in range(60)]
-    gone = long_lines_removed(dict(rows), 50, 300)
+    gone = brute.lines_removed(dict(rows), 3, 40, 50, 300)
     assert [gone[i] for i in (2, 4, 6, 8, 9, 11, 12, 13, 15)] == [{1}, {1, 2}, {1}, {0}, set(), {0, 1}, set(), set(), set()]
     for r in line_dedup.line_dedup(table(spark, rows), long_words=50, long_chars=300).collect():
         lines = dict(rows)[r.doc_id].split("\n")
@@ -266,6 +301,6 @@ def test_long_lines_of_documents(spark):
     from hashloom.llm.queries import QUERIES
 
     texts = {r.doc_id: r.text for r in load(spark, "/root/testdata/sf0.01", "documents").collect()}
-    want = {i: len(x) for i, x in long_lines_removed(texts, 50, 300).items()}
+    want = {i: len(x) for i, x in brute.lines_removed(texts, 3, 40, 50, 300).items()}
     assert sum(want.values()) > sum(map(len, brute.lines_removed(texts, 3, 40).values()))
     assert {r.doc_id: r.n_removed for r in QUERIES["op2_line_dedup"](spark, "/root/testdata/sf0.01").collect()} == want

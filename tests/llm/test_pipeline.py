@@ -48,7 +48,7 @@ def test_toxic_documents_go(spark, stages):
 
 def test_lines(stages):
     before, after = texts(stages[1]), texts(stages[2])
-    gone = brute.lines_removed(before, 3, 40)
+    gone = brute.lines_removed(before, 3, 40, 50, 300)
     left = {i: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i]) for i, t in before.items()}
     assert after == {i: t for i, t in left.items() if t.strip(" ")}
 
