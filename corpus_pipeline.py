@@ -39,9 +39,13 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id."""
-    gone = near_duplicates(docs, percent=80).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select("doc_id", "text", "lang", "source", "n_chars")
+    """One document of each group of near-duplicates, the one with the smallest id.
+
+    A row goes by its own text: another text under the same id stays. Null and empty texts are in no group and stay.
+    """
+    gone = near_duplicates(docs, percent=80).where(~F.col("kept")).select("doc_id", F.col("text_xxhash64").alias("_xx")).distinct()
+    marked = docs.withColumn("_xx", F.xxhash64(F.coalesce("text", F.lit(""))))
+    return marked.join(gone, ["doc_id", "_xx"], "left_anti").select("doc_id", "text", "lang", "source", "n_chars")
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
