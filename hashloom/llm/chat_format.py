@@ -75,34 +75,27 @@ def fold(events) -> list[tuple[str, str]]:
     An event: (kind, target, role, text); a null target of a message is a new
     message, that of another kind the last one. Unknown kinds raise.
     """
-    order: list = []
-    state: dict = {}
+    state: dict = {}  # in the order of the messages; a target goes and comes without a search
     for n, (kind, target, role, text) in enumerate(events):
         kind, text = kind or "message", text or ""
         if kind not in KINDS:
             raise ValueError(f"unknown event kind {kind!r}")
         if target is None:
-            target = ("#", n) if kind == "message" or not order else order[-1]
+            target = ("#", n) if kind == "message" or not state else next(reversed(state))
         if kind == "regenerate" and target in state:
-            at = order.index(target)
             role = role or state[target][0]
-            for gone in order[at:]:
-                del state[gone]
-            del order[at:]
+            while state.popitem()[0] != target:
+                continue
         if kind == "delete":
-            if target in state:
-                order.remove(target)
-                del state[target]
-            continue
-        if target not in state:
-            order.append(target)
+            state.pop(target, None)
+        elif target not in state:
             state[target] = [role or "", [text]]
         elif kind == "delta":
             state[target][0] = role or state[target][0]
             state[target][1].append(text)
         else:
             state[target] = [role or state[target][0], [text]]
-    return [(state[t][0], "".join(state[t][1])) for t in order]
+    return [(role, "".join(texts)) for role, texts in state.values()]
 
 
 def format_chats(events: DataFrame) -> DataFrame:

@@ -28,18 +28,26 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 SEQUENCES = 1 << 36
 
 
+#: Texts on which the fast engine must give the file's ids: contractions, runs of blanks, digits, scripts, marks, controls.
+PROBES = (
+    "It's  a pr\u00f6be\n\n of 12345 things,\tthey'll say: \u00ab\u00e9t\u00e9\u00bb \u65e5\u672c\u8a9e \U0001f600 #$%  \n x",
+    "I'VE you're  'tis 'S\u2019s don't\u00a0\u00a0stop \u3000 \u200b\u2028 e\u0301 \u0e01\u0e33 \u0939\u093f\u0902\u0926\u0940 \u0661\u0662\u0663 \u00bd\u2167",
+    " lead and trail \r\n\r\n\t\t \x00\x1f\x7f\ufffd ___---===+++ aaaaaaaaaaaaaaaaaaaaaaaa AAAA1234567890aaaa https://a.b/c?d=e&f",
+    "<|endoftext|>a <|endoftext|> b<|endoftext|><|end of text|><|endoftext|",
+)
+
+
 @functools.lru_cache(maxsize=2)
 def byte_bpe(path: str):
-    """Ids of a text under the byte-level BPE file at ``path`` (the vocabulary of a ``tokenizers`` file).
+    """Ids of a text under the byte-level BPE file at ``path``, as the library's encode(text, add_special_tokens=False) gives them.
 
-    The vocabulary's ids are its merge ranks, so the ranks engine gives the
-    file's own ids several times faster; a probe text is compared at start and
-    the slower engine used if they differ. Special-token strings in a text are ordinary text.
+    So the strings of the file's special tokens are these tokens, as the file has it. The
+    vocabulary's ids are its merge ranks, so the ranks engine gives the ids of what stands between special tokens
+    several times faster; PROBES are compared at start and the library's own engine used if they differ.
     """
     from tokenizers import Tokenizer
 
     slow = Tokenizer.from_file(path)
-    slow.encode_special_tokens = True
 
     def by_file(text: str) -> list[int]:
         return slow.encode(text, add_special_tokens=False).ids
@@ -49,15 +57,20 @@ def byte_bpe(path: str):
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
-            vocab = json.load(f)["model"]["vocab"]
+            given = json.load(f)
+        vocab, special = given["model"]["vocab"], {t["content"]: t["id"] for t in given["added_tokens"]}
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         back = {chr(b): b for b in shown} | {chr(256 + n): b for n, b in enumerate(b for b in range(256) if b not in shown)}
-        ranks = {bytes(back[c] for c in token): i for token, i in vocab.items() if all(c in back for c in token) and token != "<|endoftext|>"}
-        fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        ranks = {bytes(back[c] for c in token): i for token, i in vocab.items() if all(c in back for c in token) and token not in special}
+        engine = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     except (ImportError, KeyError):
         return by_file
-    probe = "It's  a pröbe\n\n of 12345 things,\tthey'll say: «été» 日本語 😀 #$%  \n x"
-    return fast if fast(probe) == by_file(probe) else by_file
+
+    def fast(text: str) -> list[int]:
+        return by_file(text) if any(s in text for s in special) else engine.encode_ordinary(text)
+
+    # the last probe's pieces go through the engine too
+    return fast if all(fast(p) == by_file(p) for p in (*PROBES, *PROBES[-1].split("<|endoftext|>"))) else by_file
 
 
 def cut_lengths(n: int, capacity: int, cuts: int) -> list[int]:

@@ -137,8 +137,8 @@ def labelled_rows(df: DataFrame, labels: DataFrame, id_col: str, text_col: str,
         .orderBy(F.xxhash64("_id"), "_id").limit(max_train)
     )
     rows = df.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
-    # at most max_train ids of 12 bytes
-    labelled = rows.join(F.broadcast(ids), "_id").select("_id", "_toxic", "_text")
+    # at most max_train ids of 12 bytes; of an id's several texts the least, so rows are as bounded as ids
+    labelled = rows.join(F.broadcast(ids), "_id").groupBy("_id", "_toxic").agg(F.min("_text").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -190,6 +190,10 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     Features are counted and chosen by Spark; the driver gets the counts of the
     chosen ones in at most ``max_train`` rows.
+
+    Null ids or labels: left out. An id with several labels: toxic if one is; with several
+    texts: its least text. Null, empty or wordless texts: rows without features. No row, or rows of one
+    label only: a model that gives 0 to all. Ties among hashes of ids: by id. Extra columns are not read.
     """
     scratch = Scratch(df.sparkSession, "toxicity")
     rows = scratch.write(labelled_rows(df, labels, id_col, text_col, max_train), "rows")
@@ -213,7 +217,8 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
 
     Null, empty or wordless text: the score of no words. Null id: scored, null
     doc_id. Without a usable label every row gets 0. Repeated rows: scored
-    alike. Empty table: no rows. Extra columns are not read unless carried.
+    alike. Very long texts: counted a text at a time, memory in proportion to its words. Ties at 0.5: toxic.
+    Empty table: no rows. Extra columns are not read unless carried.
     """
     chosen = df.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"), *(F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)))
 

@@ -67,8 +67,11 @@ def test_exact_dedup_hard(spark, hard, empty):
 @pytest.mark.parametrize("runs", [1, 2, 5, 64, 300])
 def test_tree_merge_levels(spark, runs):
     rows = spark.range(1000).select(F.col("id").alias("_id"), (F.col("id") % 10).cast("string").alias("_sha"), F.lit(1).alias("_len"), F.lit(1).alias("_xx"), F.pmod(F.xxhash64("id"), F.lit(runs)).alias("_run"))
-    got = exact_dedup.tree_merge(rows, runs, fan_in=2).collect()
-    assert sorted((r._sha, r._keep, r._size) for r in got) == [(str(k), k, 100) for k in range(10)]
+    got = exact_dedup.tree_merge(rows, runs, fan_in=2)
+    assert sorted((r._sha, r._keep, r._size) for r in got.collect()) == [(str(k), k, 100) for k in range(10)]
+    assert "SortAggregate" in got._jdf.queryExecution().executedPlan().toString()
+    most = exact_dedup.tree_merge(rows, runs, fan_in=2, keep="max").collect()
+    assert sorted((r._sha, r._keep, r._size) for r in most) == [(str(k), 990 + k, 100) for k in range(10)]
 
 
 def test_license_base(docs, texts):
@@ -204,6 +207,25 @@ def test_packing_hard(spark, hard, empty):
     assert packing.pack(empty, PATH).count() == 0
 
 
+def test_packing_special_strings(spark):
+    """A special token's string in a text is that token, as the library's call has it."""
+    made = {1: "a <|endoftext|> b", 2: "<|endoftext|>", 3: "x<|endoftext|><|endoftext|>y" * 200, 4: "<|endoftext", 5: "<|ENDOFTEXT|> <s> </s>"}
+    rows = packing.pack(spark.createDataFrame(list(made.items()), "doc_id long, text string"), PATH).collect()
+    check_packing(rows, made)
+    assert packing.byte_bpe(PATH)(made[1]) == [64, 220, 50256, 275]
+
+
+def test_ids_are_the_files():
+    from tokenizers import Tokenizer
+
+    rng = random.Random(11)
+    parts = [*packing.PROBES, "'s", "'LL", " ", "\n", "\t", "\u00a0", "\u3000", "\u0e01", "7", "42", "\u00e9", "e\u0301", "\u4e2d", "<|endoftext|>", "the", "The", "_", "\U0001f468\u200d\U0001f469"]
+    t, ids = Tokenizer.from_file(PATH), packing.byte_bpe(PATH)
+    for _ in range(400):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(12)))
+        assert ids(text) == t.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("n", [1, 2, 511, 1000, 1023, 1024, 1025, 5000])
 def test_cuts(n):
     lengths = packing.cut_lengths(n, 1024, 3)
