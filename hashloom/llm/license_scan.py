@@ -1,62 +1,62 @@
 """License scans by diagonal voting (DataFrame operations only).
 
 All rolling word pairs of every text join the template positions that hold the
-same pair (the templates are constants, so their side is broadcast with a
-known size). A hit at text word i and template word j votes for the diagonal
-i - j. Votes are summed per diagonal; neighbouring diagonals of one template
-merge, which bridges inserted and missing words; a merged span counts if it
-covers enough of the template within a bounded length. Phrases are short
-templates that must stand unbroken on one diagonal.
+same pair. A hit at text word i and template word j votes for the diagonal
+i - j. Votes are summed per diagonal, and a diagonal with less than one in MINOR of a long template's pairs is
+noise; neighbouring diagonals of one template
+merge, which bridges inserted and missing words. A diagonal, or the span of merged ones, is verified: it counts if
+it covers enough of the template within a bounded length and holds every deciding pair (the version, the
+word that tells one license from the other). Spans that overlap compete: the one with the most votes stays.
+Phrases are short templates that must stand unbroken on one diagonal, and don't compete.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ascii_lower
-
-#: Phrases whose every place is reported, with their labels.
-PHRASES = (
-    ("cc by", "cc-by"),
-    ("general public license", "gpl"),
-    ("all rights reserved", "reserved"),
-)
-
-#: Wording of public license notices, with their labels.
-NOTICES = (
-    ("released under the mit license", "mit"),
-    ("permission is hereby granted free of charge to any person obtaining a copy of this software", "mit"),
-    ("licensed under the apache license version 2 0", "apache-2.0"),
-    ("licensed under the gnu general public license version 3", "gpl-3.0"),
-    ("licensed under the gnu general public license version 2", "gpl-2.0"),
-    ("licensed under the gnu lesser general public license", "lgpl"),
-    ("licensed under the gnu affero general public license", "agpl"),
-    ("redistribution and use in source and binary forms with or without modification are permitted", "bsd"),
-    ("subject to the terms of the mozilla public license v 2 0", "mpl-2.0"),
-    ("permission to use copy modify and or distribute this software for any purpose", "isc"),
-    ("licensed under a creative commons attribution 4 0 international license", "cc-by"),
-    ("licensed under a creative commons attribution sharealike 4 0 international license", "cc-by-sa"),
-    ("dedicated to the public domain under the cc0 1 0 universal", "cc0"),
-)
+from .license_templates import PHRASES, templates
 
 WORD_BREAK = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
-#: A template pair of two such words says nothing about a license and isn't indexed.
-STOP = {"a", "and", "any", "are", "by", "for", "in", "is", "of", "or", "the", "this", "to", "under", "use", "with", "without"}
+#: A template pair of two such words says nothing about a license and isn't indexed; in a long template, a pair with one.
+STOP = {"a", "an", "and", "any", "are", "as", "be", "by", "for", "from", "in", "is", "it", "may", "not", "of", "on", "or", "that", "the", "this", "to", "under", "use", "with", "without"}
+#: A template of so many words is long.
+LONG = 25
+#: A diagonal of a long template needs one in so many of its pairs.
+MINOR = 20
+#: Template positions up to which they are broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 50_000
+
+HIT = "template int, phrase boolean, label string, size int, indexed int, need array<int>, j int, g1 string, g2 string"
+
 
-HIT = "template int, phrase boolean, label string, size int, indexed int, j int, g1 string, g2 string"
+def plain_words(text: str) -> list[str]:
+    """The words of a template, as ``words_of`` has those of a column."""
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    return [w for w in re.split(WORD_BREAK, lower) if w]
 
 
-def template_pairs(phrases=PHRASES, notices=NOTICES) -> list[tuple]:
-    """One row per indexed template position."""
+def template_pairs(phrases=PHRASES, notices=None) -> list[tuple]:
+    """One row per indexed template position: (template, phrase, label, words, indexed pairs, deciding pairs, j, word, next word)."""
     rows = []
-    for t, (text, label, phrase) in enumerate([(*p, True) for p in phrases] + [(*n, False) for n in notices]):
-        words = text.split()
+    given = [(label, (), text, True) for text, label in phrases] + [(*n, False) for n in (templates() if notices is None else notices)]
+    for t, (label, deciding, text, phrase) in enumerate(given):
+        words = plain_words(text)
         if len(words) < 2:
             raise ValueError(f"a template needs two words: {text!r}")
-        pairs = [(j, *p) for j, p in enumerate(zip(words, words[1:], strict=False)) if phrase or not {*p} <= STOP]
-        rows += [(t, phrase, label, len(words), len(pairs), j, a, b) for j, a, b in pairs]
+        need = set()
+        for d in map(plain_words, deciding):
+            at = [j for j in range(len(words)) if words[j : j + len(d)] == d]
+            if not at or len(d) < 2:
+                raise ValueError(f"{' '.join(d)!r} must be words of {text!r}")
+            need.update(range(at[0], at[0] + len(d) - 1))
+        few = len(words) < LONG
+        pairs = [(j, *p) for j, p in enumerate(zip(words, words[1:], strict=False)) if phrase or j in need or len({*p} & STOP) <= (len({*p}) - 1 if few else 0)]
+        rows += [(t, phrase, label, len(words), len(pairs), sorted(need), j, a, b) for j, a, b in pairs]
     return rows
 
 
@@ -64,40 +64,62 @@ def words_of(text):
     return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), WORD_BREAK), "")
 
 
-def license_hits(df: DataFrame, id_col="doc_id", text_col="text", phrases=PHRASES, notices=NOTICES, slack: int = 2, coverage: float = 0.75) -> DataFrame:
-    """Verified spans: _id, _xx, phrase, label, first (its first word), last (its last word), share (of the template's pairs)."""
+def license_hits(df: DataFrame, id_col="doc_id", text_col="text", phrases=PHRASES, notices=None, slack: int = 2, coverage: float = 0.75) -> DataFrame:
+    """Verified spans: _id, _xx, phrase, label, first (its first word), last (its last word), share (of the template's pairs).
+
+    Null or empty text: no spans. Repeated rows (same id and text) vote once. Empty table: no rows.
+    """
     spark = df.sparkSession
-    pairs = spark.createDataFrame(template_pairs(phrases, notices), HIT).withColumn("h", F.xxhash64("g1", "g2"))
+    rows = template_pairs(phrases, notices)
+    pairs = spark.createDataFrame(rows, HIT).withColumn("h", F.xxhash64("g1", "g2"))
+    if len(rows) <= BROADCAST_ROWS:
+        pairs = F.broadcast(pairs)
     docs = df.select(F.col(id_col).alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_xx"), words_of(F.col(text_col)).alias("_words"))
-    grams = docs.select("_id", "_xx", "_words", F.posexplode("_words").alias("i", "w")).select("_id", "_xx", "i", "w", F.get("_words", F.col("i") + 1).alias("v"))
+    two = F.arrays_zip(F.col("_words").alias("w"), F.slice("_words", F.lit(2), F.size("_words")).alias("v"))
+    grams = docs.where(F.size("_words") > 1).select("_id", "_xx", F.posexplode(two).alias("i", "p")).select("_id", "_xx", "i", F.col("p.w").alias("w"), F.col("p.v").alias("v"))
+    key = ["_id", "_xx", "template", "phrase", "label", "size", "indexed", "need"]
     votes = (
         grams.withColumn("h", F.xxhash64("w", "v"))
-        .join(F.broadcast(pairs), "h")
+        .join(pairs, "h")
         .where((F.col("w") == F.col("g1")) & (F.col("v") == F.col("g2")))
-        .select("_id", "_xx", "template", "phrase", "label", "size", "indexed", "j", (F.col("i") - F.col("j")).alias("diag"))
-        .distinct()  # repeated rows vote once
+        .select(*key, "j", (F.col("i") - F.col("j")).alias("diag"))
     )
-    key = ["_id", "_xx", "template", "phrase", "label", "size", "indexed"]
-    diagonals = votes.groupBy(*key, "diag").agg(F.collect_set("j").alias("js"), F.min("j").alias("lo"), F.max("j").alias("hi"))
+    # a set of positions, so repeated rows vote once
+    diagonals = votes.groupBy(*key, "diag").agg(F.array_sort(F.collect_set("j")).alias("js"))
+    diagonals = diagonals.where(F.col("phrase") | (F.col("size") < LONG) | (F.size("js") * MINOR >= F.col("indexed")))
     along = Window.partitionBy("_id", "_xx", "template").orderBy("diag")
-    apart = F.col("phrase") | F.lag("diag").over(along).isNull() | (F.col("diag") - F.lag("diag").over(along) > slack)
+    reach = F.greatest(F.lit(slack), F.floor(F.col("size") / 20))
+    apart = F.col("phrase") | F.lag("diag").over(along).isNull() | (F.col("diag") - F.lag("diag").over(along) > reach)
+    one = F.struct((F.col("diag") + F.element_at("js", 1)).alias("first"), (F.col("diag") + F.element_at("js", -1) + 1).alias("last"), "js")
     merged = (
-        diagonals.withColumn("new", F.when(apart, 1).otherwise(0))
-        .withColumn("run", F.sum("new").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        diagonals.withColumn("run", F.sum(F.when(apart, 1).otherwise(0)).over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
         .groupBy(*key, "run")
-        .agg(
-            F.size(F.array_distinct(F.flatten(F.collect_list("js")))).alias("got"),
-            F.min(F.col("diag") + F.col("lo")).alias("first"),
-            F.max(F.col("diag") + F.col("hi") + 1).alias("last"),
-        )
+        .agg(F.collect_list(one).alias("ds"))
     )
-    share = F.col("got") / F.col("indexed")
-    whole = F.col("phrase") & (F.col("got") == F.col("indexed"))
-    near = ~F.col("phrase") & (share >= coverage) & (F.col("last") - F.col("first") < 1.5 * F.col("size") + slack)
-    return merged.where(whole | near).select("_id", "_xx", "phrase", "label", "first", "last", share.alias("share"))
-
-
-def license_scan(df: DataFrame, id_col="doc_id", text_col="text", phrases=PHRASES, notices=NOTICES, slack: int = 2, coverage: float = 0.75) -> DataFrame:
+    whole = F.struct(F.array_min("ds.first").alias("first"), F.array_max("ds.last").alias("last"), F.array_distinct(F.flatten("ds.js")).alias("js"))
+    spans = merged.select(*key, F.explode(F.when(F.size("ds") > 1, F.array_append("ds", whole)).otherwise(F.col("ds"))).alias("d")).select(*key, "d.*")
+    share = F.size("js") / F.col("indexed")
+    enough = (share >= coverage) & (F.col("last") - F.col("first") < 1.5 * F.col("size") + slack) & (F.size(F.array_except("need", "js")) == 0)
+    hits = spans.where(F.when(F.col("phrase"), share == 1).otherwise(enough)).withColumn("share", share).withColumn("votes", F.size("js"))
+    found = ["_id", "_xx", "phrase", "label", "first", "last", "share"]
+    return _best(hits).select(*found)
+
+
+def _best(hits: DataFrame) -> DataFrame:
+    """Of spans that overlap (phrases aside), the one with the most votes, and those that do not overlap it."""
+    doc = Window.partitionBy("_id", "_xx", "phrase")
+    along = doc.orderBy("first", "last", "template")
+    before = F.max("last").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    chain = F.sum(F.when(before.isNull() | (F.col("first") > before), 1).otherwise(0)).over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    chained = hits.withColumn("chain", chain)
+    best = F.max(F.struct("votes", "share", -F.col("first"), -F.col("template"), F.col("first").alias("from"), F.col("last").alias("to"), "template")).over(Window.partitionBy("_id", "_xx", "phrase", "chain"))
+    held = chained.withColumn("best", best)
+    own = (F.col("template") == F.col("best.template")) & (F.col("first") == F.col("best.from")) & (F.col("last") == F.col("best.to"))
+    clear = (F.col("first") > F.col("best.to")) | (F.col("last") < F.col("best.from"))
+    return held.where(F.col("phrase") | own | clear)
+
+
+def license_scan(df: DataFrame, id_col="doc_id", text_col="text", phrases=PHRASES, notices=None, slack: int = 2, coverage: float = 0.75) -> DataFrame:
     """Per input row: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     n_base counts every place where a phrase stands; first_word and last_word
@@ -107,7 +129,9 @@ def license_scan(df: DataFrame, id_col="doc_id", text_col="text", phrases=PHRASE
 
     Null or empty text: no words, empty labels. Repeated rows (same id and
     text): each is returned with the same figures. Rows of one id with
-    different texts are told apart by their texts. Null id: a value like any other. Empty table:
+    different texts are told apart by their texts. Null id: a value like any other. Very long texts:
+    their words are one array in a task. Ties between overlapping spans: the greater share, then the earlier, then the
+    earlier template. ``notices``: templates as in ``license_templates``, by default all of these. Empty table:
     no rows. Extra columns are not read, whatever their names.
     """
     hits = license_hits(df, id_col, text_col, phrases, notices, slack, coverage)

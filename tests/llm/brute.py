@@ -110,3 +110,41 @@ def license_base(text):
         p = phrase.split()
         found += [(i, label) for i in range(len(words) - len(p) + 1) if words[i : i + len(p)] == p]
     return len(words), [i for i, _ in found], sorted({x for _, x in found})
+
+
+def license_spans(text, rows, slack=2, coverage=0.75, long=25, minor=20):
+    """{(label, first, last, share)} of the notices found in a text, by voting over all pairs of positions; rows: template_pairs()."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(LOWER))
+    hits = []
+    for t in sorted({r[0] for r in rows if not r[1]}):
+        mine = [r for r in rows if r[0] == t]
+        _, _, label, size, indexed, need, *_ = mine[0]
+        diagonals: dict = {}
+        for i in range(len(words) - 1):
+            for r in mine:
+                if (r[7], r[8]) == (words[i], words[i + 1]):
+                    diagonals.setdefault(i - r[6], set()).add(r[6])
+        kept = [(d, js) for d, js in sorted(diagonals.items()) if size < long or len(js) * minor >= indexed]
+        groups: list = []
+        for d, js in kept:
+            if groups and d - groups[-1][-1][0] <= max(slack, size // 20):
+                groups[-1].append((d, js))
+            else:
+                groups.append([(d, js)])
+        for g in groups:
+            spans = [(d + min(js), d + max(js) + 1, js) for d, js in g]
+            if len(g) > 1:
+                spans.append((min(x[0] for x in spans), max(x[1] for x in spans), set().union(*(x[2] for x in spans))))
+            for first, last, js in spans:
+                if len(js) / indexed >= coverage and last - first < 1.5 * size + slack and set(need) <= js:
+                    hits.append((first, last, t, label, len(js), len(js) / indexed))
+    out, chain, end = set(), [], None
+    for h in [*sorted(set(hits)), None]:
+        if chain and (h is None or h[0] > end):
+            best = max(chain, key=lambda x: (x[4], x[5], -x[0], -x[2]))
+            out |= {(x[3], x[0], x[1], x[5]) for x in chain if x == best or x[0] > best[1] or x[1] < best[0]}
+            chain, end = [], None
+        if h is not None:
+            chain.append(h)
+            end = h[1] if end is None else max(end, h[1])
+    return out

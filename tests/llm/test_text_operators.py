@@ -9,7 +9,7 @@ import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from hashloom.llm import exact_dedup, license_scan, packing, quality_rules, toxicity
+from hashloom.llm import exact_dedup, license_scan, license_templates, packing, quality_rules, toxicity
 from hashloom.llm.common import load
 
 from . import brute
@@ -90,6 +90,23 @@ def test_license_notices(spark, hard, empty):
     }
     got = {r.doc_id: r for r in license_scan.license_scan(spark.createDataFrame(list(cases.items()), "doc_id long, text string")).collect()}
     assert [got[i].labels for i in range(1, 8)] == ["mit", "apache-2.0", "", "mit", "reserved", "", "gpl"]
+    texts = license_templates
+    labels = {
+        "licensed under the gnu general public license version 3": "gpl,gpl-3.0",
+        "licensed under the GNU General Public License, version 2 of it": "gpl,gpl-2.0",
+        "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "cc-by-sa",
+        "licensed under a Creative Commons Attribution 4.0 International License": "cc-by",
+        "Apache License Version 2.0": "apache-2.0",
+        "// SPDX-License-Identifier: MIT": "mit",
+        "SPDX-License-Identifier: CC-BY-SA-4.0": "cc-by,cc-by-sa",
+        "MIT License MIT License MIT License": "mit",
+        "this is free and the license is in the file": "",
+        **{text: label for label, _, text in (texts.TEXTS[2], texts.TEXTS[4], texts.TEXTS[5], texts.TEXTS[7], texts.TEXTS[10], texts.TEXTS[12])},
+        texts.TEXTS[5][2].replace("the copyright holder nor", "the University of Anywhere nor").replace("1.", "*"): "bsd-3-clause",
+    }
+    rows = license_scan.license_scan(spark.createDataFrame(list(enumerate(labels)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.labels for r in rows} == dict(enumerate(labels.values()))
+    assert all((r.score > 0.75) == bool(r.labels) for r in rows)
     assert got[5].n_base == 1 and got[5].first_word == 5
     assert got[3].score == 0.0
     rows = license_scan.license_scan(hard).collect()
@@ -100,6 +117,31 @@ def test_license_notices(spark, hard, empty):
     assert license_scan.license_scan(empty).count() == 0
 
 
+def test_license_votes(spark, docs, texts):
+    """Labels and spans against voting over all pairs of positions, on mangled templates and on the documents."""
+    rng = random.Random(9)
+    given = license_templates.templates()
+    made = {}
+    for i in range(80):
+        words = []
+        for _ in range(rng.randrange(1, 4)):
+            body = rng.choice(given)[2].split()
+            for _ in range(rng.choice([0, 0, 1, 2, 5])):
+                at = rng.randrange(len(body))
+                body[at : at + rng.randrange(2)] = rng.choice([[], ["inserted"], ["two", "words"], ["the"], ["version"]])
+            words += body + [rng.choice(["software", "license", "x", "of the"]) for _ in range(rng.randrange(6))]
+        made[10**6 + i] = " ".join(words)
+    made |= {i: t for i, t in texts.items() if len(t or "") < 6000}
+    rows = license_scan.template_pairs()
+    df = spark.createDataFrame(list(made.items()), "doc_id long, text string")
+    got: dict = {}
+    for r in license_scan.license_hits(df).where("NOT phrase").collect():
+        got.setdefault(r._id, set()).add((r.label, r.first, r.last, r.share))
+    want = {i: brute.license_spans(t or "", rows) for i, t in made.items()}
+    assert got == {i: x for i, x in want.items() if x}
+    assert sum(len(x) for x in want.values()) > 80
+
+
 def test_statistics(docs, texts):
     for r in quality_rules.statistics(docs).collect():
         assert tuple(r[c] for c in quality_rules.STATS) == brute.statistics(texts[r.doc_id] or "")
