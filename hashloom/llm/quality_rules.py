@@ -1,19 +1,24 @@
 """Quality rules: base limits, then robust multivariate outliers.
 
 Text statistics of whole texts are computed once per document. Within each
-(language, source) group a minimum-covariance-determinant estimate is found by
-concentration steps from a median start: the h rows nearest to the current
-centre give the next centre and covariance. All rows of a group take part in
-every step; medians and h-quantiles come from counts on a fine grid, so a step
+(language, source) group a minimum-covariance-determinant estimate is found by concentration steps: the h
+rows nearest to the current centre give the next centre and covariance, which never makes the
+determinant larger. Several starts (medians and spreads, all rows, and thirds of the rows chosen by a hash) go through
+the first steps side by side; the one with the least determinant goes on until its determinant
+stays. The estimate is scaled so that the median distance is that of the chi-square distribution, and taken once more
+from the rows within that distribution's 97.5 % point (the usual reweighting).
+
+All rows of a group take part in every step; medians and h-quantiles come from counts on a fine grid, so a step
 is two aggregations with map-side combining and no group is ever gathered, and
 parameters stay in a table joined on the group (Spark broadcasts it only below
 its own size threshold). Rows whose squared Mahalanobis distance exceeds the
-cutoff are rejected. Groups below ``min_rows`` use their language's estimate.
+chi-square quantile of ``tail`` are rejected. Groups below ``min_rows`` use their language's estimate.
 """
 
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,9 +34,21 @@ SYMBOL[list(b"#*$%&|<>")] = True
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 #: Transformed statistics, and the least standard deviation that an estimate may have in each.
 VECTOR = {"x_word": 0.08, "x_symbol": 0.15, "x_dup": 0.2, "x_repeat": 0.2}
-#: Fixed value: the median of the chi-square distribution with 4 degrees of freedom.
-CHI2_MEDIAN = 3.3567
 GRID = 1000.0
+#: Starts beside medians and all rows: the rows are split by a hash into so many parts.
+THIRDS = 3
+#: Steps that all starts take, and at most that the best one takes.
+FIRST_STEPS, MOST_STEPS = 2, 12
+
+
+def chi2_quantile(share: float, degrees: int = len(VECTOR)) -> float:
+    """Quantile of the chi-square distribution with an even number of degrees of freedom, by bisection of its closed form."""
+    lo, hi = 0.0, 1000.0
+    for _ in range(200):
+        x = (lo + hi) / 4  # half of the middle
+        upper = math.exp(-x) * sum(x**k / math.factorial(k) for k in range(degrees // 2))
+        lo, hi = (2 * x, hi) if upper > 1 - share else (lo, 2 * x)
+    return lo
 
 
 def text_statistics(b: np.ndarray, starts: np.ndarray, window: int = 8) -> np.ndarray:
@@ -122,25 +139,29 @@ def _quantiles(rows: DataFrame, value: str, share: float, name: str, by=("_grp",
     return ranked.where(F.col("_upto") >= F.ceil(F.col("_all") * share)).groupBy(*by).agg((F.min("_bin") / GRID).alias(name))
 
 
-def _cholesky(get) -> dict:
-    """Columns l_i_j of the lower Cholesky factor of the matrix whose entries get(i, j) gives, row by row."""
-    names, out = list(VECTOR), {}
-    for i in range(len(names)):
+def _factored(moments: DataFrame) -> DataFrame:
+    """moments (m_i, c_i_j) with the lower Cholesky factor l_i_j of the covariance, and ``log_det``, the logarithm of its determinant.
+
+    A variance is at least the square of VECTOR's floor.
+    """
+    floors, p = list(VECTOR.values()), len(VECTOR)
+    for i in range(p):
         for j in range(i + 1):
             dot = functools.reduce(lambda a, b: a + b, (F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}") for k in range(j)), F.lit(0.0))
-            rest = get(i, j) - dot
-            out[f"l_{i}_{j}"] = F.sqrt(F.greatest(rest, F.lit(1e-9))) if i == j else rest / F.col(f"l_{j}_{j}")
-    return out
+            c = F.greatest(F.col(f"c_{i}_{j}"), F.lit(floors[i] ** 2)) if i == j else F.col(f"c_{i}_{j}")
+            entry = F.sqrt(F.greatest(c - dot, F.lit(1e-9))) if i == j else (c - dot) / F.col(f"l_{j}_{j}")
+            moments = moments.withColumn(f"l_{i}_{j}", entry)
+    return moments.withColumn("log_det", functools.reduce(lambda a, b: a + b, (2 * F.log(f"l_{i}_{i}") for i in range(p))))
 
 
-def _with_factor(params: DataFrame, get) -> DataFrame:
-    for name, col in _cholesky(get).items():
-        params = params.withColumn(name, col)
-    return params
+def _moments(rows: DataFrame, *by: str) -> DataFrame:
+    names = list(VECTOR)
+    pairs = [(i, j) for i in range(len(names)) for j in range(i + 1)]
+    return rows.groupBy(*by).agg(*(F.avg(x).alias(f"m_{i}") for i, x in enumerate(names)), *(F.covar_pop(names[i], names[j]).alias(f"c_{i}_{j}") for i, j in pairs))
 
 
-def _distance(rows: DataFrame, params: DataFrame) -> DataFrame:
-    """rows with _d2, the squared Mahalanobis distance under their group's parameters."""
+def _distance(rows: DataFrame, params: DataFrame, *by: str) -> DataFrame:
+    """rows with _d2, the squared Mahalanobis distance under their group's parameters; one row for each of a group's starts if ``by`` has them."""
     joined = rows.join(params, "_grp")
     names = list(VECTOR)
     for i, x in enumerate(names):
@@ -149,39 +170,59 @@ def _distance(rows: DataFrame, params: DataFrame) -> DataFrame:
             part = part - F.col(f"l_{i}_{k}") * F.col(f"y_{k}")
         joined = joined.withColumn(f"y_{i}", part / F.col(f"l_{i}_{i}"))
     total = functools.reduce(lambda a, b: a + b, (F.col(f"y_{i}") * F.col(f"y_{i}") for i in range(len(names))))
-    return joined.select(*rows.columns, total.alias("_d2"))
+    return joined.select(*rows.columns, *by, total.alias("_d2"))
 
 
-def mcd_estimate(rows: DataFrame, scratch: Scratch, share: float = 0.75, steps: int = 5) -> tuple[DataFrame, DataFrame]:
-    """The groups' minimum-covariance-determinant estimates from rows (_grp and VECTOR): (parameters, _grp with _scale).
+def _concentrated(rows: DataFrame, params: DataFrame, share: float, *by: str) -> DataFrame:
+    """One step: the parameters of the ``share`` of each group's rows that are nearest under ``params``; ties at the limit count as inside."""
+    key = ["_grp", *by]
+    far = _distance(rows, params, *by).withColumn("_log", F.log1p("_d2"))
+    limit = _quantiles(far, "_log", share, "_limit", tuple(key))
+    kept = far.join(limit, key).where(F.round(F.col("_log") * GRID) <= F.round(F.col("_limit") * GRID))
+    return _factored(_moments(kept, *key))
 
-    The covariance is scaled so that the median distance is the chi-square
-    median, and a variance is at least the square of VECTOR's floor.
-    """
-    names, floors = list(VECTOR), list(VECTOR.values())
+
+def _starts(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """Parameters of every start (_grp, _start): 0 medians and spreads, 1 all rows, then those of each third."""
+    names = list(VECTOR)
     long = rows.select("_grp", F.explode(F.array(*(F.struct(F.lit(i).alias("k"), F.col(x).alias("v")) for i, x in enumerate(names)))).alias("p")).select("_grp", "p.k", "p.v")
     middle = scratch.write(_quantiles(long, "v", 0.5, "m", ("_grp", "k")), "middle")
     off = long.join(middle, ["_grp", "k"]).select("_grp", "k", F.abs(F.col("v") - F.col("m")).alias("v"))
     spread = _quantiles(off, "v", 0.5, "s", ("_grp", "k"))
-    start = middle.join(spread, ["_grp", "k"]).groupBy("_grp").agg(
+    robust = middle.join(spread, ["_grp", "k"]).groupBy("_grp").agg(
         *(F.max(F.when(F.col("k") == i, F.col("m"))).alias(f"m_{i}") for i in range(len(names))),
-        *(F.max(F.when(F.col("k") == i, F.col("s") * 1.4826)).alias(f"s_{i}") for i in range(len(names))),
-    )
-    params = _with_factor(start, lambda i, j: F.greatest(F.col(f"s_{i}") * F.col(f"s_{i}"), F.lit(floors[i] ** 2)) if i == j else F.lit(0.0))
-    params = scratch.write(params, "params0")
-    for step in range(1, steps + 1):
-        far = _distance(rows, params).withColumn("_log", F.log1p("_d2"))
-        limit = _quantiles(far, "_log", share, "_limit")
-        kept = far.join(limit, "_grp").where(F.round(F.col("_log") * GRID) <= F.round(F.col("_limit") * GRID))
-        moments = kept.groupBy("_grp").agg(
-            *(F.avg(x).alias(f"m_{i}") for i, x in enumerate(names)),
-            *(F.covar_pop(names[i], names[j]).alias(f"c_{i}_{j}") for i in range(len(names)) for j in range(i + 1)),
-        )
-        params = _with_factor(moments, lambda i, j: F.greatest(F.col(f"c_{i}_{j}"), F.lit(floors[i] ** 2)) if i == j else F.col(f"c_{i}_{j}"))
-        params = scratch.write(params, f"params{step}")
+        *(F.max(F.when(F.col("k") == i, F.pow(F.col("s") * 1.4826, 2)) if i == j else F.lit(0.0)).alias(f"c_{i}_{j}") for i in range(len(names)) for j in range(i + 1)),
+    ).withColumn("_start", F.lit(0))
+    third = (F.pmod(F.xxhash64("doc_id", *names), F.lit(THIRDS)) + 2).cast("int")
+    parted = rows.select("_grp", *names, F.explode(F.array(F.lit(1), third)).alias("_start"))
+    return _factored(robust.unionByName(_moments(parted, "_grp", "_start")))
+
+
+def mcd_estimate(rows: DataFrame, scratch: Scratch, share: float = 0.75) -> DataFrame:
+    """Per group (_grp) of rows (_grp, doc_id and VECTOR): centre m_i, Cholesky factor l_i_j, log_det (of the estimate before reweighting), _scale of squared distances."""
+    rows = rows.select("_grp", "doc_id", *VECTOR)
+    params = scratch.write(_starts(rows, scratch), "starts")
+    for step in range(FIRST_STEPS):
+        params = scratch.write(_concentrated(rows, params, share, "_start"), f"starts{step}")
+    best = F.min_by(F.struct(*(c for c in params.columns if c not in ("_grp", "_start"))), F.struct("log_det", "_start"))
+    params = scratch.write(params.groupBy("_grp").agg(best.alias("b")).select("_grp", "b.*"), "best")
+    for step in range(MOST_STEPS):
+        following = scratch.write(_concentrated(rows, params, share), f"params{step}")
+        gain = params.select("_grp", F.col("log_det").alias("_was")).join(following, "_grp").agg(F.max(F.col("_was") - F.col("log_det"))).first()[0]
+        if gain is None or gain < 1e-4:
+            break
+        params = following
+    first = _scaled(rows, params)
+    near = _distance(rows, first, "_scale").where(F.col("_d2") <= F.col("_scale") * chi2_quantile(0.975))
+    again = _factored(_moments(near, "_grp")).drop("log_det").join(params.select("_grp", "log_det"), "_grp")
+    return scratch.write(_scaled(rows, scratch.write(again, "reweighted")), "estimate")
+
+
+def _scaled(rows: DataFrame, params: DataFrame) -> DataFrame:
+    """params with _scale: what the median squared distance is to the chi-square median, 1 at least (where the floors hold)."""
     far = _distance(rows, params).withColumn("_log", F.log1p("_d2"))
-    centre = _quantiles(far, "_log", 0.5, "_mid").select("_grp", F.greatest(F.expm1("_mid") / CHI2_MEDIAN, F.lit(1.0)).alias("_scale"))
-    return params, scratch.write(centre, "scale")
+    middle = _quantiles(far, "_log", 0.5, "_mid")
+    return params.join(middle, "_grp").withColumn("_scale", F.greatest(F.expm1("_mid") / chi2_quantile(0.5), F.lit(1.0))).drop("_mid")
 
 
 def quality_rules(
@@ -192,35 +233,34 @@ def quality_rules(
     min_words: int = 20,
     max_repeat_percent: int = 30,
     share: float = 0.75,
-    steps: int = 5,
-    cutoff: float = 150.0,
+    tail: float = 1e-9,
     min_rows: int = 40,
 ) -> DataFrame:
     """Per input row: doc_id, the statistics, base_failed, distance, kept.
 
     Rows that fail a base limit are neither kept nor part of an estimate.
-    ``cutoff`` is on the squared distance and far out in the tail of the
-    chi-square distribution with four degrees of freedom, for clean texts are to stay.
+    The cutoff on the squared distance is the chi-square quantile of 1 - ``tail``.
 
     Null or empty text: no words, so base_failed. Null group columns: the group
     of the empty name. Groups under ``min_rows``: the language's estimate (which
     takes all its rows). Ties at a quantile all count as inside. Repeated rows
-    count each. Null id: null in the result. Empty table: no rows. Extra columns are not read.
+    count each. Null id: null in the result. Very long texts: worked whole, memory in proportion to the
+    longest. Empty table: no rows. Extra columns are not read.
     """
     scratch = Scratch(df.sparkSession, "quality")
     stats = scratch.write(statistics(df, id_col, text_col, group_cols), "stats")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     rated = vectors(stats.withColumn("base_failed", failed))
-    passed = rated.where(~F.col("base_failed")).select("_g0", "_g1", *VECTOR)
+    passed = rated.where(~F.col("base_failed")).select("_g0", "_g1", "doc_id", *VECTOR)
     sizes = scratch.write(passed.groupBy("_g0", "_g1").agg((F.count(F.lit(1)) >= min_rows).alias("_own")), "sizes")
     own, whole = F.concat_ws("\x1f", F.lit("s"), "_g0", "_g1"), F.concat_ws("\x1f", F.lit("l"), "_g0")
     marked = rated.where(~F.col("base_failed")).join(sizes, ["_g0", "_g1"])
     # a language's rows are estimated together only where one of its groups needs it
     needing = sizes.where(~F.col("_own")).select("_g0").distinct()
-    fit = marked.where("_own").select(own.alias("_grp"), *VECTOR).unionByName(passed.join(needing, "_g0", "left_semi").select(whole.alias("_grp"), *VECTOR))
+    fit = marked.where("_own").select(own.alias("_grp"), "doc_id", *VECTOR).unionByName(passed.join(needing, "_g0", "left_semi").select(whole.alias("_grp"), "doc_id", *VECTOR))
     judged = marked.select("doc_id", *STATS, F.when(F.col("_own"), own).otherwise(whole).alias("_grp"), *VECTOR, F.col("_own"))
-    params, scale = mcd_estimate(scratch.write(fit, "fit"), scratch, share, steps)
-    far = _distance(judged, params).join(scale, "_grp").withColumn("_d2", F.col("_d2") / F.col("_scale"))
-    good = far.select("doc_id", *STATS, F.lit(False).alias("base_failed"), F.col("_d2").alias("distance"), (F.col("_d2") <= cutoff).alias("kept"))
+    estimate = mcd_estimate(scratch.write(fit, "fit"), scratch, share)
+    far = _distance(judged, estimate, "_scale").withColumn("_d2", F.col("_d2") / F.col("_scale"))
+    good = far.select("doc_id", *STATS, F.lit(False).alias("base_failed"), F.col("_d2").alias("distance"), (F.col("_d2") <= chi2_quantile(1 - tail)).alias("kept"))
     bad = rated.where("base_failed").select("doc_id", *STATS, F.lit(True).alias("base_failed"), F.lit(None).cast("double").alias("distance"), F.lit(False).alias("kept"))
     return good.unionByName(bad)

@@ -1,5 +1,6 @@
 """The pipeline's stages on the small tables, each against what it is to do."""
 
+import hashlib
 import re
 
 import public_tokenizers
@@ -83,6 +84,38 @@ def test_packing_and_run(spark, stages):
     assert sorted(map(tuple, got.select("doc_id", "start", "length", "ids_crc32").collect())) == sorted((r.doc_id, r.start, r.length, r.ids_crc32) for r in rows)
 
 
+def test_wrappers(spark):
+    """Every op query over its whole table; those without SQL against plain versions of what they return."""
+    from .test_text_operators import check_packing
+
+    docs = texts(load(spark, SF, "documents"))
+    run = {n: QUERIES[n](spark, SF).collect() for n in QUERIES if n not in ORACLES}
+    assert sorted(run) == ["op10_license_scan", "op3_toxicity", "op4_quality_rules", "op5_harmonic_packing", "op7_suffix_dedup", "op8_sentencepiece", "op9_minhash_dedup"]
+    for name, rows in run.items():
+        assert {r.doc_id for r in rows} == set(docs) and (name == "op5_harmonic_packing" or len(rows) == len(docs))
+    assert all(0 <= r.severity <= 3 and r.toxic == (r.p_toxic >= 0.5) for r in run["op3_toxicity"]) and any(r.toxic for r in run["op3_toxicity"])
+    for r in run["op4_quality_rules"]:
+        n, chars, symbols, dup, repeat, _ = brute.statistics(docs[r.doc_id] or "")
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (n, chars, symbols, dup, repeat)
+        assert r.base_failed == (n < 20 or 100 * repeat > 30 * n) and not (r.base_failed and r.kept)
+    check_packing(run["op5_harmonic_packing"], docs)
+    want = brute.repeats(docs, 50)
+    for r in run["op7_suffix_dedup"]:
+        b, gone = want[r.doc_id]
+        kept = bytes(x for x, g in zip(b, gone, strict=True) if not g)
+        assert (r.n_bytes, r.n_removed, r.n_spans) == (len(b), sum(gone), sum(1 for p in gone.split(b"\0") if p))
+        assert r.kept_sha256 == hashlib.sha256(kept).hexdigest()
+    for r in run["op8_sentencepiece"]:
+        assert r.text_sha256 == hashlib.sha256((docs[r.doc_id] or "").encode()).hexdigest()
+        assert (r.n_ids > 0) == bool(docs[r.doc_id])
+    want = brute.components(docs, 85)
+    assert all((r.n_shingles, r.component_id) == want[r.doc_id] and r.kept == (r.doc_id == r.component_id) for r in run["op9_minhash_dedup"])
+    for r in run["op10_license_scan"]:
+        n, at, labels = brute.license_base(docs[r.doc_id] or "")
+        assert (r.n_words, r.n_base, r.base_labels) == (n, len(at), ",".join(labels))
+        assert (r.first_word, r.last_word) == ((min(at), max(at)) if at else (None, None))
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_oracles(spark, oracle, name):
     df = QUERIES[name](spark, SF)
@@ -99,6 +132,37 @@ def test_native_plans_have_no_python(spark, name):
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct"))
 
 
+def hard_documents(spark, rows):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    return spark.createDataFrame([(i, t, None, "web", None if t is None else len(t)) for i, t in rows], schema)
+
+
+def test_stages_on_hard_documents(spark):
+    """Nulls, empty texts, repeated rows, ids with several texts, a very long text: no stage crashes or drops what it did not judge."""
+    a, b = " ".join(f"alpha{k}" for k in range(40)), " ".join(f"beta{k}" for k in range(40))
+    long = " ".join(f"w{k}" for k in range(60_000))
+    rows = [(1, None), (2, ""), (3, " \n "), (4, a), (5, a), (5, b), (6, b), (6, b), (None, a), (None, None), (7, long), (8, "short")]
+    docs = hard_documents(spark, rows)
+    want = {
+        "toxicity": rows,
+        "line dedup": [(i, t) for k, (i, t) in enumerate(rows) if (i, t) not in ((5, a), (6, b))],
+        "MinHash near-dedup": [(i, t) for i, t in rows if (i, t) not in ((5, a), (6, b))],
+        "suffix-array dedup": [(i, t) for i, t in rows if (i, t) not in ((5, a), (6, b))],
+    }
+    for name, stage in pipeline.STAGES[:-1]:
+        got = stage(spark, docs, SF)
+        assert sorted(got.columns) == sorted(docs.columns)
+        found = [(r.doc_id, r.text) for r in got.select("doc_id", "text").collect()]
+        assert sorted(found, key=str) == sorted(want[name], key=str), name
+    pieces = pipeline.packing(spark, docs, SF).collect()
+    assert sum(r.start == 0 for r in pieces) == len(rows)
+
+
+def test_stages_on_no_documents(spark):
+    none = hard_documents(spark, [])
+    assert all(stage(spark, none, SF).count() == 0 for _, stage in pipeline.STAGES)
+
+
 def test_only_emptied_documents_go(spark):
     block = "\n".join(f"this is line {k} of a block that stands twice" for k in range(3))
     rows = [(1, None), (2, ""), (3, " \n "), (4, block), (5, block), (6, "a text of its own")]

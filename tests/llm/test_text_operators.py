@@ -169,6 +169,70 @@ def test_quality_rejects_outliers_only(spark):
     assert all(got[i].base_failed and not got[i].kept for i in (2000, 2001, 2002))
 
 
+def plain_mcd(x, part, share=0.75):
+    """Squared distances of the rows x by the group's estimate, in numpy: the same starts, all in memory."""
+    floor = np.array(list(quality_rules.VECTOR.values())) ** 2
+
+    def quantile(v, share):
+        return np.sort(np.floor(v * 1000 + 0.5))[int(np.ceil(len(v) * share)) - 1] / 1000
+
+    def factor(m, c):
+        c = c.copy()
+        np.fill_diagonal(c, np.maximum(np.diag(c), floor))
+        return m, np.linalg.cholesky(c)
+
+    def of(rows):
+        return factor(rows.mean(axis=0), np.cov(rows.T, bias=True))
+
+    def distance(m, low):
+        return (np.linalg.solve(low, (x - m).T) ** 2).sum(axis=0)
+
+    def step(params):
+        d = np.log1p(distance(*params))
+        return of(x[np.floor(d * 1000 + 0.5) <= np.floor(quantile(d, share) * 1000 + 0.5)])
+
+    def log_det(params):
+        return 2 * np.log(np.diag(params[1])).sum()
+
+    def scale(params):
+        return max(1.0, np.expm1(quantile(np.log1p(distance(*params)), 0.5)) / quality_rules.chi2_quantile(0.5))
+
+    middle = np.array([quantile(c, 0.5) for c in x.T])
+    spread = np.array([quantile(abs(c - m), 0.5) for c, m in zip(x.T, middle, strict=True)])
+    starts = [factor(middle, np.diag((spread * 1.4826) ** 2)), of(x), *(of(x[part == k]) for k in range(quality_rules.THIRDS))]
+    for _ in range(quality_rules.FIRST_STEPS):
+        starts = [step(p) for p in starts]
+    best = min(starts, key=log_det)
+    for _ in range(quality_rules.MOST_STEPS):
+        following = step(best)
+        if log_det(best) - log_det(following) < 1e-4:
+            break
+        best = following
+    again = of(x[distance(*best) <= scale(best) * quality_rules.chi2_quantile(0.975)])
+    return distance(*again) / scale(again)
+
+
+def test_quality_against_numpy(spark):
+    """The verdict on all documents of a size against a plain estimate; one language is one group, so each group stops for itself."""
+    docs = load(spark, "/root/testdata/sf0.01", "documents").where("lang = 'en'").withColumn("source", F.lit("all"))
+    names = list(quality_rules.VECTOR)
+    rated = quality_rules.vectors(quality_rules.statistics(docs)).withColumn("part", F.pmod(F.xxhash64("doc_id", *names), F.lit(quality_rules.THIRDS)))
+    rows = {r.doc_id: r for r in rated.collect()}
+    got = {r.doc_id: r for r in quality_rules.quality_rules(docs).collect()}
+    passed = [i for i in rows if not got[i].base_failed]
+    want = plain_mcd(np.array([[rows[i][c] for c in names] for i in passed]), np.array([rows[i].part for i in passed]))
+    assert np.allclose([got[i].distance for i in passed], want, rtol=1e-6)
+    cutoff = quality_rules.chi2_quantile(1 - 1e-9)
+    assert [got[i].kept for i in passed] == (want <= cutoff).tolist() and 0 < sum(want > cutoff) < 0.15 * len(want)
+    failed = {i for i in rows if rows[i].n_words < 20 or 100 * rows[i].n_repeat_words > 30 * rows[i].n_words}
+    assert failed == {i for i in got if got[i].base_failed} and not any(got[i].kept for i in failed)
+
+
+def test_chi2_quantiles():
+    for share, want in ((0.5, 3.3567), (0.975, 11.1433), (0.999, 18.4668)):
+        assert abs(quality_rules.chi2_quantile(share) - want) < 1e-4
+
+
 def test_quality_hard(hard, empty):
     assert quality_rules.quality_rules(hard).count() == len(HARD)
     assert quality_rules.quality_rules(empty).count() == 0
