@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..scratch import Scratch
 
-__all__ = ["Scratch", "ascii_lower", "doc_chunks", "load", "parts_for", "release", "text_views"]
+__all__ = ["Scratch", "ascii_lower", "dealt_by", "doc_chunks", "load", "parts_for", "release", "text_views"]
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -33,6 +33,11 @@ def parts_for(n_bytes: int, each: int, least: int = 1) -> int:
     return max(least, -(-int(n_bytes) // each))
 
 
+def dealt_by(df: DataFrame, n_tasks: int, key: str) -> DataFrame:
+    """``df`` dealt by ``key`` over n_tasks tasks where these are more than spark.sql.shuffle.partitions, so that a task's share stays the same as the input grows."""
+    return df.repartition(n_tasks, key) if n_tasks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def text_views(batch: pa.RecordBatch, column: str):
     """(uint8 bytes, int64 starts with the end appended, bool nulls) of a string column, without a copy per row."""
     col = batch.column(batch.schema.get_field_index(column))

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from .common import Scratch, doc_chunks, parts_for, release, text_views
+from .common import Scratch, dealt_by, doc_chunks, parts_for, release, text_views
 from .word_kernels import BYTE_CODES, GRAM_CODES, U, mix, powers
 
 POSITION = U((1 << 28) - 1)
@@ -51,6 +51,8 @@ LOW48 = U((1 << 48) - 1)
 SEGMENT = 1 << 19
 CHUNK = 1 << 18
 PART_BYTES = 8 << 20
+#: Bytes that a task of an exchange is to get; more tasks are made where spark.sql.shuffle.partitions would give it more.
+TASK_BYTES = 128 << 20
 HELD_ANCHORS = 500_000
 BUCKET_ANCHORS = 1 << 20
 HELD_SUFFIXES = 200_000
@@ -320,14 +322,15 @@ def remove_repeats(
 
     # 1. leading tokens that occur again
     found = docs.where("_id IS NOT NULL").select("_id", "_xx", "_text").mapInArrow(_anchor_rows(length, lead, parts, buckets), "bucket long, blob binary")
-    again = found.groupBy("bucket").applyInArrow(_shared_rows(parts), TOLD)
+    tasks = parts_for(size, TASK_BYTES)
+    again = dealt_by(found, tasks, "bucket").groupBy("bucket").applyInArrow(_shared_rows(parts), TOLD)
     told = scratch.write(again, "shared").unionByName(copies)
     release(spark)
 
     # 2. suffixes, and splitters sampled from them
     kind = Suffixes(length - lead, length)
     texts = dealt.where("_id IS NOT NULL").select("_id", "_xx", "_text", "part")
-    made = texts.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(_suffix_rows(length, lead, buckets, kind), f"{TOLD}, n long, keys binary")
+    made = dealt_by(texts, tasks, "part").groupBy("part").cogroup(dealt_by(told, tasks, "part").groupBy("part")).applyInArrow(_suffix_rows(length, lead, buckets, kind), f"{TOLD}, n long, keys binary")
     suffixes = scratch.write(made, "suffixes")
     scratch.drop("shared")
     release(spark)
@@ -342,7 +345,7 @@ def remove_repeats(
 
     # 3. sort the ranges
     by_range = records.select("blob").mapInArrow(_range_records(lead, kind, splitters, deeper), "range long, blob binary")
-    sorted_rows = scratch.write(by_range.groupBy("range").applyInArrow(_range_rows(length, lead, parts, kind, splitters), f"{TOLD}, h1 long, h2 long, doc long, row long, begin long"), "sorted")
+    sorted_rows = scratch.write(dealt_by(by_range, parts_for(total * kind.record, TASK_BYTES), "range").groupBy("range").applyInArrow(_range_rows(length, lead, parts, kind, splitters), f"{TOLD}, h1 long, h2 long, doc long, row long, begin long"), "sorted")
     release(spark)
 
     # 4. across boundaries
@@ -354,7 +357,7 @@ def remove_repeats(
     # 5. cut the documents
     fields = [StructField("doc_id", LongType()), StructField("n_bytes", LongType())]
     out = StructType([*fields, *StructType.fromDDL("spans array<long>").fields, StructField("kept", BinaryType()), *(StructField(c, df.schema[c].dataType) for c in carry)])
-    return dealt.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(_cut_rows(length, whole_characters, carry), out)
+    return dealt_by(dealt, tasks, "part").groupBy("part").cogroup(dealt_by(told, tasks, "part").groupBy("part")).applyInArrow(_cut_rows(length, whole_characters, carry), out)
 
 
 def _row_keys(ids: np.ndarray, hashes: np.ndarray) -> np.ndarray:

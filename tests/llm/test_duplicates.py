@@ -149,7 +149,7 @@ def check_repeats(df, texts, length):
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_repeats(spark, monkeypatch, seed, small):
     if small:  # many parts, ranges and segments, so that classes lie on boundaries
-        for name, value in {"PART_BYTES": 700, "RANGE_SUFFIXES": 40, "BUCKET_ANCHORS": 50, "SEGMENT": 120, "CHUNK": 100, "HELD_ANCHORS": 10, "HELD_SUFFIXES": 30, "SAMPLE_EACH": 2}.items():
+        for name, value in {"PART_BYTES": 700, "RANGE_SUFFIXES": 40, "BUCKET_ANCHORS": 50, "SEGMENT": 120, "CHUNK": 100, "HELD_ANCHORS": 10, "HELD_SUFFIXES": 30, "SAMPLE_EACH": 2, "TASK_BYTES": 900}.items():
             monkeypatch.setattr(suffix_dedup, name, value)
     rows = repeats_rows(seed)
     check_repeats(table(spark, rows), dict(rows), 50)
@@ -191,7 +191,7 @@ def test_repeats_of_shared_ids(spark, monkeypatch):
     a, b = ("".join(rng.choice("abcdefghij ") for _ in range(209)) for _ in range(2))
     got = check_row_repeats(spark, [(3, a), (5, a), (5, b), (9, "x" + b)])
     assert sorted(n for n, _ in got[5]) == [209, 209] and (209, b.encode()) in got[5] and got[9] == [(210, b"x")]
-    for name, value in {"PART_BYTES": 700, "RANGE_SUFFIXES": 40, "BUCKET_ANCHORS": 50, "SEGMENT": 120, "CHUNK": 100, "HELD_ANCHORS": 10, "HELD_SUFFIXES": 30, "SAMPLE_EACH": 2}.items():
+    for name, value in {"PART_BYTES": 700, "RANGE_SUFFIXES": 40, "BUCKET_ANCHORS": 50, "SEGMENT": 120, "CHUNK": 100, "HELD_ANCHORS": 10, "HELD_SUFFIXES": 30, "SAMPLE_EACH": 2, "TASK_BYTES": 900}.items():
         monkeypatch.setattr(suffix_dedup, name, value)
     check_row_repeats(spark, [(i % 9, t) for i, t in repeats_rows(7)])
 
