@@ -9,13 +9,15 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+import time
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from . import schema
 from .functions import digests, names
-from .operators import dedup, sketch, traversal, workqueue
+from .operators import dedup, sketch, sketch_files, traversal, workqueue
+from .scratch import Scratch
 from .sources import archives, listings, tables
 
 EXIT_ERRORS, EXIT_NO_INPUT = 2, 1
@@ -33,11 +35,13 @@ def parser() -> argparse.ArgumentParser:
     p = sub.add_parser("export", help="sketch archives to bucket directories of hash occurrences")
     p.add_argument("--input-root", required=True)
     p.add_argument("--out-root", required=True)
-    p.add_argument("--mod", type=int, default=521)
+    p.add_argument("--glob", default="**/*.sig.zip")
+    p.add_argument("--collection", choices=sorted(schema.PRESETS), help="defaults of a known collection")
+    p.add_argument("--mod", type=int)
     p.add_argument("--compression", default="zstd", choices=tables.CODECS)
     p.add_argument("--max-files", type=int, default=0)
     p.add_argument("--include-ksizes", default="")
-    p.add_argument("--files-per-bucket", type=int, default=1)
+    p.add_argument("--files-per-bucket", type=int, default=0)
     p.add_argument("--fail-fast", action="store_true")
 
     p = sub.add_parser("dedup", help="distinct hashes per bucket")
@@ -45,10 +49,13 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--out-root", required=True)
     p.add_argument("--with-counts", action="store_true")
     p.add_argument("--by-ksize", action="store_true")
+    p.add_argument("--collection", choices=sorted(schema.PRESETS), help="--with-counts and --by-ksize as a known collection has them")
+    p.add_argument("--files-per-bucket", type=int, default=0)
     p.add_argument("--max-buckets", type=int, default=0)
 
     p = sub.add_parser("ingest", help="distinct hashes to a catalog table")
     p.add_argument("--dedup-root", required=True)
+    p.add_argument("--pattern", default="bucket=*/*.parquet")
     p.add_argument("--table", default="unique_hashes")
     p.add_argument("--mode", default="replace", choices=("replace", "append", "create"))
     p.add_argument("--buckets", type=int, default=0)
@@ -57,6 +64,7 @@ def parser() -> argparse.ArgumentParser:
 
     p = sub.add_parser("ingest-shards", help="pre-deduplicated shards to a catalog table")
     p.add_argument("--parquet-root", required=True)
+    p.add_argument("--pattern", default="")
     p.add_argument("--table", default="wgs_hashes")
     p.add_argument("--mode", default="replace", choices=("replace", "append", "create"))
     p.add_argument("--ksize", type=int)
@@ -67,9 +75,12 @@ def parser() -> argparse.ArgumentParser:
     p = sub.add_parser("sketch", help="sequence files to hash occurrences")
     p.add_argument("-i", "--input-root", required=True)
     p.add_argument("-o", "--out-root", required=True)
-    p.add_argument("--ksizes", default="15,31,33")
+    p.add_argument("--collection", choices=sorted(schema.PRESETS), help="k sizes and modulus of a known collection")
+    p.add_argument("--archives", action="store_true", help="an archive for each file instead of bucket directories")
+    p.add_argument("--force", action="store_true", help="archives that are there are made anew")
+    p.add_argument("--ksizes")
     p.add_argument("--scaled", type=int, default=1000)
-    p.add_argument("--mod", type=int, default=521)
+    p.add_argument("--mod", type=int)
     p.add_argument("--rna", action="store_true", help="U as T")
     p.add_argument("--dry-run", action="store_true")
     p.add_argument("--max-files", type=int, default=0)
@@ -82,6 +93,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--include", action="append", default=[])
     p.add_argument("--skip-prefix", action="append", default=[])
     p.add_argument("--no-default-skips", action="store_true")
+    p.add_argument("--max-dirs", type=int, help="directories looked at in a subtree")
+    p.add_argument("--max-files", type=int, help="files looked at in a subtree")
 
     p = sub.add_parser("enqueue", help="a bucket listing to queue rows")
     p.add_argument("--file-list", required=True)
@@ -92,15 +105,58 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--limit", type=int)
     p.add_argument("--now", type=float, required=True)
 
+    p = sub.add_parser("crawl", help="target files of directory listings to queue rows")
+    p.add_argument("--pages", required=True, help="Parquet of the listings: url, html")
+    p.add_argument("--base-url", required=True)
+    p.add_argument("--include-regex", default=r".*\.fna\.gz$")
+    p.add_argument("--exclude-regex")
+    p.add_argument("--max-depth", type=int)
+    p.add_argument("--smoke-test-limit", type=int)
+    p.add_argument("--dry-run", action="store_true", help="print the URLs only")
+    p.add_argument("--state", help="queue to go on from; none for a new one")
+    p.add_argument("--out-state", required=True)
+    p.add_argument("--now", type=float, required=True)
+
+    p = sub.add_parser("work", help="sketch the queue's files, which a mirror holds, until none can be claimed")
+    p.add_argument("--state", required=True)
+    p.add_argument("--out-state", required=True, help="folder for the versions of the state")
+    p.add_argument("--mirror", required=True, help="folder with <subdir>/<filename> of every file")
+    p.add_argument("--out-root", required=True)
+    p.add_argument("--collection", choices=sorted(schema.PRESETS))
+    p.add_argument("--ksizes")
+    p.add_argument("--scaled", type=int, default=1000)
+    p.add_argument("--n-shards", type=int, default=512)
+    p.add_argument("--batch", type=int, default=10_000)
+    p.add_argument("--max-retries", type=int, default=6)
+    p.add_argument("--cooldown", type=float, default=1800)
+    p.add_argument("--max-total-tries", type=int, default=20)
+    p.add_argument("--stale", type=float, default=3600)
+
     p = sub.add_parser("queue-stats", help="rows by status, as JSON")
     p.add_argument("--state", required=True)
     return top
 
 
+def preset(a, name: str, default):
+    """A setting: as given, else of the collection, else the default."""
+    given = getattr(a, name, None)
+    if given:
+        return _numbers(given) if name == "ksizes" else given
+    of = schema.PRESETS[a.collection][name] if a.collection else None
+    return default if of is None else of
+
+
 def export(spark: SparkSession, a) -> int:
     mode = "failfast" if a.fail_fast else "permissive"
-    rows = archives.read_archives(spark, a.input_root, a.mod, _numbers(a.include_ksizes), mode, a.max_files)
+    files = archives.scan_archives(spark, a.input_root, a.max_files, a.glob)
+    n_files = files.select("path").count()
+    if not n_files:
+        print("no input files found", file=sys.stderr)
+        return 0
+    seen = Observation("rows")
+    rows = archives.decode_archives(files, preset(a, "mod", 521), _numbers(a.include_ksizes), mode).observe(seen, F.count(F.lit(1)).alias("n"))
     tables.write_occurrences(rows, a.out_root, a.compression, a.files_per_bucket)
+    print(f"files={n_files} rows={seen.get['n']}")
     return 0
 
 
@@ -109,18 +165,19 @@ def run_dedup(spark: SparkSession, a) -> int:
     if a.max_buckets:
         first = [r["bucket"] for r in tables.list_buckets(spark, a.non_dedup_root).limit(a.max_buckets).collect()]
         rows = rows.where(F.col("bucket").isin(first))
-    tables.write_unique(dedup.unique_hashes(rows, a.by_ksize, a.with_counts), a.out_root)
+    unique = dedup.unique_hashes(rows, preset(a, "by_ksize", False), preset(a, "with_counts", False))
+    tables.write_unique(unique, a.out_root, files_per_bucket=a.files_per_bucket)
     return 0
 
 
 def ingest(spark: SparkSession, a) -> int:
-    found = tables.detected(tables.read_hashes(spark, a.dedup_root))
+    found = tables.detected(tables.read_hashes(spark, a.dedup_root, pattern=a.pattern))
     print(tables.ingest(found, a.table, a.mode, not a.no_sort, a.buckets, a.analyze))
     return 0
 
 
 def ingest_shards(spark: SparkSession, a) -> int:
-    found = tables.read_shards(spark, a.parquet_root, a.ksize, a.with_part)
+    found = tables.read_shards(spark, a.parquet_root, a.ksize, a.with_part, a.pattern)
     print(tables.ingest(found, a.table, a.mode, not a.no_sort, 0, a.analyze))
     return 0
 
@@ -128,25 +185,40 @@ def ingest_shards(spark: SparkSession, a) -> int:
 def run_sketch(spark: SparkSession, a) -> int:
     files = archives.scan_fasta(spark, a.input_root, a.max_files)
     if files.isEmpty():
+        print("no input files found", file=sys.stderr)
         return EXIT_NO_INPUT
     if a.dry_run:
         for r in files.select("path", digests.shard_dir(names.base_name(F.col("path")), a.n_shards).alias("shard")).toLocalIterator():
             print(r["path"], r["shard"], sep="\t")
         return 0
+    ksizes = preset(a, "ksizes", (15, 31, 33))
+    if a.archives:
+        done = sketch_files.sketch_to_archives(files, a.out_root, ksizes, a.scaled, a.rna, a.n_shards, force=a.force)
+        return report(Scratch(spark, "sketch").write(done, "done"))
     rows = archives.read_fasta(spark, a.input_root)
     if a.max_files:
         rows = rows.join(files.select(names.sample_id(F.url_decode("path")).alias("sample_id")).distinct(), "sample_id", "left_semi")
     if a.rna:
         rows = rows.withColumn("sequence", names.rna_to_dna(F.col("sequence")))
-    found = sketch.sketch(rows, "sequence", "sample_id", _numbers(a.ksizes), a.scaled, "murmur3_64", dna=True, mod=a.mod).distinct()
+    found = sketch.sketch(rows, "sequence", "sample_id", ksizes, a.scaled, "murmur3_64", dna=True, mod=preset(a, "mod", 521)).distinct()
     tables.write_occurrences(found, a.out_root)
     return 0
 
 
+def report(done) -> int:
+    """Prints the counts of sketched files, and up to EXAMPLES errors; the exit code."""
+    error = F.col("error").isNotNull()
+    n = done.agg(F.count_if(~error & ~F.col("skipped")).alias("done"), F.count_if("skipped").alias("skipped"), F.count_if(error).alias("error")).first().asDict()
+    print(json.dumps(n))
+    for r in done.where(error).orderBy("path").limit(workqueue.EXAMPLES).collect():
+        print(f"{r['path']}: {r['error'].splitlines()[0]}", file=sys.stderr)
+    return EXIT_ERRORS if n["error"] else 0
+
+
 def find(spark: SparkSession, a) -> int:
     paths = spark.read.text(a.paths).select(F.trim("value").alias("path"))
     skip = [*(() if a.no_default_skips else traversal.SKIP_PREFIXES), *a.skip_prefix]
-    tables.write_tsv(traversal.subtree_examples(paths, a.host, [*traversal.SEQUENCE_PATTERNS, *a.include], skip), a.out)
+    tables.write_tsv(traversal.subtree_examples(paths, a.host, [*traversal.SEQUENCE_PATTERNS, *a.include], skip, a.max_dirs, a.max_files), a.out)
     return 0
 
 
@@ -157,6 +229,37 @@ def enqueue(spark: SparkSession, a) -> int:
     return 0
 
 
+def crawl(spark: SparkSession, a) -> int:
+    base = a.base_url.rstrip("/") + "/"
+    links = listings.listing_links(spark.read.parquet(a.pages).where(F.col("url").startswith(base)))
+    pages = links.withColumn("dir", F.substring(F.concat(F.regexp_replace("dir", "/*$", ""), F.lit("/")), len(base) + 1, 1 << 20))
+    files = traversal.crawl(pages, base, a.include_regex, a.exclude_regex, a.max_depth)
+    if a.smoke_test_limit:
+        files = files.orderBy("subdir", "filename").limit(a.smoke_test_limit)
+    if a.dry_run:
+        for r in files.orderBy("url").toLocalIterator():
+            print(r["url"])
+        return 0
+    state = spark.read.schema(schema.QUEUE).parquet(a.state) if a.state else spark.createDataFrame([], schema.QUEUE)
+    workqueue.upsert(state, files, a.now).write.mode("error").parquet(a.out_state)
+    return 0
+
+
+def work(spark: SparkSession, a) -> int:
+    state = spark.read.schema(schema.QUEUE).parquet(a.state)
+    ksizes = preset(a, "ksizes", (15, 31, 33))
+
+    def sketched(todo):
+        place = F.concat_ws("/", F.lit(a.mirror.rstrip("/")), F.when(F.col("subdir") != "", F.col("subdir")), F.col("filename"))
+        files = todo.select("id", place.alias("path"))
+        return sketch_files.sketch_to_archives(files.select("path"), a.out_root, ksizes, a.scaled, n_shards=a.n_shards).join(files, "path").select("id", "out_path", "error")
+
+    started = workqueue.reset_stuck(state, time.time(), a.stale)
+    _, totals = workqueue.run_queue(started, a.out_state, a.batch, sketched, cooldown=a.cooldown, cap=a.max_total_tries, attempts=a.max_retries + 1)
+    print(json.dumps(totals))
+    return EXIT_ERRORS if totals["error"] else 0
+
+
 def queue_stats(spark: SparkSession, a) -> int:
     counts = {r["status"]: r["n"] for r in workqueue.stats(spark.read.schema(schema.QUEUE).parquet(a.state)).collect()}
     print(json.dumps({"total": counts.pop("total", 0), "by_status": counts}))
@@ -165,7 +268,7 @@ def queue_stats(spark: SparkSession, a) -> int:
 
 COMMANDS = {
     "export": export, "dedup": run_dedup, "ingest": ingest, "ingest-shards": ingest_shards,
-    "sketch": run_sketch, "find": find, "enqueue": enqueue, "queue-stats": queue_stats,
+    "sketch": run_sketch, "find": find, "enqueue": enqueue, "crawl": crawl, "work": work, "queue-stats": queue_stats,
 }
 
 

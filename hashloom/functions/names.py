@@ -92,6 +92,6 @@ def rna_to_dna(sequence: Column) -> Column:
     return F.translate(sequence, "U", "T")
 
 
-def backoff_seconds(tries: Column, most: int = 300) -> Column:
-    """min(most, 2 ** tries)."""
-    return F.least(F.lit(float(most)), F.pow(F.lit(2.0), F.least(tries, F.lit(62))))
+def backoff_seconds(tries: Column, most: int = 300, base: float = 1.0) -> Column:
+    """min(most, base * 2 ** tries): by default a failed file's wait; with base 3 and no bound to speak of, a failed listing's."""
+    return F.least(F.lit(float(most)), F.lit(float(base)) * F.pow(F.lit(2.0), F.least(tries, F.lit(62))))

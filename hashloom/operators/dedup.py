@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import Scratch
+
 
 def unique_hashes(df: DataFrame, by_ksize: bool = True, with_counts: bool = False) -> DataFrame:
     """Distinct hashes: [ksize], hash, bucket, [n_samples].
@@ -31,22 +33,28 @@ def keep_ksizes(df: DataFrame, ksizes) -> DataFrame:
     return df.where(F.col("ksize").isin(wanted)) if wanted else df
 
 
-def even_chunks(df: DataFrame, order_by: str, workers: int) -> DataFrame:
-    """``df`` with the worker (0 to workers - 1) of an even split in the order of a column with unique values; the first workers get one row more.
+def ranked(df: DataFrame, *order_by: str) -> DataFrame:
+    """The columns ``order_by`` (unique together) with _place (from 0) and _total.
 
-    A rank is a row's place in its range partition plus the rows of the
-    partitions before; only the counts of partitions meet in one task.
+    A place is a row's own in its range partition plus the rows of the
+    partitions before; only the counts of partitions meet in one task. The ranges are written first, so
+    that all that reads them sees the same ones.
     """
-    blocks = df.select(order_by).repartitionByRange(order_by).withColumn("_p", F.spark_partition_id())
-    place = Window.partitionBy("_p").orderBy(order_by)
-    local = blocks.withColumn("_k", F.row_number().over(place) - 1)
-    sizes = local.groupBy("_p").agg(F.count(F.lit(1)).alias("_rows"))
+    scratch = Scratch(df.sparkSession, "ranked")
+    blocks = scratch.write(df.select(*order_by).repartitionByRange(*order_by).withColumn("_p", F.spark_partition_id()), "blocks")
+    sizes = blocks.groupBy("_p").agg(F.count(F.lit(1)).alias("_rows"))
     starts = sizes.select(
         "_p",
         F.coalesce(F.sum("_rows").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"),
         F.sum("_rows").over(Window.partitionBy(F.lit(0))).alias("_total"),
     )
-    i, small, extra = F.col("_start") + F.col("_k"), F.floor(F.col("_total") / workers), F.col("_total") % workers
+    local = blocks.withColumn("_k", F.row_number().over(Window.partitionBy("_p").orderBy(*order_by)) - 1)
+    return local.join(starts, "_p").select(*order_by, (F.col("_start") + F.col("_k")).alias("_place"), "_total")
+
+
+def even_chunks(df: DataFrame, order_by: str, workers: int) -> DataFrame:
+    """``df`` with the worker (0 to workers - 1) of an even split in the order of a column with unique values; the first workers get one row more."""
+    i, small, extra = F.col("_place"), F.floor(F.col("_total") / workers), F.col("_total") % workers
     cut = extra * (small + 1)
     worker = F.when(i < cut, F.floor(i / (small + 1))).otherwise(extra + F.floor((i - cut) / F.greatest(small, F.lit(1))))
-    return df.join(local.join(starts, "_p").select(order_by, worker.cast("int").alias("worker")), order_by)
+    return df.join(ranked(df, order_by).select(order_by, worker.cast("int").alias("worker")), order_by)

@@ -8,6 +8,7 @@ threshold leave the function, so the expansion to one row per position never rea
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,10 +42,7 @@ def sketch(df: DataFrame, sequence: str, sample: str, ksizes=(31,), scaled: int
     if hash_name == "murmur3_64":
         flat = _murmur(df, sequence, sample, tuple(ksizes), scaled, dna)
     elif hash_name == "md5_60":
-        parts = [_md5(df, sequence, sample, k, scaled, dna) for k in ksizes]
-        flat = parts[0]
-        for p in parts[1:]:
-            flat = flat.unionByName(p)
+        flat = _md5(df, sequence, sample, sorted(set(ksizes)), scaled, dna)
     else:
         raise ValueError(f"hash_name is one of {sorted(HASHES)}")
     return flat.withColumn("bucket", uint64.mod(F.col("hash"), mod))
@@ -56,19 +54,29 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def _md5(df, sequence, sample, k, scaled, dna):
-    # a position in a string is found by counting from its start, so long texts are cut into pieces first
-    s, last = F.col("_s"), F.length("_s") - (k - 1)
-    base = spread(df.select(F.col(sample).alias("sample_id"), F.col(sequence).alias("_s"))).where(F.length(s) >= k)
-    pieces = base.select("sample_id", F.explode(F.transform(F.sequence(F.lit(1), last, F.lit(PIECE)), lambda i: F.substring(s, i, F.lit(PIECE + k - 1)))).alias("_p"))
-    rows = pieces.select("sample_id", F.col("_p"), F.explode(F.sequence(F.lit(1), F.length("_p") - (k - 1))).alias("_i")).select("sample_id", F.substring(F.col("_p"), F.col("_i"), F.lit(k)).alias("_k"))
-    other = F.reverse(F.translate("_k", "ACGT", "TGCA")) if dna else F.reverse("_k")
-    if dna:
-        rows = rows.where(F.col("_k").rlike("^[ACGT]*$"))
-    digits = rows.select("sample_id", F.substring(F.md5(F.least(F.col("_k"), other)), 1, 15).alias("_d"))
+def _md5(df, sequence, sample, ksizes, scaled, dna):
+    # a position in a string is found by counting from its start, so long texts are cut into pieces first; all k sizes share them
+    low, high = ksizes[0], ksizes[-1]
+    s = F.col("_s")
+    base = spread(df.select(F.col(sample).alias("sample_id"), F.col(sequence).alias("_s"))).where(F.length(s) >= low)
+    starts = F.sequence(F.lit(1), F.length(s) - (low - 1), F.lit(PIECE))
+    pieces = base.select("sample_id", F.explode(F.transform(starts, lambda i: F.substring(s, i, F.lit(PIECE + high - 1)))).alias("_p"))
+    places = F.sequence(F.lit(1), F.least(F.lit(PIECE), F.length("_p") - (low - 1)))
+    rows = pieces.select("sample_id", "_p", F.explode(places).alias("_i"))
+
+    def digits(k):
+        shingle = F.substring(F.col("_p"), F.col("_i"), F.lit(k))
+        whole = F.col("_i") + (k - 1) <= F.length("_p")
+        other = F.reverse(F.translate(shingle, "ACGT", "TGCA")) if dna else F.reverse(shingle)
+        return F.when(whole & shingle.rlike("^[ACGT]*$") if dna else whole, F.substring(F.md5(F.least(shingle, other)), 1, 15))
+
     # hexadecimal digits of one length are ordered as their numbers are, so most rows go before any conversion
-    kept = digits.where(F.col("_d") < f"{threshold('md5_60', scaled):015x}") if scaled > 1 else digits
-    return kept.select("sample_id", F.lit(k).cast("smallint").alias("ksize"), F.conv("_d", 16, 10).cast("bigint").alias("hash"))
+    limit = f"{threshold('md5_60', scaled):015x}"
+    kept = {k: F.col(f"_{k}") < limit if scaled > 1 else F.col(f"_{k}").isNotNull() for k in ksizes}
+    some = rows.select("sample_id", *(digits(k).alias(f"_{k}") for k in ksizes)).where(functools.reduce(lambda a, b: a | b, kept.values()))
+    each = F.array(*(F.when(kept[k], F.struct(F.lit(k).cast("smallint").alias("ksize"), F.col(f"_{k}").alias("_d"))) for k in ksizes))
+    found = some.select("sample_id", F.explode(each).alias("x")).where("x IS NOT NULL")
+    return found.select("sample_id", "x.ksize", F.conv("x._d", 16, 10).cast("bigint").alias("hash"))
 
 
 def kept_hashes(sequence: bytes, k: int, scaled: int, dna: bool, chunk: int = 1 << 18) -> Iterator[np.ndarray]:

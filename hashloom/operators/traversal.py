@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import names
@@ -76,10 +76,11 @@ def first_match(files: DataFrame, group: str, order: list[str], value: str) -> D
     return files.groupBy(group).agg(F.min_by(value, F.struct(*order)).alias(value))
 
 
-def subtree_examples(files: DataFrame, host: str, patterns=SEQUENCE_PATTERNS, skip=SKIP_PREFIXES) -> DataFrame:
+def subtree_examples(files: DataFrame, host: str, patterns=SEQUENCE_PATTERNS, skip=SKIP_PREFIXES, max_dirs: int | None = None, max_files: int | None = None) -> DataFrame:
     """(subtree, label, url): of each top-level subtree the first sequence file, directories before what lies below them, then by path.
 
-    ``files``: absolute paths in the column path.
+    ``files``: absolute paths in the column path. With ``max_dirs`` or ``max_files`` only so many directories and
+    files of a subtree are looked at, in that order.
     """
     ok = files.where(walkable(F.col("path"), skip)).withColumns(
         {
@@ -88,5 +89,12 @@ def subtree_examples(files: DataFrame, host: str, patterns=SEQUENCE_PATTERNS, sk
             "depth": F.size(F.split("path", "/")),
         }
     )
+    if max_dirs is not None or max_files is not None:
+        place = Window.partitionBy("subtree")
+        ok = ok.withColumn("dir", F.regexp_replace("path", "[^/]*$", ""))
+        if max_dirs is not None:
+            ok = ok.withColumn("_d", F.dense_rank().over(place.orderBy("depth", "dir"))).where(F.col("_d") <= max_dirs)
+        if max_files is not None:
+            ok = ok.withColumn("_f", F.row_number().over(place.orderBy("depth", "path"))).where(F.col("_f") <= max_files)
     best = ok.where("label IS NOT NULL").groupBy("subtree").agg(F.min_by(F.struct("path", "label"), F.struct("depth", "path")).alias("m"))
     return best.select("subtree", "m.label", names.https_url(host, F.col("m.path")).alias("url"))

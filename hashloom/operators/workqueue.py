@@ -8,13 +8,19 @@ repeatable.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import Scratch
+from .dedup import ranked
+
 IN_PROGRESS = ("DOWNLOADING", "SKETCHING")
 UNFINISHED = ("PENDING", "ERROR", "DOWNLOADING", "SKETCHING")
+#: Errors that a round or a program reports.
+EXAMPLES = 20
 
 
 def upsert(state: DataFrame, files: DataFrame, now: float) -> DataFrame:
@@ -24,11 +30,9 @@ def upsert(state: DataFrame, files: DataFrame, now: float) -> DataFrame:
     """
     key = ["subdir", "filename"]
     new = files.join(state.select(*key), key, "left_anti")
-    last = state.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_last"))
-    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*key))
-    # a listing's new files are numbered by the single writer
-    added = new.withColumn("_k", place).join(F.broadcast(last)).select(
-        (F.col("_last") + F.col("_k")).cast("bigint").alias("id"), *key, "url", F.col("size").cast("bigint").alias("size"), "mtime",
+    last = state.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+    added = new.join(ranked(new, *key), key).select(
+        (F.col("_place") + (last + 1)).cast("bigint").alias("id"), *key, "url", F.col("size").cast("bigint").alias("size"), "mtime",
         F.lit("PENDING").alias("status"), F.lit(0).alias("tries"), F.lit(None).cast("string").alias("last_error"), F.lit(None).cast("string").alias("out_path"),
         F.lit(now).cast("double").alias("updated_at"), F.lit(now).cast("double").alias("created_at"),
     )
@@ -61,14 +65,14 @@ def claim(state: DataFrame, n: int, now: float, cooldown: float = 3600, cap: int
 
 
 def mark(state: DataFrame, changes: DataFrame, now: float) -> DataFrame:
-    """State after ``changes`` (id, status, out_path, last_error, inc_tries; unique ids): output and error are overwritten, also by null."""
+    """State after ``changes`` (id, status, out_path, last_error, inc_tries; unique ids): output and error are overwritten, also by null; inc_tries is whether to count a try, or how many."""
     c = changes.select("id", F.col("status").alias("_st"), F.col("out_path").alias("_o"), F.col("last_error").alias("_e"), F.col("inc_tries").alias("_t"))
     hit = F.col("_st").isNotNull()
     new = {
         "status": F.when(hit, F.col("_st")).otherwise(F.col("status")),
         "out_path": F.when(hit, F.col("_o")).otherwise(F.col("out_path")),
         "last_error": F.when(hit, F.col("_e")).otherwise(F.col("last_error")),
-        "tries": F.col("tries") + F.when(hit & F.col("_t"), 1).otherwise(0),
+        "tries": F.col("tries") + F.when(hit, F.coalesce(F.col("_t").cast("int"), F.lit(0))).otherwise(0),
         "updated_at": F.when(hit, F.lit(float(now))).otherwise(F.col("updated_at")),
     }
     return state.join(c, "id", "left").withColumns(new).select(*state.columns)
@@ -125,29 +129,74 @@ def pending(state: DataFrame, limit: int = 1000, after: int = -1) -> DataFrame:
     return state.where((F.col("status") == "PENDING") & (F.col("id") > after)).orderBy("id").limit(limit).select("id", "subdir", "filename", "url")
 
 
-def run_batch(state: DataFrame, n: int, now: float, work: Callable[[DataFrame], DataFrame], done: DataFrame | None = None, cooldown: float = 3600, cap: int = 20) -> tuple[DataFrame, DataFrame]:
+def run_batch(
+    state: DataFrame, n: int, now: float, work: Callable[[DataFrame], DataFrame], done: DataFrame | None = None, cooldown: float = 3600, cap: int = 20, attempts: int = 1
+) -> tuple[DataFrame, DataFrame]:
     """One round of the worker loop over all executors: (the new state, counts by outcome).
 
     Claims n rows; those whose output is in ``done`` (subdir, filename, out_path) are DONE without work; ``work``
     takes the others (id, subdir, filename, url) and gives (id, out_path, error), where a
-    null error is success. Failures become ERROR with one try more, so the cap
-    holds for every attempt; a row that ``work`` doesn't return is a failure too.
-    counts: outcome (done, skipped, error), n, and the error of the first failed row in ``example``.
+    null error is success; what fails is given to it again, ``attempts`` times in all. Every failed attempt counts
+    as a try; a row that ``work`` doesn't return has failed too. What work returns is written before it is used, so it is
+    done once.
+    counts: outcome (done, skipped, error), n, and the errors of up to EXAMPLES rows, those with the smallest ids, in ``examples``.
     """
+    scratch = Scratch(state.sparkSession, "batch")
     chosen, claimed = claim(state, n, now, cooldown, cap)
+    chosen = scratch.write(chosen, "chosen")
     key = ["subdir", "filename"]
-    if done is None:
-        todo, had = chosen, None
-    else:
+    outcome = "id long, out_path string, error string, outcome string, failures int"
+    outcomes = state.sparkSession.createDataFrame([], outcome)
+    todo = chosen
+    if done is not None:
         todo = chosen.join(done.select(*key), key, "left_anti").select(*chosen.columns)
-        had = chosen.join(done.select(*key, "out_path"), key).select("id", "out_path", F.lit(None).cast("string").alias("error"), F.lit("skipped").alias("outcome"))
-    got = work(todo).select("id", "out_path", "error", F.lit(True).alias("_back"))
-    failed = F.col("error").isNotNull() | F.col("_back").isNull()
-    tried = todo.select("id").join(got, "id", "left").select(
-        "id", F.when(~failed, F.col("out_path")).alias("out_path"), F.when(failed, F.coalesce("error", F.lit("no result"))).alias("error"), F.when(failed, "error").otherwise("done").alias("outcome")
-    )
-    outcomes = tried if had is None else tried.unionByName(had)
+        had = chosen.join(done.select(*key, "out_path"), key)
+        outcomes = outcomes.unionByName(had.select("id", "out_path", F.lit(None).cast("string").alias("error"), F.lit("skipped").alias("outcome"), F.lit(0).alias("failures")))
+    for attempt in range(attempts):
+        got = work(todo).select("id", F.col("out_path").cast("string"), F.col("error").cast("string"), F.lit(True).alias("_back"))
+        failed = F.col("error").isNotNull() | F.col("_back").isNull()
+        tried = scratch.write(todo.join(got, "id", "left").withColumn("_failed", failed), f"tried{attempt}")
+        last = attempt == attempts - 1
+        ended = tried if last else tried.where("NOT _failed")
+        bad = F.col("_failed")
+        outcomes = outcomes.unionByName(
+            ended.select(
+                "id", F.when(~bad, F.col("out_path")).alias("out_path"), F.when(bad, F.coalesce("error", F.lit("no result"))).alias("error"),
+                F.when(bad, "error").otherwise("done").alias("outcome"), (F.lit(attempt) + bad.cast("int")).alias("failures"),
+            )
+        )
+        todo = tried.where("_failed").select(*chosen.columns)
+        if last or todo.isEmpty():
+            break
     bad = F.col("outcome") == "error"
-    changes = outcomes.select("id", F.when(bad, "ERROR").otherwise("DONE").alias("status"), "out_path", F.col("error").alias("last_error"), bad.alias("inc_tries"))
-    counts = outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"), F.min_by("error", "id").alias("example"))
+    changes = outcomes.select("id", F.when(bad, "ERROR").otherwise("DONE").alias("status"), "out_path", F.col("error").alias("last_error"), F.col("failures").alias("inc_tries"))
+    place = F.row_number().over(Window.partitionBy("outcome").orderBy("id"))
+    few = F.when(F.col("_place") <= EXAMPLES, F.col("error"))
+    counts = outcomes.withColumn("_place", place).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"), F.collect_list(few).alias("examples"))
     return mark(claimed, changes, now), counts
+
+
+def run_queue(
+    state: DataFrame, root: str, n: int, work: Callable[[DataFrame], DataFrame], done: Callable[[], DataFrame] | None = None, clock: Callable[[], float] = time.time,
+    cooldown: float = 3600, cap: int = 20, attempts: int = 1, most_rounds: int | None = None,
+) -> tuple[DataFrame, dict[str, int]]:
+    """The worker loop: rounds of ``run_batch`` until no row can be claimed now; (the last state, rows by outcome).
+
+    Every round's state is a version ``<root>/v<k>``, written before the next round, so a stopped program
+    goes on from the newest whole version. Rows that cool down are left for a later call; is_drained tells whether there are any.
+    """
+    spark, totals, k = state.sparkSession, {"done": 0, "skipped": 0, "error": 0}, 0
+    schema = state.schema
+    state.write.mode("error").parquet(f"{root}/v0")
+    state = spark.read.schema(schema).parquet(f"{root}/v0")
+    while most_rounds is None or k < most_rounds:
+        now = clock()
+        if state.where(claim_order(now, cooldown, cap)[0]).isEmpty():
+            break
+        k += 1
+        following, counts = run_batch(state, n, now, work, done() if done else None, cooldown, cap, attempts)
+        following.write.mode("error").parquet(f"{root}/v{k}")
+        for r in counts.collect():
+            totals[r["outcome"]] += r["n"]
+        state = spark.read.schema(schema).parquet(f"{root}/v{k}")
+    return state, totals

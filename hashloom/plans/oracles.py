@@ -53,6 +53,33 @@ SELECT bucket, count(*) AS n_rows, count(n) AS n_counted, CAST(coalesce(sum(n),
 FROM (SELECT DISTINCT hash FROM occ) GROUP BY ALL""",
     "append_loads": f"WITH {_OCC} SELECT ksize, 2 * count(*) AS n_rows, count(DISTINCT hash) AS n_hashes FROM (SELECT DISTINCT ksize, hash FROM occ) GROUP BY ksize",
     "archive_rows": f"WITH {_OCC} SELECT ksize, hash, bucket, count(DISTINCT sample_id) AS n_samples FROM occ GROUP BY ALL",
+    "archive_faults": f"""WITH {_OCC}, o AS (SELECT *, CAST(sample_id AS BIGINT) AS n FROM occ WHERE CAST(sample_id AS BIGINT) % 5 <> 0), d AS (
+  SELECT sample_id, CAST(CASE ksize WHEN 4 THEN 0 ELSE ksize END AS SMALLINT) AS ksize, hash FROM o
+  WHERE ksize IN (1, 4, 5) OR ksize = 2 AND n % 2 = 1 OR ksize = 6 AND n % 3 <> 0)
+SELECT ksize, count(*) AS n_rows, count(DISTINCT sample_id) AS n_samples, CAST(sum(hash) AS BIGINT) AS sum_hashes FROM d GROUP BY ksize""",
+    "archive_sink": f"WITH {_OCC} SELECT ksize, hash, bucket, count(DISTINCT sample_id) AS n_samples FROM occ GROUP BY ALL",
+    "tsv_sequences": "SELECT CAST(p_partkey AS VARCHAR) AS header, replace(p_name, ' ', '') AS sequence FROM part",
+    "list_lines": "SELECT replace(s_name, '#', ' ') AS name, CASE s_suppkey % 3 WHEN 0 THEN 'dir' WHEN 1 THEN 'slink' ELSE 'file' END AS kind FROM supplier",
+    "catalog_rows": """SELECT n_name AS name, lower(n_name) AS alias, '/db/' || n_name AS path, 'unique_hashes' AS "table", 'hash' AS "column",
+  CASE WHEN n_nationkey % 2 = 0 THEN 'left' ELSE 'right' END AS set_id, CASE WHEN n_nationkey % 2 = 1 THEN 'ksize' END AS ksize FROM nation""",
+    "ingest_modes": f"""WITH {_OCC}, u AS (SELECT DISTINCT ksize, hash FROM occ)
+SELECT 'create' AS mode, count(*) AS n_rows FROM u UNION ALL SELECT 'append', count(*) + count(*) FILTER (ksize <= 3) FROM u UNION ALL SELECT 'replace', count(*) FROM u WHERE ksize = 2""",
+    "shards_ksize": f"WITH {_OCC} SELECT CAST(21 AS SMALLINT) AS ksize, lpad(CAST(hash % 7 AS VARCHAR), 3, '0') AS part, count(DISTINCT hash) AS n_rows FROM occ GROUP BY ALL",
+    "queue_worker": f"""WITH {_QUEUE}, c AS (
+  SELECT id FROM (SELECT *, CASE WHEN status = 'PENDING' THEN 0 ELSE 1 END AS class FROM q
+    WHERE status = 'PENDING' OR status = 'ERROR' AND tries < 20 AND (updated_at IS NULL OR updated_at <= 1750000000 - 3600))
+  ORDER BY class, CASE WHEN class = 0 THEN NULL ELSE updated_at END NULLS FIRST, id LIMIT 400
+), w AS (
+  SELECT q.*, c.id IS NOT NULL AS taken, c.id IS NOT NULL AND q.id % 11 <> 0 AND (q.id % 7 = 0 OR q.id % 5 = 0) AS bad FROM q LEFT JOIN c ON q.id = c.id)
+SELECT id, CASE WHEN bad THEN 'ERROR' WHEN taken THEN 'DONE' ELSE status END AS status, CAST(tries + CASE WHEN bad THEN 3 ELSE 0 END AS INTEGER) AS tries,
+  CASE WHEN taken AND NOT bad THEN CASE WHEN id % 11 = 0 THEN '/old' ELSE '/out/f' || id || '.fa.gz' END END AS out_path,
+  CASE WHEN bad THEN CASE WHEN id % 7 = 0 THEN 'no result' ELSE 'broken' END END AS last_error FROM w""",
+    "crawl_queue": """WITH f AS (
+  SELECT 'r' || n_regionkey || '/n' || n_nationkey AS subdir, 'c' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') || '.fna.gz' AS filename FROM customer JOIN nation ON c_nationkey = n_nationkey
+  WHERE c_custkey % 3 <> 0 AND c_custkey <> 1
+), k AS (SELECT *, filename < 'c000000050' AS known FROM f)
+SELECT row_number() OVER (ORDER BY known DESC, subdir, filename) AS id, subdir, filename, 'https://host/all/' || subdir || '/' || filename AS url, 'PENDING' AS status,
+  CAST(1750000000 AS DOUBLE) AS updated_at, CASE WHEN known THEN 1749999991 ELSE 1750000000 END::DOUBLE AS created_at FROM k""",
     "infer_sample_id": "SELECT p_partkey AS id, 'GCA_' || p_partkey AS sample_id FROM part",
     "shard_md5": _shard(4096, "('0x' || right(md5(url), 8))::UBIGINT % 4096", "'bucket=' || lpad(CAST(('0x' || right(md5(url), 8))::UBIGINT % 4096 AS VARCHAR), 4, '0')"),
     "shard_sha1": _shard(4096, _SHA1, "'bucket=' || lpad(CAST(('0x' || right(sha1(regexp_extract(url, '[^/]*$')), 8))::UBIGINT % 4096 AS VARCHAR), 4, '0')"),

@@ -8,17 +8,20 @@ are listings.
 
 from __future__ import annotations
 
+import gzip
 import io
 import json
+import uuid
 import zipfile
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schema
 from ..functions import digests, names, uint64
 from ..operators import compare, dedup, sketch, traversal, workqueue
-from ..scratch import scratch_path
+from ..scratch import Scratch, scratch_path
 from ..sources import archives, listings, tables
 from ..streaming import incremental
 
@@ -168,6 +171,117 @@ def archive_rows(spark, sf_dir):
     return dedup.unique_hashes(archives.decode_archives(files, MOD), True, True)
 
 
+def archive_faults(spark, sf_dir):
+    """Archives with damaged entries, values and ends, one per supplier: what stands before a fault is decoded."""
+    grouped = occurrences(spark, sf_dir).groupBy("sample_id").agg(F.collect_list(F.struct("ksize", "hash")).alias("rows"))
+
+    def entry(k, hashes, more=""):
+        return f'{{"ksize": {k}, "mins": [{", ".join(map(str, hashes))}{more}]}}'
+
+    def pack(batches):
+        for pdf in batches:
+            out = []
+            for sample, rows in zip(pdf["sample_id"], pdf["rows"], strict=True):
+                by_k: dict = {k: [] for k in range(1, 8)}
+                for r in rows:
+                    by_k[int(r["ksize"])].append(int(r["hash"]))
+                buffer, n = io.BytesIO(), int(sample)
+                with zipfile.ZipFile(buffer, "w") as z:
+                    z.writestr("a.sig", entry(1, by_k[1]))
+                    packed = gzip.compress(entry(2, by_k[2]).encode())
+                    z.writestr("b.sig.gz", packed if n % 2 else packed[: len(packed) // 2])
+                    z.writestr("c.json", entry(3, by_k[3])[:-1])
+                    z.writestr("d.json", entry("Infinity", by_k[4]))
+                    z.writestr("e.sig", entry(5, by_k[5], "" if n % 3 else ", Infinity" if by_k[5] else "Infinity"))
+                    z.writestr("f.sig", entry(6, by_k[6]))
+                out.append((f"/data/{sample}.sig.zip", buffer.getvalue() if n % 5 else buffer.getvalue()[:-22]))
+            yield pd.DataFrame(out, columns=["path", "content"])
+
+    files = grouped.mapInPandas(pack, "path string, content binary")
+    return archives.decode_archives(files, MOD).groupBy("ksize").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("sample_id").alias("n_samples"), F.sum("hash").alias("sum_hashes"))
+
+
+def archive_sink(spark, sf_dir):
+    """Occurrences written as archives, one per supplier, and read again."""
+    root = scratch_path(spark, "sigzips")
+    o = occurrences(spark, sf_dir)
+    archives.write_archives(o.select(F.lit("").alias("dir"), F.col("sample_id").alias("name"), "ksize", "hash"), root)
+    return dedup.unique_hashes(archives.read_archives(spark, root, MOD, mode="failfast"), True, True)
+
+
+def tsv_sequences(spark, sf_dir):
+    """First and last column of tab-separated files with a header row."""
+    root = scratch_path(spark, "tsv")
+    load(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), "p_brand", F.replace("p_name", F.lit(" "), F.lit("")).alias("seq")).write.option("sep", "\t").option("header", True).csv(root)
+    return archives.read_tsv_sequences(spark, root)
+
+
+def list_lines(spark, sf_dir):
+    """Lines of a Unix directory listing made of suppliers."""
+    mode = F.element_at(F.array(F.lit("drwxr-xr-x"), F.lit("lrwxrwxrwx"), F.lit("-rw-r--r--")), (F.col("s_suppkey") % 3 + 1).cast("int"))
+    tail = F.when(F.col("s_suppkey") % 3 == 1, " -> /target").otherwise("")
+    line = F.concat(mode, F.lit(" 2 ftp anonymous 4096 Jan  1  2020 "), F.replace("s_name", F.lit("#"), F.lit(" ")), tail)
+    return listings.parse_list_lines(load(spark, sf_dir, "supplier").select(line.alias("line")))
+
+
+def catalog_rows(spark, sf_dir):
+    """A catalog of collections written as JSON and read again."""
+    root = scratch_path(spark, "catalog")
+    side = F.when(F.col("n_nationkey") % 2 == 0, "left").otherwise("right")
+    n = load(spark, sf_dir, "nation").select(
+        F.struct(F.col("n_name").alias("name"), F.lower("n_name").alias("alias"), F.concat(F.lit("/db/"), "n_name").alias("path"), F.lit("unique_hashes").alias("table"), F.lit("hash").alias("column"),
+                 side.alias("set_id"), F.when(F.col("n_nationkey") % 2 == 1, "ksize").alias("ksize")).alias("d"), F.lit(0).alias("one")
+    )
+    n.groupBy("one").agg(F.collect_list("d").alias("databases")).select("databases").write.json(root)
+    return listings.read_catalog(spark, root)
+
+
+def ingest_modes(spark, sf_dir):
+    """The total rows that a catalog table has after each load: created, appended to, replaced."""
+    unique = dedup.unique_hashes(occurrences(spark, sf_dir), True, True)
+    table = f"loaded_{uuid.uuid4().hex}"
+    found = []
+    for mode, rows in (("create", unique), ("append", unique.where("ksize <= 3")), ("replace", unique.where("ksize = 2"))):
+        found.append((mode, tables.ingest(rows, table, mode, analyze=mode == "replace")))
+    spark.sql(f"DROP TABLE {table}")
+    return spark.createDataFrame(found, "mode string, n_rows long")
+
+
+def shards_ksize(spark, sf_dir):
+    """Shards without a k size in their path take the one given."""
+    root = scratch_path(spark, "flat")
+    part = F.lpad(F.pmod("hash", F.lit(7)).cast("string"), 3, "0")
+    dedup.unique_hashes(occurrences(spark, sf_dir), False).select("hash", part.alias("part")).write.partitionBy("part").parquet(root)
+    return tables.read_shards(spark, root, ksize=21, with_part=True).groupBy("ksize", "part").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def queue_worker(spark, sf_dir):
+    """One round of the worker loop: outputs that are there are taken, one file in five fails at each of three attempts, one in seven gives no result."""
+    state = queue(spark, sf_dir)
+
+    def work(todo):
+        out = F.concat(F.lit("/out/"), F.col("filename"))
+        return todo.where("id % 7 <> 0").select("id", out.alias("out_path"), F.when(F.col("id") % 5 == 0, "broken").alias("error"))
+
+    done = state.where("id % 11 = 0").select("subdir", "filename", F.lit("/old").alias("out_path"))
+    after, _ = workqueue.run_batch(state, 400, NOW, work, done, attempts=3)
+    return after.select("id", "status", "tries", "out_path", "last_error")
+
+
+def crawl_queue(spark, sf_dir):
+    """Listings of three levels walked from the root, and the target files added to a queue that knows some of them."""
+    c, n = load(spark, sf_dir, "customer"), load(spark, sf_dir, "nation")
+    region = F.concat(F.lit("r"), F.col("n_regionkey"), F.lit("/"))
+    nation = F.concat(region, F.lit("n"), F.col("n_nationkey"), F.lit("/"))
+    r = load(spark, sf_dir, "region").select(F.lit("").alias("dir"), F.concat(F.lit("r"), "r_regionkey", F.lit("/")).alias("name"), F.lit(True).alias("is_dir"))
+    d = n.select(region.alias("dir"), F.concat(F.lit("n"), "n_nationkey", F.lit("/")).alias("name"), F.lit(True).alias("is_dir"))
+    f = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(nation.alias("dir"), F.concat(F.lit("c"), F.lpad(F.col("c_custkey").cast("string"), 9, "0"), F.when(F.col("c_custkey") % 3 == 0, ".txt").otherwise(".fna.gz")).alias("name"), F.lit(False).alias("is_dir"))
+    files = traversal.crawl(r.union(d).union(f), "https://host/all", r".*\.fna\.gz$", r"c0*1\.")
+    known = files.where("filename < 'c000000050'").withColumn("url", F.lit("old"))
+    state = workqueue.upsert(spark.createDataFrame([], schema.QUEUE), known, NOW - 9)
+    return workqueue.upsert(state, files, NOW).select("id", "subdir", "filename", "url", "status", "updated_at", "created_at")
+
+
 def infer_sample_id(spark, sf_dir):
     raw = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.concat(F.lit("/in/GCA_"), F.col("p_partkey").cast("string"), F.lit(".2_"), F.replace("p_name", F.lit(" "), F.lit("_")), F.when(F.col("p_size") % 2 == 0, "_genomic.fna.gz.sig.zip").otherwise(".FASTA.SIG.ZIP")).alias("path"))
     return raw.select("id", names.sample_id(F.col("path")).alias("sample_id"))
@@ -304,9 +418,11 @@ def rna_to_dna(spark, sf_dir):
 
 
 def _sides(spark, sf_dir):
+    """Both sides, each sketched once and written: the comparisons read the right side up to twice."""
+    scratch = Scratch(spark, "sides")
     left = sketch.sketch(load(spark, sf_dir, "benchmark").withColumn("name", F.lit("benchmark")), "text", "name", (31,), 20, "md5_60", mod=MOD)
     right = sketch.sketch(load(spark, sf_dir, "documents"), "text", "source", (31,), 20, "md5_60", mod=MOD)
-    return compare.normalised(left), right
+    return compare.normalised(left), scratch.write(right.distinct(), "right")
 
 
 def known_hashes(spark, sf_dir):
@@ -343,7 +459,7 @@ def stream_dedup(spark, sf_dir):
 
 NAMES = (
     "sketch_documents sketch_ksizes sketch_murmur dedup_ksize_hash dedup_hash dedup_ksize_hash_counts dedup_hash_counts bucket_histogram filter_ksizes"
-    " ingest_detect union_by_name merged_files bucket_tables list_buckets wgs_shards append_loads archive_rows infer_sample_id u64_mod u64_wrap hrefs hrefs_relative"
+    " ingest_detect union_by_name merged_files bucket_tables list_buckets wgs_shards append_loads archive_rows archive_faults archive_sink tsv_sequences list_lines catalog_rows ingest_modes shards_ksize queue_worker crawl_queue infer_sample_id u64_mod u64_wrap hrefs hrefs_relative"
     " target_pages path_rules subtree_examples quoted_urls file_list crawl_depth queue_stats queue_latest_state queue_claim queue_requeue queue_upsert queue_mark"
     " queue_verify queue_unfinished queue_next_batch even_chunks backoff rna_to_dna known_hashes novel_hashes containment cross_catalog_coverage point_lookup stream_dedup"
 )

@@ -68,4 +68,5 @@ PRESETS = {
     "GenBank_TLS": {"ksizes": (15, 31, 33), "mod": 512, "by_ksize": True, "with_counts": False},
     "GenBank_genomes": {"ksizes": (15, 31, 33), "mod": 512, "by_ksize": True, "with_counts": False},
     "GenBank_WGS": {"ksizes": (31,), "mod": None, "by_ksize": True, "with_counts": False},
+    "Logan_metagenomes": {"ksizes": (31,), "mod": None, "by_ksize": False, "with_counts": False},
 }

@@ -7,11 +7,15 @@ are built-in expressions on its output.
 
 from __future__ import annotations
 
+import glob
 import gzip
 import io
 import json
 import logging
+import posixpath
+import uuid
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,25 +30,39 @@ ENTRY_ENDS = (".sig", ".sig.gz", ".json", ".json.gz")
 RUN = 50_000
 
 
-def archive_entries(content: bytes) -> Iterator[bytes]:
-    """Payloads of the signature entries (manifests and other files have other endings); an entry that can't be unpacked is skipped."""
+#: What a damaged or encrypted archive, or a value that is no whole number, raises.
+FAULTS = (OSError, EOFError, zipfile.BadZipFile, zlib.error, RuntimeError, TypeError, ValueError, OverflowError)
+
+
+def archive_entries(content: bytes, failfast: bool = False) -> Iterator[bytes]:
+    """Payloads of the signature entries (manifests and other files have other endings).
+
+    An entry whose gzip is damaged is skipped; one that the archive can't give (damaged, encrypted) raises.
+    """
     with zipfile.ZipFile(io.BytesIO(content)) as archive:
         for info in archive.infolist():
             name = info.filename.lower()
             if info.is_dir() or not name.endswith(ENTRY_ENDS):
                 continue
-            try:
-                data = archive.read(info)
-                yield gzip.decompress(data) if name.endswith(".gz") else data
-            except (OSError, EOFError, zipfile.BadZipFile) as e:
-                LOG.warning("entry %s skipped: %s", info.filename, e)
+            data = archive.read(info)
+            if name.endswith(".gz"):
+                try:
+                    data = gzip.decompress(data)
+                except (OSError, EOFError, zlib.error) as e:
+                    if failfast:
+                        raise
+                    LOG.warning("entry %s skipped: %s", info.filename, e)
+                    continue
+            yield data
 
 
-def signatures(payload: bytes) -> list[dict]:
-    """Signature records of one entry, for each accepted layout; [] for others."""
+def signatures(payload: bytes, failfast: bool = False) -> list[dict]:
+    """Signature records of one entry, for each accepted layout; [] for others and for what isn't UTF-8 JSON."""
     try:
-        top = json.loads(payload)
-    except ValueError:
+        top = json.loads(payload.decode("utf-8"))
+    except (ValueError, RecursionError):
+        if failfast:
+            raise
         return []
 
     def direct(x) -> bool:
@@ -66,18 +84,18 @@ def signatures(payload: bytes) -> list[dict]:
 def k_size(signature: dict) -> int:
     try:
         return int(signature.get("ksize", 0))
-    except (TypeError, ValueError):
+    except (TypeError, ValueError, OverflowError):
         return 0
 
 
 def occurrences(content: bytes, include_ksizes: frozenset[int], failfast: bool) -> Iterator[tuple[int, list[int]]]:
-    """(k size, run of hashes as signed 64-bit values). A hash that isn't a whole number ends the archive, or raises with failfast; so does a bad archive."""
+    """(k size, run of hashes as signed 64-bit values). A hash that isn't a whole number ends the archive, or raises with failfast; so does an entry that can't be read and a bad archive."""
     mask = (1 << 64) - 1
     run: list[int] = []
     k = 0
     try:
-        for payload in archive_entries(content):
-            for signature in signatures(payload):
+        for payload in archive_entries(content, failfast):
+            for signature in signatures(payload, failfast):
                 k = k_size(signature)
                 if include_ksizes and k not in include_ksizes:
                     continue
@@ -95,7 +113,7 @@ def occurrences(content: bytes, include_ksizes: frozenset[int], failfast: bool)
                 if run:
                     yield k, run
                     run = []
-    except (zipfile.BadZipFile, TypeError, ValueError) as e:
+    except FAULTS as e:
         if failfast:
             raise
         LOG.warning("archive cut short: %s", e)
@@ -103,22 +121,32 @@ def occurrences(content: bytes, include_ksizes: frozenset[int], failfast: bool)
             yield k, run
 
 
-def scan_archives(spark: SparkSession, root: str, max_files: int = 0) -> DataFrame:
-    """(path, content) of every archive under root; with max_files, of the first in the order of their paths."""
+def matching(spark: SparkSession, files: DataFrame, root: str, pattern: str) -> DataFrame:
+    """Files (path) below root whose path matches a glob at any depth; ``**/`` stands for any folders."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    base = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hadoop).toString().rstrip("/")
+    rest = F.substring(F.col("path"), len(base) + 2, 1 << 30)
+    return files.where(F.url_decode(rest).rlike("^" + glob.translate(posixpath.join("**", pattern), recursive=True, include_hidden=True)))
+
+
+def scan_archives(spark: SparkSession, root: str, max_files: int = 0, pattern: str = "**/*.sig.zip") -> DataFrame:
+    """(path, content) of every archive under root that matches the glob; with max_files, of the first in the order of their paths."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.sig.zip").load(root).select("path", "content")
+    if pattern != "**/*.sig.zip":
+        files = matching(spark, files, root, pattern)
     if max_files > 0:
         first = [r["path"] for r in files.select("path").orderBy("path").limit(max_files).collect()]
         files = files.where(F.col("path").isin(first))
     return files
 
 
-def read_archives(spark: SparkSession, root: str, mod: int = 521, include_ksizes=(), mode: str = "permissive", max_files: int = 0) -> DataFrame:
+def read_archives(spark: SparkSession, root: str, mod: int = 521, include_ksizes=(), mode: str = "permissive", max_files: int = 0, pattern: str = "**/*.sig.zip") -> DataFrame:
     """Occurrences (sample_id, ksize, hash, bucket) of all archives under root.
 
-    mode: ``permissive`` keeps what stands before a fault, ``failfast`` raises.
+    mode: ``permissive`` skips entries that aren't gzip or JSON as they should be, and keeps of an archive what stands before any other fault; ``failfast`` raises.
     A k size outside SMALLINT raises in either.
     """
-    return decode_archives(scan_archives(spark, root, max_files), mod, include_ksizes, mode)
+    return decode_archives(scan_archives(spark, root, max_files, pattern), mod, include_ksizes, mode)
 
 
 def decode_archives(files: DataFrame, mod: int = 521, include_ksizes=(), mode: str = "permissive") -> DataFrame:
@@ -160,3 +188,88 @@ def read_tsv_sequences(spark: SparkSession, path: str) -> DataFrame:
     """(header, sequence): first and last column of a tab-separated file with a header row."""
     table = spark.read.option("sep", "\t").option("header", True).csv(path)
     return table.select(F.col(f"`{table.columns[0]}`").alias("header"), F.col(f"`{table.columns[-1]}`").alias("sequence"))
+
+
+def opened(path: str):
+    """(file system, path in it) of a path or URI, in a task; Hadoop writes file:/ for local ones."""
+    from pyarrow import fs
+
+    if ":" not in path.split("/", 1)[0] or path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/") if path.startswith("file:") else path
+    return fs.FileSystem.from_uri(path)
+
+
+def write_archives(df: DataFrame, root: str) -> DataFrame:
+    """Writes the archive ``<root>/<dir>/<name>.sig.zip`` of each (dir, name) of ``df`` (dir, name, ksize, hash): one entry a k size, its hashes ascending.
+
+    Rows are dealt by archive and sorted, and stream into the archive, so memory doesn't grow with it. An archive is
+    written beside its place, tested and moved in, so a reader never sees half of one and a repeated task changes
+    nothing. Returns (path, n_hashes), one row an archive, written by then. Null names are left out.
+    """
+    from ..scratch import Scratch
+
+    order = uint64.order_key(F.col("hash"))
+    rows = df.where("name IS NOT NULL").select(F.coalesce("dir", F.lit("")).alias("dir"), "name", F.col("ksize").cast("int").alias("ksize"), "hash", order.alias("_o"))
+    dealt = rows.repartition("dir", "name").sortWithinPartitions("dir", "name", "ksize", "_o").drop("_o")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        writer = None
+        for batch in batches:
+            folder, name, ksize, h = (batch.column(k) for k in range(4))
+            for d, n, k, v in zip(folder.to_pylist(), name.to_pylist(), ksize.to_pylist(), h.to_numpy().view(np.uint64).tolist(), strict=True):
+                if writer is None or writer.key != (d, n):
+                    if writer is not None:
+                        yield writer.finish()
+                    writer = ArchiveWriter(root, d, n)
+                    writer.begin()
+                writer.add(k, v)
+        if writer is not None:
+            yield writer.finish()
+
+    return Scratch(df.sparkSession, "archives").write(dealt.mapInArrow(run, "path string, n_hashes long"), "written")
+
+
+class ArchiveWriter:
+    """One archive: begin, add (k sizes in order), finish; or abandon."""
+
+    def __init__(self, root: str, folder: str, name: str):
+        self.key, self.n, self.k, self.entry = (folder, name), 0, None, None
+        self.store, base = opened(root)
+        self.path = posixpath.join(base, folder, f"{name}.sig.zip")
+        self.part = self.file = self.zip = None
+
+    def begin(self):
+        self.part = f"{self.path}.{uuid.uuid4().hex}.part"
+        self.store.create_dir(posixpath.dirname(self.path), recursive=True)
+        self.file = self.store.open_output_stream(self.part)
+        self.zip = zipfile.ZipFile(self.file, "w", zipfile.ZIP_DEFLATED)
+
+    def _end_entry(self):
+        if self.entry is not None:
+            self.entry.write(b"]}]}]")
+            self.entry.close()
+
+    def add(self, k: int, value: int):
+        if self.entry is None or k != self.k:
+            self._end_entry()
+            self.k, self.entry, before = k, self.zip.open(f"signatures/{k}.sig", "w", force_zip64=True), ""
+            self.entry.write(f'[{{"class": "signature", "name": {json.dumps(self.key[1])}, "signatures": [{{"ksize": {k}, "mins": ['.encode())
+        else:
+            before = ", "
+        self.entry.write(f"{before}{value}".encode())
+        self.n += 1
+
+    def abandon(self):
+        """Takes back what begin wrote."""
+        if self.part is not None and self.store.get_file_info(self.part).is_file:
+            self.store.delete_file(self.part)
+
+    def finish(self) -> pa.RecordBatch:
+        self._end_entry()
+        self.zip.close()
+        self.file.close()
+        with self.store.open_input_file(self.part) as f:
+            if not zipfile.is_zipfile(f):
+                raise ValueError(f"output is no valid zip: {self.path}")
+        self.store.move(self.part, self.path)
+        return pa.RecordBatch.from_arrays([pa.array([self.path]), pa.array([self.n], pa.int64())], ["path", "n_hashes"])

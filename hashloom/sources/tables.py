@@ -14,19 +14,26 @@ class NoInputError(ValueError):
     """No file of the pattern is there."""
 
 
-def write_occurrences(df: DataFrame, root: str, compression: str = "zstd", files_per_bucket: int = 1, mode: str = "append") -> None:
-    """``bucket=<n>`` directories (numbers unpadded) of hash-dealt files; one shuffle by (bucket, salt), so a file has one bucket."""
+def write_occurrences(df: DataFrame, root: str, compression: str = "zstd", files_per_bucket: int = 0, mode: str = "append") -> None:
+    """``bucket=<n>`` directories (numbers unpadded) of hash-dealt files; one shuffle, so a file has one bucket.
+
+    Without ``files_per_bucket`` adaptive execution makes a large bucket several files and tasks; with it, a bucket has so many by a hash of the hash.
+    """
     if compression not in CODECS:
         raise ValueError(f"compression is one of {CODECS}")
-    salt = F.pmod(F.xxhash64("hash"), F.lit(files_per_bucket))
-    dealt = df.repartition(F.col("bucket"), salt) if files_per_bucket > 1 else df.repartition("bucket")
-    dealt.write.partitionBy("bucket").option("compression", compression).mode(mode).parquet(root)
+    _by_bucket(df, files_per_bucket).write.partitionBy("bucket").option("compression", compression).mode(mode).parquet(root)
+
+
+def _by_bucket(df: DataFrame, files_per_bucket: int) -> DataFrame:
+    if files_per_bucket > 0:
+        return df.repartition("bucket", F.pmod(F.xxhash64("hash"), F.lit(files_per_bucket)))
+    return df.hint("rebalance", "bucket")
 
 
-def write_unique(df: DataFrame, root: str, compression: str = "zstd") -> None:
-    """One sorted file per bucket directory; only the buckets that ``df`` has are replaced."""
+def write_unique(df: DataFrame, root: str, compression: str = "zstd", files_per_bucket: int = 0) -> None:
+    """Sorted files in bucket directories (one each unless a bucket is large); only the buckets that ``df`` has are replaced."""
     keys = [c for c in ("ksize", "hash") if c in df.columns]
-    dealt = df.repartition("bucket").sortWithinPartitions("bucket", *keys)
+    dealt = _by_bucket(df, files_per_bucket).sortWithinPartitions("bucket", *keys)
     dealt.write.partitionBy("bucket").option("compression", compression).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(root)
 
 
@@ -37,10 +44,10 @@ def list_buckets(spark: SparkSession, root: str) -> DataFrame:
     return files.select(F.expr("try_cast(regexp_extract(path, '/bucket=([0-9]+)/', 1) AS int)").alias("bucket")).where(number != "").distinct().orderBy("bucket")
 
 
-def read_hashes(spark: SparkSession, root: str, merge: bool = True) -> DataFrame:
-    """Occurrences or distinct hashes under a root of bucket directories; unlike files merge by name, unsigned columns come in their inner form."""
+def read_hashes(spark: SparkSession, root: str, merge: bool = True, pattern: str = "") -> DataFrame:
+    """Occurrences or distinct hashes under a root of bucket directories, or in the files below it that match a glob; unlike files merge by name, unsigned columns come in their inner form."""
     reader = spark.read.option("mergeSchema", merge).option("basePath", root)
-    return inner_form(_existing(reader, root))
+    return inner_form(_existing(reader, f"{root.rstrip('/')}/{pattern}" if pattern else root))
 
 
 def _existing(reader, *paths: str) -> DataFrame:
@@ -72,7 +79,7 @@ def detected(df: DataFrame) -> DataFrame:
     return inner_form(df).select(*(F.col(have[c]).cast(t).alias(c) for c, t in types.items() if c in have))
 
 
-def read_shards(spark: SparkSession, root: str, ksize: int | None = None, with_part: bool = False) -> DataFrame:
+def read_shards(spark: SparkSession, root: str, ksize: int | None = None, with_part: bool = False, pattern: str = "") -> DataFrame:
     """ksize, hash[, part] of ``[ksize=<k>/]part=<label>`` directories.
 
     Labels stay text (``000`` and ``35b`` alike). A k size in the path wins
@@ -82,7 +89,7 @@ def read_shards(spark: SparkSession, root: str, ksize: int | None = None, with_p
     before = spark.conf.get(key, "true")
     spark.conf.set(key, "false")
     try:
-        df = inner_form(_existing(spark.read.option("basePath", root), root))
+        df = inner_form(_existing(spark.read.option("basePath", root), f"{root.rstrip('/')}/{pattern}" if pattern else root))
     finally:
         spark.conf.set(key, before)
     have = {c.lower(): c for c in df.columns}

@@ -158,10 +158,37 @@ def test_worker_round(spark, state):
     assert got[1] == ("DONE", 0, "/o/f1", None) and got[2] == ("DONE", 3, "/old", None)
     assert got[5] == ("ERROR", 2, None, "broken") and got[9] == ("ERROR", 1, None, "no result")
     assert got[3][0] == "ERROR" and got[6][0] == "DOWNLOADING"
-    assert {(r.outcome, r.n, r.example) for r in counts.collect()} == {("done", 1, None), ("skipped", 1, None), ("error", 2, "broken")}
+    assert {(r.outcome, r.n, *sorted(r.examples)) for r in counts.collect()} == {("done", 1), ("skipped", 1), ("error", 2, "broken", "no result")}
+    after, counts = workqueue.run_batch(state, 4, NOW, work, done, attempts=3)
+    got = by_id(after, "status", "tries")
+    assert got[1] == ("DONE", 0) and got[5] == ("ERROR", 4) and got[9] == ("ERROR", 3)
     assert [r.id for r in workqueue.pending(state, 5, after=1).collect()] == [9]
 
 
+def test_worker_loop(spark, state, tmp_path):
+    """Rounds go on until nothing can be claimed; a row that fails at first succeeds at its second attempt."""
+    seen = []
+
+    def work(todo):
+        ids = [r.id for r in todo.orderBy("id").collect()]
+        seen.append(ids)
+        again = [i for i in ids if i == 5 and sum(5 in x for x in seen) < 2]
+        return todo.select("id", F.lit("/o").alias("out_path"), F.when(F.col("id").isin(again), "later").alias("error"))
+
+    last, totals = workqueue.run_queue(state, str(tmp_path / "v"), 2, work, clock=lambda: NOW, attempts=2)
+    got = by_id(last, "status", "tries")
+    assert got[5] == ("DONE", 2) and got[1][0] == got[9][0] == "DONE" and totals["error"] == 0 and totals["done"] >= 3
+    assert last.where(workqueue.claim_order(NOW)[0]).isEmpty() and (tmp_path / "v" / "v1").exists()
+
+
+def test_subtree_caps(spark):
+    paths = [f"/a/d{k}/x{k}.txt" for k in range(3)] + ["/a/d9/y.fna", "/b/z.fna"]
+    files = spark.createDataFrame([(p,) for p in paths], "path string")
+    found = lambda **caps: {r.subtree for r in traversal.subtree_examples(files, "h", **caps).collect()}
+    assert found() == found(max_dirs=4, max_files=4) == {"/a/", "/b/"}
+    assert found(max_dirs=3) == found(max_files=3) == {"/b/"}
+
+
 def test_progress_listener(spark, tmp_path):
     import time
 

@@ -51,6 +51,48 @@ def test_layouts_and_faults(spark, tmp_path):
         archives.read_archives(spark, str(tmp_path), mode="failfast").count()
 
 
+def test_damaged_archives(spark, tmp_path):
+    """A bad gzip entry is skipped; a bad deflate stream, an encrypted entry, or Infinity ends the archive and keeps what stands before."""
+    good = json.dumps({"ksize": 31, "mins": [1]})
+    packed = bytearray(gzip.compress(json.dumps({"ksize": 31, "mins": list(range(500))}).encode()))
+    packed[len(packed) // 2] ^= 0xFF
+    zipped(tmp_path / "A.sig.zip", {"a.sig": good, "b.sig.gz": bytes(packed), "c.sig.gz": gzip.compress(good.encode())[:-9], "d.json": '{"ksize": Infinity, "mins": [2]}', "e.sig": '{"ksize": 31, "mins": [3, Infinity, 4]}', "f.sig": good})
+    for name, kind in (("B", "deflate"), ("C", "encrypted")):
+        with zipfile.ZipFile(tmp_path / f"{name}.sig.zip", "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr("a.sig", good)
+            z.writestr("b.sig", json.dumps({"ksize": 31, "mins": list(range(3000))}))
+        data = bytearray((tmp_path / f"{name}.sig.zip").read_bytes())
+        if kind == "deflate":
+            at = data.index(b"b.sig")
+            data[at + 5 : at + 25] = b"\xff" * 20
+        else:  # the flag of the second entry, in its own header and in the directory
+            for mark, flag in ((b"PK\x03\x04", 6), (b"PK\x01\x02", 8)):
+                data[data.rindex(mark) + flag] |= 1
+        (tmp_path / f"{name}.sig.zip").write_bytes(bytes(data))
+    assert rows(archives.read_archives(spark, str(tmp_path))) == [("A", 0, 2, 2), ("A", 31, 1, 1), ("A", 31, 3, 3), ("B", 31, 1, 1), ("C", 31, 1, 1)]
+    for name in "ABC":
+        with pytest.raises(PySparkException):
+            archives.read_archives(spark, str(tmp_path), mode="failfast", pattern=f"{name}.sig.zip").count()
+
+
+def test_globs(spark, tmp_path):
+    for place in ("x/bucket=1", "x/bucket=2", "y"):
+        (tmp_path / place).mkdir(parents=True)
+        zipped(tmp_path / place / "S.sig.zip", {"a.sig": json.dumps({"ksize": 31, "mins": [1]})})
+    n = lambda pattern: archives.scan_archives(spark, str(tmp_path), pattern=pattern).count()
+    assert [n(x) for x in ("**/*.sig.zip", "bucket=*/*.sig.zip", "x/**/*.sig.zip", "y/S*", "S.sig.zip", "z/*")] == [3, 2, 2, 1, 3, 0]
+
+
+def test_archive_sink(spark, occ, tmp_path):
+    root = str(tmp_path / "sink")
+    big = occ.unionByName(occ.limit(1).withColumn("hash", F.lit(-1).cast("long"))).select(F.lit("bucket=1").alias("dir"), F.col("sample_id").alias("name"), "ksize", "hash")
+    for _ in range(2):  # again gives the same files
+        written = archives.write_archives(big, root).collect()
+    assert sorted(r.n_hashes for r in written) == [3, 3] and sorted(p.name for p in (tmp_path / "sink" / "bucket=1").iterdir()) == ["a.sig.zip", "b.sig.zip"]
+    got = sorted((r.sample_id, r.ksize, r.hash) for r in archives.read_archives(spark, root, mode="failfast").collect())
+    assert got == sorted((r.name, r.ksize, r.hash) for r in big.collect())
+
+
 def test_ksize_out_of_range(spark, tmp_path):
     zipped(tmp_path / "A.sig.zip", {"a.sig": json.dumps({"ksize": 40000, "mins": [1]})})
     with pytest.raises(PySparkException):
