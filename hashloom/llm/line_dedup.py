@@ -18,6 +18,9 @@ lines, never with the square of a line's count.
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +32,10 @@ LONG_WORDS, LONG_CHARS = 50, 300
 
 
 def line_windows(df: DataFrame, id_col: str, text_col: str, run_lines: int, min_chars: int, long_words: int | None = None, long_chars: int | None = None) -> DataFrame:
-    """(_id, _xx, s, k, f, g1, g2, p): every window of k lines that counts as a run, with its fingerprint's hash and place and its own digests."""
+    """(_id, _xx, s, k, f, g, p): the windows of k lines that count as a run, with their fingerprint's hash and place and a digest of their own.
+
+    Left out are windows all of whose lines lie in smaller ones within them: where such a window repeats, so do these.
+    """
     short = long_words is not None or long_chars is not None
     norm = F.transform(F.split(F.col("_text"), "\n", -1), lambda x: F.btrim(x, F.lit(BLANK)))
     lines = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where("_id IS NOT NULL AND _text IS NOT NULL").withColumn("_xx", F.xxhash64("_text"))
@@ -46,21 +52,30 @@ def line_windows(df: DataFrame, id_col: str, text_col: str, run_lines: int, min_
     kinds = ["h", "c", *([] if long_words is None else ["w"])]
     rows = hashed.select("_id", "_xx", F.size("l").alias("_n"), F.posexplode(F.arrays_zip(*moved)).alias("s", "w")).select("_id", "_xx", "_n", "s", *(F.col(f"w.l{k}.{x}").alias(f"{x}{k}") for x in kinds for k in places))
 
+    def long(size, at):
+        """Whether the lines at .. at + size - 1 are a run by their length alone."""
+        held = F.lit(False)
+        if long_words is not None:
+            held |= sum(F.col(f"w{k}") for k in range(at, at + size)) >= long_words
+        if long_chars is not None:
+            held |= sum(F.col(f"c{k}") for k in range(at, at + size)) >= long_chars
+        return held
+
     def window(size):
         hashes = [F.col(f"h{k}") for k in range(size)]
         chars = sum(F.col(f"c{k}") for k in range(size))
         counts = chars >= min_chars
         if size < run_lines:
-            counts &= F.col("_n") == size
-            if long_words is not None:
-                counts |= sum(F.col(f"w{k}") for k in range(size)) >= long_words
-            if long_chars is not None:
-                counts |= chars >= long_chars
+            counts = (counts & (F.col("_n") == size)) | long(size, 0)
+        if short and size > 1:
+            inner = [(n, at) for n in range(1, size) for at in range(size - n + 1)]
+            covered = (functools.reduce(operator.or_, (long(n, at) for n, at in inner if at <= k < at + n)) for k in range(size))
+            counts &= ~functools.reduce(operator.and_, covered)
         least = F.least(*hashes) if size > 1 else hashes[0]
         first = F.lit(size - 1)
         for k in reversed(range(size)):
             first = F.when(hashes[k] == least, k).otherwise(first)
-        made = F.struct(F.lit(size).alias("k"), least.alias("f"), F.xxhash64(*hashes).alias("g1"), F.xxhash64(*hashes, F.lit(size)).alias("g2"), (F.col("s") + first).alias("p"))
+        made = F.struct(F.lit(size).alias("k"), least.alias("f"), F.xxhash64(*hashes).alias("g"), (F.col("s") + first).alias("p"))
         return F.when(chars.isNotNull() & counts, made)
 
     sizes = range(1 if short else run_lines, run_lines + 1)
@@ -72,10 +87,11 @@ def repeated_windows(windows: DataFrame) -> DataFrame:
     """(_id, _xx, s, k) of the windows that stand earlier, in the order of (id, text digest, line)."""
     at = F.struct("_id", "_xx", "p")
     shared = windows.groupBy("f").agg(F.min(at).alias("lo"), F.max(at).alias("hi")).where(F.col("lo") < F.col("hi")).select("f")
-    extended = windows.join(shared, "f").select("_id", "_xx", "s", "k", "g1", "g2")
+    # both sides of the joins grow with the corpus, so neither is broadcast at any size; the second digest takes the fingerprint in
+    extended = windows.join(shared.hint("merge"), "f").select("_id", "_xx", "s", "k", "g", F.xxhash64("f", "g", "k").alias("g2"))
     at = F.struct("_id", "_xx", "s")
-    first = extended.groupBy("g1", "g2").agg(F.min(at).alias("first"), F.max(at).alias("_last")).where(F.col("first") < F.col("_last")).select("g1", "g2", "first")
-    return extended.join(first, ["g1", "g2"]).where(at > F.col("first")).groupBy("_id", "_xx", "s").agg(F.max("k").alias("k"))
+    first = extended.groupBy("g", "g2").agg(F.min(at).alias("first"), F.max(at).alias("_last")).where(F.col("first") < F.col("_last")).select("g", "g2", "first")
+    return extended.join(first.hint("merge"), ["g", "g2"]).where(at > F.col("first")).groupBy("_id", "_xx", "s").agg(F.max("k").alias("k"))
 
 
 def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_lines: int = 3, min_chars: int = 40, carry: tuple[str, ...] = (), long_words: int | None = None, long_chars: int | None = None) -> DataFrame:
@@ -100,7 +116,7 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ru
     gone = scratch.write(repeated_windows(windows).groupBy("_id", "_xx").agg(F.array_sort(F.array_distinct(covered)).alias("d")), "gone")
     scratch.drop("windows")
     rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.xxhash64(text_col).alias("_xx"), *(F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)))
-    found = rows.join(gone, ["_id", "_xx"], "left").withColumn("_lines", F.split("_text", "\n", -1))
+    found = rows.join(gone.hint("merge"), ["_id", "_xx"], "left").withColumn("_lines", F.split("_text", "\n", -1))
     n = F.size("_lines")
     # keep flags in runs: what stands before the first deleted line, then each deleted line and the gap after it
     following = F.concat(F.slice("d", F.lit(2), F.size("d")), F.array(n))
