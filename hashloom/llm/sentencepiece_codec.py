@@ -26,6 +26,8 @@ from .common import doc_chunks, text_views
 from .word_kernels import U, mix, powers
 
 MARK = 0x2581
+#: Bytes of text (and pieces, when decoding) that are worked at once.
+BLOCK = 1 << 20
 #: Stands for a mark of the text itself; beyond all code points.
 OWN_MARK = 0x110000
 
@@ -197,20 +199,47 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+def text_blocks(raw: np.ndarray, most: int = BLOCK) -> Iterator[np.ndarray]:
+    """One text in blocks of about ``most`` bytes whose ids, one after the other, are the text's.
+
+    A block ends before a space behind another character: a word begins there, whose mark is
+    the one put before the next block, so the space itself is left out. The last space of a text is no such place, as
+    nothing would follow it.
+    """
+    at = 0
+    while len(raw) - at > most:
+        for i in range(at + most, len(raw), most):
+            part = raw[i - 1 : min(i + most, len(raw) - 1)]
+            found = np.flatnonzero((part[1:] == 0x20) & (part[:-1] != 0x20))
+            if len(found):
+                end = i + int(found[0])
+                yield raw[at:end]
+                at = end + 1
+                break
+        else:
+            break
+    yield raw[at:]
+
+
 def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per input row: doc_id, ids (array of int).
 
-    Null or empty text: no ids. Null id: null doc_id. Very long texts: worked
-    whole, a word at a time at most as long as the text has it. Repeated rows:
-    encoded alike. Empty table: no rows. Extra columns are not read.
+    Null or empty text: no ids. Null id: null doc_id. Very long texts: in blocks
+    that end at a word's beginning, so memory is bounded by a block, the longest word and the text's
+    ids. Repeated rows: encoded alike. Ties between segmentations: the longest last piece. Empty table: no rows. Extra columns are not read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(model_path)
         for batch in batches:
             raw, starts, _ = text_views(batch, "_text")
-            for i, j in doc_chunks(starts, 1 << 20):
-                ids, bounds = v.encode(raw[starts[i] : starts[j]], starts[i : j + 1] - starts[i])
+            for i, j in doc_chunks(starts, BLOCK):
+                size = starts[i : j + 1] - starts[i]
+                if size[-1] > BLOCK:  # one text
+                    ids = np.concatenate([v.encode(b, np.array([0, len(b)]))[0] for b in text_blocks(raw[starts[i] : starts[j]])])
+                    bounds = np.array([0, len(ids)])
+                else:
+                    ids, bounds = v.encode(raw[starts[i] : starts[j]], size)
                 listed = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), listed], ["doc_id", "ids"])
 
@@ -219,7 +248,7 @@ def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str
 
 
 def decode(df: DataFrame, model_path: str) -> DataFrame:
-    """Per row (doc_id, ids): doc_id, ids, text. Control pieces and the unknown piece give nothing; null ids give an empty text."""
+    """Per row (doc_id, ids): doc_id, ids, text. Control pieces and the unknown piece give nothing; null ids give an empty text. Texts are joined to about BLOCK bytes, a longer one is worked whole."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(model_path)
@@ -228,8 +257,7 @@ def decode(df: DataFrame, model_path: str) -> DataFrame:
             sizes = np.asarray(listed.value_lengths().fill_null(0), np.int64)
             bounds = np.concatenate([[0], np.cumsum(sizes)])
             ids = np.asarray(listed.flatten(), np.int64)
-            for i in range(0, len(sizes), 256):
-                j = min(len(sizes), i + 256)
+            for i, j in doc_chunks(bounds, BLOCK >> 2):
                 b, at = v.decode(ids[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i])
                 data = b.tobytes()
                 texts = [data[x:y].decode("utf-8", "replace") for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]

@@ -74,6 +74,25 @@ def test_random(plain, texts):
     assert back == texts and ids == [plain(t) for t in texts]
 
 
+@given(st.text(alphabet=st.sampled_from("ab the  ▁\n日é😀."), max_size=60), st.integers(1, 9))
+@settings(max_examples=150, deadline=None)
+def test_blocks(text, most):
+    """The ids of a text's blocks are those of the whole text."""
+    blocks = [bytes(b).decode() for b in codec.text_blocks(np.frombuffer(text.encode(), np.uint8), most)]
+    assert " ".join(blocks) == text
+    assert sum(coded(blocks)[0], []) == coded([text])[0][0]
+
+
+def test_texts_of_many_blocks(spark):
+    """Long texts with words of all lengths and spaces at block ends."""
+    texts = [" ".join(f"word{k}" for k in range(250_000)), ("x" * 20_000 + " ") * 55 + "y", "a  " * 400_000, "日" * 400_000, "z" * 1_048_575 + " "]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sorted(codec.decode(codec.encode(df, PATH), PATH).collect())
+    assert [r.text for r in rows] == texts
+    whole = coded(texts[:1] + texts[2:4])[0]
+    assert [rows[k].ids for k in (0, 2, 3)] == whole
+
+
 def test_decoding_of_the_library_ids(model):
     texts = ["Hello  world", " x", "日本 é"]
     ids = [model.encode(t) for t in texts]
