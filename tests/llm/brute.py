@@ -102,6 +102,30 @@ def lines_removed(texts, run, chars, words=None, long_chars=None):
     return out
 
 
+def winnowed_lines(texts, run, hashed):
+    """As ``lines_removed`` without a least length, by winnowing as it is described: all pairs of positions with one
+    fingerprint (the first least ``hashed`` line of a window) are extended to both sides, and the later run goes."""
+    norm = {i: [x.strip(" \t\r") for x in t.split("\n")] for i, t in texts.items()}
+    places: dict = {}
+    for i in sorted(norm):
+        lines = norm[i]
+        for p in sorted({min(range(s, s + run), key=lambda q: (hashed(lines[q]), q)) for s in range(len(lines) - run + 1)}):
+            places.setdefault(lines[p], []).append((i, p))
+    gone = {i: set() for i in texts}
+    for found in places.values():
+        for n, (i, p) in enumerate(found):
+            for j, q in found[:n]:
+                a, b = norm[i], norm[j]
+                left = right = 0
+                while min(p, q) - left > 0 and a[p - left - 1] == b[q - left - 1]:
+                    left += 1
+                while p + right + 1 < len(a) and q + right + 1 < len(b) and a[p + right + 1] == b[q + right + 1]:
+                    right += 1
+                if left + right + 1 >= run:
+                    gone[i].update(range(p - left, p + right + 1))
+    return gone
+
+
 def license_base(text):
     """(n_words, starts of phrase places, labels)."""
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(LOWER))

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -251,6 +252,16 @@ def test_lines(spark, seed, run, chars):
         assert (r.n_lines, r.n_removed) == (len(lines), len(gone[r.doc_id]))
 
 
+@pytest.mark.parametrize(("seed", "run"), [(3, 2), (4, 3), (5, 4)])
+def test_lines_as_by_extension(spark, seed, run):
+    """The union of repeated windows is what extending every pair of fingerprint positions to both sides deletes."""
+    rows = lines_rows(seed)
+    gone = brute.winnowed_lines(dict(rows), run, lambda x: zlib.crc32(x.encode()))
+    assert gone == brute.lines_removed(dict(rows), run, 0)
+    got = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.line_dedup(table(spark, rows), run_lines=run, min_chars=0).collect()}
+    assert got == {i: ("\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i]), len(gone[i])) for i, t in rows}
+
+
 def test_lines_hard(spark):
     block = "\n".join(f"this is line {k} of a block" for k in range(3))
     many = "\n".join(f"unique line number {k} here" for k in range(50_000))
