@@ -8,14 +8,19 @@ from pyspark.sql import functions as F
 
 from .chat_format import format_chats, read_back, turns_as_events
 from .common import load
+from .divergence import ORACLE as divergence_oracle
+from .divergence import op13_source_divergence
 from .exact_dedup import exact_dedup
 from .license_scan import license_scan
 from .line_dedup import LONG_CHARS, LONG_WORDS, line_dedup
 from .line_dedup import oracle as line_oracle
+from .merkle import ORACLE as merkle_oracle
+from .merkle import op11_merkle_manifest
 from .minhash_dedup import near_duplicates
 from .packing import pack
 from .quality_rules import quality_rules
 from .sentencepiece_codec import decode, encode
+from .simhash import op12_simhash_dedup
 from .suffix_dedup import remove_repeats
 from .toxicity import score, train
 
@@ -91,6 +96,9 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_license_scan": op10_license_scan,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_simhash_dedup": op12_simhash_dedup,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLES = {
@@ -114,4 +122,6 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
   doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """,
+    "op11_merkle_manifest": merkle_oracle,
+    "op13_source_divergence": divergence_oracle,
 }
