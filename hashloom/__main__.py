@@ -61,6 +61,13 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--buckets", type=int, default=0)
     p.add_argument("--no-sort", action="store_true")
     p.add_argument("--analyze", action="store_true")
+    p.add_argument("--index", help="folder for a hash index of the files")
+
+    p = sub.add_parser("probe", help="rows of a table, loaded with --index, that have one of many hashes")
+    p.add_argument("--table", default="unique_hashes")
+    p.add_argument("--index", required=True)
+    p.add_argument("--hashes", required=True, help="Parquet with a column hash")
+    p.add_argument("--out", required=True)
 
     p = sub.add_parser("ingest-shards", help="pre-deduplicated shards to a catalog table")
     p.add_argument("--parquet-root", required=True)
@@ -172,7 +179,12 @@ def run_dedup(spark: SparkSession, a) -> int:
 
 def ingest(spark: SparkSession, a) -> int:
     found = tables.detected(tables.read_hashes(spark, a.dedup_root, pattern=a.pattern))
-    print(tables.ingest(found, a.table, a.mode, not a.no_sort, a.buckets, a.analyze))
+    print(tables.ingest(found, a.table, a.mode, not a.no_sort, a.buckets, a.analyze, a.index))
+    return 0
+
+
+def probe(spark: SparkSession, a) -> int:
+    tables.probe(tables.inner_form(spark.read.parquet(a.hashes)), a.table, a.index).write.mode("error").parquet(a.out)
     return 0
 
 
@@ -267,7 +279,7 @@ def queue_stats(spark: SparkSession, a) -> int:
 
 
 COMMANDS = {
-    "export": export, "dedup": run_dedup, "ingest": ingest, "ingest-shards": ingest_shards,
+    "export": export, "dedup": run_dedup, "ingest": ingest, "probe": probe, "ingest-shards": ingest_shards,
     "sketch": run_sketch, "find": find, "enqueue": enqueue, "crawl": crawl, "work": work, "queue-stats": queue_stats,
 }
 

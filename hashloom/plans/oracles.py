@@ -64,6 +64,11 @@ SELECT ksize, count(*) AS n_rows, count(DISTINCT sample_id) AS n_samples, CAST(s
   CASE WHEN n_nationkey % 2 = 0 THEN 'left' ELSE 'right' END AS set_id, CASE WHEN n_nationkey % 2 = 1 THEN 'ksize' END AS ksize FROM nation""",
     "ingest_modes": f"""WITH {_OCC}, u AS (SELECT DISTINCT ksize, hash FROM occ)
 SELECT 'create' AS mode, count(*) AS n_rows FROM u UNION ALL SELECT 'append', count(*) + count(*) FILTER (ksize <= 3) FROM u UNION ALL SELECT 'replace', count(*) FROM u WHERE ksize = 2""",
+    "ingest_statistics": f"""WITH {_OCC}, u AS (SELECT ksize, hash, bucket, count(DISTINCT sample_id) AS n_samples FROM occ GROUP BY ALL)
+SELECT c AS "column", CAST(CASE c WHEN 'ksize' THEN min(ksize) WHEN 'hash' THEN min(hash) WHEN 'bucket' THEN min(bucket) ELSE min(n_samples) END AS VARCHAR) AS lo,
+  CAST(CASE c WHEN 'ksize' THEN max(ksize) WHEN 'hash' THEN max(hash) WHEN 'bucket' THEN max(bucket) ELSE max(n_samples) END AS VARCHAR) AS hi, '0' AS n_null
+FROM u, (VALUES ('ksize'), ('hash'), ('bucket'), ('n_samples')) t(c) GROUP BY c""",
+    "index_probe": f"WITH {_OCC} SELECT ksize, hash, bucket, count(DISTINCT sample_id) AS n_samples FROM occ WHERE hash IN (SELECT o_orderkey FROM orders) GROUP BY ALL",
     "shards_ksize": f"WITH {_OCC} SELECT CAST(21 AS SMALLINT) AS ksize, lpad(CAST(hash % 7 AS VARCHAR), 3, '0') AS part, count(DISTINCT hash) AS n_rows FROM occ GROUP BY ALL",
     "queue_worker": f"""WITH {_QUEUE}, c AS (
   SELECT id FROM (SELECT *, CASE WHEN status = 'PENDING' THEN 0 ELSE 1 END AS class FROM q

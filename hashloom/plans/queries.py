@@ -243,10 +243,26 @@ def ingest_modes(spark, sf_dir):
     found = []
     for mode, rows in (("create", unique), ("append", unique.where("ksize <= 3")), ("replace", unique.where("ksize = 2"))):
         found.append((mode, tables.ingest(rows, table, mode, analyze=mode == "replace")))
-    spark.sql(f"DROP TABLE {table}")
+    tables.drop(spark, table)
     return spark.createDataFrame(found, "mode string, n_rows long")
 
 
+def ingest_statistics(spark, sf_dir):
+    """What the catalog knows of a loaded table's columns."""
+    table = f"analysed_{uuid.uuid4().hex}"
+    tables.ingest(dedup.unique_hashes(occurrences(spark, sf_dir), True, True), table, "create", analyze=True)
+    found = tables.column_statistics(spark, table, ["ksize", "hash", "bucket", "n_samples"])
+    tables.drop(spark, table)
+    return found
+
+
+def index_probe(spark, sf_dir):
+    """All order keys asked at once of an indexed table of the part keys' hashes."""
+    table, index = f"indexed_{uuid.uuid4().hex}", scratch_path(spark, "index")
+    tables.ingest(dedup.unique_hashes(occurrences(spark, sf_dir), True, True), table, "create", index=index)
+    return tables.probe(load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("hash")), table, index)
+
+
 def shards_ksize(spark, sf_dir):
     """Shards without a k size in their path take the one given."""
     root = scratch_path(spark, "flat")
@@ -459,7 +475,7 @@ def stream_dedup(spark, sf_dir):
 
 NAMES = (
     "sketch_documents sketch_ksizes sketch_murmur dedup_ksize_hash dedup_hash dedup_ksize_hash_counts dedup_hash_counts bucket_histogram filter_ksizes"
-    " ingest_detect union_by_name merged_files bucket_tables list_buckets wgs_shards append_loads archive_rows archive_faults archive_sink tsv_sequences list_lines catalog_rows ingest_modes shards_ksize queue_worker crawl_queue infer_sample_id u64_mod u64_wrap hrefs hrefs_relative"
+    " ingest_detect union_by_name merged_files bucket_tables list_buckets wgs_shards append_loads archive_rows archive_faults archive_sink tsv_sequences list_lines catalog_rows ingest_modes ingest_statistics index_probe shards_ksize queue_worker crawl_queue infer_sample_id u64_mod u64_wrap hrefs hrefs_relative"
     " target_pages path_rules subtree_examples quoted_urls file_list crawl_depth queue_stats queue_latest_state queue_claim queue_requeue queue_upsert queue_mark"
     " queue_verify queue_unfinished queue_next_batch even_chunks backoff rna_to_dna known_hashes novel_hashes containment cross_catalog_coverage point_lookup stream_dedup"
 )

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import uint64
+from . import hash_index
 
+#: What stands between a table's name and a version's number.
+VERSION = "__v"
 CODECS = ("zstd", "snappy", "gzip", "brotli", "lz4", "none")
 
 
@@ -107,44 +113,117 @@ def read_shards(spark: SparkSession, root: str, ksize: int | None = None, with_p
     return df.select(*columns)
 
 
-def ingest(df: DataFrame, table: str, mode: str = "replace", sort: bool = True, buckets: int = 0, analyze: bool = False) -> int:
-    """Loads ``df`` into a catalog table and returns the table's total rows.
+def current(spark: SparkSession, table: str) -> str | None:
+    """The version that the name ``table`` points at: the catalog table behind it, or None if there is no such name."""
+    if not spark.catalog.tableExists(table):
+        return None
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    found = re.fullmatch(rf"SELECT \* FROM (\S*{VERSION}[0-9a-f]{{32}})", told.get("View Text", ""))
+    if found is None:
+        raise ValueError(f"{table} is no table of this loader (which names a view over the newest version)")
+    return found[1]
+
+
+def _write_version(df: DataFrame, version: str, buckets: int, keys: list[str], mode: str = "error") -> None:
+    w = df.write.format("parquet")
+    if buckets:
+        w = w.bucketBy(buckets, *keys).sortBy(*keys)
+    w.option("parquet.bloom.filter.enabled#hash", "true").mode(mode).saveAsTable(version)
+
+
+def _point(spark: SparkSession, table: str, version: str) -> None:
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {version}")
+
+
+def _drop_version(spark: SparkSession, version: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {version}")
 
-    ``create``: an error if the table is there. ``replace``: written beside and
-    swapped in, so a failed load leaves the old table. ``append``: by name; made
-    if missing; rows are not deduplicated. Null hashes raise. ``sort`` orders
+
+def ingest(df: DataFrame, table: str, mode: str = "replace", sort: bool = True, buckets: int = 0, analyze: bool = False, index: str | None = None) -> int:
+    """Loads ``df`` under a catalog name and returns the total rows there.
+
+    The name is a view, the pointer to the newest version, a table that is written whole before the view names it. Changing
+    the view is one step of the catalog. So a failure anywhere leaves the old rows or the new ones; what a failed load has left beside is removed by it or, if it couldn't, by ``sweep``.
+
+    ``create``: an error if the name is there. ``replace``: a new version; the old one goes after the view has changed. ``append``: more rows by name
+    in the current version; made if missing; rows are not deduplicated. Null hashes raise. ``sort`` orders
     files by (ksize, hash), so that row-group statistics prune lookups;
-    ``buckets`` > 0 deals the table by (ksize, hash) for joins without a shuffle.
+    ``buckets`` > 0 deals the table by (ksize, hash) for joins without a shuffle. ``index``: a folder for a hash index of the version's files (see ``hash_index``);
+    it is made before the view changes, and anew for the files of an append.
     """
     spark = df.sparkSession
     if mode not in ("replace", "append", "create"):
         raise ValueError("mode is 'replace', 'append' or 'create'")
     keys = [c for c in ("ksize", "hash") if c in df.columns]
-    there = spark.catalog.tableExists(table)
-    if mode == "create" and there:
+    was = current(spark, table)
+    if mode == "create" and was:
         raise ValueError(f"table {table} exists")
     checked = df.withColumn("hash", F.when(F.col("hash").isNull(), F.raise_error(F.lit("null hash"))).otherwise(F.col("hash")))
     if sort and not buckets:
         checked = checked.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    target = f"{table}__new" if mode == "replace" and there else table
+    if mode == "append" and was:
+        _write_version(checked.select(*spark.table(was).columns), was, buckets, keys, "append")
+        _finish(spark, was, analyze, index)
+        return spark.table(table).count()
+    version = f"{table}{VERSION}{uuid.uuid4().hex}"
+    try:
+        _write_version(checked, version, buckets, keys)
+        _finish(spark, version, analyze, index)
+        _point(spark, table, version)
+    except BaseException:
+        if current(spark, table) != version:
+            _drop_version(spark, version)
+        raise
+    if was:
+        _drop_version(spark, was)
+    return spark.table(table).count()
 
-    def writer(d: DataFrame):
-        w = d.write.format("parquet")
-        if buckets:
-            w = w.bucketBy(buckets, *keys).sortBy(*keys)
-        return w.option("parquet.bloom.filter.enabled#hash", "true")
 
-    if mode == "append" and there:
-        writer(checked.select(*spark.table(table).columns)).mode("append").saveAsTable(table)
-    else:
-        spark.sql(f"DROP TABLE IF EXISTS {target}") if target != table else None
-        writer(checked).mode("error").saveAsTable(target)
-    if target != table:
-        spark.sql(f"DROP TABLE {table}")
-        spark.sql(f"ALTER TABLE {target} RENAME TO {table.split('.')[-1]}")
+def _finish(spark: SparkSession, version: str, analyze: bool, index: str | None) -> None:
     if analyze:
-        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
-    return spark.table(table).count()
+        spark.sql(f"ANALYZE TABLE {version} COMPUTE STATISTICS FOR ALL COLUMNS")
+    if index:
+        hash_index.build_index(spark.table(version), index_root(version, index))
+
+
+def index_root(version: str, index: str) -> str:
+    return f"{index.rstrip('/')}/{version.split('.')[-1]}"
+
+
+def probe(hashes: DataFrame, table: str, index: str) -> DataFrame:
+    """Rows of a table, loaded with ``index``, whose hash is among ``hashes``; only the files that can hold one are opened."""
+    version = current(hashes.sparkSession, table)
+    if version is None:
+        raise ValueError(f"no table {table}")
+    return hash_index.probe(hashes, index_root(version, index))
+
+
+def sweep(spark: SparkSession, table: str) -> int:
+    """Drops the versions of a table that its name doesn't point at (nobody may be loading it meanwhile); how many."""
+    now, name = current(spark, table), table.split(".")[-1]
+    database = table.rpartition(".")[0]
+    found = [r["tableName"] for r in spark.sql(f"SHOW TABLES {f'IN {database} ' if database else ''}LIKE '{name}{VERSION}*'").collect()]
+    gone = [f"{database}.{v}" if database else v for v in found if now is None or v != now.split(".")[-1]]
+    for v in gone:
+        _drop_version(spark, v)
+    return len(gone)
+
+
+def drop(spark: SparkSession, table: str) -> None:
+    """Removes a name and its version; nothing if there is none."""
+    version = current(spark, table)
+    spark.sql(f"DROP VIEW IF EXISTS {table}")
+    if version:
+        _drop_version(spark, version)
+
+
+def column_statistics(spark: SparkSession, table: str, columns: list[str]) -> DataFrame:
+    """(column, lo, hi, n_null) that the catalog holds of an analysed table; values as text, null where it holds none."""
+    version, found = current(spark, table), []
+    for c in columns:
+        told = {r["info_name"]: r["info_value"] for r in spark.sql(f"DESCRIBE EXTENDED {version} {c}").collect()}
+        found.append((c, *(None if told.get(k) in (None, "NULL") else told[k] for k in ("min", "max", "num_nulls"))))
+    return spark.createDataFrame(found, "column string, lo string, hi string, n_null string")
 
 
 def lookup(df: DataFrame, value: int, mod: int, ksize: int | None = None) -> DataFrame:

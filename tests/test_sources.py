@@ -177,7 +177,7 @@ def test_shards_keep_labels(spark, tmp_path):
 
 
 def test_ingest_modes(spark, occ):
-    spark.sql("DROP TABLE IF EXISTS loaded")
+    tables.drop(spark, "loaded")
     unique = unique_hashes(occ, True, True)
     assert tables.ingest(unique, "loaded", "create", analyze=True) == 3
     with pytest.raises(ValueError, match="exists"):
@@ -187,18 +187,18 @@ def test_ingest_modes(spark, occ):
     with pytest.raises(PySparkException):
         tables.ingest(unique.withColumn("hash", F.lit(None).cast("long")), "loaded", "replace")
     assert spark.table("loaded").count() == 2
-    spark.sql("DROP TABLE loaded")
+    tables.drop(spark, "loaded")
 
 
 def test_bucketed_tables_join_without_exchange(spark, occ):
     from hashloom.operators.compare import novel
 
     for name in ("left_b", "right_b"):
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        tables.drop(spark, name)
         tables.ingest(unique_hashes(occ), name, "create", buckets=4)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     plan = novel(spark.table("left_b"), spark.table("right_b"))._jdf.queryExecution().executedPlan().toString()
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Exchange" not in plan
     for name in ("left_b", "right_b"):
-        spark.sql(f"DROP TABLE {name}")
+        tables.drop(spark, name)
