@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from . import schema
 from .functions import digests, names
-from .operators import dedup, sketch, sketch_files, traversal, workqueue
+from .operators import compare, dedup, sketch, sketch_files, traversal, workqueue
 from .scratch import Scratch
 from .sources import archives, listings, tables
 
@@ -69,6 +69,11 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--hashes", required=True, help="Parquet with a column hash")
     p.add_argument("--out", required=True)
 
+    p = sub.add_parser("compare", help="left collections of a catalog against all right ones")
+    p.add_argument("--catalog", required=True, help="JSON file of the collections")
+    p.add_argument("--ksize", type=int, help="of collections without a k column")
+    p.add_argument("--out", required=True, help="folder for overlaps and coverage")
+
     p = sub.add_parser("ingest-shards", help="pre-deduplicated shards to a catalog table")
     p.add_argument("--parquet-root", required=True)
     p.add_argument("--pattern", default="")
@@ -188,6 +193,13 @@ def probe(spark: SparkSession, a) -> int:
     return 0
 
 
+def run_compare(spark: SparkSession, a) -> int:
+    overlaps, coverage = compare.compare_catalog(spark, a.catalog, a.ksize)
+    overlaps.write.mode("error").parquet(f"{a.out}/overlaps")
+    coverage.write.mode("error").parquet(f"{a.out}/coverage")
+    return 0
+
+
 def ingest_shards(spark: SparkSession, a) -> int:
     found = tables.read_shards(spark, a.parquet_root, a.ksize, a.with_part, a.pattern)
     print(tables.ingest(found, a.table, a.mode, not a.no_sort, 0, a.analyze))
@@ -279,7 +291,7 @@ def queue_stats(spark: SparkSession, a) -> int:
 
 
 COMMANDS = {
-    "export": export, "dedup": run_dedup, "ingest": ingest, "probe": probe, "ingest-shards": ingest_shards,
+    "export": export, "dedup": run_dedup, "ingest": ingest, "probe": probe, "compare": run_compare, "ingest-shards": ingest_shards,
     "sketch": run_sketch, "find": find, "enqueue": enqueue, "crawl": crawl, "work": work, "queue-stats": queue_stats,
 }
 

@@ -21,6 +21,10 @@ def _sketch(table: str, sample: str, k: int, scaled: int) -> str:
 
 
 _SIDES = f"l AS (SELECT DISTINCT ksize, hash FROM ({_sketch('benchmark', 'item_id', 31, 20)})), r AS ({_sketch('documents', 'source', 31, 20)})"
+_SETS = """s AS (
+  SELECT DISTINCT lower(l_returnflag || l_linestatus) AS name, CAST(l_linenumber AS SMALLINT) AS ksize, l_partkey AS hash FROM lineitem
+  UNION SELECT 'urgent', CAST(l_linenumber AS SMALLINT), l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderpriority = '1-URGENT'
+), l AS (SELECT * FROM s WHERE name IN ('ro', 'urgent')), r AS (SELECT * FROM s WHERE name NOT IN ('ro', 'urgent'))"""
 _LABEL_CASES = " ".join(f"WHEN regexp_matches(name, '^(?:{p})', 'i') THEN '{p}'" for p in traversal.SEQUENCE_PATTERNS)
 _SKIPPED = " OR ".join(f"starts_with(path, '{p}')" for p in traversal.SKIP_PREFIXES)
 
@@ -40,6 +44,7 @@ ORACLES = {
     "dedup_hash": f"WITH {_OCC} SELECT DISTINCT hash, bucket FROM occ",
     "dedup_ksize_hash_counts": f"WITH {_OCC} SELECT ksize, hash, bucket, count(DISTINCT sample_id) AS n_samples FROM occ GROUP BY ALL",
     "dedup_hash_counts": f"WITH {_OCC} SELECT hash, bucket, count(DISTINCT sample_id) AS n_samples FROM occ GROUP BY ALL",
+    "incremental_counts": f"WITH {_OCC} SELECT ksize, hash, bucket, count(DISTINCT sample_id) AS n_samples FROM occ GROUP BY ALL",
     "bucket_histogram": f"WITH {_OCC} SELECT bucket, count(*) AS n_rows FROM occ GROUP BY bucket",
     "filter_ksizes": f"WITH {_OCC} SELECT ksize, count(*) AS n_rows FROM occ WHERE ksize IN (2, 4) GROUP BY ksize",
     "ingest_detect": f"WITH {_OCC} SELECT ksize, hash, bucket, count(DISTINCT sample_id) AS n_samples FROM occ GROUP BY ALL",
@@ -140,6 +145,12 @@ SELECT id, CASE WHEN bad THEN 'ERROR' ELSE status END AS status, tries, CASE WHE
     "containment": f"""WITH {_SIDES}, m AS (SELECT l.ksize, EXISTS (SELECT 1 FROM r WHERE r.ksize = l.ksize AND r.hash = l.hash) AS k FROM l)
 SELECT ksize, count(*) AS n_left, count(*) FILTER (k) AS n_known, count(*) FILTER (k) / CAST(count(*) AS DOUBLE) AS containment FROM m GROUP BY ksize""",
     "cross_catalog_coverage": f"WITH {_SIDES} SELECT sample_id, count(*) AS n_known FROM (SELECT DISTINCT r.sample_id, r.ksize, r.hash FROM r JOIN l ON r.ksize = l.ksize AND r.hash = l.hash) GROUP BY sample_id",
+    "catalog_overlaps": f"""WITH {_SETS}, nl AS (SELECT ksize, name AS left_set, count(*) AS n_left FROM l GROUP BY ALL), nr AS (SELECT ksize, name AS right_set, count(*) AS n_right FROM r GROUP BY ALL),
+b AS (SELECT l.ksize, l.name AS left_set, r.name AS right_set, count(*) AS n_shared FROM l JOIN r ON l.ksize = r.ksize AND l.hash = r.hash GROUP BY ALL)
+SELECT nl.ksize, nl.left_set, nr.right_set, n_left, n_right, coalesce(n_shared, 0) AS n_shared, coalesce(n_shared, 0) / CAST(n_left AS DOUBLE) AS containment
+FROM nl JOIN nr ON nl.ksize = nr.ksize LEFT JOIN b ON b.ksize = nl.ksize AND b.left_set = nl.left_set AND b.right_set = nr.right_set""",
+    "catalog_coverage": f"""WITH {_SETS} SELECT ksize, name AS left_set, count(*) AS n_left, count(*) FILTER (k) AS n_known, count(*) FILTER (NOT k) AS n_novel
+FROM (SELECT l.*, EXISTS (SELECT 1 FROM r WHERE r.ksize = l.ksize AND r.hash = l.hash) AS k FROM l) GROUP BY ksize, name""",
     "point_lookup": f"WITH {_OCC} SELECT ksize, count(DISTINCT sample_id) AS n_samples FROM occ WHERE hash = 42 GROUP BY ksize",
     "stream_dedup": f"WITH {_OCC} SELECT DISTINCT ksize, hash, bucket FROM occ",
 }

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..functions import digests, names, uint64
-from ..operators import compare, dedup, sketch, traversal, workqueue
+from ..operators import compare, counting, dedup, sketch, traversal, workqueue
 from ..scratch import Scratch, scratch_path
 from ..sources import archives, listings, tables
 from ..streaming import incremental
@@ -83,6 +83,16 @@ def dedup_hash_counts(spark, sf_dir):
     return dedup.unique_hashes(occurrences(spark, sf_dir), False, True)
 
 
+def incremental_counts(spark, sf_dir):
+    """Counts of distinct samples after three loads, one a return flag."""
+    counts = counting.SampleCounts(spark, scratch_path(spark, "counts"))
+    rows = load(spark, sf_dir, "lineitem")
+    for flag in ("A", "N", "R"):
+        part = rows.where(F.col("l_returnflag") == flag).select(F.col("l_suppkey").alias("sample_id"), F.col("l_linenumber").cast("smallint").alias("ksize"), F.col("l_partkey").alias("hash"))
+        counts.load(part.withColumn("bucket", uint64.mod(F.col("hash"), MOD)), flag)
+    return counts.counts()
+
+
 def bucket_histogram(spark, sf_dir):
     return dedup.bucket_histogram(occurrences(spark, sf_dir))
 
@@ -461,6 +471,30 @@ def cross_catalog_coverage(spark, sf_dir):
     return compare.coverage(left, right.select("sample_id", "ksize", "hash").distinct(), "sample_id")
 
 
+def _catalog(spark, sf_dir):
+    """A catalog of seven collections, one a return flag and line status and one of all urgent orders, each written as a table of hashes; two are left ones."""
+    root = scratch_path(spark, "collections")
+    kind = F.lower(F.concat("l_returnflag", "l_linestatus"))
+    lines = load(spark, sf_dir, "lineitem").select(kind.alias("kind"), F.col("l_linenumber").cast("smallint").alias("ksize"), F.col("l_partkey").alias("hash"), "l_orderkey")
+    urgent = lines.join(load(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+    sets = {k: lines.where(F.col("kind") == k) for k in ("af", "ao", "nf", "no", "rf", "ro")} | {"urgent": urgent}
+    for name, rows in sets.items():
+        rows.select("ksize", "hash").distinct().write.parquet(f"{root}/{name}/unique_hashes")
+    entries = [(n, n, f"{root}/{n}", "unique_hashes", "hash", "left" if n in ("ro", "urgent") else "right", "ksize") for n in sets]
+    spark.createDataFrame([(entries,)], schema.CATALOG).coalesce(1).write.json(f"{root}/catalog")
+    return f"{root}/catalog"
+
+
+def catalog_overlaps(spark, sf_dir):
+    """Every left collection of a catalog with every right one."""
+    return compare.compare_catalog(spark, _catalog(spark, sf_dir))[0]
+
+
+def catalog_coverage(spark, sf_dir):
+    """What all right collections of a catalog know of each left one."""
+    return compare.compare_catalog(spark, _catalog(spark, sf_dir))[1]
+
+
 def point_lookup(spark, sf_dir):
     return tables.lookup(occurrences(spark, sf_dir), 42, MOD).groupBy("ksize").agg(F.count_distinct("sample_id").alias("n_samples"))
 
@@ -474,9 +508,9 @@ def stream_dedup(spark, sf_dir):
 
 
 NAMES = (
-    "sketch_documents sketch_ksizes sketch_murmur dedup_ksize_hash dedup_hash dedup_ksize_hash_counts dedup_hash_counts bucket_histogram filter_ksizes"
+    "sketch_documents sketch_ksizes sketch_murmur dedup_ksize_hash dedup_hash dedup_ksize_hash_counts dedup_hash_counts incremental_counts bucket_histogram filter_ksizes"
     " ingest_detect union_by_name merged_files bucket_tables list_buckets wgs_shards append_loads archive_rows archive_faults archive_sink tsv_sequences list_lines catalog_rows ingest_modes ingest_statistics index_probe shards_ksize queue_worker crawl_queue infer_sample_id u64_mod u64_wrap hrefs hrefs_relative"
     " target_pages path_rules subtree_examples quoted_urls file_list crawl_depth queue_stats queue_latest_state queue_claim queue_requeue queue_upsert queue_mark"
-    " queue_verify queue_unfinished queue_next_batch even_chunks backoff rna_to_dna known_hashes novel_hashes containment cross_catalog_coverage point_lookup stream_dedup"
+    " queue_verify queue_unfinished queue_next_batch even_chunks backoff rna_to_dna known_hashes novel_hashes containment cross_catalog_coverage catalog_overlaps catalog_coverage point_lookup stream_dedup"
 )
 QUERIES = {n: globals()[n] for n in NAMES.split()} | {"shard_md5": _shards("md5", 4096), "shard_sha1": _shards("sha1", 4096), "shard_sha256": _shards("sha256", 512)}

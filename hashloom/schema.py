@@ -29,13 +29,6 @@ OCCURRENCES = StructType(
 )
 
 
-def unique_schema(by_ksize: bool, with_counts: bool) -> StructType:
-    """Distinct hashes: [ksize], hash, bucket, [n_samples]."""
-    fields = [StructField("ksize", ShortType())] if by_ksize else []
-    fields += [StructField("hash", LongType()), StructField("bucket", IntegerType())]
-    return StructType(fields + ([StructField("n_samples", LongType())] if with_counts else []))
-
-
 #: A table of distinct hashes from pre-deduplicated shards.
 SHARD_HASHES = StructType([StructField("ksize", ShortType()), StructField("hash", LongType()), StructField("part", StringType())])
 

@@ -28,11 +28,25 @@ def run_available(df: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
 
 
 def recount(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    """Distinct-sample counts over all that has arrived; a count of distinct samples isn't additive, so it is taken in batch."""
+    """Distinct-sample counts over all that has arrived, in batch; ``count_stream`` keeps them up without reading old rows."""
     rows = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(root)
     return rows.groupBy("ksize", "hash").agg(F.count_distinct("sample_id").alias("n_samples"))
 
 
+def count_stream(occurrences: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+    """Keeps the distinct-sample counts below root up to date with arriving occurrences; each micro-batch is a load, so a repeated one counts once."""
+    from ..operators.counting import SampleCounts
+
+    def take(batch: DataFrame, n: int) -> None:
+        counts = SampleCounts(batch.sparkSession, root)
+        counts.load(batch, f"{checkpoint} {n}")
+        counts.compact()
+
+    query = occurrences.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
 def queue_stream(events: DataFrame, state_path: str, checkpoint: str, key=("subdir", "filename")) -> StreamingQuery:
     """Keeps the latest event of each file in versions under state_path: each micro-batch merges with the version before and writes the next, so a repeated batch gives the same version."""
     from ..operators.workqueue import latest

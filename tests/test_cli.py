@@ -8,6 +8,7 @@ import pytest
 
 from hashloom import schema
 from hashloom.__main__ import main
+from hashloom.sources import tables
 
 
 @pytest.fixture
@@ -25,12 +26,16 @@ def test_export_dedup_ingest(spark, archive, tmp_path, capsys):
     assert main(["export", "--input-root", str(archive), "--out-root", raw, "--include-ksizes", "31,x"], spark) == 0
     assert "files=2 rows=5" in capsys.readouterr().out
     assert main(["dedup", "--non-dedup-root", raw, "--out-root", unique, "--with-counts", "--by-ksize"], spark) == 0
-    spark.sql("DROP TABLE IF EXISTS cli_hashes")
-    assert main(["ingest", "--dedup-root", unique, "--table", "cli_hashes", "--mode", "create", "--analyze"], spark) == 0
+    tables.drop(spark, "cli_hashes")
+    index = str(tmp_path / "index")
+    assert main(["ingest", "--dedup-root", unique, "--table", "cli_hashes", "--mode", "create", "--analyze", "--index", index], spark) == 0
     assert capsys.readouterr().out.strip().endswith("4")
     got = {(r.ksize, r.hash, r.bucket, r.n_samples) for r in spark.table("cli_hashes").collect()}
     assert got == {(31, 1, 1, 1), (31, 2, 2, 2), (31, 522, 1, 1), (31, -1, (2**64 - 1) % 521, 1)}
-    spark.sql("DROP TABLE cli_hashes")
+    spark.createDataFrame([(522,), (-1,), (7,)], "hash long").write.parquet(str(tmp_path / "asked"))
+    assert main(["probe", "--table", "cli_hashes", "--index", index, "--hashes", str(tmp_path / "asked"), "--out", str(tmp_path / "found")], spark) == 0
+    assert {(r.hash, r.n_samples) for r in spark.read.parquet(str(tmp_path / "found")).collect()} == {(522, 1), (-1, 1)}
+    tables.drop(spark, "cli_hashes")
     one = str(tmp_path / "one")
     assert main(["dedup", "--non-dedup-root", raw, "--out-root", one, "--max-buckets", "1"], spark) == 0
     assert {r.hash for r in spark.read.parquet(one).collect()} == {1, 522}

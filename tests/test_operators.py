@@ -1,5 +1,7 @@
 """Sketches, comparisons, the queue, traversal and streams on small relations."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,6 +50,81 @@ def test_compare(spark):
         compare.normalised(left, ksize_col=None)
 
 
+def test_catalog_comparison(spark, tmp_path):
+    """Seventy collections, two words of bits; one without a k column; a left one that shares nothing."""
+    import json
+
+    sets = {f"s{i}": [(31, i), (31, 1000), (21, i % 2)] for i in range(68)} | {"alone": [(31, -5)], "plain": [(None, 1000), (None, 3), (None, 3)]}
+    entries = []
+    for name, rows in sets.items():
+        df = spark.createDataFrame(rows, "k int, h long")
+        (df.select("h") if name == "plain" else df).coalesce(1).write.parquet(f"{tmp_path}/{name}/hashes")
+        entries.append({"name": name, "alias": name, "path": f"{tmp_path}/{name}", "table": "hashes", "column": "h", "set_id": "left" if name in ("s0", "alone", "plain") else "right", "ksize": None if name == "plain" else "k"})
+    (tmp_path / "catalog.json").write_text(json.dumps({"databases": entries}, indent=2))
+    with pytest.raises(ValueError, match="ksize"):
+        compare.compare_catalog(spark, f"{tmp_path}/catalog.json")
+    overlaps, coverage = compare.compare_catalog(spark, f"{tmp_path}/catalog.json", ksize=31)
+    of = lambda rows, k: {h for kk, h in rows if (kk or 31) == k}
+    want = set()
+    for left in ("s0", "alone", "plain"):
+        for right in (f"s{i}" for i in range(1, 68)):
+            for k in (21, 31):
+                a, b = of(sets[left], k), of(sets[right], k)
+                if a or b:
+                    want.add((k, left, right, len(a), len(b), len(a & b), len(a & b) / len(a) if a else None))
+    assert {tuple(r) for r in overlaps.collect()} == want
+    assert {tuple(r) for r in coverage.collect()} == {(31, "s0", 2, 1, 1), (21, "s0", 1, 1, 0), (31, "alone", 1, 0, 1), (31, "plain", 2, 2, 0)}
+    plan = compare.masks(compare.catalog_sets(spark, f"{tmp_path}/catalog.json", 31)[1])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_counts_are_kept_up_by_loads(spark, tmp_path):
+    import shutil
+
+    from hashloom.operators.counting import SampleCounts
+
+    rng = random.Random(6)
+    loads = [[(rng.choice([None, *(f"s{i}" for i in range(90))]), rng.choice([21, 31]), h := rng.randrange(60), h % 521) for _ in range(400)] for _ in range(4)]
+    counts = SampleCounts(spark, f"{tmp_path}/counts")
+    for k, rows in enumerate(loads):
+        path = f"{tmp_path}/load{k}"
+        spark.createDataFrame(rows, schema.OCCURRENCES).write.parquet(path)
+        counts.load(spark.read.parquet(path), f"load{k}")
+        counts.load(spark.read.parquet(path), f"load{k}")  # a repeated load changes nothing
+        shutil.rmtree(path)  # rows of earlier loads aren't read again
+        if k == 2:
+            counts.compact(2)
+    every = spark.createDataFrame([r for rows in loads for r in rows], schema.OCCURRENCES)
+    for by_ksize in (True, False):
+        want = {tuple(r) for r in dedup.unique_hashes(every, by_ksize, True).collect()}
+        assert {tuple(r) for r in counts.counts(by_ksize).collect()} == want
+    assert len(counts.words.snapshot()["parts"]) == 2 and counts.samples.read().count() == len({r[0] for rows in loads for r in rows if r[0]})
+    assert counts.counts()._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_counts_of_loaders_at_once(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from hashloom.operators.counting import SampleCounts
+
+    rows = {k: [(f"s{k}", 31, h, h) for h in range(5)] for k in range(4)}
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda k: SampleCounts(spark, str(tmp_path)).load(spark.createDataFrame(rows[k], schema.OCCURRENCES), str(k)), rows))
+    counts = SampleCounts(spark, str(tmp_path))
+    assert {r.n_samples for r in counts.counts().collect()} == {4}
+    assert sorted(r.number for r in counts.samples.read().collect()) == [0, 1, 2, 3]
+
+
+def test_count_stream(spark, tmp_path):
+    source, root, mark = (str(tmp_path / x) for x in ("in", "counts", "mark"))
+    from hashloom.operators.counting import SampleCounts
+
+    for sample in "ab":
+        spark.createDataFrame([(sample, 31, h, h) for h in (1, 2)], schema.OCCURRENCES).write.mode("append").parquet(source)
+        incremental.count_stream(incremental.occurrence_stream(spark, source, schema.OCCURRENCES), root, mark)
+    assert {(r.hash, r.n_samples) for r in SampleCounts(spark, root).counts().collect()} == {(1, 2), (2, 2)}
+
+
 @pytest.fixture
 def state(spark):
     rows = [
