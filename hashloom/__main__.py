@@ -131,7 +131,7 @@ def parser() -> argparse.ArgumentParser:
 
     p = sub.add_parser("work", help="sketch the queue's files, which a mirror holds, until none can be claimed")
     p.add_argument("--state", required=True)
-    p.add_argument("--out-state", required=True, help="folder for the versions of the state")
+    p.add_argument("--out-state", required=True, help="folder that keeps the state; one that has a state goes on from it, and several programs may share it")
     p.add_argument("--mirror", required=True, help="folder with <subdir>/<filename> of every file")
     p.add_argument("--out-root", required=True)
     p.add_argument("--collection", choices=sorted(schema.PRESETS))
@@ -248,7 +248,7 @@ def find(spark: SparkSession, a) -> int:
 
 def enqueue(spark: SparkSession, a) -> int:
     files = listings.read_file_list(spark, a.file_list, a.region, a.include_suffix, a.limit)
-    state = spark.read.schema(schema.QUEUE).parquet(a.state)
+    state = workqueue.read_state(spark, a.state)
     workqueue.upsert(workqueue.reset_stuck(state, a.now), files, a.now).write.mode("error").parquet(a.out_state)
     return 0
 
@@ -264,13 +264,13 @@ def crawl(spark: SparkSession, a) -> int:
         for r in files.orderBy("url").toLocalIterator():
             print(r["url"])
         return 0
-    state = spark.read.schema(schema.QUEUE).parquet(a.state) if a.state else spark.createDataFrame([], schema.QUEUE)
+    state = workqueue.read_state(spark, a.state) if a.state else spark.createDataFrame([], schema.QUEUE)
     workqueue.upsert(state, files, a.now).write.mode("error").parquet(a.out_state)
     return 0
 
 
 def work(spark: SparkSession, a) -> int:
-    state = spark.read.schema(schema.QUEUE).parquet(a.state)
+    state = workqueue.read_state(spark, a.state)
     ksizes = preset(a, "ksizes", (15, 31, 33))
 
     def sketched(todo):
@@ -278,14 +278,13 @@ def work(spark: SparkSession, a) -> int:
         files = todo.select("id", place.alias("path"))
         return sketch_files.sketch_to_archives(files.select("path"), a.out_root, ksizes, a.scaled, n_shards=a.n_shards).join(files, "path").select("id", "out_path", "error")
 
-    started = workqueue.reset_stuck(state, time.time(), a.stale)
-    _, totals = workqueue.run_queue(started, a.out_state, a.batch, sketched, cooldown=a.cooldown, cap=a.max_total_tries, attempts=a.max_retries + 1)
+    _, totals = workqueue.run_queue(state, a.out_state, a.batch, sketched, cooldown=a.cooldown, cap=a.max_total_tries, attempts=a.max_retries + 1, stale=a.stale)
     print(json.dumps(totals))
     return EXIT_ERRORS if totals["error"] else 0
 
 
 def queue_stats(spark: SparkSession, a) -> int:
-    counts = {r["status"]: r["n"] for r in workqueue.stats(spark.read.schema(schema.QUEUE).parquet(a.state)).collect()}
+    counts = {r["status"]: r["n"] for r in workqueue.stats(workqueue.read_state(spark, a.state)).collect()}
     print(json.dumps({"total": counts.pop("total", 0), "by_status": counts}))
     return 0
 

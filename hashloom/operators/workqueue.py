@@ -1,9 +1,7 @@
 """The work queue as pure functions: (state, changes, now) to a new state.
 
-State has the columns of ``schema.QUEUE``, one row per (subdir, filename). The
-driver is the only writer: it appends events or swaps the state table, so a
-claim is atomic without locks. ``now`` is a parameter, which makes every step
-repeatable.
+State has the columns of ``schema.QUEUE``, one row per (subdir, filename). ``now`` is a parameter, which makes every step
+repeatable. ``QueueStore`` keeps a state in a folder for programs that claim and mark at once.
 """
 
 from __future__ import annotations
@@ -11,10 +9,12 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..schema import QUEUE
 from ..scratch import Scratch
+from ..sources.versions import Conflict, VersionedTable, newest
 from .dedup import ranked
 
 IN_PROGRESS = ("DOWNLOADING", "SKETCHING")
@@ -129,24 +129,12 @@ def pending(state: DataFrame, limit: int = 1000, after: int = -1) -> DataFrame:
     return state.where((F.col("status") == "PENDING") & (F.col("id") > after)).orderBy("id").limit(limit).select("id", "subdir", "filename", "url")
 
 
-def run_batch(
-    state: DataFrame, n: int, now: float, work: Callable[[DataFrame], DataFrame], done: DataFrame | None = None, cooldown: float = 3600, cap: int = 20, attempts: int = 1
-) -> tuple[DataFrame, DataFrame]:
-    """One round of the worker loop over all executors: (the new state, counts by outcome).
-
-    Claims n rows; those whose output is in ``done`` (subdir, filename, out_path) are DONE without work; ``work``
-    takes the others (id, subdir, filename, url) and gives (id, out_path, error), where a
-    null error is success; what fails is given to it again, ``attempts`` times in all. Every failed attempt counts
-    as a try; a row that ``work`` doesn't return has failed too. What work returns is written before it is used, so it is
-    done once.
-    counts: outcome (done, skipped, error), n, and the errors of up to EXAMPLES rows, those with the smallest ids, in ``examples``.
-    """
-    scratch = Scratch(state.sparkSession, "batch")
-    chosen, claimed = claim(state, n, now, cooldown, cap)
-    chosen = scratch.write(chosen, "chosen")
+def _worked(chosen: DataFrame, work: Callable[[DataFrame], DataFrame], done: DataFrame | None, attempts: int) -> DataFrame:
+    """(id, out_path, error, outcome, failures) of claimed rows, after all attempts; see ``run_batch``."""
+    scratch = Scratch(chosen.sparkSession, "batch")
     key = ["subdir", "filename"]
     outcome = "id long, out_path string, error string, outcome string, failures int"
-    outcomes = state.sparkSession.createDataFrame([], outcome)
+    outcomes = chosen.sparkSession.createDataFrame([], outcome)
     todo = chosen
     if done is not None:
         todo = chosen.join(done.select(*key), key, "left_anti").select(*chosen.columns)
@@ -168,35 +156,147 @@ def run_batch(
         todo = tried.where("_failed").select(*chosen.columns)
         if last or todo.isEmpty():
             break
-    bad = F.col("outcome") == "error"
-    changes = outcomes.select("id", F.when(bad, "ERROR").otherwise("DONE").alias("status"), "out_path", F.col("error").alias("last_error"), F.col("failures").alias("inc_tries"))
-    place = F.row_number().over(Window.partitionBy("outcome").orderBy("id"))
-    few = F.when(F.col("_place") <= EXAMPLES, F.col("error"))
-    counts = outcomes.withColumn("_place", place).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"), F.collect_list(few).alias("examples"))
-    return mark(claimed, changes, now), counts
+    return outcomes
+
+
+def _changes(outcomes: DataFrame) -> DataFrame:
+    """What ``mark`` takes of outcomes."""
+    return outcomes.select("id", F.when(F.col("outcome") == "error", "ERROR").otherwise("DONE").alias("status"), "out_path", F.col("error").alias("last_error"), F.col("failures").alias("inc_tries"))
+
+
+def outcome_counts(outcomes: DataFrame) -> DataFrame:
+    """(outcome, n, examples): examples are the errors of up to EXAMPLES rows, those with the smallest ids, in their order.
+
+    Each task passes on its first EXAMPLES of an outcome, so an outcome that all rows share is the work of all tasks.
+    """
+    counts = outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+    first = outcomes.where("error IS NOT NULL").withColumn("_place", F.row_number().over(Window.partitionBy("outcome").orderBy("id"))).where(F.col("_place") <= EXAMPLES)
+    shown = first.groupBy("outcome").agg(F.array_sort(F.collect_list(F.struct("_place", "error"))).alias("_shown"))
+    empty = F.expr("cast(array() AS array<string>)")
+    return counts.join(shown, "outcome", "left").select("outcome", "n", F.coalesce(F.col("_shown.error"), empty).alias("examples"))
+
+
+def run_batch(
+    state: DataFrame, n: int, now: float, work: Callable[[DataFrame], DataFrame], done: DataFrame | None = None, cooldown: float = 3600, cap: int = 20, attempts: int = 1
+) -> tuple[DataFrame, DataFrame]:
+    """One round of the worker loop over all executors: (the new state, counts by outcome).
+
+    Claims n rows; those whose output is in ``done`` (subdir, filename, out_path) are DONE without work; ``work``
+    takes the others (id, subdir, filename, url) and gives (id, out_path, error), where a
+    null error is success; what fails is given to it again, ``attempts`` times in all. Every failed attempt counts
+    as a try; a row that ``work`` doesn't return has failed too. What work returns is written before it is used, so it is
+    done once.
+    counts: outcome (done, skipped, error), n, and the errors of up to EXAMPLES rows, those with the smallest ids, in ``examples``.
+    """
+    chosen, claimed = claim(state, n, now, cooldown, cap)
+    outcomes = _worked(Scratch(state.sparkSession, "batch").write(chosen, "chosen"), work, done, attempts)
+    return mark(claimed, _changes(outcomes), now), outcome_counts(outcomes)
+
+
+class QueueStore:
+    """A queue below a folder that several programs work on at once, without a lock and without one that must stay alive.
+
+    A change of state is a part with the changed rows alone, committed as the next version; the row of an id with the newest
+    version counts. Two programs that claim at once read the same version, and one of them commits; the other finds the version taken, reads
+    again and claims other rows. Parts are merged after ``parts`` of them, old versions are removed.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, parts: int = 16):
+        self.spark, self.parts, self.table = spark, parts, VersionedTable(spark, root)
+
+    def start(self, state: DataFrame) -> bool:
+        """Puts the first state; False, and nothing changes, if the folder has one."""
+        if self.table.version() >= 0:
+            return False
+        base = self.table.snapshot()
+        try:
+            self.table.commit(base, {self.table.stage(state.select(*QUEUE.names)): 0}, QUEUE)
+        except Conflict:
+            return False
+        return True
+
+    def state(self) -> DataFrame:
+        return newest(self.table.read(seq=True), "id")
+
+    def apply(self, change: Callable[[DataFrame], DataFrame]) -> int:
+        """Commits the rows that ``change`` makes different in the state (rows with the columns of the queue)."""
+
+        def changed(rows: DataFrame, _: dict) -> DataFrame:
+            was = newest(rows, "id")
+            return change(was).select(*QUEUE.names).exceptAll(was.select(*QUEUE.names))
+
+        version = self.table.update(changed)
+        self._tidy()
+        return version
+
+    def claim(self, n: int, now: float, cooldown: float = 3600, cap: int = 20, tries: int = 50) -> DataFrame:
+        """The next n rows (id, subdir, filename, url), DOWNLOADING from now on and claimed by nobody else; fewer or none if there are no more."""
+        for _ in range(tries):
+            base = self.table.snapshot()
+            rows = newest(self.table.read(base, seq=True), "id")
+            can, order = claim_order(now, cooldown, cap)
+            taken = rows.where(can).orderBy(*order).limit(n).withColumns({"status": F.lit("DOWNLOADING"), "updated_at": F.lit(float(now))}).select(*QUEUE.names)
+            part = self.table.stage(taken)
+            mine = self.spark.read.schema(QUEUE).parquet(f"{self.table.folder.root}/data/{part}").select("id", "subdir", "filename", "url")
+            if mine.isEmpty():
+                return mine
+            try:
+                self.table.commit(base, {**base["parts"], part: base["version"] + 1}, QUEUE)
+            except Conflict:
+                continue
+            return Scratch(self.spark, "claimed").write(mine, "rows")
+        raise Conflict(f"{tries} claimers were faster")
+
+    def mark(self, changes: DataFrame, now: float) -> int:
+        """``mark`` of the state; rows of other programs' changes stay as they are."""
+
+        def changed(rows: DataFrame, _: dict) -> DataFrame:
+            mine = newest(rows, "id").join(changes.select("id"), "id", "left_semi")
+            return mark(mine, changes, now).select(*QUEUE.names)
+
+        version = self.table.update(changed)
+        self._tidy()
+        return version
+
+    def reset_stuck(self, now: float, stale: float = 3600) -> int:
+        """``reset_stuck`` of the state: rows that a program left in progress can be claimed again."""
+        return self.apply(lambda state: reset_stuck(state, now, stale))
+
+    def _tidy(self) -> None:
+        before = self.table.version()
+        if self.table.compact(lambda rows: newest(rows, "id"), self.parts) != before:
+            self.table.vacuum()
+
+
+def read_state(spark: SparkSession, path: str) -> DataFrame:
+    """The state in a folder: of a ``QueueStore``, or of plain Parquet files."""
+    store = QueueStore(spark, path)
+    return store.state() if store.table.version() >= 0 else spark.read.schema(QUEUE).parquet(path)
 
 
 def run_queue(
-    state: DataFrame, root: str, n: int, work: Callable[[DataFrame], DataFrame], done: Callable[[], DataFrame] | None = None, clock: Callable[[], float] = time.time,
-    cooldown: float = 3600, cap: int = 20, attempts: int = 1, most_rounds: int | None = None,
+    state: DataFrame | None, root: str, n: int, work: Callable[[DataFrame], DataFrame], done: Callable[[], DataFrame] | None = None, clock: Callable[[], float] = time.time,
+    cooldown: float = 3600, cap: int = 20, attempts: int = 1, most_rounds: int | None = None, stale: float = 3600, spark: SparkSession | None = None,
 ) -> tuple[DataFrame, dict[str, int]]:
-    """The worker loop: rounds of ``run_batch`` until no row can be claimed now; (the last state, rows by outcome).
+    """The worker loop: claim, work (see ``run_batch``) and mark, round by round, until no row can be claimed now; (the last state, rows by outcome).
 
-    Every round's state is a version ``<root>/v<k>``, written before the next round, so a stopped program
-    goes on from the newest whole version. Rows that cool down are left for a later call; is_drained tells whether there are any.
+    The state is a ``QueueStore`` at ``root``: ``state`` starts it, and is left aside (or None) where the folder has one, so a program that
+    stopped goes on from what it had committed, and several programs may run on one folder. Rows that a stopped one left in
+    progress are claimed again after ``stale`` seconds. Rows that cool down are left for a later call; is_drained tells whether there are any.
     """
-    spark, totals, k = state.sparkSession, {"done": 0, "skipped": 0, "error": 0}, 0
-    schema = state.schema
-    state.write.mode("error").parquet(f"{root}/v0")
-    state = spark.read.schema(schema).parquet(f"{root}/v0")
+    store = QueueStore(spark or (state.sparkSession if state is not None else SparkSession.active()), root)
+    if state is not None:
+        store.start(state)
+    store.reset_stuck(clock(), stale)
+    totals, k = {"done": 0, "skipped": 0, "error": 0}, 0
     while most_rounds is None or k < most_rounds:
         now = clock()
-        if state.where(claim_order(now, cooldown, cap)[0]).isEmpty():
+        chosen = store.claim(n, now, cooldown, cap)
+        if chosen.isEmpty():
             break
         k += 1
-        following, counts = run_batch(state, n, now, work, done() if done else None, cooldown, cap, attempts)
-        following.write.mode("error").parquet(f"{root}/v{k}")
-        for r in counts.collect():
-            totals[r["outcome"]] += r["n"]
-        state = spark.read.schema(schema).parquet(f"{root}/v{k}")
-    return state, totals
+        outcomes = Scratch(store.spark, "outcomes").write(_worked(chosen, work, done() if done else None, attempts), "outcomes")
+        store.mark(_changes(outcomes), now)
+        for r in outcomes.groupBy("outcome").count().collect():
+            totals[r["outcome"]] += r["count"]
+    return store.state(), totals

@@ -84,6 +84,26 @@ FROM u, (VALUES ('ksize'), ('hash'), ('bucket'), ('n_samples')) t(c) GROUP BY c"
 SELECT id, CASE WHEN bad THEN 'ERROR' WHEN taken THEN 'DONE' ELSE status END AS status, CAST(tries + CASE WHEN bad THEN 3 ELSE 0 END AS INTEGER) AS tries,
   CASE WHEN taken AND NOT bad THEN CASE WHEN id % 11 = 0 THEN '/old' ELSE '/out/f' || id || '.fa.gz' END END AS out_path,
   CASE WHEN bad THEN CASE WHEN id % 7 = 0 THEN 'no result' ELSE 'broken' END END AS last_error FROM w""",
+    "queue_worker_counts": f"""WITH {_QUEUE}, c AS (
+  SELECT id FROM (SELECT *, CASE WHEN status = 'PENDING' THEN 0 ELSE 1 END AS class FROM q
+    WHERE status = 'PENDING' OR status = 'ERROR' AND tries < 20 AND (updated_at IS NULL OR updated_at <= 1750000000 - 3600))
+  ORDER BY class, CASE WHEN class = 0 THEN NULL ELSE updated_at END NULLS FIRST, id LIMIT 400
+), o AS (
+  SELECT id, CASE WHEN id % 11 = 0 THEN 'skipped' WHEN id % 7 = 0 OR id % 5 = 0 THEN 'error' ELSE 'done' END AS outcome, CASE WHEN id % 11 <> 0 THEN CASE WHEN id % 7 = 0 THEN 'no result' WHEN id % 5 = 0 THEN 'broken' END END AS error FROM c)
+SELECT outcome, count(*) AS n, coalesce(string_agg(error, ',' ORDER BY id) FILTER (error IS NOT NULL AND place <= 20), '') AS examples
+FROM (SELECT *, row_number() OVER (PARTITION BY outcome ORDER BY id) AS place FROM o) GROUP BY outcome""",
+    "queue_claim_errors": f"""WITH {_QUEUE} SELECT id, subdir, filename FROM q WHERE status = 'ERROR' AND tries < 20 AND (updated_at IS NULL OR updated_at <= 1750000000 - 3600)
+ORDER BY updated_at NULLS FIRST, id LIMIT 400""",
+    "queue_store": f"""WITH {_QUEUE}, s AS (
+  SELECT * REPLACE (CASE WHEN stuck THEN 'PENDING' ELSE status END AS status, CASE WHEN stuck THEN 1750000000 ELSE updated_at END AS updated_at)
+  FROM (SELECT *, status IN ('DOWNLOADING', 'SKETCHING') AND (updated_at IS NULL OR updated_at < 1750000000 - 3600) AS stuck FROM q)
+), c AS (
+  SELECT id, (row_number() OVER (ORDER BY class, CASE WHEN class = 0 THEN NULL ELSE updated_at END NULLS FIRST, id) - 1) // 200 AS claimer
+  FROM (SELECT *, CASE WHEN status = 'PENDING' THEN 0 ELSE 1 END AS class FROM s WHERE status = 'PENDING' OR status = 'ERROR' AND tries < 20 AND (updated_at IS NULL OR updated_at <= 1750000000 - 3600))
+  ORDER BY claimer LIMIT 600)
+SELECT s.id, CASE WHEN claimer = 1 THEN 'ERROR' WHEN claimer IS NOT NULL THEN 'DOWNLOADING' ELSE status END AS status, CAST(tries + CASE WHEN claimer = 1 THEN 1 ELSE 0 END AS INTEGER) AS tries,
+  CASE WHEN claimer = 1 THEN 'lost' END AS last_error, CAST(CASE claimer WHEN 0 THEN 1750000000 WHEN 1 THEN 1750000009 WHEN 2 THEN 1750000002 ELSE updated_at END AS DOUBLE) AS updated_at
+FROM s LEFT JOIN c ON s.id = c.id""",
     "crawl_queue": """WITH f AS (
   SELECT 'r' || n_regionkey || '/n' || n_nationkey AS subdir, 'c' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') || '.fna.gz' AS filename FROM customer JOIN nation ON c_nationkey = n_nationkey
   WHERE c_custkey % 3 <> 0 AND c_custkey <> 1
@@ -125,6 +145,14 @@ SELECT depth, count(*) AS n_nodes FROM (SELECT node, CAST(min(depth) AS INTEGER)
   SELECT *, CASE WHEN status = 'PENDING' THEN 0 ELSE 1 END AS class FROM q
   WHERE status = 'PENDING' OR status = 'ERROR' AND tries < 20 AND (updated_at IS NULL OR updated_at <= 1750000000 - 3600))
 SELECT id, subdir, filename FROM c ORDER BY class, CASE WHEN class = 0 THEN NULL ELSE updated_at END NULLS FIRST, id LIMIT 400""",
+    "queue_timers": """WITH l AS (
+  SELECT 'u' || user_id AS subdir, event_id AS id, CAST(event_id % 25 AS INTEGER) AS tries, ts, max(ts) OVER () AS now,
+    CASE event_type WHEN 'signup' THEN 'PENDING' WHEN 'error' THEN 'ERROR' WHEN 'click' THEN 'DOWNLOADING' WHEN 'view' THEN 'SKETCHING' ELSE 'DONE' END AS status
+  FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+), s AS (
+  SELECT *, status IN ('DOWNLOADING', 'SKETCHING') AND date_trunc('milliseconds', ts) < date_trunc('milliseconds', (SELECT max(ts) FROM events)) - INTERVAL 1 DAY AS stuck FROM l)
+SELECT subdir, id, CASE WHEN stuck THEN 'PENDING' ELSE status END AS status, tries,
+  stuck OR status = 'PENDING' OR status = 'ERROR' AND tries < 20 AND date_trunc('milliseconds', ts) <= date_trunc('milliseconds', (SELECT max(ts) FROM events)) - INTERVAL 1 HOUR AS claimable FROM s""",
     "queue_requeue": f"""WITH {_QUEUE}, s AS (SELECT *, status IN ('DOWNLOADING', 'SKETCHING') AND (updated_at IS NULL OR updated_at < 1750000000 - 3600) AS stuck FROM q)
 SELECT id, CASE WHEN stuck THEN 'PENDING' ELSE status END AS status, tries, CASE WHEN stuck THEN CAST(1750000000 AS DOUBLE) ELSE updated_at END AS updated_at FROM s""",
     "queue_upsert": f"""WITH {_QUEUE}

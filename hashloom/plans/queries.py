@@ -24,6 +24,7 @@ from ..operators import compare, counting, dedup, sketch, traversal, workqueue
 from ..scratch import Scratch, scratch_path
 from ..sources import archives, listings, tables
 from ..streaming import incremental
+from ..streaming import queue_timers as streamed_queue
 
 MOD = 521
 NOW = 1_750_000_000.0
@@ -281,7 +282,7 @@ def shards_ksize(spark, sf_dir):
     return tables.read_shards(spark, root, ksize=21, with_part=True).groupBy("ksize", "part").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def queue_worker(spark, sf_dir):
+def _worker_round(spark, sf_dir):
     """One round of the worker loop: outputs that are there are taken, one file in five fails at each of three attempts, one in seven gives no result."""
     state = queue(spark, sf_dir)
 
@@ -290,8 +291,35 @@ def queue_worker(spark, sf_dir):
         return todo.where("id % 7 <> 0").select("id", out.alias("out_path"), F.when(F.col("id") % 5 == 0, "broken").alias("error"))
 
     done = state.where("id % 11 = 0").select("subdir", "filename", F.lit("/old").alias("out_path"))
-    after, _ = workqueue.run_batch(state, 400, NOW, work, done, attempts=3)
-    return after.select("id", "status", "tries", "out_path", "last_error")
+    return workqueue.run_batch(state, 400, NOW, work, done, attempts=3)
+
+
+def queue_worker(spark, sf_dir):
+    return _worker_round(spark, sf_dir)[0].select("id", "status", "tries", "out_path", "last_error")
+
+
+def queue_worker_counts(spark, sf_dir):
+    """The counts of the same round, with the first errors."""
+    return _worker_round(spark, sf_dir)[1].select("outcome", "n", F.array_join("examples", ",").alias("examples"))
+
+
+def queue_claim_errors(spark, sf_dir):
+    """A claim from a queue whose PENDING rows are all done: the ERROR rows that have cooled down, the longest waiting first."""
+    state = queue(spark, sf_dir)
+    null = F.lit(None).cast("string")
+    finished = state.where("status = 'PENDING'").select("id", F.lit("DONE").alias("status"), null.alias("out_path"), null.alias("last_error"), F.lit(False).alias("inc_tries"))
+    return workqueue.claim(workqueue.mark(state, finished, NOW), 400, NOW)[0].select("id", "subdir", "filename")
+
+
+def queue_store(spark, sf_dir):
+    """A stored queue: stuck rows are taken back, three claimers take 200 rows each, the second one's fail; the state after it."""
+    store = workqueue.QueueStore(spark, scratch_path(spark, "queue"))
+    store.start(queue(spark, sf_dir))
+    store.reset_stuck(NOW)
+    claims = [store.claim(200, NOW + k) for k in range(3)]
+    failed = claims[1].select("id", F.lit("ERROR").alias("status"), F.lit(None).cast("string").alias("out_path"), F.lit("lost").alias("last_error"), F.lit(True).alias("inc_tries"))
+    store.mark(failed, NOW + 9)
+    return store.state().select("id", "status", "tries", "last_error", "updated_at")
 
 
 def crawl_queue(spark, sf_dir):
@@ -399,6 +427,20 @@ def queue_claim(spark, sf_dir):
     return workqueue.claim(queue(spark, sf_dir), 400, NOW)[0].select("id", "subdir", "filename")
 
 
+def queue_timers(spark, sf_dir):
+    """A user's events as one file's, streamed: the rows in progress for over a day are taken back, errors older than an hour can be claimed."""
+    root = scratch_path(spark, "timers")
+    kind = F.col("event_type")
+    status = F.when(kind == "signup", "PENDING").when(kind == "error", "ERROR").when(kind == "click", "DOWNLOADING").when(kind == "view", "SKETCHING").otherwise("DONE")
+    e = spark.readStream.schema(load(spark, sf_dir, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    events = e.select(F.concat(F.lit("u"), "user_id").alias("subdir"), F.lit("f").alias("filename"), F.col("event_id").alias("id"), F.concat(F.lit("https://host/"), "event_id").alias("url"), status.alias("status"),
+                      F.pmod(F.col("event_id"), F.lit(25)).cast("int").alias("tries"), F.col("ts").alias("at"))
+    changes = streamed_queue.queue_changes(events, stale=86_400, cooldown=3600)
+    streamed_queue.run_changes(changes, f"{root}/changes", f"{root}/checkpoint")
+    found = streamed_queue.queue_rows(spark.read.parquet(f"{root}/changes"))
+    return found.select("subdir", "id", "status", "tries", "claimable")
+
+
 def queue_requeue(spark, sf_dir):
     return workqueue.reset_stuck(queue(spark, sf_dir), NOW).select("id", "status", "tries", "updated_at")
 
@@ -509,8 +551,8 @@ def stream_dedup(spark, sf_dir):
 
 NAMES = (
     "sketch_documents sketch_ksizes sketch_murmur dedup_ksize_hash dedup_hash dedup_ksize_hash_counts dedup_hash_counts incremental_counts bucket_histogram filter_ksizes"
-    " ingest_detect union_by_name merged_files bucket_tables list_buckets wgs_shards append_loads archive_rows archive_faults archive_sink tsv_sequences list_lines catalog_rows ingest_modes ingest_statistics index_probe shards_ksize queue_worker crawl_queue infer_sample_id u64_mod u64_wrap hrefs hrefs_relative"
-    " target_pages path_rules subtree_examples quoted_urls file_list crawl_depth queue_stats queue_latest_state queue_claim queue_requeue queue_upsert queue_mark"
+    " ingest_detect union_by_name merged_files bucket_tables list_buckets wgs_shards append_loads archive_rows archive_faults archive_sink tsv_sequences list_lines catalog_rows ingest_modes ingest_statistics index_probe shards_ksize queue_worker queue_worker_counts queue_claim_errors queue_store crawl_queue infer_sample_id u64_mod u64_wrap hrefs hrefs_relative"
+    " target_pages path_rules subtree_examples quoted_urls file_list crawl_depth queue_stats queue_latest_state queue_claim queue_timers queue_requeue queue_upsert queue_mark"
     " queue_verify queue_unfinished queue_next_batch even_chunks backoff rna_to_dna known_hashes novel_hashes containment cross_catalog_coverage catalog_overlaps catalog_coverage point_lookup stream_dedup"
 )
 QUERIES = {n: globals()[n] for n in NAMES.split()} | {"shard_md5": _shards("md5", 4096), "shard_sha1": _shards("sha1", 4096), "shard_sha256": _shards("sha256", 512)}

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from ..functions import uint64
+from .queue_timers import rocksdb
 
 
 def occurrence_stream(spark: SparkSession, root: str, schema: StructType, max_files: int = 1000, glob: str = "*.parquet") -> DataFrame:
@@ -21,8 +22,9 @@ def dedup_stream(stream: DataFrame, keys=("ksize", "hash"), mod: int = 521) -> D
 
 
 def run_available(df: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Works through all that has arrived and stops; run again with the same checkpoint, it takes up what is new, once."""
-    query = df.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    """Works through all that has arrived and stops; run again with the same checkpoint, it takes up what is new, once. State is in RocksDB."""
+    with rocksdb(df.sparkSession):
+        query = df.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 

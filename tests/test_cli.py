@@ -8,6 +8,7 @@ import pytest
 
 from hashloom import schema
 from hashloom.__main__ import main
+from hashloom.operators import workqueue
 from hashloom.sources import tables
 
 
@@ -111,6 +112,10 @@ def test_crawl_and_work(spark, tmp_path, capsys):
     work = ["work", "--state", str(tmp_path / "s0"), "--out-state", str(tmp_path / "v"), "--mirror", str(mirror), "--out-root", str(tmp_path / "o"), "--scaled", "1", "--max-retries", "1"]
     assert main(work, spark) == 2
     assert json.loads(capsys.readouterr().out) == {"done": 2, "skipped": 0, "error": 1}
-    last = {r.filename: (r.status, r.tries) for r in spark.read.parquet(str(tmp_path / "v" / "v1")).collect()}
+    last = {r.filename: (r.status, r.tries) for r in workqueue.read_state(spark, str(tmp_path / "v")).collect()}
     assert last == {"top.fna.gz": ("DONE", 0), "g.fna.gz": ("DONE", 0), "bad.fna.gz": ("ERROR", 2)}
+    assert main(work, spark) == 0  # once more on its own folder: nothing to do, the failed file cools down
+    assert json.loads(capsys.readouterr().out) == {"done": 0, "skipped": 0, "error": 0}
+    assert main(["queue-stats", "--state", str(tmp_path / "v")], spark) == 0
+    assert json.loads(capsys.readouterr().out) == {"total": 3, "by_status": {"DONE": 2, "ERROR": 1}}
     assert {p.name for p in (tmp_path / "o").rglob("*.zip")} == {"top.fna.gz.sig.zip", "g.fna.gz.sig.zip"}

@@ -255,7 +255,7 @@ def test_worker_loop(spark, state, tmp_path):
     last, totals = workqueue.run_queue(state, str(tmp_path / "v"), 2, work, clock=lambda: NOW, attempts=2)
     got = by_id(last, "status", "tries")
     assert got[5] == ("DONE", 2) and got[1][0] == got[9][0] == "DONE" and totals["error"] == 0 and totals["done"] >= 3
-    assert last.where(workqueue.claim_order(NOW)[0]).isEmpty() and (tmp_path / "v" / "v1").exists()
+    assert last.where(workqueue.claim_order(NOW)[0]).isEmpty() and workqueue.QueueStore(spark, str(tmp_path / "v")).state().count() == 9
 
 
 def test_subtree_caps(spark):
