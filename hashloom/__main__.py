@@ -221,7 +221,7 @@ def run_sketch(spark: SparkSession, a) -> int:
         return report(Scratch(spark, "sketch").write(done, "done"))
     rows = archives.read_fasta(spark, a.input_root)
     if a.max_files:
-        rows = rows.join(files.select(names.sample_id(F.url_decode("path")).alias("sample_id")).distinct(), "sample_id", "left_semi")
+        rows = rows.join(files.select(names.sample_id(F.col("path")).alias("sample_id")).distinct(), "sample_id", "left_semi")
     if a.rna:
         rows = rows.withColumn("sequence", names.rna_to_dna(F.col("sequence")))
     found = sketch.sketch(rows, "sequence", "sample_id", ksizes, a.scaled, "murmur3_64", dna=True, mod=preset(a, "mod", 521)).distinct()

@@ -63,6 +63,7 @@ FROM (SELECT DISTINCT hash FROM occ) GROUP BY ALL""",
   WHERE ksize IN (1, 4, 5) OR ksize = 2 AND n % 2 = 1 OR ksize = 6 AND n % 3 <> 0)
 SELECT ksize, count(*) AS n_rows, count(DISTINCT sample_id) AS n_samples, CAST(sum(hash) AS BIGINT) AS sum_hashes FROM d GROUP BY ksize""",
     "archive_sink": f"WITH {_OCC} SELECT ksize, hash, bucket, count(DISTINCT sample_id) AS n_samples FROM occ GROUP BY ALL",
+    "archive_source": f"WITH {_OCC} SELECT ksize, hash, bucket, count(DISTINCT sample_id) AS n_samples FROM occ WHERE ksize IN (2, 3, 5, 7) GROUP BY ALL",
     "tsv_sequences": "SELECT CAST(p_partkey AS VARCHAR) AS header, replace(p_name, ' ', '') AS sequence FROM part",
     "list_lines": "SELECT replace(s_name, '#', ' ') AS name, CASE s_suppkey % 3 WHEN 0 THEN 'dir' WHEN 1 THEN 'slink' ELSE 'file' END AS kind FROM supplier",
     "catalog_rows": """SELECT n_name AS name, lower(n_name) AS alias, '/db/' || n_name AS path, 'unique_hashes' AS "table", 'hash' AS "column",

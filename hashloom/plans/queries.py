@@ -22,6 +22,7 @@ from .. import schema
 from ..functions import digests, names, uint64
 from ..operators import compare, counting, dedup, sketch, traversal, workqueue
 from ..scratch import Scratch, scratch_path
+from ..sources import archive_source as archive_source_module
 from ..sources import archives, listings, tables
 from ..streaming import incremental
 from ..streaming import queue_timers as streamed_queue
@@ -220,6 +221,15 @@ def archive_sink(spark, sf_dir):
     return dedup.unique_hashes(archives.read_archives(spark, root, MOD, mode="failfast"), True, True)
 
 
+def archive_source(spark, sf_dir):
+    """The same archives by the data source, each k size asked for."""
+    root = scratch_path(spark, "sigzips")
+    o = occurrences(spark, sf_dir)
+    archives.write_archives(o.select(F.lit("").alias("dir"), F.col("sample_id").alias("name"), "ksize", "hash"), root)
+    found = archive_source_module.stream_archives(spark, root, MOD, mode="failfast")
+    return dedup.unique_hashes(found.where("ksize IN (2, 3, 5, 7)"), True, True)
+
+
 def tsv_sequences(spark, sf_dir):
     """First and last column of tab-separated files with a header row."""
     root = scratch_path(spark, "tsv")
@@ -551,7 +561,7 @@ def stream_dedup(spark, sf_dir):
 
 NAMES = (
     "sketch_documents sketch_ksizes sketch_murmur dedup_ksize_hash dedup_hash dedup_ksize_hash_counts dedup_hash_counts incremental_counts bucket_histogram filter_ksizes"
-    " ingest_detect union_by_name merged_files bucket_tables list_buckets wgs_shards append_loads archive_rows archive_faults archive_sink tsv_sequences list_lines catalog_rows ingest_modes ingest_statistics index_probe shards_ksize queue_worker queue_worker_counts queue_claim_errors queue_store crawl_queue infer_sample_id u64_mod u64_wrap hrefs hrefs_relative"
+    " ingest_detect union_by_name merged_files bucket_tables list_buckets wgs_shards append_loads archive_rows archive_faults archive_sink archive_source tsv_sequences list_lines catalog_rows ingest_modes ingest_statistics index_probe shards_ksize queue_worker queue_worker_counts queue_claim_errors queue_store crawl_queue infer_sample_id u64_mod u64_wrap hrefs hrefs_relative"
     " target_pages path_rules subtree_examples quoted_urls file_list crawl_depth queue_stats queue_latest_state queue_claim queue_timers queue_requeue queue_upsert queue_mark"
     " queue_verify queue_unfinished queue_next_batch even_chunks backoff rna_to_dna known_hashes novel_hashes containment cross_catalog_coverage catalog_overlaps catalog_coverage point_lookup stream_dedup"
 )

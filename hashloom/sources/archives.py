@@ -126,7 +126,7 @@ def matching(spark: SparkSession, files: DataFrame, root: str, pattern: str) ->
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
     base = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hadoop).toString().rstrip("/")
     rest = F.substring(F.col("path"), len(base) + 2, 1 << 30)
-    return files.where(F.url_decode(rest).rlike("^" + glob.translate(posixpath.join("**", pattern), recursive=True, include_hidden=True)))
+    return files.where(rest.rlike("^" + glob.translate(posixpath.join("**", pattern), recursive=True, include_hidden=True)))
 
 
 def scan_archives(spark: SparkSession, root: str, max_files: int = 0, pattern: str = "**/*.sig.zip") -> DataFrame:
@@ -164,7 +164,7 @@ def decode_archives(files: DataFrame, mod: int = 521, include_ksizes=(), mode: s
                     yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([k], pa.int64()), listed], ["path", "k", "hashes"])
 
     rows = files.select("path", "content").mapInArrow(run, "path string, k long, hashes array<long>")
-    flat = rows.select(names.sample_id(F.url_decode("path")).alias("sample_id"), F.col("k").cast("smallint").alias("ksize"), F.explode("hashes").alias("hash"))
+    flat = rows.select(names.sample_id(F.col("path")).alias("sample_id"), F.col("k").cast("smallint").alias("ksize"), F.explode("hashes").alias("hash"))
     return flat.withColumn("bucket", uint64.mod(F.col("hash"), mod))
 
 
@@ -202,45 +202,36 @@ def opened(path: str):
 def write_archives(df: DataFrame, root: str) -> DataFrame:
     """Writes the archive ``<root>/<dir>/<name>.sig.zip`` of each (dir, name) of ``df`` (dir, name, ksize, hash): one entry a k size, its hashes ascending.
 
-    Rows are dealt by archive and sorted, and stream into the archive, so memory doesn't grow with it. An archive is
-    written beside its place, tested and moved in, so a reader never sees half of one and a repeated task changes
-    nothing. Returns (path, n_hashes), one row an archive, written by then. Null names are left out.
+    Rows are dealt by archive and sorted, and stream into the archive, so memory doesn't grow with it. Archives are written
+    in a folder of the job's, tested, and moved in by its commit (see ``archive_source``): a reader never sees half of one, a repeated task changes
+    nothing, and a job that fails leaves nothing. Returns (path, n_hashes), one row an archive, written by then. Null names are left out.
     """
     from ..scratch import Scratch
+    from .archive_source import FORMAT, register
 
+    spark = df.sparkSession
+    register(spark)
     order = uint64.order_key(F.col("hash"))
-    rows = df.where("name IS NOT NULL").select(F.coalesce("dir", F.lit("")).alias("dir"), "name", F.col("ksize").cast("int").alias("ksize"), "hash", order.alias("_o"))
+    rows = df.where("name IS NOT NULL").select(F.coalesce("dir", F.lit("")).alias("dir"), F.col("name").cast("string").alias("name"), F.col("ksize").cast("int").alias("ksize"), F.col("hash").cast("long").alias("hash"), order.alias("_o"))
     dealt = rows.repartition("dir", "name").sortWithinPartitions("dir", "name", "ksize", "_o").drop("_o")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        writer = None
-        for batch in batches:
-            folder, name, ksize, h = (batch.column(k) for k in range(4))
-            for d, n, k, v in zip(folder.to_pylist(), name.to_pylist(), ksize.to_pylist(), h.to_numpy().view(np.uint64).tolist(), strict=True):
-                if writer is None or writer.key != (d, n):
-                    if writer is not None:
-                        yield writer.finish()
-                    writer = ArchiveWriter(root, d, n)
-                    writer.begin()
-                writer.add(k, v)
-        if writer is not None:
-            yield writer.finish()
-
-    return Scratch(df.sparkSession, "archives").write(dealt.mapInArrow(run, "path string, n_hashes long"), "written")
+    report = Scratch(spark, "archives").root
+    dealt.write.format(FORMAT).mode("append").option("report", report).save(root)
+    return spark.read.schema("path string, n_hashes long").json(report)
 
 
 class ArchiveWriter:
-    """One archive: begin, add (k sizes in order), finish; or abandon."""
+    """One archive: begin, add (k sizes in order), finish; or abandon. With ``staging``, a folder, close instead of finish: the archive stays there as ``part`` until someone moves it to ``path``."""
 
-    def __init__(self, root: str, folder: str, name: str):
+    def __init__(self, root: str, folder: str, name: str, staging: str | None = None):
         self.key, self.n, self.k, self.entry = (folder, name), 0, None, None
         self.store, base = opened(root)
         self.path = posixpath.join(base, folder, f"{name}.sig.zip")
+        self.staging = staging
         self.part = self.file = self.zip = None
 
     def begin(self):
-        self.part = f"{self.path}.{uuid.uuid4().hex}.part"
-        self.store.create_dir(posixpath.dirname(self.path), recursive=True)
+        self.part = f"{self.staging}/{uuid.uuid4().hex}.part" if self.staging else f"{self.path}.{uuid.uuid4().hex}.part"
+        self.store.create_dir(posixpath.dirname(self.part), recursive=True)
         self.file = self.store.open_output_stream(self.part)
         self.zip = zipfile.ZipFile(self.file, "w", zipfile.ZIP_DEFLATED)
 
@@ -264,12 +255,15 @@ class ArchiveWriter:
         if self.part is not None and self.store.get_file_info(self.part).is_file:
             self.store.delete_file(self.part)
 
-    def finish(self) -> pa.RecordBatch:
+    def close(self) -> None:
+        """Ends the archive and tests it."""
         self._end_entry()
         self.zip.close()
         self.file.close()
         with self.store.open_input_file(self.part) as f:
             if not zipfile.is_zipfile(f):
                 raise ValueError(f"output is no valid zip: {self.path}")
+
+    def finish(self) -> None:
+        self.close()
         self.store.move(self.part, self.path)
-        return pa.RecordBatch.from_arrays([pa.array([self.path]), pa.array([self.n], pa.int64())], ["path", "n_hashes"])
