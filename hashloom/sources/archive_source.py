@@ -234,7 +234,13 @@ class SigzipWriter(DataSourceArrowWriter):
 
     def __init__(self, options):
         self.root, self.report = options["path"], options.get("report")
-        self.staging = posixpath.join(opened(self.root)[1], f"_staging-{uuid.uuid4().hex}")
+        store, at = opened(self.root)
+        self.staging = posixpath.join(at, f"_staging-{uuid.uuid4().hex}")
+        self.mark = f"{self.staging}/open"
+        # the job's folder is made here, on the driver, and never by a task: one that outlives an abort can't bring it back
+        store.create_dir(self.staging, recursive=True)
+        with store.open_output_stream(self.mark) as out:
+            out.write(b"")
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         done, writer = [], None
@@ -250,12 +256,13 @@ class SigzipWriter(DataSourceArrowWriter):
                 if writer is None or writer.key != (d, n):
                     if writer is not None:
                         ended()
+                    if store.get_file_info(self.mark).type == fs.FileType.NotFound:
+                        raise RuntimeError("the job was aborted")
                     writer = ArchiveWriter(self.root, d, n, self.staging)
                     writer.begin()
                 writer.add(k, v)
         if writer is not None:
             ended()
-        store.create_dir(self.staging, recursive=True)
         listing = f"{self.staging}/{uuid.uuid4().hex}.list"
         with store.open_output_stream(listing) as out:
             out.write("".join(json.dumps(x) + "\n" for x in done).encode())

@@ -231,7 +231,8 @@ class ArchiveWriter:
 
     def begin(self):
         self.part = f"{self.staging}/{uuid.uuid4().hex}.part" if self.staging else f"{self.path}.{uuid.uuid4().hex}.part"
-        self.store.create_dir(posixpath.dirname(self.part), recursive=True)
+        if not self.staging:
+            self.store.create_dir(posixpath.dirname(self.part), recursive=True)
         self.file = self.store.open_output_stream(self.part)
         self.zip = zipfile.ZipFile(self.file, "w", zipfile.ZIP_DEFLATED)
 
