@@ -7,6 +7,8 @@ with ``buckets`` join without an exchange.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +48,29 @@ def coverage(left: DataFrame, rights: DataFrame, name: str) -> DataFrame:
     return rights.join(left.select(*KEY), KEY, "left_semi").groupBy(name).agg(F.count(F.lit(1)).alias("n_known"))
 
 
+@contextmanager
+def folded_buckets(spark: SparkSession, ratio: int = 16):
+    """Joins planned inside read a table of n buckets as one of n / m, where the other has that many: 512 meet 64 without an exchange of either.
+
+    A bucket number is a hash modulo the number of buckets, so with m dividing n a bucket of the smaller table is m whole buckets of the larger. Where neither number divides the
+    other (521 and 512), one side is dealt anew, as ``rebucketed`` does it.
+    """
+    settings = {"spark.sql.bucketing.coalesceBucketsInJoin.enabled": "true", "spark.sql.bucketing.coalesceBucketsInJoin.maxBucketRatio": str(ratio), "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def rebucketed(df: DataFrame, buckets: int) -> DataFrame:
+    """``df`` dealt as a table of so many buckets is, so that a join with one moves this side alone."""
+    return df.repartition(buckets, *KEY)
+
+
 #: Bits of a mask word: one bit a collection.
 WORD = 63
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import re
 import zipfile
 import zlib
 from collections.abc import Iterator
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import digests, names
-from ..sources.archives import ArchiveWriter, opened
+from ..sources.archives import ArchiveWriter, opened, write_archives
 from .sketch import kept_hashes
 
 RESULT = "path string, out_path string, error string, skipped boolean"
@@ -28,7 +29,7 @@ def records(lines) -> Iterator[bytes]:
                 yield b"".join(held)
             held = []
         else:
-            held.append(line.strip().upper())
+            held.append(b"".join(line.split()).upper())
     if held:
         yield b"".join(held)
 
@@ -100,3 +101,84 @@ def sketch_to_archives(files: DataFrame, root: str, ksizes=(15, 31, 33), scaled:
     placed = files.select("path", digests.shard_dir(base, n_shards, kind).alias("dir"), base.alias("name"))
     # a file is long work for one row, so files are dealt over all tasks
     return placed.repartition("path").mapInArrow(run, RESULT)
+
+
+#: Bytes of a file in one task, and the longest header line that a cut may fall into.
+RANGE, HEADER = 8 << 20, 1 << 20
+HEAD = re.compile(rb"^>[^\n]*", re.MULTILINE)
+BLANKS = re.compile(rb"\s+")
+
+
+def pieces(store, at: str, start: int, end: int, more: int) -> Iterator[tuple[bytes, int]]:
+    """(bases, n) of the records, or parts of one, in the bytes [start, end) of a FASTA file: the first n bases lie there, up to ``more`` that follow in the same record come after them."""
+    with store.open_input_file(at) as f:
+        size = f.size()
+        end = min(end, size)
+        # whether start lies in a header: the line it is in began after the last line end before it
+        look = max(0, start - HEADER)
+        f.seek(look)
+        before = f.read(start - look)
+        line = before[before.rfind(b"\n") + 1 :]
+        f.seek(start)
+        text = f.read(end - start)
+        if start and before.endswith(b"\n"):
+            line = b""
+        headed = (look == 0 or b"\n" in before) and line.startswith(b">")
+        if headed:
+            cut = text.find(b"\n")
+            if cut < 0:
+                return
+            text = text[cut:]
+        starts_line = headed or not line
+        found = [m for m in HEAD.finditer(text) if m.start() or starts_line]
+        spans = zip([0, *(m.end() for m in found)], [*(m.start() for m in found), len(text)], strict=True)
+        parts = [BLANKS.sub(b"", text[a:b]).upper() for a, b in spans]
+        tail = len(found) and found[-1].end() == len(text)  # a header goes on behind the range: its record isn't this one's
+        last = parts.pop()
+        yield from ((p, len(p)) for p in parts if p)
+        if not last or tail:
+            return
+        n, at_line = len(last), text.endswith(b"\n")
+        while len(last) < n + more:
+            block = f.read(max(4 * more, 4096))
+            if not block:
+                break
+            held = HEAD.search(block) if at_line else next((m for m in HEAD.finditer(block) if m.start()), None)
+            last += BLANKS.sub(b"", block[: held.start()] if held else block).upper()
+            if held:
+                break
+            at_line = block.endswith(b"\n")
+        yield last[: n + more], n
+
+
+def sketch_ranges(files: DataFrame, ksizes=(15, 31, 33), scaled: int = 1000, rna: bool = False, size: int = RANGE) -> DataFrame:
+    """(path, ksize, hash) of plain FASTA ``files`` (path, length), distinct: a file, and a record however long, is the work of one task per ``size`` bytes.
+
+    A k-mer belongs to the range that its first base lies in; a range reads k - 1 bases on. Header lines have a megabyte at most. Packed files can't be
+    cut: they are one task each, in ``sketch_to_archives``.
+    """
+    most = max(ksizes) - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, start, end in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                store, at = opened(path)
+                found: dict[int, list] = {k: [] for k in ksizes}
+                for bases, n in pieces(store, at, start, end, most):
+                    bases = bases.replace(b"U", b"T") if rna else bases
+                    for k in ksizes:
+                        found[k] += kept_hashes(bases[: n + k - 1], k, scaled, True)
+                for k, x in found.items():
+                    h = np.unique(np.concatenate(x)).view(np.int64) if x else np.zeros(0, np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array([path] * len(h), pa.string()), pa.array(np.full(len(h), k), pa.int32()), pa.array(h)], ["path", "ksize", "hash"])
+
+    starts = F.sequence(F.lit(0), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(size).cast("long"))
+    cut = files.where(~F.lower("path").endswith(".gz")).select("path", F.explode(starts).alias("start")).withColumn("end", F.col("start") + size)
+    return cut.repartition("path", "start").mapInArrow(run, "path string, ksize int, hash long").distinct()
+
+
+def sketch_large_to_archives(files: DataFrame, root: str, ksizes=(15, 31, 33), scaled: int = 1000, rna: bool = False, n_shards: int = 4096, kind: str = "md5", size: int = RANGE) -> DataFrame:
+    """(path, n_hashes) of the archives of large plain files, cut over tasks; each is the one that ``sketch_to_archives`` makes."""
+    base = names.base_name(F.col("path"))
+    rows = sketch_ranges(files, ksizes, scaled, rna, size)
+    return write_archives(rows.select(digests.shard_dir(base, n_shards, kind).alias("dir"), base.alias("name"), "ksize", "hash"), root)

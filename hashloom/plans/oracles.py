@@ -53,6 +53,9 @@ ORACLES = {
   SELECT DISTINCT ksize, hash, bucket, CAST(NULL AS BIGINT) AS n FROM occ WHERE ksize <= 3 UNION ALL SELECT ksize, hash, bucket, count(DISTINCT sample_id) FROM occ WHERE ksize > 3 GROUP BY ksize, hash, bucket)
 SELECT bucket, count(*) AS n_rows, count(n) AS n_counted, CAST(coalesce(sum(n), 0) AS BIGINT) AS sum_samples FROM u GROUP BY bucket""",
     "bucket_tables": f"WITH {_OCC} SELECT ksize, hash, bucket, count(DISTINCT sample_id) AS n_samples FROM occ GROUP BY ALL",
+    "merged_buckets": f"WITH {_OCC} SELECT DISTINCT ksize, hash, bucket FROM occ",
+    "folded_tables": """SELECT DISTINCT CAST(l_linenumber AS SMALLINT) AS ksize, l_partkey AS hash FROM lineitem l WHERE l_returnflag = 'R'
+AND EXISTS (SELECT 1 FROM lineitem r WHERE r.l_returnflag <> 'R' AND r.l_linenumber = l.l_linenumber AND r.l_partkey = l.l_partkey)""",
     "list_buckets": f"WITH {_OCC} SELECT DISTINCT bucket FROM occ",
     "wgs_shards": f"""WITH {_OCC} SELECT CAST(31 AS SMALLINT) AS ksize, lpad(CAST(hash % 11 AS VARCHAR), 3, '0') || CASE WHEN hash % 3 = 0 THEN 'b' ELSE '' END AS part, count(*) AS n_rows, CAST(sum(hash % 1000003) AS BIGINT) AS sum_hashes
 FROM (SELECT DISTINCT hash FROM occ) GROUP BY ALL""",

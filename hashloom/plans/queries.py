@@ -23,7 +23,7 @@ from ..functions import digests, names, uint64
 from ..operators import compare, counting, dedup, sketch, traversal, workqueue
 from ..scratch import Scratch, scratch_path
 from ..sources import archive_source as archive_source_module
-from ..sources import archives, listings, tables
+from ..sources import archives, listings, merged, tables
 from ..streaming import incremental
 from ..streaming import queue_timers as streamed_queue
 
@@ -134,6 +134,29 @@ def bucket_tables(spark, sf_dir):
     return tables.detected(tables.read_hashes(spark, unique))
 
 
+def merged_buckets(spark, sf_dir):
+    """Two collections' sorted bucket files merged to their distinct hashes without a sort or an exchange."""
+    one, two = scratch_path(spark, "one"), scratch_path(spark, "two")
+    o, flag = load(spark, sf_dir, "lineitem"), F.col("l_returnflag") == "R"
+    for root, rows in ((one, o.where(flag)), (two, o.where(~flag))):
+        hashed = rows.select(F.col("l_linenumber").cast("smallint").alias("ksize"), F.col("l_partkey").alias("hash"))
+        tables.write_unique(dedup.unique_hashes(hashed.withColumn("bucket", uint64.mod(F.col("hash"), MOD)), True, False), root)
+    return merged.read_merged(spark, one, two)
+
+
+def folded_tables(spark, sf_dir):
+    """Hashes that a table of 64 buckets has and one of 8 has too, met bucket by bucket."""
+    o = load(spark, sf_dir, "lineitem").select("l_returnflag", F.col("l_linenumber").cast("smallint").alias("ksize"), F.col("l_partkey").alias("hash"))
+    left, right = (f"{side}_{uuid.uuid4().hex}" for side in ("fine", "coarse"))
+    tables.ingest(o.where("l_returnflag = 'R'").select("ksize", "hash").distinct(), left, "create", buckets=64)
+    tables.ingest(o.where("l_returnflag <> 'R'").select("ksize", "hash").distinct(), right, "create", buckets=8)
+    with compare.folded_buckets(spark):
+        found = Scratch(spark, "folded").write(compare.known(spark.table(left), spark.table(right)), "known")
+    tables.drop(spark, left)
+    tables.drop(spark, right)
+    return found
+
+
 def list_buckets(spark, sf_dir):
     root = scratch_path(spark, "listed")
     tables.write_occurrences(occurrences(spark, sf_dir), root)
@@ -561,7 +584,7 @@ def stream_dedup(spark, sf_dir):
 
 NAMES = (
     "sketch_documents sketch_ksizes sketch_murmur dedup_ksize_hash dedup_hash dedup_ksize_hash_counts dedup_hash_counts incremental_counts bucket_histogram filter_ksizes"
-    " ingest_detect union_by_name merged_files bucket_tables list_buckets wgs_shards append_loads archive_rows archive_faults archive_sink archive_source tsv_sequences list_lines catalog_rows ingest_modes ingest_statistics index_probe shards_ksize queue_worker queue_worker_counts queue_claim_errors queue_store crawl_queue infer_sample_id u64_mod u64_wrap hrefs hrefs_relative"
+    " ingest_detect union_by_name merged_files bucket_tables merged_buckets folded_tables list_buckets wgs_shards append_loads archive_rows archive_faults archive_sink archive_source tsv_sequences list_lines catalog_rows ingest_modes ingest_statistics index_probe shards_ksize queue_worker queue_worker_counts queue_claim_errors queue_store crawl_queue infer_sample_id u64_mod u64_wrap hrefs hrefs_relative"
     " target_pages path_rules subtree_examples quoted_urls file_list crawl_depth queue_stats queue_latest_state queue_claim queue_timers queue_requeue queue_upsert queue_mark"
     " queue_verify queue_unfinished queue_next_batch even_chunks backoff rna_to_dna known_hashes novel_hashes containment cross_catalog_coverage catalog_overlaps catalog_coverage point_lookup stream_dedup"
 )

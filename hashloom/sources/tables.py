@@ -159,7 +159,9 @@ def ingest(df: DataFrame, table: str, mode: str = "replace", sort: bool = True,
     if mode == "create" and was:
         raise ValueError(f"table {table} exists")
     checked = df.withColumn("hash", F.when(F.col("hash").isNull(), F.raise_error(F.lit("null hash"))).otherwise(F.col("hash")))
-    if sort and not buckets:
+    if buckets:
+        checked = checked.repartition(buckets, *keys)  # as the buckets are dealt, so that each is one sorted file
+    elif sort:
         checked = checked.repartitionByRange(*keys).sortWithinPartitions(*keys)
     if mode == "append" and was:
         _write_version(checked.select(*spark.table(was).columns), was, buckets, keys, "append")
