@@ -22,8 +22,8 @@ from .archives import opened
 FORMAT = "sorted_hashes"
 #: Rows of a file in memory at once.
 BATCH = 65_536
-#: Bytes of files in a task; a larger bucket is one by itself.
-GROUP_BYTES = 128 << 20
+#: Bytes of files in a task, each counted for as many more as it costs to open one; a larger bucket is one by itself.
+GROUP_BYTES, OPEN_BYTES = 128 << 20, 2 << 20
 
 
 class Run:
@@ -102,7 +102,7 @@ class MergedReader(DataSourceReader):
                     found.setdefault(int(number[1]), []).append((prefix + f.path, f.size))
         groups, room = [Buckets({})], GROUP_BYTES
         for n, files in sorted(found.items()):
-            size = sum(s for _, s in files)
+            size = sum(s + OPEN_BYTES for _, s in files)
             if room < size and groups[-1].paths:
                 groups.append(Buckets({}))
                 room = GROUP_BYTES
