@@ -35,6 +35,7 @@ NOTICES = (
 #: Names of licenses.
 NAMES = (
     ("mit", ("mit license",), "MIT License"),
+    ("mit", ("mit licence",), "MIT Licence"),
     ("apache-2.0", ("apache license version 2",), "Apache License, Version 2.0"),
     ("apache-2.0", ("apache license 2",), "Apache License 2.0"),
     ("gpl-3.0", ("gnu general", "license version 3"), "GNU General Public License version 3"),
@@ -43,7 +44,13 @@ NAMES = (
     ("gpl-2.0", ("license v2",), "GNU General Public License v2"),
     ("lgpl", ("lesser general",), "GNU Lesser General Public License"),
     ("agpl", ("affero general",), "GNU Affero General Public License"),
-    ("mpl-2.0", ("license version 2",), "Mozilla Public License, version 2.0"),
+    ("mpl-2.0", ("mozilla public license", "license version 2"), "Mozilla Public License, version 2.0"),
+    ("mpl-2.0", ("mozilla public license 2",), "Mozilla Public License 2.0"),
+    ("gpl-3.0", ("under gplv3",), "under GPLv3"),
+    ("gpl-2.0", ("under gplv2",), "under GPLv2"),
+    ("gpl-3.0", ("gplv3 license",), "GPLv3 license"),
+    ("gpl-2.0", ("gplv2 license",), "GPLv2 license"),
+    ("unlicense", ("the unlicense",), "the Unlicense"),
     ("bsd-3-clause", ("3 clause",), "BSD 3-Clause License"),
     ("bsd-2-clause", ("2 clause",), "BSD 2-Clause License"),
     ("isc", ("isc license",), "ISC License"),
@@ -102,7 +109,7 @@ ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEAL
 
 #: Texts of licenses, whole and in the parts by which they are told.
 TEXTS = (
-    ("mit", ("free of charge",), "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
+    ("mit", ("free of charge", "copy of this software"), "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
     ("mit", ("deal in the software",), _MIT),
     ("mit", ("deal in the software",), f"{_MIT} {_MIT_END}"),
     ("bsd", ("binary forms",), "Redistribution and use in source and binary forms, with or without modification, are permitted"),

@@ -136,32 +136,39 @@ def license_base(text):
     return len(words), [i for i, _ in found], sorted({x for _, x in found})
 
 
-def license_spans(text, rows, slack=2, coverage=0.75, long=25, minor=20):
-    """{(label, first, last, share)} of the notices found in a text, by voting over all pairs of positions; rows: template_pairs()."""
-    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(LOWER))
+def license_spans(text, templates):
+    """{(label, first, last, share)} of the notices (label, deciding phrases, text) found in a text, by voting over all pairs of positions."""
+    cut = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    words = cut.findall(text.translate(LOWER))
     hits = []
-    for t in sorted({r[0] for r in rows if not r[1]}):
-        mine = [r for r in rows if r[0] == t]
-        _, _, label, size, indexed, need, *_ = mine[0]
-        diagonals: dict = {}
-        for i in range(len(words) - 1):
-            for r in mine:
-                if (r[7], r[8]) == (words[i], words[i + 1]):
-                    diagonals.setdefault(i - r[6], set()).add(r[6])
-        kept = [(d, js) for d, js in sorted(diagonals.items()) if size < long or len(js) * minor >= indexed]
-        groups: list = []
-        for d, js in kept:
-            if groups and d - groups[-1][-1][0] <= max(slack, size // 20):
-                groups[-1].append((d, js))
-            else:
-                groups.append([(d, js)])
-        for g in groups:
-            spans = [(d + min(js), d + max(js) + 1, js) for d, js in g]
-            if len(g) > 1:
-                spans.append((min(x[0] for x in spans), max(x[1] for x in spans), set().union(*(x[2] for x in spans))))
-            for first, last, js in spans:
-                if len(js) / indexed >= coverage and last - first < 1.5 * size + slack and set(need) <= js:
-                    hits.append((first, last, t, label, len(js), len(js) / indexed))
+    for t, (label, deciding, body) in enumerate(templates):
+        own = cut.findall(body.translate(LOWER))
+        n = len(own)
+        need = set()
+        for phrase in deciding:
+            d = cut.findall(phrase.translate(LOWER))
+            at = next(j for j in range(n) if own[j : j + len(d)] == d)
+            need |= {(j, 2) for j in range(at, at + len(d) - 1)}
+        kinds = {(j, 3) for j in range(n - 2)} | need if n >= 25 else {(j, 2) for j in range(n - 1)}
+        votes: dict = {}
+        for j, k in kinds:
+            for i in range(len(words) - k + 1):
+                if words[i : i + k] == own[j : j + k]:
+                    votes.setdefault(i - j, set()).add((j, k))
+        reach = max(2, n // 4)
+        total = {d: sum(len(votes[e]) for e in votes if abs(e - d) <= reach) for d in votes}
+        rank = {d: (total[d], len(votes[d]), -d) for d in votes}
+        for peak in votes:
+            if total[peak] * 3 < 0.75 * n or any(rank[d] > rank[peak] for d in votes if abs(d - peak) <= reach):
+                continue
+            place: dict = {}
+            for d in sorted((d for d in votes if abs(d - peak) <= reach), key=lambda d: (abs(d - peak), d)):
+                for vote in votes[d]:
+                    place.setdefault(vote, d)
+            covered = {x for j, k in place for x in range(j, j + k)}
+            first, last = min(d + j for (j, _), d in place.items()), max(d + j + k - 1 for (j, k), d in place.items())
+            if len(covered) >= 0.75 * n and last - first < 1.5 * n + 2 and need <= set(place):
+                hits.append((first, last, t, label, len(covered), len(covered) / n))
     out, chain, end = set(), [], None
     for h in [*sorted(set(hits)), None]:
         if chain and (h is None or h[0] > end):

@@ -100,6 +100,10 @@ def test_license_notices(spark, hard, empty):
         "// SPDX-License-Identifier: MIT": "mit",
         "SPDX-License-Identifier: CC-BY-SA-4.0": "cc-by,cc-by-sa",
         "MIT License MIT License MIT License": "mit",
+        "see the MIT licence": "mit",
+        "under the Mozilla Public License 2.0": "mpl-2.0",
+        "placed under the Unlicense": "unlicense",
+        "this is licensed under GPLv3.": "gpl-3.0",
         "this is free and the license is in the file": "",
         **{text: label for label, _, text in (texts.TEXTS[2], texts.TEXTS[4], texts.TEXTS[5], texts.TEXTS[7], texts.TEXTS[10], texts.TEXTS[12])},
         texts.TEXTS[5][2].replace("the copyright holder nor", "the University of Anywhere nor").replace("1.", "*"): "bsd-3-clause",
@@ -117,6 +121,42 @@ def test_license_notices(spark, hard, empty):
     assert license_scan.license_scan(empty).count() == 0
 
 
+@pytest.mark.parametrize("every", [4, 6, 8, 10, 20])
+def test_license_texts_with_foreign_words(spark, every):
+    """A long template with a foreign word after every few words, its deciding words left whole, keeps its label and gets no other."""
+    cases, want = [], []
+    for label, deciding, text in license_templates.templates():
+        words = text.split()
+        if len(license_scan.plain_words(text)) < 25:
+            continue
+        plain = [license_scan.plain_words(w) for w in words]
+        whole = set()
+        for d in map(license_scan.plain_words, deciding):
+            flat = [(x, k) for k, p in enumerate(plain) for x in p]
+            at = next(i for i in range(len(flat)) if [x for x, _ in flat[i : i + len(d)]] == d)
+            whole |= {flat[i][1] for i in range(at, at + len(d) - 1)}
+        out = []
+        for k, w in enumerate(words):
+            out.append(w)
+            if k % every == every - 1 and k not in whole:
+                out.append("qwx")
+        cases.append(" ".join(["before"] * 40 + out + ["after"] * 40))
+        want.append(label)
+    rows = license_scan.license_scan(spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")).collect()
+    found = {r.doc_id: [x for x in r.labels.split(",") if x not in ("gpl", "reserved")] for r in rows}
+    assert [found[i] for i in range(len(cases))] == [[label] for label in want]
+
+
+def test_license_templates_are_told_apart(spark):
+    """Each template's own text gets its label, and no label of a template that it doesn't hold whole."""
+    given = license_templates.templates()
+    rows = license_scan.license_scan(spark.createDataFrame([(i, t) for i, (_, _, t) in enumerate(given)], "doc_id long, text string")).collect()
+    for r in rows:
+        label, text = given[r.doc_id][0], " ".join(license_scan.plain_words(given[r.doc_id][2]))
+        others = set(r.labels.split(",")) - {label, "gpl", "reserved", "cc-by"}
+        assert label in r.labels.split(",") and all(any(" ".join(license_scan.plain_words(t)) in text for x, _, t in given if x == o) for o in others), (r.labels, text)
+
+
 def test_license_votes(spark, docs, texts):
     """Labels and spans against voting over all pairs of positions, on mangled templates and on the documents."""
     rng = random.Random(9)
@@ -127,17 +167,18 @@ def test_license_votes(spark, docs, texts):
         for _ in range(rng.randrange(1, 4)):
             body = rng.choice(given)[2].split()
             for _ in range(rng.choice([0, 0, 1, 2, 5])):
+                if not body:
+                    break
                 at = rng.randrange(len(body))
                 body[at : at + rng.randrange(2)] = rng.choice([[], ["inserted"], ["two", "words"], ["the"], ["version"]])
             words += body + [rng.choice(["software", "license", "x", "of the"]) for _ in range(rng.randrange(6))]
         made[10**6 + i] = " ".join(words)
     made |= {i: t for i, t in texts.items() if len(t or "") < 6000}
-    rows = license_scan.template_pairs()
     df = spark.createDataFrame(list(made.items()), "doc_id long, text string")
     got: dict = {}
     for r in license_scan.license_hits(df).where("NOT phrase").collect():
         got.setdefault(r._id, set()).add((r.label, r.first, r.last, r.share))
-    want = {i: brute.license_spans(t or "", rows) for i, t in made.items()}
+    want = {i: brute.license_spans(t or "", given) for i, t in made.items()}
     assert got == {i: x for i, x in want.items() if x}
     assert sum(len(x) for x in want.values()) > 80
 
