@@ -16,7 +16,7 @@ import re
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import Scratch, ascii_lower
 from .license_templates import PHRASES, templates
 
 WORD_BREAK = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -84,7 +84,7 @@ def license_hits(df: DataFrame, id_col="doc_id", text_col="text", phrases=PHRASE
     j = F.floor(F.col("code") / CODE).cast("int")
     votes = hashed.join(index, "h").where(same).select(*key, "code", (F.col("i") - j).alias("diag"))
     # a set of votes, so repeated rows vote once
-    diagonals = votes.groupBy(*key, "diag").agg(F.collect_set("code").alias("codes"))
+    diagonals = Scratch(spark, "license").write(votes.groupBy(*key, "diag").agg(F.collect_set("code").alias("codes")), "diagonals")
     whole = diagonals.where("phrase AND size(codes) = size - 1")
     unbroken = whole.select(*key[:2], "template", "phrase", "label", F.col("diag").alias("first"), (F.col("diag") + F.col("size") - 1).alias("last"), F.lit(1.0).alias("share"), F.col("size").alias("votes"))
     reach = F.greatest(F.lit(slack), F.floor(F.col("size") / 4).cast("int"))

@@ -90,7 +90,7 @@ def test_wrappers(spark):
 
     docs = texts(load(spark, SF, "documents"))
     run = {n: QUERIES[n](spark, SF).collect() for n in QUERIES if n not in ORACLES}
-    assert sorted(run) == ["op10_license_scan", "op3_toxicity", "op4_quality_rules", "op5_harmonic_packing", "op7_suffix_dedup", "op8_sentencepiece", "op9_minhash_dedup"]
+    assert sorted(run) == ["op10_license_scan", "op12_simhash_dedup", "op3_toxicity", "op4_quality_rules", "op5_harmonic_packing", "op7_suffix_dedup", "op8_sentencepiece", "op9_minhash_dedup"]
     for name, rows in run.items():
         assert {r.doc_id for r in rows} == set(docs) and (name == "op5_harmonic_packing" or len(rows) == len(docs))
     assert all(0 <= r.severity <= 3 and r.toxic == (r.p_toxic >= 0.5) for r in run["op3_toxicity"]) and any(r.toxic for r in run["op3_toxicity"])
