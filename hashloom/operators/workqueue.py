@@ -104,6 +104,11 @@ def stats(state: DataFrame) -> DataFrame:
     return state.rollup("status").agg(F.count(F.lit(1)).alias("n")).select(F.coalesce("status", F.lit("total")).alias("status"), "n")
 
 
+def pending_work(state: DataFrame) -> DataFrame:
+    """(n): rows whose status isn't final."""
+    return state.agg(F.count_if(F.col("status").isin(*UNFINISHED)).alias("n"))
+
+
 def unfinished(state: DataFrame, limit: int = 100) -> DataFrame:
     return state.where(F.col("status").isin(*UNFINISHED)).orderBy("id").limit(limit).select("id", "subdir", "filename", "url", "status")
 

@@ -138,6 +138,17 @@ SELECT subtree, 'https://host.example' || replace(arg_min(path, [lpad(CAST(len(s
     "quoted_urls": "SELECT p_partkey, replace(p_type, ' ', '%20') || '/~a%2Ab%2Bc/' || replace(p_name, ' ', '%20') AS quoted FROM part",
     "file_list": """SELECT '' AS subdir, 'k' || page_id || '.fa.gz' AS filename, 'https://bucket-a.s3.eu-west-2.amazonaws.com/k' || page_id || '.fa.gz' AS url,
   CASE WHEN page_id % 5 = 0 THEN -1 ELSE CAST(length(html) AS BIGINT) END AS size, '2024-01-01T00:00:00Z' AS mtime FROM pages WHERE page_id % 9 <> 0 AND page_id % 4 <> 0""",
+    "first_files": """SELECT 'k' || page_id || '.fa.gz' AS filename, 'https://bucket-a.s3.eu-west-2.amazonaws.com/k' || page_id || '.fa.gz' AS url FROM pages WHERE page_id % 9 <> 0 AND page_id % 4 <> 0 ORDER BY filename LIMIT 50""",
+    "file_list_queue": """WITH f AS (SELECT page_id, 'k' || page_id || '.fa.gz' AS filename, html FROM pages WHERE page_id % 9 <> 0 AND page_id % 4 <> 0)
+SELECT row_number() OVER (ORDER BY filename) AS id, '' AS subdir, filename, 'https://bucket-a.s3.eu-west-2.amazonaws.com/' || filename AS url, CASE WHEN page_id % 5 = 0 THEN -1 ELSE CAST(length(html) AS BIGINT) END AS size,
+  '2024-01-01T00:00:00Z' AS mtime, 'PENDING' AS status, 0 AS tries, CAST(1750000000 AS DOUBLE) AS created_at FROM f""",
+    "fasta_files": """SELECT 'n' || s_nationkey || '/s' || s_suppkey || (['.fa', '.FNA', '.fasta.gz', '.txt', '.fa.bak', '.Fa.gz'])[s_suppkey % 6 + 1] AS name, CAST(strlen(s_name) AS BIGINT) AS length
+FROM supplier WHERE s_suppkey % 6 NOT IN (3, 4)""",
+    "subtree_report": """WITH f AS (
+  SELECT doc_id, '/' || source || '/' AS subtree, '/' || source || CASE WHEN doc_id % 3 = 0 THEN '/' || lang ELSE '' END || '/seq ' || doc_id || '~.fna.gz' AS path FROM documents WHERE doc_id % 2 = 0)
+SELECT subtree || chr(9) || 'https://host.example' || replace(arg_min(path, [lpad(CAST(len(string_split(path, '/')) AS VARCHAR), 3, '0'), path]), ' ', '%20') AS line FROM f GROUP BY subtree
+UNION ALL SELECT '#subtree' || chr(9) || 'url'""",
+    "queue_pending_work": f"WITH {_QUEUE} SELECT count(*) AS n FROM q WHERE status <> 'DONE'",
     "crawl_depth": """WITH RECURSIVE e AS (
   SELECT 'r' || r_regionkey AS child, 'root' AS parent FROM region UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation
   UNION ALL SELECT 'c' || c_custkey, 'n' || c_nationkey FROM customer UNION ALL SELECT 'r' || n_regionkey, 'n' || n_nationkey FROM nation

@@ -427,15 +427,62 @@ def quoted_urls(spark, sf_dir):
     return p.select("p_partkey", names.quoted_path(F.concat("p_type", F.lit("/~a*b+c/"), "p_name")).alias("quoted"))
 
 
-def file_list(spark, sf_dir):
+def _bucket_listing(spark, sf_dir):
+    """A bucket's listing made of pages, with quoted fields, missing keys, other files and sizes that are no numbers."""
     p = load(spark, sf_dir, "pages")
-    raw = p.select(
+    return p.select(
         F.lit('"bucket-a"').alias("bucket"),
         F.when(F.col("page_id") % 9 == 0, F.lit(None)).otherwise(F.concat(F.lit(' "k'), F.col("page_id").cast("string"), F.when(F.col("page_id") % 4 == 0, ".txt").otherwise(".fa.gz"), F.lit('"'))).alias("key"),
         F.when(F.col("page_id") % 5 == 0, "n/a").otherwise(F.length("html").cast("string")).alias("size"),
         F.lit("2024-01-01T00:00:00Z").alias("modified"),
     )
-    return listings.file_list_rows(raw, "eu-west-2", ".fa.gz").withColumn("size", F.coalesce("size", F.lit(-1)))
+
+
+def file_list(spark, sf_dir):
+    return listings.file_list_rows(_bucket_listing(spark, sf_dir), "eu-west-2", ".fa.gz").withColumn("size", F.coalesce("size", F.lit(-1)))
+
+
+def first_files(spark, sf_dir):
+    """The cap of a test run: the first fifty files that stay, in the order of their keys."""
+    return listings.file_list_rows(_bucket_listing(spark, sf_dir), "eu-west-2", ".fa.gz", limit=50).select("filename", "url")
+
+
+def file_list_queue(spark, sf_dir):
+    """A bucket listing as rows of a new queue."""
+    files = listings.file_list_rows(_bucket_listing(spark, sf_dir), "eu-west-2", ".fa.gz")
+    return workqueue.upsert(spark.createDataFrame([], schema.QUEUE), files, NOW).select("id", "subdir", "filename", "url", F.coalesce("size", F.lit(-1)).alias("size"), "mtime", "status", "tries", "created_at")
+
+
+def fasta_files(spark, sf_dir):
+    """Sequence files found below a root, among others, by their names' endings in any case."""
+    root = scratch_path(spark, "fasta")
+    end = F.element_at(F.array(*map(F.lit, (".fa", ".FNA", ".fasta.gz", ".txt", ".fa.bak", ".Fa.gz"))), (F.col("s_suppkey") % 6 + 1).cast("int"))
+    place = F.concat(F.lit("n"), F.col("s_nationkey"), F.lit("/s"), F.col("s_suppkey"), end)
+
+    def write(batches):
+        store, base = archives.opened(root)
+        for pdf in batches:
+            for name, text in zip(pdf["name"], pdf["text"], strict=True):
+                store.create_dir(f"{base}/{name.rsplit('/', 1)[0]}", recursive=True)
+                with store.open_output_stream(f"{base}/{name}", compression=None) as out:
+                    out.write(text.encode())
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    files = load(spark, sf_dir, "supplier").select(place.alias("name"), F.col("s_name").alias("text")).repartition("name")
+    Scratch(spark, "fasta_names").write(files.mapInPandas(write, "n long"), "written")
+    found = archives.scan_fasta(spark, root)
+    return found.select(F.regexp_extract("path", "(n[0-9]+/[^/]*)$", 1).alias("name"), F.col("length").cast("long").alias("length"))
+
+
+def subtree_report(spark, sf_dir):
+    """The lines of the report of the first file of each subtree."""
+    root = scratch_path(spark, "report")
+    tables.write_tsv(subtree_examples(spark, sf_dir), root)
+    return spark.read.text(root).select(F.col("value").alias("line"))
+
+
+def queue_pending_work(spark, sf_dir):
+    return workqueue.pending_work(queue(spark, sf_dir))
 
 
 def crawl_depth(spark, sf_dir):
@@ -585,7 +632,7 @@ def stream_dedup(spark, sf_dir):
 NAMES = (
     "sketch_documents sketch_ksizes sketch_murmur dedup_ksize_hash dedup_hash dedup_ksize_hash_counts dedup_hash_counts incremental_counts bucket_histogram filter_ksizes"
     " ingest_detect union_by_name merged_files bucket_tables merged_buckets folded_tables list_buckets wgs_shards append_loads archive_rows archive_faults archive_sink archive_source tsv_sequences list_lines catalog_rows ingest_modes ingest_statistics index_probe shards_ksize queue_worker queue_worker_counts queue_claim_errors queue_store crawl_queue infer_sample_id u64_mod u64_wrap hrefs hrefs_relative"
-    " target_pages path_rules subtree_examples quoted_urls file_list crawl_depth queue_stats queue_latest_state queue_claim queue_timers queue_requeue queue_upsert queue_mark"
+    " target_pages path_rules subtree_examples quoted_urls file_list first_files file_list_queue fasta_files subtree_report queue_pending_work crawl_depth queue_stats queue_latest_state queue_claim queue_timers queue_requeue queue_upsert queue_mark"
     " queue_verify queue_unfinished queue_next_batch even_chunks backoff rna_to_dna known_hashes novel_hashes containment cross_catalog_coverage catalog_overlaps catalog_coverage point_lookup stream_dedup"
 )
 QUERIES = {n: globals()[n] for n in NAMES.split()} | {"shard_md5": _shards("md5", 4096), "shard_sha1": _shards("sha1", 4096), "shard_sha256": _shards("sha256", 512)}

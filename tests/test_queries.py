@@ -65,3 +65,48 @@ def test_all_buckets_are_listed(spark, tmp_path):
     lineitem = spark.createDataFrame([(h, 1, 1) for h in hashes], "l_partkey long, l_suppkey long, l_linenumber int")
     lineitem.write.parquet(f"{tmp_path}/lineitem.parquet")
     assert [r.bucket for r in QUERIES["list_buckets"](spark, str(tmp_path)).collect()] == [0, 1, 2, 5, 7, 300, 520]
+
+
+def murmur(data: bytes, seed: int = 42) -> int:
+    """The low half of MurmurHash3 x64 128, a byte string at a time."""
+    m = (1 << 64) - 1
+    rot = lambda x, n: ((x << n) | (x >> (64 - n))) & m
+    c1, c2, h1, h2 = 0x87C37B91114253D5, 0x4CF5AD432745937F, seed, seed
+    end = len(data) // 16 * 16
+    for i in range(0, end, 16):
+        k1, k2 = (int.from_bytes(data[j : j + 8], "little") for j in (i, i + 8))
+        h1 ^= rot(k1 * c1 & m, 31) * c2 & m
+        h1 = ((rot(h1, 27) + h2) * 5 + 0x52DCE729) & m
+        h2 ^= rot(k2 * c2 & m, 33) * c1 & m
+        h2 = ((rot(h2, 31) + h1) * 5 + 0x38495AB5) & m
+    rest = data[end:]
+    if len(rest) > 8:
+        h2 ^= rot(int.from_bytes(rest[8:], "little") * c2 & m, 33) * c1 & m
+    if rest:
+        h1 ^= rot(int.from_bytes(rest[:8], "little") * c1 & m, 31) * c2 & m
+    h1, h2 = h1 ^ len(data), h2 ^ len(data)
+    h1 = (h1 + h2) & m
+    h2 = (h2 + h1) & m
+
+    def mix(k):
+        k = (k ^ (k >> 33)) * 0xFF51AFD7ED558CCD & m
+        k = (k ^ (k >> 33)) * 0xC4CEB9FE1A85EC53 & m
+        return k ^ (k >> 33)
+
+    return (mix(h1) + mix(h2)) & m
+
+
+def test_sketch_murmur_against_a_plain_version(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("length(text) < 3000").limit(40)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    samples: dict = {}
+    for r in spark.read.parquet(f"{tmp_path}/documents.parquet").collect():
+        data = r.text.encode()
+        for k in (21, 31):
+            for i in range(len(data) - k + 1):
+                w = data[i : i + k]
+                h = murmur(min(w, w[::-1]))
+                if h < (1 << 64) // 200:
+                    samples.setdefault((k, h), set()).add(r.source)
+    got = {(r.ksize, r.hash & ((1 << 64) - 1)): (r.bucket, r.n_samples) for r in QUERIES["sketch_murmur"](spark, str(tmp_path)).collect()}
+    assert got == {(k, h): (h % 521, len(s)) for (k, h), s in samples.items()} and len(got) > 50
