@@ -24,7 +24,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Escape character first when writing, last when reading.
@@ -180,3 +180,28 @@ def turns_as_events(turns: DataFrame) -> DataFrame:
         F.col("role").cast("string").alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
+
+
+def turns_as_log(turns: DataFrame) -> DataFrame:
+    """Plain (conv_id, turn, role, text) rows as the log of a chat that ended in them.
+
+    An assistant's text first streams in as something else, is regenerated, and streams in two deltas; other texts
+    stream in two deltas that stand the wrong way round, and are edited; after each message another one is posted and deleted. What
+    ``fold`` makes of the log is the rows, by turn, role and text. Null text or role: empty. Repeated rows: messages of their own.
+    """
+    place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
+    rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    placed = rows.withColumn("n", place.cast("long"))
+    target, half = F.concat(F.lit("m"), F.col("n")), F.floor(F.char_length("text") / 2).cast("int")
+    left, right = F.substring("text", F.lit(1), half), F.substring("text", half + 1, F.char_length("text"))
+    other = F.concat(target, F.lit(" draft"))
+
+    def event(step, kind, at, role, text):
+        null = F.lit(None).cast("string")
+        return F.struct((F.col("n") * 8 + step).alias("seq"), F.lit(kind).alias("kind"), at.alias("target"), (null if role is None else role).alias("role"), (null if text is None else text).alias("text"))
+
+    begun = event(0, "message", target, F.col("role"), F.lit(""))
+    posted = [event(5, "message", other, F.lit("user"), left), event(6, "delete", other, None, None)]
+    answered = F.array(begun, event(1, "delta", target, None, right), event(2, "regenerate", target, None, left), event(3, "delta", target, None, right), *posted)
+    asked = F.array(begun, event(1, "delta", target, None, right), event(2, "delta", target, None, left), event(3, "edit", target, None, F.col("text")), *posted)
+    return placed.select("conv_id", F.inline(F.when(F.col("role") == "assistant", answered).otherwise(asked)))

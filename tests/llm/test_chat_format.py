@@ -49,3 +49,13 @@ def test_conversations(spark):
 def test_empty(spark):
     turns = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.read_back(chat.format_chats(chat.turns_as_events(turns))).count() == 0
+
+
+def test_a_log_of_deltas_edits_and_regenerations_ends_in_the_turns(spark):
+    rows = [(1, 0, "user", "héllo 😀!"), (1, 1, "assistant", "abc"), (1, 1, "assistant", "abc"), (1, 1, "user", "tie"), (1, 2, None, None), (1, 3, "assistant", ""), (1, 4, "assistant", None), (None, 0, "system", "x"), (2, None, "user", "y")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    log = chat.turns_as_log(turns)
+    assert {r.kind for r in log.select("kind").distinct().collect()} == {"message", "delta", "edit", "regenerate", "delete"}
+    told = lambda events: sorted((tuple(r) for r in chat.format_chats(events).collect()), key=repr)
+    assert told(log) == told(chat.turns_as_events(turns))
+    assert chat.turns_as_log(turns.limit(0)).count() == 0
