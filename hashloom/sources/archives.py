@@ -135,8 +135,7 @@ def scan_archives(spark: SparkSession, root: str, max_files: int = 0, pattern: s
     if pattern != "**/*.sig.zip":
         files = matching(spark, files, root, pattern)
     if max_files > 0:
-        first = [r["path"] for r in files.select("path").orderBy("path").limit(max_files).collect()]
-        files = files.where(F.col("path").isin(first))
+        files = files.join(files.select("path").orderBy("path").limit(max_files), "path", "left_semi")
     return files
 
 
