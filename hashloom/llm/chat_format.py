@@ -151,7 +151,11 @@ def format_chats(events: DataFrame) -> DataFrame:
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """What can be read from the rendered output alone: counts and digests of turns and of the loss mask."""
+    """What can be read from the rendered output alone: counts and digests of turns and of the loss mask.
+
+    ``formatted``: as ``format_chats`` gives it; the text may be empty (no turns), not null. A null conv_id stays, repeated rows are read each, an
+    empty table gives no rows, extra columns are not read.
+    """
 
     def run(batches):
         for pdf in batches:

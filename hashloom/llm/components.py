@@ -19,7 +19,8 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     back by joins whose other side is unique, so a node with very many edges
     is one row per task and no neighbourhood is gathered. The number
     of rounds grows with the logarithm of the longest chain; each round is written to the shared
-    folder, which cuts its lineage, and the round before is removed. Null ends and loops are left out.
+    folder, which cuts its lineage, and the round before is removed. Null ends and loops are left out, repeated and
+    reversed edges count once; without any edge left there are no rows. Extra columns are not read.
     """
     scratch = Scratch(edges.sparkSession, "components")
     pairs = edges.select(F.least(a, b).alias("v"), F.greatest(a, b).alias("u"))

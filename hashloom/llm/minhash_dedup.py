@@ -156,7 +156,7 @@ def near_duplicates(
     id: not linked, component_id null, kept. Rows of one id with different texts: each is a
     node of its own, and all that have their component's smallest id are kept.
     Repeated rows: as equal texts. Very long texts: worked whole, memory in proportion to the
-    longest. Empty table: no rows. Extra columns are not read.
+    longest. Ties: a pair at exactly ``percent`` is linked. Empty table: no rows. Extra columns are not read.
     """
     spark = df.sparkSession
     scratch = Scratch(spark, "minhash")

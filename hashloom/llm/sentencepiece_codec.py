@@ -248,7 +248,8 @@ def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str
 
 
 def decode(df: DataFrame, model_path: str) -> DataFrame:
-    """Per row (doc_id, ids): doc_id, ids, text. Control pieces and the unknown piece give nothing; null ids give an empty text. Texts are joined to about BLOCK bytes, a longer one is worked whole."""
+    """Per row (doc_id, ids): doc_id, ids, text. Control pieces and the unknown piece give nothing; null and empty ids give an empty text. A null doc_id stays, repeated rows are worked
+    each, an empty table gives no rows, extra columns are not read. Texts are joined to about BLOCK bytes, a longer one is worked whole."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(model_path)
