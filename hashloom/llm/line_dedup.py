@@ -3,15 +3,20 @@
 A text's lines are hashed with their outer blanks off. Of every window of
 ``run_lines`` lines the line with the least hash (the first of equals) is its
 fingerprint, so a run of that length that stands twice has a common
-fingerprint, at one offset. Windows whose fingerprint stands at one position only are
-dropped. Nothing is extended from fingerprint to fingerprint: every window has a digest of
-its lines, which stands in for that, and the digests meet at the first position
-of each. Every later window is deleted, so a longer repeated run goes as a whole.
+fingerprint, at one offset. There is one row per fingerprint position; it carries the hashes of
+the lines around it. Positions whose fingerprint stands nowhere else are dropped.
+
+A position is joined with earlier ones of its fingerprint: not with all, but with the
+first of each context, a context being one of its windows. From such a pair the match is
+extended line by line to both sides, and what it covers of the later text goes. A match is
+followed for ``run_lines - 1`` lines a side: as far as the windows of this
+fingerprint reach, and where a longer run has its next one, which goes on from there. So
+a longer repeated run goes as a whole, and each pair has a bounded cost.
 
 Where long lines count by themselves, windows of fewer lines are made in the same
 way, of what holds enough text and of whole short texts.
 
-Fingerprints and windows meet in aggregations with map-side combining, and go
+Fingerprints and contexts meet in aggregations with map-side combining, and go
 back by joins with one row per key on the other side: the rows grow with the
 lines, never with the square of a line's count.
 """
@@ -31,10 +36,16 @@ BLANK = " \t\r"
 LONG_WORDS, LONG_CHARS = 50, 300
 
 
-def line_windows(df: DataFrame, id_col: str, text_col: str, run_lines: int, min_chars: int, long_words: int | None = None, long_chars: int | None = None) -> DataFrame:
-    """(_id, _xx, s, k, f, g, p): the windows of k lines that count as a run, with their fingerprint's hash and place and a digest of their own.
+def window_kinds(run_lines: int, short: bool) -> list[tuple[int, int]]:
+    """(lines, place of the fingerprint in them) of all windows that may hold a position; its place in the list is its bit."""
+    return [(size, back) for size in range(1 if short else run_lines, run_lines + 1) for back in range(size)]
+
+
+def line_positions(df: DataFrame, id_col: str, text_col: str, run_lines: int, min_chars: int, long_words: int | None = None, long_chars: int | None = None) -> DataFrame:
+    """(_id, _xx, p, f, near, windows): the lines that are the fingerprint of a window that counts as a run.
 
-    Left out are windows all of whose lines lie in smaller ones within them: where such a window repeats, so do these.
+    near: the hashes of the lines from p - run_lines + 1 to p + run_lines - 1, null beyond the text, f in the middle.
+    windows: bits of ``window_kinds``. Left out are windows all of whose lines lie in smaller ones within them: where such a window repeats, so do these.
     """
     short = long_words is not None or long_chars is not None
     norm = F.transform(F.split(F.col("_text"), "\n", -1), lambda x: F.btrim(x, F.lit(BLANK)))
@@ -44,15 +55,16 @@ def line_windows(df: DataFrame, id_col: str, text_col: str, run_lines: int, min_
         words = [] if long_words is None else [F.regexp_count(x, F.lit(r"\S+")).alias("w")]
         return F.struct(F.xxhash64(x).alias("h"), F.char_length(x).alias("c"), *words)
 
-    hashed = lines.select("_id", "_xx", F.transform(norm, facts).alias("l"))
-    # the lines of a window as columns of one row: k-th column, the lines moved up by k; null behind the last line
-    places = range(run_lines)
-    n = F.size("l") if short else F.greatest(F.size("l") - (run_lines - 1), F.lit(0))
-    moved = [F.slice("l", k + 1, F.greatest(n - k if short else n, F.lit(0))).alias(f"l{k}") for k in places]
     kinds = ["h", "c", *([] if long_words is None else ["w"])]
-    rows = hashed.select("_id", "_xx", F.size("l").alias("_n"), F.posexplode(F.arrays_zip(*moved)).alias("s", "w")).select("_id", "_xx", "_n", "s", *(F.col(f"w.l{k}.{x}").alias(f"{x}{k}") for x in kinds for k in places))
-
-    def long(size, at):
+    none = F.array_repeat(F.lit(None).cast("struct<h:bigint,c:int" + (">" if long_words is None else ",w:int>")), run_lines - 1)
+    hashed = lines.select("_id", "_xx", F.transform(norm, facts).alias("_l")).select("_id", "_xx", F.size("_l").alias("_n"), F.concat(none, "_l", none).alias("l"))
+    # the lines about each line as columns of its row: the lines moved by k
+    mid = run_lines - 1
+    places = range(2 * run_lines - 1)
+    moved = [F.slice("l", k + 1, F.col("_n")).alias(f"l{k}") for k in places]
+    rows = hashed.select("_id", "_xx", "_n", F.posexplode(F.arrays_zip(*moved)).alias("p", "w")).select("_id", "_xx", "_n", "p", *(F.col(f"w.l{k}.{x}").alias(f"{x}{k}") for x in kinds for k in places))
+
+    def long(at, size):
         """Whether the lines at .. at + size - 1 are a run by their length alone."""
         held = F.lit(False)
         if long_words is not None:
@@ -61,37 +73,61 @@ def line_windows(df: DataFrame, id_col: str, text_col: str, run_lines: int, min_
             held |= sum(F.col(f"c{k}") for k in range(at, at + size)) >= long_chars
         return held
 
-    def window(size):
-        hashes = [F.col(f"h{k}") for k in range(size)]
-        chars = sum(F.col(f"c{k}") for k in range(size))
-        counts = chars >= min_chars
+    def window(size, back):
+        """Whether the lines from mid - back on are in the text, count as a run, and have their first least hash at mid."""
+        start = mid - back
+        least = [F.col(f"h{mid}") < F.col(f"h{k}") if k < mid else F.col(f"h{mid}") <= F.col(f"h{k}") for k in range(start, start + size)]
+        counts = sum(F.col(f"c{k}") for k in range(start, start + size)) >= min_chars
         if size < run_lines:
-            counts = (counts & (F.col("_n") == size)) | long(size, 0)
+            counts = (counts & (F.col("_n") == size)) | long(start, size)
         if short and size > 1:
-            inner = [(n, at) for n in range(1, size) for at in range(size - n + 1)]
-            covered = (functools.reduce(operator.or_, (long(n, at) for n, at in inner if at <= k < at + n)) for k in range(size))
+            inner = [(at, n) for n in range(1, size) for at in range(size - n + 1)]
+            covered = (functools.reduce(operator.or_, (long(start + at, n) for at, n in inner if at <= k < at + n)) for k in range(size))
             counts &= ~functools.reduce(operator.and_, covered)
-        least = F.least(*hashes) if size > 1 else hashes[0]
-        first = F.lit(size - 1)
-        for k in reversed(range(size)):
-            first = F.when(hashes[k] == least, k).otherwise(first)
-        made = F.struct(F.lit(size).alias("k"), least.alias("f"), F.xxhash64(*hashes).alias("g"), (F.col("s") + first).alias("p"))
-        return F.when(chars.isNotNull() & counts, made)
+        return functools.reduce(operator.and_, least) & counts
 
-    sizes = range(1 if short else run_lines, run_lines + 1)
-    made = rows.select("_id", "_xx", "s", F.explode(F.array(*map(window, sizes))).alias("_w")).where("_w IS NOT NULL")
-    return made.select("_id", "_xx", "s", "_w.*")
+    bits = sum(F.when(window(size, back), 1 << k).otherwise(0) for k, (size, back) in enumerate(window_kinds(run_lines, short)))
+    made = rows.select("_id", "_xx", "p", F.col(f"h{mid}").alias("f"), F.array(*(f"h{k}" for k in places)).alias("near"), bits.alias("windows"))
+    return made.where("windows > 0")
 
 
-def repeated_windows(windows: DataFrame) -> DataFrame:
-    """(_id, _xx, s, k) of the windows that stand earlier, in the order of (id, text digest, line)."""
+def repeated_runs(positions: DataFrame, run_lines: int, short: bool) -> DataFrame:
+    """(_id, _xx, p, back, ahead): the lines p - back .. p + ahead stand earlier, in the order of (id, text digest, line)."""
+    mid = run_lines - 1
+    kinds = window_kinds(run_lines, short)
     at = F.struct("_id", "_xx", "p")
-    shared = windows.groupBy("f").agg(F.min(at).alias("lo"), F.max(at).alias("hi")).where(F.col("lo") < F.col("hi")).select("f")
-    # both sides of the joins grow with the corpus, so neither is broadcast at any size; the second digest takes the fingerprint in
-    extended = windows.join(shared.hint("merge"), "f").select("_id", "_xx", "s", "k", "g", F.xxhash64("f", "g", "k").alias("g2"))
-    at = F.struct("_id", "_xx", "s")
-    first = extended.groupBy("g", "g2").agg(F.min(at).alias("first"), F.max(at).alias("_last")).where(F.col("first") < F.col("_last")).select("g", "g2", "first")
-    return extended.join(first.hint("merge"), ["g", "g2"]).where(at > F.col("first")).groupBy("_id", "_xx", "s").agg(F.max("k").alias("k"))
+    shared = positions.groupBy("f").agg(F.min(at).alias("lo"), F.max(at).alias("hi")).where(F.col("lo") < F.col("hi")).select("f")
+    # both sides of the joins grow with the corpus, so neither is broadcast at any size
+    found = positions.join(shared.hint("merge"), "f")
+
+    def has(windows, k):
+        return F.col(windows).bitwiseAND(F.lit(1 << k)) != 0
+
+    def context(k, size, back):
+        return F.when(has("windows", k), F.xxhash64(F.lit(k), *(F.col("near")[i] for i in range(mid - back, mid - back + size))))
+
+    contexts = found.withColumn("context", F.explode(F.array_compact(F.array(*(context(k, *kind) for k, kind in enumerate(kinds))))))
+    first = contexts.groupBy("f", "context").agg(F.min(F.struct("_id", "_xx", "p", "near", "windows")).alias("first"), F.max(at).alias("_last"))
+    first = first.where(F.struct("first._id", "first._xx", "first.p") < F.col("_last")).select("f", "context", "first")
+    pairs = contexts.join(first.hint("merge"), ["f", "context"]).where(at > F.struct("first._id", "first._xx", "first.p"))
+
+    def extended(step):
+        """How many lines on this side of the fingerprints are equal without a gap."""
+        count = F.lit(mid)
+        for d in range(mid, 0, -1):
+            k = mid + step * d
+            count = F.when(F.col("near")[k] == F.col("first.near")[k], count).otherwise(d - 1)
+        return count
+
+    matched = pairs.withColumns({"left": extended(-1), "right": extended(1)})
+
+    def reach(side):
+        inside = [has("windows", k) & has("first.windows", k) & (F.col("left") >= back) & (F.col("right") >= size - 1 - back) for k, (size, back) in enumerate(kinds)]
+        return F.array_max(F.array(*(F.when(ok, side(*kind)) for ok, kind in zip(inside, kinds))))
+
+    # all of them hold p, so what they cover together is one run
+    runs = matched.select("_id", "_xx", "p", reach(lambda size, back: back).alias("back"), reach(lambda size, back: size - 1 - back).alias("ahead"))
+    return runs.where("back IS NOT NULL").groupBy("_id", "_xx", "p").agg(F.max("back").alias("back"), F.max("ahead").alias("ahead"))
 
 
 def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_lines: int = 3, min_chars: int = 40, carry: tuple[str, ...] = (), long_words: int | None = None, long_chars: int | None = None) -> DataFrame:
@@ -111,10 +147,11 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ru
     not read unless carried.
     """
     scratch = Scratch(df.sparkSession, "lines")
-    windows = scratch.write(line_windows(df, id_col, text_col, run_lines, min_chars, long_words, long_chars), "windows")
-    covered = F.flatten(F.collect_list(F.sequence("s", F.col("s") + F.col("k") - 1)))
-    gone = scratch.write(repeated_windows(windows).groupBy("_id", "_xx").agg(F.array_sort(F.array_distinct(covered)).alias("d")), "gone")
-    scratch.drop("windows")
+    positions = scratch.write(line_positions(df, id_col, text_col, run_lines, min_chars, long_words, long_chars), "positions")
+    runs = repeated_runs(positions, run_lines, long_words is not None or long_chars is not None)
+    covered = F.flatten(F.collect_list(F.sequence(F.col("p") - F.col("back"), F.col("p") + F.col("ahead"))))
+    gone = scratch.write(runs.groupBy("_id", "_xx").agg(F.array_sort(F.array_distinct(covered)).alias("d")), "gone")
+    scratch.drop("positions")
     rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.xxhash64(text_col).alias("_xx"), *(F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)))
     found = rows.join(gone.hint("merge"), ["_id", "_xx"], "left").withColumn("_lines", F.split("_text", "\n", -1))
     n = F.size("_lines")
