@@ -18,12 +18,16 @@ differ from it, and from one another, too much to be linked, from being compared
 
 The centre of a bucket is its member in the largest buckets over all bands,
 which is the least changed copy of a family. A star can miss a link between
-two members neither of which is the centre. So rounds follow: where members
+two members neither of which is the centre. So where members
 that have not been centres lie in different components and their sizes and
-cores allow a link, more centres are taken, from the smallest components
-first, and compared with the members of other components. Rounds end when no
-bucket has such members: then each pair of a bucket has been compared, lies in
-one component, or is too far apart, and no link is lost.
+cores allow a link, CENTRES centres a bucket are taken, from the smallest components
+first, and compared with the members of other components. What is still open then
+is a family of relatives far apart. It is closed by prefixes: shingles are
+ordered by the open texts that have them, rarest first; the first shingle that two linked texts
+share stands so early in both that what follows it can make up a link. So open texts
+of different components meet over such shingles only, and no pair of all is missed. The
+places of a shingle are left out by classes of (size, what follows) before any pair is made.
+The pairs of a family grow with the texts that share one of its rare shingles, not with the square of the family.
 """
 
 from __future__ import annotations
@@ -41,6 +45,8 @@ from .word_kernels import GRAM_CODES, SPACE, U, gram_hashes, lower_ascii, mix, o
 
 #: A shingle that so many open texts have at most is rare.
 RARE = 8
+#: Centres of a bucket in the second round of stars.
+CENTRES = 4
 SIGNATURE = "doc_id long, _xx long, n_shingles long, d1 long, d2 long, bands array<long>"
 
 
@@ -179,20 +185,21 @@ def near_duplicates(
     weight = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("_in"))
     popular = buckets.join(weight, "key").groupBy("node").agg(F.sum("_in").alias("popular"))
     buckets = scratch.write(buckets.join(popular, "node").withColumn("component", F.col("node")).withColumn("order", -F.col("popular")), "buckets0")
-    turn, centres = 0, 1
-    heads = scratch.write(_heads(buckets, centres), "heads0")
+    heads = scratch.write(_heads(buckets, 1), "heads0")
     links = scratch.write(_confirm(sets, _stars(buckets, heads, percent).union(rare).distinct(), percent), "links0")
     component = connected_components(links, "a", "b")
-    while True:
-        turn += 1
+    for turn in (1, 2):
         buckets = scratch.write(_open_buckets(buckets, heads, component, percent), f"buckets{turn}")
         scratch.drop(f"buckets{turn - 1}")
         release(spark)
         if buckets.isEmpty():
             break
-        centres = min(4 * centres, 256)
-        heads = scratch.write(_heads(buckets, centres), f"heads{turn}")
-        links = scratch.write(_confirm(sets, _stars(buckets, heads, percent), percent), f"links{turn}")
+        if turn == 1:
+            heads = scratch.write(_heads(buckets, CENTRES), "heads1")
+            pairs = _stars(buckets, heads, percent)
+        else:
+            pairs = _prefix_pairs(sets, buckets.select("node", "n", "component").distinct(), scratch, percent)
+        links = scratch.write(_confirm(sets, pairs, percent), f"links{turn}")
         component = scratch.write(_joined(component, links), f"component{turn}")
     reached = classes.select(*same, "first", "node").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = reached.groupBy("component").agg(F.min("first").alias("component_id"))
@@ -283,13 +290,40 @@ def _open_buckets(buckets: DataFrame, heads: DataFrame, component: DataFrame, pe
     """The members that have not been centres and may still be linked to such a member of another component, by classes of (n, core) in a bucket."""
     left = buckets.drop("component", "order").join(heads.select("key", "node"), ["key", "node"], "left_anti")
     left = left.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    kinds = left.groupBy("key", "n", "core").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    now = _live(left, percent)
+    size = now.groupBy("key", "component").agg(F.count(F.lit(1)).alias("order"))
+    return now.join(size, ["key", "component"])
+
+
+def _live(rows: DataFrame, percent: int) -> DataFrame:
+    """The rows (key, n, core, component, ...) whose size and core allow a link to a row of another component under the same key, by classes of (n, core)."""
+    kinds = rows.groupBy("key", "n", "core").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     other = kinds.select("key", *(F.col(c).alias(f"_{c}") for c in ("n", "core", "lo", "hi")))
     apart = F.least("lo", "_lo") < F.greatest("hi", "_hi")
     live = kinds.join(other, "key").where(apart & _may(F.col("n"), F.col("_n"), F.least("core", "_core"), percent)).select("key", "n", "core").distinct()
-    now = left.join(live, ["key", "n", "core"])
-    size = now.groupBy("key", "component").agg(F.count(F.lit(1)).alias("order"))
-    return now.join(size, ["key", "component"])
+    return rows.join(live, ["key", "n", "core"])
+
+
+def _prefix_pairs(sets: DataFrame, nodes: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+    """Candidate pairs (a, b), a < b, of ``nodes`` (node, n, component) of different components: every pair of these that can be linked.
+
+    Shingles stand in the order of (nodes that have them, hash). If a pair's first common shingle is at place i of a set of n, they have n - i in
+    common at most; this is the core here. A shingle of one node only takes a place but meets nothing.
+    """
+    held = sets.select("node", "shingles").join(nodes, "node").select("node", "n", "component", F.explode("shingles").alias("key"))
+    often = held.groupBy("key").agg(F.count(F.lit(1)).alias("_f")).where("_f > 1")
+    listed = held.join(often, "key").groupBy("node", "n", "component").agg(F.array_sort(F.collect_list(F.struct("_f", "key"))).alias("_common"))
+    single = F.col("n") - F.size("_common")
+    # with places from this one on, what follows is under percent of n
+    end = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / F.lit(100)) + 1
+    early = listed.withColumn("_single", single).withColumn("_early", F.slice("_common", 1, F.greatest(end - single, F.lit(0)).cast("int")))
+    placed = early.select("node", "n", "component", "_single", F.posexplode("_early").alias("_i", "_s"))
+    places = scratch.write(placed.select("node", "n", "component", F.col("_s.key").alias("key"), (F.col("n") - F.col("_single") - F.col("_i")).alias("core")), "places")
+    live = scratch.write(_live(places, percent), "live")
+    left = live.select("key", F.col("node").alias("a"), "n", "core", "component")
+    right = live.select("key", F.col("node").alias("b"), F.col("n").alias("_n"), F.col("core").alias("_core"), F.col("component").alias("_component"))
+    met = left.join(right.hint("merge"), "key").where((F.col("a") < F.col("b")) & (F.col("component") != F.col("_component")))
+    return met.where(_may(F.col("n"), F.col("_n"), F.least("core", "_core"), percent)).select("a", "b").distinct()
 
 
 def _confirm(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:

@@ -86,6 +86,32 @@ def test_near_duplicates_of_shared_ids(spark):
     assert got == want and (2, 101, 1, False) in got
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_near_duplicates_of_a_family(spark, percent, monkeypatch):
+    """Relatives that differ from one another in few words, drawn from few: what stars leave open is closed by prefixes."""
+    rng = random.Random(percent)
+    base = [f"w{k}" for k in range(100)]
+    rows = []
+    for i in range(600):
+        words = list(base[: 100 - rng.randrange(3)])
+        for _ in range(3 if percent == 80 else 2):
+            words[rng.randrange(5, 40)] = f"x{rng.randrange(2)}"
+        rows.append((i, " ".join(words)))
+    used = []
+    prefixes = minhash_dedup._prefix_pairs
+
+    def counted(sets, nodes, scratch, percent):
+        pairs = prefixes(sets, nodes, scratch, percent)
+        used.append((nodes.count(), pairs.count()))
+        return pairs
+
+    monkeypatch.setattr(minhash_dedup, "_prefix_pairs", counted)
+    monkeypatch.setattr(minhash_dedup, "CENTRES", 1)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash_dedup.near_duplicates(table(spark, rows), percent=percent).collect()}
+    assert got == brute.components(dict(rows), percent)
+    assert used and used[0][1] > 0
+
+
 def test_densified_signatures_agree_with_similarity():
     rng = np.random.default_rng(4)
     a = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
