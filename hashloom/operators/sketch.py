@@ -1,14 +1,13 @@
 """FracMinHash sketching of sequences: k-shingles, canonical form, a 64-bit hash, a scaled threshold.
 
-``md5_60`` is made of built-in functions alone: 15 hexadecimal digits of the
-shingle's MD5, so values are in [0, 2**60). ``murmur3_64`` is the low half of
-MurmurHash3 x64 128 with seed 42, computed for Arrow batches; only hashes under the
-threshold leave the function, so the expansion to one row per position never reaches a shuffle.
+``md5_60`` is 15 hexadecimal digits of the shingle's MD5, so values are in [0, 2**60);
+``murmur3_64`` is the low half of MurmurHash3 x64 128 with seed 42. Both are computed for
+Arrow batches, many shingles at a time (``windows``); only hashes under the threshold leave
+the function, so one row per position is never made.
 """
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,11 +15,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import uint64
+from ..functions import md5, uint64, windows
 from ..functions.murmur import murmur3_128
 
 MURMUR_SEED = 42
-PIECE = 512
 HASHES = {"md5_60": 1 << 60, "murmur3_64": 1 << 64}
 _COMPLEMENT = np.arange(256, dtype=np.uint8)
 _COMPLEMENT[list(b"ACGT")] = list(b"TGCA")
@@ -54,29 +52,48 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def _md5_below(chunk: windows.Chunk, k: int, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """(which, hashes) of the k-shingles of a chunk whose hash is under the limit."""
+    n = len(chunk.at) - k
+    sizes = np.full(1, k) if chunk.plain else chunk.at[k:] - chunk.at[:-k]
+    blocks = (sizes + 8) // 64 + 1
+    found = []
+    for count in np.unique(blocks):
+        which = None if chunk.plain else np.flatnonzero(blocks == count)
+        words = windows.canonical(chunk, k, which, np.uint32, 0x80)
+        bits = 8 * k if which is None else (8 * sizes[which]).astype(np.uint32)
+        words += [0] * (16 * int(count) - 2 - len(words))
+        at, values = md5.below([*words, bits, 0], n if which is None else len(which), limit)
+        found.append((at if which is None else which[at], values))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
 def _md5(df, sequence, sample, ksizes, scaled, dna):
-    # a position in a string is found by counting from its start, so long texts are cut into pieces first; all k sizes share them
-    low, high = ksizes[0], ksizes[-1]
-    s = F.col("_s")
-    base = spread(df.select(F.col(sample).alias("sample_id"), F.col(sequence).alias("_s"))).where(F.length(s) >= low)
-    starts = F.sequence(F.lit(1), F.length(s) - (low - 1), F.lit(PIECE))
-    pieces = base.select("sample_id", F.explode(F.transform(starts, lambda i: F.substring(s, i, F.lit(PIECE + high - 1)))).alias("_p"))
-    places = F.sequence(F.lit(1), F.least(F.lit(PIECE), F.length("_p") - (low - 1)))
-    rows = pieces.select("sample_id", "_p", F.explode(places).alias("_i"))
-
-    def digits(k):
-        shingle = F.substring(F.col("_p"), F.col("_i"), F.lit(k))
-        whole = F.col("_i") + (k - 1) <= F.length("_p")
-        other = F.reverse(F.translate(shingle, "ACGT", "TGCA")) if dna else F.reverse(shingle)
-        return F.when(whole & shingle.rlike("^[ACGT]*$") if dna else whole, F.substring(F.md5(F.least(shingle, other)), 1, 15))
-
-    # hexadecimal digits of one length are ordered as their numbers are, so most rows go before any conversion
-    limit = f"{threshold('md5_60', scaled):015x}"
-    kept = {k: F.col(f"_{k}") < limit if scaled > 1 else F.col(f"_{k}").isNotNull() for k in ksizes}
-    some = rows.select("sample_id", *(digits(k).alias(f"_{k}") for k in ksizes)).where(functools.reduce(lambda a, b: a | b, kept.values()))
-    each = F.array(*(F.when(kept[k], F.struct(F.lit(k).cast("smallint").alias("ksize"), F.col(f"_{k}").alias("_d"))) for k in ksizes))
-    found = some.select("sample_id", F.explode(each).alias("x")).where("x IS NOT NULL")
-    return found.select("sample_id", "x.ksize", F.conv("x._d", 16, 10).cast("bigint").alias("hash"))
+    # the texts of a batch are one run of bytes; a shingle over the end of its text is left out once it is known to be under the threshold
+    limit, schema = threshold("md5_60", scaled), pa.schema([("ksize", pa.int16()), ("hash", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, texts = batch.column(0), batch.column(1).cast(pa.large_string())
+            ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+            data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+            ends = ends - ends[0]
+            for start, stop, end in windows.cuts(data, 4 * ksizes[-1], False):
+                chunk = windows.Chunk(data[start:end], False, dna)
+                for k in ksizes:
+                    if len(chunk.at) <= k:
+                        continue
+                    which, hashes = _md5_below(chunk, k, limit)
+                    first, last = chunk.at[which], chunk.at[which + k]
+                    row = np.searchsorted(ends, start + first, "right") - 1
+                    kept = (start + first < stop) & (start + last <= ends[row + 1]) & chunk.whole(first, last)
+                    if kept.any():
+                        columns = [pa.array(np.full(int(kept.sum()), k, np.int16)), pa.array(hashes[kept].astype(np.int64))]
+                        yield pa.RecordBatch.from_arrays([names.take(pa.array(row[kept])), *columns], ["sample_id", *schema.names])
+
+    texts = spread(df.select(F.col(sample).alias("sample_id"), F.col(sequence).cast("string").alias("_s")).where(F.length("_s") >= ksizes[0]))
+    kind = texts.schema["sample_id"].dataType.simpleString()
+    return texts.mapInArrow(run, f"sample_id {kind}, ksize smallint, hash long")
 
 
 def kept_hashes(sequence: bytes, k: int, scaled: int, dna: bool, chunk: int = 1 << 18) -> Iterator[np.ndarray]:

@@ -93,3 +93,22 @@ def test_murmur_rows_are_independent(keys):
     rows = np.frombuffer(b"".join(keys), np.uint8).reshape(-1, 21)
     together = murmur3_128(rows)[0]
     assert [int(x) for x in together] == [int(murmur3_128(rows[i : i + 1])[0][0]) for i in range(len(keys))]
+
+
+def test_md5_of_windows_against_hashlib():
+    """Characters of one to four bytes, messages of one to nine blocks, chunks that cut anywhere, shingles shorter than a word."""
+    import hashlib
+    import random
+
+    from hashloom.functions import windows
+    from hashloom.operators.sketch import _md5_below
+
+    random.seed(3)
+    for letters in ("ab ", "aé€😀b "):
+        text = "".join(random.choice(letters) for _ in range(700))
+        chunk = windows.Chunk(np.frombuffer(text.encode(), np.uint8), False, False)
+        for k in (1, 3, 4, 31, 55, 56, 130):
+            want = [int(hashlib.md5(min(g.encode(), g[::-1].encode())).hexdigest()[:15], 16) for g in (text[i : i + k] for i in range(len(text) - k + 1))]
+            for limit in (1 << 60, 1 << 57):
+                which, hashes = _md5_below(chunk, k, limit)
+                assert dict(zip(which.tolist(), hashes.tolist(), strict=True)) == {i: h for i, h in enumerate(want) if h < limit}

@@ -40,6 +40,30 @@ def test_pieces_cover_every_position(spark):
     assert got == want
 
 
+def test_sketch_makes_no_row_per_position(spark):
+    """Texts of a batch are one run of bytes: no shingle crosses from one into the next, and none is a row before it is known to be kept."""
+    import hashlib
+
+    texts = [("a", "xyz" * 9000), ("a", ""), ("b", None), ("b", "é"), ("c", "zäy" * 12_000), ("d", "xyzä"), ("e", "zyxwvut")]
+    df = spark.createDataFrame(texts, "s string, t string").coalesce(1)
+    found = sketch.sketch(df, "t", "s", (5, 33), 1)
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    got = sorted((r.sample_id, r.ksize, r.hash, r["count"]) for r in found.groupBy("sample_id", "ksize", "hash").count().collect())
+    want: dict = {}
+    for s, t in texts:
+        for k in (5, 33):
+            for i in range(len(t or "") - k + 1):
+                g = t[i : i + k]
+                key = (s, k, int(hashlib.md5(min(g.encode(), g[::-1].encode())).hexdigest()[:15], 16))
+                want[key] = want.get(key, 0) + 1
+    assert got == sorted((*key, n) for key, n in want.items())
+
+
+def test_sketch_of_bases_skips_a_last_line_end(spark):
+    df = spark.createDataFrame([("a", "ACGTA\n")], "s string, t string")
+    assert sketch.sketch(df, "t", "s", (6,), 1, "md5_60", dna=True).count() == sketch.sketch(df, "t", "s", (6,), 1, "murmur3_64", dna=True).count() == 0
+
+
 def test_compare(spark):
     left = compare.normalised(spark.createDataFrame([(1,), (2,), (2,), (3,)], "hash long"), ksize_col=None, ksize=31)
     right = compare.normalised(spark.createDataFrame([(31, 2), (21, 3)], "ksize int, hash long"))
