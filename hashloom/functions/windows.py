@@ -1,7 +1,6 @@
 """The k-shingles of many texts at once as machine words in numpy, each in its canonical form.
 
-A shingle is never a row of its own: its j-th word is read from the text's bytes as they lie, so a column of words is a slice
-of one array. Columns of texts with characters of several bytes are gathered by the shingles' starts.
+A shingle is never a row of its own: its words are read from the text's bytes, or the reverse's, as they lie.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ _COMPLEMENT[list(b"ACGT")] = list(b"TGCA")
 _BASE = np.zeros(256, bool)
 _BASE[list(b"ACGT")] = True
 #: Window starts taken at once: few enough for a processor's cache, enough to outweigh numpy's calls.
-CHUNK = 1 << 14
+CHUNK = 1 << 15
 
 
 class Chunk:
@@ -40,44 +39,52 @@ class Chunk:
         return self.other[end] == self.other[start] if self.dna else np.ones(len(start), bool)
 
 
-def _columns(data: np.ndarray, starts, lengths, lo: int, hi: int, dtype, end: int) -> list[np.ndarray]:
-    """The little-endian words that cover lengths from lo to hi bytes; after a shingle's last byte stands ``end``, then zeros."""
-    size = np.dtype(dtype).itemsize
-    padded = np.zeros(len(data) + hi + 2 * size, np.uint8)
-    padded[: len(data)] = data
-    view = np.ndarray((len(padded) - size + 1,), np.dtype(dtype).newbyteorder("<"), padded, strides=(1,)).astype(dtype)
-    top = (1 << 8 * size) - 1
-    masks = np.array([0, *((1 << 8 * v) - 1 for v in range(size)), top], dtype)
-    ends = np.array([0, *(end << 8 * v for v in range(size)), 0], dtype)
-    found = []
-    for at in range(0, hi + 1 if end else hi, size):
-        word = view[starts.start + at : starts.stop + at][:: starts.step] if isinstance(starts, slice) else view[starts + at]
-        if at + size > lo:
-            over = np.clip(lengths - at, -1, size) + 1
-            word = (word & masks[over]) | ends[over]
-        found.append(word)
-    return found
+class _Words:
+    """Little-endian words at any byte of some data. Bytes beyond a shingle's length are cleared, and ``end`` stands after its last one."""
+
+    def __init__(self, data: np.ndarray, dtype, end: int):
+        self.size = np.dtype(dtype).itemsize
+        self.at = np.ndarray((len(data) - self.size + 1,), np.dtype(dtype).newbyteorder("<"), data, strides=(1,)).astype(dtype)
+        self.masks = np.array([0, *((1 << 8 * v) - 1 for v in range(self.size)), (1 << 8 * self.size) - 1], dtype)
+        self.ends = np.array([0, *(end << 8 * v for v in range(self.size)), 0], dtype)
+
+    def read(self, places: np.ndarray, rest, least: int) -> np.ndarray:
+        """The words at ``places``, of shingles that have ``rest`` bytes more, ``least`` or more."""
+        word = self.at[places]
+        if least < self.size:
+            over = np.minimum(np.maximum(rest, -1), self.size) + 1
+            word &= self.masks[over]
+            word |= self.ends[over]
+        return word
 
 
 def canonical(chunk: Chunk, k: int, which: np.ndarray | None, dtype, end: int = 0) -> list[np.ndarray]:
     """The words of the smaller of each shingle and its reverse (or other strand); of the shingles ``which``, or of all where None (plain chunks)."""
-    n = len(chunk.at) - k
+    n, size = len(chunk.data), np.dtype(dtype).itemsize
     if which is None:
-        forth, back, lengths, lo, hi = slice(0, n, 1), slice(0, n, -1), k, k, k
+        forth, lengths, lo, hi = np.arange(len(chunk.at) - k), k, k, k
+        last = forth + k
     else:
-        forth, back = chunk.at[which], len(chunk.data) - chunk.at[which + k]
-        lengths = chunk.at[which + k] - forth
+        forth, last = chunk.at[which], chunk.at[which + k]
+        lengths = last - forth
         lo, hi = int(lengths.min()), int(lengths.max())
-    one, two = _columns(chunk.data, forth, lengths, lo, hi, dtype, end), _columns(chunk.back, back, lengths, lo, hi, dtype, end)
-    a, b = one[0].byteswap(), two[0].byteswap()
+    gap = np.zeros(hi + 2 * size, np.uint8)
+    words = _Words(np.concatenate([chunk.data, gap, chunk.back, gap]), dtype, end)
+    back = (2 * n + len(gap)) - last
+    a, b = words.read(forth, lengths, lo).byteswap(), words.read(back, lengths, lo).byteswap()
     swap, same = b < a, np.flatnonzero(a == b)
-    for x, y in zip(one[1:], two[1:], strict=True):
+    for at in range(size, hi, size):
         if not len(same):
             break
-        a, b = x[same].byteswap(), y[same].byteswap()
+        rest = lengths - at if which is None else lengths[same] - at
+        a, b = words.read(forth[same] + at, rest, lo - at).byteswap(), words.read(back[same] + at, rest, lo - at).byteswap()
         swap[same] = b < a
         same = same[a == b]
-    return [np.where(swap, y, x) for x, y in zip(one, two, strict=True)]
+    places, found = np.where(swap, back, forth), []
+    for at in range(0, hi + 1 if end else hi, size):
+        found.append(words.read(places, lengths - at, lo - at))
+        places += size
+    return found
 
 
 def cuts(data: np.ndarray, overlap: int, by_bytes: bool):
