@@ -14,11 +14,13 @@ import json
 import uuid
 import zipfile
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schema
+from .. import schema, tasks
 from ..functions import digests, names, uint64
 from ..operators import compare, counting, dedup, sketch, traversal, workqueue
 from ..scratch import Scratch, scratch_path
@@ -181,59 +183,86 @@ def append_loads(spark, sf_dir):
     return got.groupBy("ksize").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("hash").alias("n_hashes"))
 
 
+#: Bytes of archives that a worker gives away at once.
+PACKED_BYTES = 4 << 20
+
+
+def _packed(rows, pack):
+    """(path, content) of one archive a sample, ``pack(sample, {k size: hashes})``. Rows are dealt and sorted by sample and stream through, so a worker holds one sample's hashes and a few archives."""
+
+    def run(batches):
+        out, held, sample, by_k = [], 0, None, {}
+
+        def given():
+            return pa.RecordBatch.from_arrays([pa.array([p for p, _ in out], pa.string()), pa.array([c for _, c in out], pa.binary())], ["path", "content"])
+
+        def ended():
+            path, content = pack(sample, {k: np.concatenate(parts).tolist() for k, parts in by_k.items()})
+            out.append((path, content))
+            return len(content)
+
+        for batch in batches:
+            samples = batch.column(0).dictionary_encode(null_encoding="encode")
+            codes, ksizes, hashes = samples.indices.to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            cuts = np.flatnonzero((codes[1:] != codes[:-1]) | (ksizes[1:] != ksizes[:-1])) + 1
+            for start, end in zip([0, *cuts], [*cuts, len(codes)], strict=True):
+                if start == end:
+                    continue
+                name = samples.dictionary[int(codes[start])].as_py()
+                if by_k and name != sample:
+                    held += ended()
+                    by_k = {}
+                    if held >= PACKED_BYTES:
+                        yield given()
+                        out, held = [], 0
+                sample = name
+                by_k.setdefault(int(ksizes[start]), []).append(hashes[start:end])
+        if by_k:
+            ended()
+        if out:
+            yield given()
+
+    dealt = tasks.dealt(rows.select("sample_id", "ksize", "hash"), "sample_id").sortWithinPartitions("sample_id", "ksize")
+    return dealt.mapInArrow(run, "path string, content binary")
+
+
 def archive_rows(spark, sf_dir):
     """Sketch archives made of lineitem, one per supplier and with every accepted layout, decoded again."""
-    grouped = occurrences(spark, sf_dir).groupBy("sample_id").agg(F.collect_list(F.struct("ksize", "hash")).alias("rows"))
 
-    def pack(batches):
-        for pdf in batches:
-            out = []
-            for sample, rows in zip(pdf["sample_id"], pdf["rows"], strict=True):
-                by_k: dict = {}
-                for r in rows:
-                    by_k.setdefault(int(r["ksize"]), []).append(int(r["hash"]))
-                buffer = io.BytesIO()
-                with zipfile.ZipFile(buffer, "w") as z:
-                    for k, hashes in sorted(by_k.items()):
-                        signature = {"ksize": str(k) if k % 2 else k, ("mins" if k % 3 else "hashes"): hashes}
-                        layout = [signature, {"signatures": [signature]}, [signature], [{"class": "x", "signatures": [signature]}]][k % 4]
-                        z.writestr(f"signatures/{k}.sig", json.dumps(layout))
-                    z.writestr("MANIFEST.csv", "ignored")
-                out.append((f"/data/{sample}.1_x.fna.gz.sig.zip", buffer.getvalue()))
-            yield pd.DataFrame(out, columns=["path", "content"])
-
-    files = grouped.mapInPandas(pack, "path string, content binary")
-    return dedup.unique_hashes(archives.decode_archives(files, MOD), True, True)
+    def pack(sample, by_k):
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w") as z:
+            for k, hashes in sorted(by_k.items()):
+                signature = {"ksize": str(k) if k % 2 else k, ("mins" if k % 3 else "hashes"): hashes}
+                layout = [signature, {"signatures": [signature]}, [signature], [{"class": "x", "signatures": [signature]}]][k % 4]
+                z.writestr(f"signatures/{k}.sig", json.dumps(layout))
+            z.writestr("MANIFEST.csv", "ignored")
+        return f"/data/{sample}.1_x.fna.gz.sig.zip", buffer.getvalue()
+
+    return dedup.unique_hashes(archives.decode_archives(_packed(occurrences(spark, sf_dir), pack), MOD), True, True)
 
 
 def archive_faults(spark, sf_dir):
     """Archives with damaged entries, values and ends, one per supplier: what stands before a fault is decoded."""
-    grouped = occurrences(spark, sf_dir).groupBy("sample_id").agg(F.collect_list(F.struct("ksize", "hash")).alias("rows"))
 
     def entry(k, hashes, more=""):
         return f'{{"ksize": {k}, "mins": [{", ".join(map(str, hashes))}{more}]}}'
 
-    def pack(batches):
-        for pdf in batches:
-            out = []
-            for sample, rows in zip(pdf["sample_id"], pdf["rows"], strict=True):
-                by_k: dict = {k: [] for k in range(1, 8)}
-                for r in rows:
-                    by_k[int(r["ksize"])].append(int(r["hash"]))
-                buffer, n = io.BytesIO(), int(sample)
-                with zipfile.ZipFile(buffer, "w") as z:
-                    z.writestr("a.sig", entry(1, by_k[1]))
-                    packed = gzip.compress(entry(2, by_k[2]).encode())
-                    z.writestr("b.sig.gz", packed if n % 2 else packed[: len(packed) // 2])
-                    z.writestr("c.json", entry(3, by_k[3])[:-1])
-                    z.writestr("d.json", entry("Infinity", by_k[4]))
-                    z.writestr("e.sig", entry(5, by_k[5], "" if n % 3 else ", Infinity" if by_k[5] else "Infinity"))
-                    z.writestr("f.sig", entry(6, by_k[6]))
-                out.append((f"/data/{sample}.sig.zip", buffer.getvalue() if n % 5 else buffer.getvalue()[:-22]))
-            yield pd.DataFrame(out, columns=["path", "content"])
-
-    files = grouped.mapInPandas(pack, "path string, content binary")
-    return archives.decode_archives(files, MOD).groupBy("ksize").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("sample_id").alias("n_samples"), F.sum("hash").alias("sum_hashes"))
+    def pack(sample, found):
+        by_k = {k: found.get(k, []) for k in range(1, 8)}
+        buffer, n = io.BytesIO(), int(sample)
+        with zipfile.ZipFile(buffer, "w") as z:
+            z.writestr("a.sig", entry(1, by_k[1]))
+            packed = gzip.compress(entry(2, by_k[2]).encode())
+            z.writestr("b.sig.gz", packed if n % 2 else packed[: len(packed) // 2])
+            z.writestr("c.json", entry(3, by_k[3])[:-1])
+            z.writestr("d.json", entry("Infinity", by_k[4]))
+            z.writestr("e.sig", entry(5, by_k[5], "" if n % 3 else ", Infinity" if by_k[5] else "Infinity"))
+            z.writestr("f.sig", entry(6, by_k[6]))
+        return f"/data/{sample}.sig.zip", buffer.getvalue() if n % 5 else buffer.getvalue()[:-22]
+
+    found = archives.decode_archives(_packed(occurrences(spark, sf_dir), pack), MOD)
+    return found.groupBy("ksize").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("sample_id").alias("n_samples"), F.sum("hash").alias("sum_hashes"))
 
 
 def archive_sink(spark, sf_dir):

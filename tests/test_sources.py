@@ -202,3 +202,23 @@ def test_bucketed_tables_join_without_exchange(spark, occ):
     assert "Exchange" not in plan
     for name in ("left_b", "right_b"):
         tables.drop(spark, name)
+
+
+def test_packed_archives_stream_over_batches(spark, monkeypatch):
+    """A sample whose rows come in several batches is one archive, and tasks follow the bytes."""
+    from hashloom import tasks
+    from hashloom.plans import queries
+
+    rows = spark.range(2000).selectExpr("cast(id % 11 as string) AS sample_id", "cast(id % 3 as smallint) AS ksize", "id AS hash")
+    monkeypatch.setattr(tasks, "TASK_BYTES", 2000)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "7")
+    try:
+        packed = queries._packed(rows, lambda sample, by_k: (sample, repr({k: sorted(h) for k, h in by_k.items()}).encode()))
+        assert packed.rdd.getNumPartitions() > 8
+        got = {r.path: bytes(r.content).decode() for r in packed.collect()}
+        assert packed.count() == 11
+    finally:
+        spark.conf.set(key, before)
+    assert got == {str(s): repr({k: [i for i in range(2000) if i % 11 == s and i % 3 == k] for k in range(3)}) for s in range(11)}
