@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import tasks
 from ..sources.versions import VersionedTable
 from .dedup import ranked
 
@@ -45,7 +46,7 @@ class SampleCounts:
         """Takes up a load (sample_id, ksize, hash, bucket) under a name of its own; the version of the bitmaps after it. Null sample ids don't count, but their hashes are there with 0."""
         if load in self.words.snapshot()["notes"].get("loads", []):
             return self.words.version()
-        rows = occurrences.select(F.col("sample_id").cast("string").alias("sample_id"), *KEY).distinct()
+        rows = tasks.more(occurrences.select(F.col("sample_id").cast("string").alias("sample_id"), *KEY), *KEY).distinct()
         numbers = self._number(rows.select("sample_id").where("sample_id IS NOT NULL").distinct())
         side = F.broadcast(numbers) if numbers.count() <= BROADCAST_SAMPLES else numbers
         bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("number").bitwiseAND(F.lit(63)).cast("int"))
@@ -68,4 +69,4 @@ class SampleCounts:
 
 def _merged(rows: DataFrame, keys: list[str]) -> DataFrame:
     # dealt by the hash once: both the words' OR and the sum over words find their rows together
-    return rows.repartition(*keys).groupBy(*keys, "word").agg(F.bit_or("bits").alias("bits"))
+    return tasks.dealt(rows, *keys).groupBy(*keys, "word").agg(F.bit_or("bits").alias("bits"))

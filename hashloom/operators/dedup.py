@@ -5,21 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import tasks
 from ..scratch import Scratch
 
 
-def unique_hashes(df: DataFrame, by_ksize: bool = True, with_counts: bool = False) -> DataFrame:
+def unique_hashes(df: DataFrame, by_ksize: bool = True, with_counts: bool = False, n_tasks: int = 0) -> DataFrame:
     """Distinct hashes: [ksize], hash, bucket, [n_samples].
 
     ``by_ksize`` keeps k sizes apart; without it a hash counts once over all.
     ``with_counts`` adds the number of distinct samples (nulls don't count). The
     bucket follows from the hash and rides along in the key. A hash that is in
-    every sample is pre-aggregated per task before each exchange.
+    every sample is pre-aggregated per task before each exchange; beyond the session's
+    number of tasks rows are dealt by their keys first, over ``n_tasks`` or as many as their bytes ask for.
     """
     keys = [*(["ksize"] if by_ksize else []), "hash", "bucket"]
     if not with_counts:
-        return df.select(*keys).distinct()
-    return df.groupBy(*keys).agg(F.count_distinct("sample_id").alias("n_samples"))
+        return tasks.more(df.select(*keys), *keys, n=n_tasks).distinct()
+    return tasks.more(df.select("sample_id", *keys), *keys, n=n_tasks).groupBy(*keys).agg(F.count_distinct("sample_id").alias("n_samples"))
 
 
 def bucket_histogram(df: DataFrame) -> DataFrame:

@@ -239,7 +239,8 @@ def archive_rows(spark, sf_dir):
             z.writestr("MANIFEST.csv", "ignored")
         return f"/data/{sample}.1_x.fna.gz.sig.zip", buffer.getvalue()
 
-    return dedup.unique_hashes(archives.decode_archives(_packed(occurrences(spark, sf_dir), pack), MOD), True, True)
+    o = occurrences(spark, sf_dir)
+    return dedup.unique_hashes(archives.decode_archives(_packed(o, pack), MOD), True, True, n_tasks=tasks.needed(o))
 
 
 def archive_faults(spark, sf_dir):
@@ -270,7 +271,7 @@ def archive_sink(spark, sf_dir):
     root = scratch_path(spark, "sigzips")
     o = occurrences(spark, sf_dir)
     archives.write_archives(o.select(F.lit("").alias("dir"), F.col("sample_id").alias("name"), "ksize", "hash"), root)
-    return dedup.unique_hashes(archives.read_archives(spark, root, MOD, mode="failfast"), True, True)
+    return dedup.unique_hashes(archives.read_archives(spark, root, MOD, mode="failfast"), True, True, n_tasks=tasks.needed(o))
 
 
 def archive_source(spark, sf_dir):
@@ -279,7 +280,7 @@ def archive_source(spark, sf_dir):
     o = occurrences(spark, sf_dir)
     archives.write_archives(o.select(F.lit("").alias("dir"), F.col("sample_id").alias("name"), "ksize", "hash"), root)
     found = archive_source_module.stream_archives(spark, root, MOD, mode="failfast")
-    return dedup.unique_hashes(found.where("ksize IN (2, 3, 5, 7)"), True, True)
+    return dedup.unique_hashes(found.where("ksize IN (2, 3, 5, 7)"), True, True, n_tasks=tasks.needed(o))
 
 
 def tsv_sequences(spark, sf_dir):

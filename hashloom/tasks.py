@@ -21,3 +21,9 @@ def dealt(df: DataFrame, *keys: str) -> DataFrame:
     """``df`` dealt by ``keys``, over more tasks than the session's where its bytes ask for them."""
     n = needed(df)
     return df.repartition(n, *keys) if n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df.repartition(*keys)
+
+
+def more(df: DataFrame, *keys: str, n: int = 0) -> DataFrame:
+    """``df`` dealt by ``keys`` over ``n`` tasks (those that its bytes ask for, if 0) where these are more than the session's; else as it is, for what follows to deal."""
+    n = n or needed(df)
+    return df.repartition(n, *keys) if n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df

@@ -305,3 +305,15 @@ def test_progress_listener(spark, tmp_path):
         time.sleep(0.1)
     spark.streams.removeListener(seen)
     assert seen.latest[str(query.id)]["rows"] == 3 and not seen.latest[str(query.id)]["running"]
+
+
+def test_tasks_follow_the_bytes(spark, monkeypatch):
+    """Beyond the session's number of tasks an aggregate's share of keys stays the same; the counts do too."""
+    from hashloom import tasks
+
+    rows = spark.range(3000).selectExpr("cast(id % 7 as string) AS sample_id", "cast(21 as smallint) AS ksize", "id % 500 AS hash", "cast(id % 5 as int) AS bucket")
+    want = {tuple(r) for r in dedup.unique_hashes(rows, True, True).collect()}
+    monkeypatch.setattr(tasks, "TASK_BYTES", 1000)
+    found = dedup.unique_hashes(rows, True, True)
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in found.collect()} == want and len(want) == 500
