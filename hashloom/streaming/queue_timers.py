@@ -8,10 +8,13 @@ the files that have events or timers due and no others.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from contextlib import contextmanager
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
@@ -20,6 +23,8 @@ from ..operators.workqueue import IN_PROGRESS
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE = "id long, url string, status string, tries int, at_ms long, version long"
 CHANGES = "subdir string, filename string, id long, url string, status string, tries int, at_ms long, claimable boolean, version long"
+EVENTS = "subdir string, filename string, id long, url string, status string, tries int, at_ms long, at timestamp"
+TOLD = Row(*(c.split(" ")[0] for c in CHANGES.split(", ")))
 
 
 @contextmanager
@@ -44,8 +49,8 @@ class QueueState(StatefulProcessor):
         self.handle = handle
         self.row = handle.getValueState("row", STATE)
 
-    def _told(self, key, row: tuple, claimable: bool) -> pd.DataFrame:
-        return pd.DataFrame([(*key, *row[:5], claimable, row[5])], columns=[c.split(" ")[0] for c in CHANGES.split(", ")])
+    def _told(self, key, row: tuple, claimable: bool) -> Row:
+        return TOLD(*key, *row[:5], claimable, row[5])
 
     def _wait(self, row: tuple) -> int | None:
         """When the row changes by itself, one millisecond after the last at which it doesn't."""
@@ -55,16 +60,15 @@ class QueueState(StatefulProcessor):
         return at + self.cooldown if status == "ERROR" and tries < self.cap else None
 
     def handleInputRows(self, key, rows, timerValues):
-        was = tuple(self.row.get()) if self.row.exists() else None
+        found = self.row.get()
+        was = None if found is None else tuple(found)
         best = was
-        for batch in rows:
-            for e in batch.itertuples(index=False):
-                row = (int(e.id), e.url, e.status, int(e.tries), int(e.at_ms), (was[5] if was else 0) + 1)
-                if best is None or (row[4], row[0]) > (best[4], best[0]) or (best is was and (row[4], row[0]) >= (was[4], was[0])):
-                    best = row
+        for e in rows:
+            if best is None or (e.at_ms, e.id) > (best[4], best[0]) or (best is was and (e.at_ms, e.id) >= (was[4], was[0])):
+                best = (e.id, e.url, e.status, e.tries, e.at_ms, (was[5] if was else 0) + 1)
         if best is was:
             return
-        for due in list(self.handle.listTimers()):
+        for due in list(self.handle.listTimers()) if was else ():
             self.handle.deleteTimer(due)
         now = int(timerValues.getCurrentWatermarkInMs())
         due = self._wait(best)
@@ -93,16 +97,49 @@ class QueueState(StatefulProcessor):
         return
 
 
+#: Events that a worker holds at once.
+HELD_EVENTS = 1 << 18
+
+
+def _last(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """The last event by (at, id) of each file, the first that came of equal ones."""
+    events = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+    names = [events.column(c).dictionary_encode(null_encoding="encode").indices.to_numpy() for c in ("subdir", "filename")]
+    at, numbers = events.column("at_ms").to_numpy(), pc.fill_null(events.column("id"), -(1 << 63)).to_numpy()
+    order = np.lexsort((-np.arange(len(at)), numbers, at, names[1], names[0]))
+    ends = np.append((names[0][order[1:]] != names[0][order[:-1]]) | (names[1][order[1:]] != names[1][order[:-1]]), True)
+    return events.take(pa.array(order[ends]))
+
+
+def _last_events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What a task has of a file as one event, or a few where it has more files than it may hold events; a row costs the state far more than it costs here."""
+    held, n = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        n += batch.num_rows
+        if n >= HELD_EVENTS:
+            held = [_last(held)]
+            n = held[0].num_rows
+            if n >= HELD_EVENTS // 2:
+                yield held[0]
+                held, n = [], 0
+    if held:
+        yield _last(held)
+
+
 def queue_changes(events: DataFrame, stale: float = 3600, cooldown: float = 3600, cap: int = 20, late: str = "0 seconds") -> DataFrame:
     """The stream of changes (CHANGES) that a stream of events (subdir, filename, id, url, status, tries, at: event time) makes.
 
     Of one file's events the last by (at, id) counts. Event time is the clock: timers go off when it has passed them by ``late``, and an event
     later than that is dropped. ``version`` numbers a file's changes, so its row is the one with the greatest.
-    Null names are a file like others; events without a time are left out.
+    Null names are a file like others; events without a time are left out. Of the events that arrive together only a file's last goes to the state.
     """
-    timed = events.where("at IS NOT NULL").withColumn("at", F.col("at").cast("timestamp")).withWatermark("at", late)
-    rows = timed.select("subdir", "filename", "id", "url", "status", "tries", F.unix_millis("at").alias("at_ms"), "at")
-    return rows.groupBy("subdir", "filename").transformWithStateInPandas(QueueState(stale, cooldown, cap), CHANGES, "Append", "eventTime")
+    timed = events.where("at IS NOT NULL").withColumn("at", F.col("at").cast("timestamp"))
+    rows = timed.select("subdir", "filename", F.col("id").cast("long").alias("id"), "url", "status", F.col("tries").cast("int").alias("tries"), F.unix_millis("at").alias("at_ms"), "at")
+    rows = rows.repartition("subdir", "filename").mapInArrow(_last_events, EVENTS).withWatermark("at", late)
+    return rows.groupBy("subdir", "filename").transformWithState(QueueState(stale, cooldown, cap), CHANGES, "Append", "eventTime")
 
 
 def run_changes(changes: DataFrame, out: str, checkpoint: str) -> StreamingQuery:

@@ -2,7 +2,9 @@
 
 import random
 from concurrent.futures import ThreadPoolExecutor
+from datetime import UTC, datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,6 +138,28 @@ def test_timers_do_what_the_batch_functions_do(spark, tmp_path):
     assert {("PENDING", True), ("ERROR", True), ("ERROR", False), ("DONE", False)} <= kinds
 
 
+def test_the_state_gets_one_event_a_file(monkeypatch):
+    """A file's last event of those that a task has; several only where its files are more than it may hold, and then none that counts is missing."""
+    rng, events = random.Random(5), []
+    for i in range(4000):
+        name = rng.choice([None, "", *(f"f{k}" for k in range(60))])
+        at = rng.randrange(50)
+        events.append({"subdir": rng.choice([None, "d"]), "filename": name, "id": rng.choice([None, i // 2]), "url": f"u{i}", "status": "DONE", "tries": 1, "at_ms": at, "at": datetime.fromtimestamp(at, UTC)})
+    types = pa.schema([(c, t) for c, t in zip(events[0], [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.timestamp("us", "UTC")], strict=True)])
+    batches = [pa.RecordBatch.from_pylist(events[k : k + 100], types) for k in range(0, 4000, 100)]
+    want = {}
+    for e in events:
+        key, order = (e["subdir"], e["filename"]), (e["at_ms"], -1 if e["id"] is None else e["id"])
+        if key not in want or order > want[key][0]:
+            want[key] = (order, e["url"])
+    got = [r for b in queue_timers._last_events([*batches[:3], batches[0][:0], *batches[3:]]) for r in b.to_pylist()]
+    assert sorted(map(str, ((r["subdir"], r["filename"], r["url"]) for r in got))) == sorted(map(str, ((*k, u) for k, (_, u) in want.items())))
+    monkeypatch.setattr(queue_timers, "HELD_EVENTS", 150)
+    some = {r["url"] for b in queue_timers._last_events(batches) for r in b.to_pylist()}
+    assert {u for _, u in want.values()} <= some and len(some) < 4000
+    assert list(queue_timers._last_events([])) == []
+
+
 def test_rocksdb_setting_comes_back(spark):
     key = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(key, None)
