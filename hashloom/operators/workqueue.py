@@ -84,9 +84,14 @@ def latest(events: DataFrame, key: list[str], *order: Column) -> DataFrame:
     return events.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
+def is_stuck(now: float, stale: float = 3600) -> Column:
+    """Which rows are in progress without a change since ``now - stale`` (or without a time)."""
+    return F.col("status").isin(*IN_PROGRESS) & (F.col("updated_at").isNull() | (F.col("updated_at") < now - stale))
+
+
 def reset_stuck(state: DataFrame, now: float, stale: float = 3600) -> DataFrame:
-    """Rows in progress without a change since ``now - stale`` (or without a time) are PENDING again; tries stay."""
-    stuck = F.col("status").isin(*IN_PROGRESS) & (F.col("updated_at").isNull() | (F.col("updated_at") < now - stale))
+    """Stuck rows are PENDING again; tries stay."""
+    stuck = is_stuck(now, stale)
     return state.withColumns({"status": F.when(stuck, "PENDING").otherwise(F.col("status")), "updated_at": F.when(stuck, F.lit(float(now))).otherwise(F.col("updated_at"))})
 
 
@@ -228,7 +233,9 @@ class QueueStore:
 
         def changed(rows: DataFrame, _: dict) -> DataFrame:
             was = newest(rows, "id")
-            return change(was).select(*QUEUE.names).exceptAll(was.select(*QUEUE.names))
+            before = was.select("id", F.struct(*QUEUE.names).alias("_was"))
+            made = change(was).select(*QUEUE.names).join(before, "id", "left")
+            return made.where(~F.struct(*QUEUE.names).eqNullSafe(F.col("_was"))).select(*QUEUE.names)
 
         version = self.table.update(changed)
         self._tidy()
@@ -256,8 +263,8 @@ class QueueStore:
         """``mark`` of the state; rows of other programs' changes stay as they are."""
 
         def changed(rows: DataFrame, _: dict) -> DataFrame:
-            mine = newest(rows, "id").join(changes.select("id"), "id", "left_semi")
-            return mark(mine, changes, now).select(*QUEUE.names)
+            mine = rows.join(changes.select("id"), "id", "left_semi").select(rows.columns)
+            return mark(newest(mine, "id"), changes, now).select(*QUEUE.names)
 
         version = self.table.update(changed)
         self._tidy()
@@ -265,7 +272,13 @@ class QueueStore:
 
     def reset_stuck(self, now: float, stale: float = 3600) -> int:
         """``reset_stuck`` of the state: rows that a program left in progress can be claimed again."""
-        return self.apply(lambda state: reset_stuck(state, now, stale))
+
+        def changed(rows: DataFrame, _: dict) -> DataFrame:
+            return reset_stuck(newest(rows, "id").where(is_stuck(now, stale)), now, stale).select(*QUEUE.names)
+
+        version = self.table.update(changed)
+        self._tidy()
+        return version
 
     def _tidy(self) -> None:
         before = self.table.version()

@@ -8,8 +8,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from hashloom import schema
+from hashloom import schema, tasks
 from hashloom.operators import workqueue
+from hashloom.sources import versions
 from hashloom.streaming import queue_timers
 
 NOW = 10_000.0
@@ -94,6 +95,34 @@ def test_counts_show_the_first_errors(spark):
     assert "WindowGroupLimit" in plan
 
 
+def test_tasks_of_a_stored_queue_follow_its_bytes(spark, tmp_path, monkeypatch):
+    store = workqueue.QueueStore(spark, str(tmp_path))
+    store.start(pending(spark, 3000))
+    monkeypatch.setattr(versions, "NEWEST_BYTES", 1000)
+    asked = tasks.needed(store.table.read(seq=True), 1000)
+    state = store.state()
+    assert state.rdd.getNumPartitions() == asked > int(spark.conf.get("spark.sql.shuffle.partitions")) and state.count() == 3000
+    plan = state._jdf.queryExecution().sparkPlan().toString()
+    assert "Aggregate" not in plan[plan.index("REPARTITION_BY_NUM") :]  # nothing is sorted before it is dealt
+
+
+def test_a_change_commits_the_rows_that_differ(spark, tmp_path):
+    store = workqueue.QueueStore(spark, str(tmp_path))
+    store.start(pending(spark, 6).withColumn("last_error", F.when(F.col("id") == 4, "old")))
+
+    def change(state):
+        more = pending(spark, 9).where("id = 9")
+        return state.withColumn("last_error", F.when(F.col("id") == 2, "x")).unionByName(more)
+
+    before = set(store.table.snapshot()["parts"])
+    store.apply(change)
+    (part,) = set(store.table.snapshot()["parts"]) - before
+    got = {r.id: r.last_error for r in spark.read.schema(schema.QUEUE).parquet(f"{tmp_path}/data/{part}").collect()}
+    assert got == {2: "x", 4: None, 9: None} and ids(store.state()) == [1, 2, 3, 4, 5, 6, 9]
+    store.apply(lambda state: state)
+    assert ids(store.state()) == [1, 2, 3, 4, 5, 6, 9]
+
+
 EVENTS = "subdir string, filename string, id long, url string, status string, tries int, at timestamp"
 
 
