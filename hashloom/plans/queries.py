@@ -596,11 +596,12 @@ def rna_to_dna(spark, sf_dir):
 
 
 def _sides(spark, sf_dir):
-    """Both sides, each sketched once and written: the comparisons read the right side up to twice."""
+    """The left side, written, and what the right one has of its hashes: no comparison asks for more, and so the others are neither grouped nor written."""
     scratch = Scratch(spark, "sides")
     left = sketch.sketch(load(spark, sf_dir, "benchmark").withColumn("name", F.lit("benchmark")), "text", "name", (31,), 20, "md5_60", mod=MOD)
+    left = scratch.write(compare.normalised(left), "left")
     right = sketch.sketch(load(spark, sf_dir, "documents"), "text", "source", (31,), 20, "md5_60", mod=MOD)
-    return compare.normalised(left), scratch.write(right.distinct(), "right")
+    return left, compare.known(right, left)
 
 
 def known_hashes(spark, sf_dir):

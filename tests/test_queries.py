@@ -110,3 +110,20 @@ def test_sketch_murmur_against_a_plain_version(spark, tmp_path):
                     samples.setdefault((k, h), set()).add(r.source)
     got = {(r.ksize, r.hash & ((1 << 64) - 1)): (r.bucket, r.n_samples) for r in QUERIES["sketch_murmur"](spark, str(tmp_path)).collect()}
     assert got == {(k, h): (h % 521, len(s)) for (k, h), s in samples.items()} and len(got) > 50
+
+
+def test_comparisons_keep_of_the_right_side_what_the_left_one_has(spark):
+    """No hash that the left side lacks is grouped, moved or written, and each that it has comes with every sample."""
+    from pyspark.sql import functions as F
+
+    from hashloom.operators import sketch
+    from hashloom.plans import queries
+
+    left, right = queries._sides(spark, str(SF))
+    every = sketch.sketch(queries.load(spark, str(SF), "documents"), "text", "source", (31,), 20, "md5_60").select("sample_id", "ksize", "hash").distinct()
+    shared = every.join(left.select("ksize", "hash"), ["ksize", "hash"], "left_semi").select("sample_id", "ksize", "hash")
+    got = right.select("sample_id", "ksize", "hash").distinct()
+    assert right.join(left.select("ksize", "hash"), ["ksize", "hash"], "left_anti").isEmpty() and not every.join(left.select("ksize", "hash"), ["ksize", "hash"], "left_anti").isEmpty()
+    assert shared.exceptAll(got).isEmpty() and got.exceptAll(shared).isEmpty()
+    plan = right.groupBy("hash").agg(F.count(F.lit(1)))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
